@@ -1,0 +1 @@
+"""Operators of the inventory, grouped by kind."""
