@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from playtrail.operators.relational import labelled_players, left_labels, session_starts
 from playtrail.plans.ordered import HOUR_US, asof_next, global_row_number
 from playtrail.schema import KEY, LABEL_COLS, SESSION
+from playtrail.session import materialize
 
 GROUP = "group"
 
@@ -62,6 +63,8 @@ def label_by_next(clicks: DataFrame, labels: DataFrame, with_groups: bool = True
     return out
 
 
-def label_history(clicks: DataFrame, labels: DataFrame, **kw) -> DataFrame:
-    """The labelled and grouped event table (the reference saves it between scripts)."""
-    return label_by_next(clicks, labels, **kw)
+def label_history(clicks: DataFrame, labels: DataFrame, materialized: bool = True, **kw) -> DataFrame:
+    """The labelled and grouped event table. The reference saves it between
+    scripts; here it is written to the checkpoint folder once and reused."""
+    out = label_by_next(clicks, labels, **kw)
+    return materialize(out) if materialized else out

@@ -63,3 +63,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A unique path for intermediate tables under the shared checkpoint folder."""
     base = checkpoint_dir(spark)
     return os.path.join(base, "tables", f"{name}-{os.urandom(6).hex()}")
+
+
+def materialize(df):
+    """Write ``df`` to the shared checkpoint folder and continue from the written
+    copy: cuts lineage (a lost executor recomputes from the copy, not from the
+    raw events) and keeps query plans small when a table is used many times."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from playtrail.plans.ordered import DAY_US, micros, sessionize
-from playtrail.session import configure
+from playtrail.session import configure, materialize
 
 # Fixed values of the fixture mapping.
 EVENT_CODES = {"signup": 2000, "view": 3010, "click": 4070, "error": 4020}
@@ -100,7 +100,9 @@ class Tables:
 
     @cached_property
     def clicks(self) -> DataFrame:
-        return clicks(self.events)
+        """Sessionized once and materialized: it plays the part of the
+        reference's source event file, read by every query."""
+        return materialize(clicks(self.events))
 
     @cached_property
     def labels(self) -> DataFrame:
