@@ -1 +1,269 @@
-"""placeholder"""
+"""Queries for models and scoring."""
+
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from playtrail.functions.scalar import hash_fraction, round6, round_half_even
+from playtrail.operators import features as FT
+from playtrail.operators import labelling as L
+from playtrail.operators import models as M
+from playtrail.operators import relational as R
+from playtrail.operators import scoring as SC
+from playtrail.operators import sequences as S
+from playtrail.queries import query
+from playtrail.schema import ASSESSMENT_TITLES, KEY, SESSION
+from playtrail.session import materialize
+
+FRAC = "(('0x' || substr(md5(concat('{seed}:', cast({key} as varchar))), 1, 8))::bigint / 4294967296.0)"
+STARTS = ("st as (select l.*, s.start from assessment_labels l join (select installation_id, game_session, "
+          "min(ts) start from clicks group by installation_id, game_session) s using (installation_id, game_session))")
+
+
+# ---------------------------------------------------------------- F12 exact kNN on embeddings
+
+KNN = f"""emb as (select vec_id, cast(embedding as double[]) x, label, {FRAC.format(seed=1, key='vec_id')} < 0.15 is_test
+  from embeddings),
+d as (select q.vec_id q_key, t.vec_id t_key, t.label t_y, round(list_sum(list_transform(list_zip(q.x, t.x),
+  lambda z: (z[1] - z[2]) * (z[1] - z[2]))), 9) dist from emb q, emb t where q.is_test and not t.is_test),
+b as (select * from (select *, row_number() over (partition by q_key order by dist, t_key) r from d) q where r <= 15),
+c as (select q_key, t_y, count(*) n from b group by all),
+v as (select q_key, t_y, row_number() over (partition by q_key order by n desc, t_y) r from c)"""
+
+
+def _emb_split(t):
+    e = t.embeddings.withColumn("is_test", hash_fraction("vec_id", 1) < 0.15)
+    return e.where(~F.col("is_test")), e.where(F.col("is_test"))
+
+
+@query("f12_knn_vote", "select q_key vec_id, cast(t_y as int) prediction from v where r = 1", ctes=KNN)
+def f12(t):
+    train, test = _emb_split(t)
+    pred = M.knn_vote(train, test, "vec_id", "embedding", k=15, label="label")
+    return pred.withColumn("prediction", F.col("prediction").cast("int"))
+
+
+# ---------------------------------------------------------------- F15, F19-F22, F24 on deterministic votes
+
+VOTES = STARTS + """,
+pm as (select installation_id, round_even(avg(accuracy_group), 0) v from st group by installation_id),
+pf as (select installation_id, arg_min(accuracy_group, (start, game_session)) vf,
+  arg_max(accuracy_group, (start, game_session)) vl from st group by installation_id),
+tm as (select title, round_even(avg(accuracy_group), 0) v from st group by title),
+votes as (select game_session, cast(pm.v as int) v from st join pm using (installation_id)
+  union all select game_session, vf from st join pf using (installation_id)
+  union all select game_session, vl from st join pf using (installation_id)
+  union all select game_session, cast(tm.v as int) from st join tm using (title)),
+vc as (select game_session, v, count(*) n from votes group by all),
+hv as (select game_session, v prediction from (select *, row_number() over (partition by game_session
+  order by n desc, v) r from vc) q where r = 1),
+scored as (select st.installation_id, st.game_session, st.start, st.accuracy_group label, hv.prediction
+  from st join hv using (game_session))"""
+
+
+def _votes(t):
+    st = L.assessment_starts(t.clicks, t.labels)
+    order = F.struct("start", SESSION)
+    per_player = st.groupBy(KEY).agg(round_half_even(F.avg("accuracy_group")).cast("int").alias("vm"),
+                                     F.min_by("accuracy_group", order).alias("vf"),
+                                     F.max_by("accuracy_group", order).alias("vl"))
+    per_title = st.groupBy("title").agg(round_half_even(F.avg("accuracy_group")).cast("int").alias("vt"))
+    base = st.join(per_player, KEY).join(per_title, "title")
+    votes = None
+    for c in ("vm", "vf", "vl", "vt"):
+        v = base.select(SESSION, F.col(c).cast("int").alias("prediction"))
+        votes = v if votes is None else votes.unionByName(v)
+    return st, votes
+
+
+def _scored(t):
+    st, votes = _votes(t)
+    hv = SC.hard_vote(votes, [SESSION])
+    return st.select(KEY, SESSION, "start", F.col("accuracy_group").alias("label")).join(hv, SESSION)
+
+
+@query("f15_hard_vote", "select game_session, prediction from hv", ctes=VOTES)
+def f15(t):
+    _, votes = _votes(t)
+    return SC.hard_vote(votes, [SESSION])
+
+
+@query("f20_accuracy", "select round(avg(case when prediction = label then 1.0 else 0.0 end), 6) accuracy, "
+       "count(*) n from scored", ctes=VOTES)
+def f20(t):
+    return SC.accuracy(_scored(t)).withColumn("accuracy", round6("accuracy"))
+
+
+@query("f22_confusion", "select label, prediction, count(*) n from scored group by all", ctes=VOTES)
+def f22(t):
+    return SC.confusion(_scored(t))
+
+
+@query("f24_last_prediction", "select installation_id, arg_max(prediction, (start, game_session)) prediction "
+       "from scored group by installation_id", ctes=VOTES)
+def f24(t):
+    return SC.last_prediction(_scored(t), KEY, ["start", SESSION])
+
+
+PC = STARTS + ", pc as (select installation_id, count(*) n, " + ", ".join(
+    f"count(*) filter (where accuracy_group = {c}) c{c}" for c in range(4)) + " from st group by installation_id)"
+
+
+@query("f21_cross_entropy", """select round(avg(-ln((case st.accuracy_group when 0 then c0 when 1 then c1
+  when 2 then c2 else c3 end + 1.0) / (n + 4.0))), 6) cross_entropy from st join pc using (installation_id)""", ctes=PC)
+def f21(t):
+    st = L.assessment_starts(t.clicks, t.labels)
+    pc = st.groupBy(KEY).agg(F.count(F.lit(1)).alias("n"),
+                             *[F.count_if(F.col("accuracy_group") == c).alias(f"c{c}") for c in range(4)])
+    probs = F.array(*[(F.col(f"c{c}") + 1.0) / (F.col("n") + 4.0) for c in range(4)])
+    d = st.join(pc, KEY).withColumn("p", probs)
+    return SC.cross_entropy(d, "p", "accuracy_group").withColumn("cross_entropy", round6("cross_entropy"))
+
+
+PROFILE = (STARTS + ", fr as (select *, row_number() over (partition by installation_id, title order by start, "
+           "game_session) r from st), prof as (select installation_id, "
+           + ", ".join(f"max(case when title = '{tt}' and r = 1 then accuracy_group end) \"{tt}\""
+                       for tt in ASSESSMENT_TITLES)
+           + ", round_even(avg(accuracy_group), 0) accuracy_group from fr group by installation_id), "
+           "filled as (select installation_id, cast(accuracy_group as int) cluster, "
+           + ", ".join(f"coalesce(cast(\"{tt}\" as double), (select round_even(avg(\"{tt}\"), 0) from prof)) \"{tt}\""
+                       for tt in ASSESSMENT_TITLES) + " from prof)")
+
+
+def _filled(t):
+    prof = FT.score_profile(L.assessment_starts(t.clicks, t.labels))
+    return FT.fill_profile(prof, FT.fit_profile_fill(prof))
+
+
+@query("f19_cluster_to_group", """
+select f.installation_id, f.cluster, cast(k - r as int) accuracy_group from filled f join (
+  select cluster, row_number() over (order by m desc, cluster) r, count(*) over () k from (
+    select cluster, avg((""" + " + ".join(f"\"{tt}\"" for tt in ASSESSMENT_TITLES) + f""") / {len(ASSESSMENT_TITLES)}.0) m
+    from filled group by cluster) q) c using (cluster)""", ctes=PROFILE)
+def f19(t):
+    f = _filled(t).withColumn("cluster", F.col("accuracy_group").cast("int")).drop("accuracy_group")
+    return SC.cluster_to_group(f, "cluster", ASSESSMENT_TITLES).select(KEY, "cluster", "accuracy_group")
+
+
+# ---------------------------------------------------------------- F25, F26
+
+FEATS_COLS = FT.FEATURE_COLS
+
+
+@query("f25_assemble", "select game_session, " + ", ".join(
+    f"round(cast({c} as double), 6) f{i}" for i, c in enumerate(FEATS_COLS)) + " from feats",
+    ctes="""s1 as (select c.installation_id, c.game_session, c.world, c.event_code, l.accuracy_group, c.event_count,
+  c.src_id, s.event_type, s.event_action, c.game_time from clicks c join assessment_labels l using (installation_id,
+  game_session) join specs s using (event_id)),
+s1g as (select * exclude (game_time), coalesce(abs(game_time - lead(game_time) over (partition by installation_id,
+  game_session order by event_count, src_id)), 0) game_time from s1),
+s1c as (select * from s1g where game_time < 600000 and event_code not in (4100, 4110)),
+feats as (select game_session, cast(sum(game_time) as bigint) total_time, """ + ", ".join(
+        f"coalesce(cast(sum(case when event_action = {a} and event_type = {tt} then game_time end) as double) "
+        f"/ nullif(cast(sum(game_time) as double), 0), 0) {n}" for n, a, tt in __import__(
+            "playtrail.schema", fromlist=["TIME_FEATURES"]).TIME_FEATURES) + ", " + ", ".join(
+        f"count(*) filter (where event_action = {a} and event_type = {tt}) {n}" for n, a, tt in __import__(
+            "playtrail.schema", fromlist=["COUNT_FEATURES"]).COUNT_FEATURES) + " from s1c group by game_session)")
+def f25(t):
+    feats = FT.session_features(FT.style1_events(t.clicks, t.labels, t.specs))
+    v = M.assemble(feats, FEATS_COLS).withColumn("_a", vector_to_array("features"))
+    return v.select(SESSION, *[round6(F.col("_a")[i]).alias(f"f{i}") for i in range(len(FEATS_COLS))])
+
+
+@query("f26_category_codes", "select game_session, cast(dense_rank() over (order by title) - 1 as int) title_code "
+       "from assessment_labels")
+def f26(t):
+    return M.category_codes(t.labels, "title").select(SESSION, F.col("title_code").cast("int").alias("title_code"))
+
+
+# ---------------------------------------------------------------- trained models (rows and invariants only)
+
+def _style1_ml(t):
+    """Style 1 training rows: balanced one-hot session features, standardised
+    with train statistics, split 85/15 by session hash."""
+    feats = M.with_label(FT.split(FT.style1_features(t.clicks, t.labels, t.specs), SESSION))
+    cols = FEATS_COLS + [c for c in feats.columns if c.startswith("world_")]
+    scaler = FT.Standardizer.fit(feats.where(F.col("split") == "train"), cols)
+    data = materialize(M.assemble(scaler.transform(feats), cols))
+    return data.where(F.col("split") == "train"), data.where(F.col("split") == "test"), len(cols)
+
+
+def _fit_score(est, t):
+    train, test, _ = _style1_ml(t)
+    return M.fit_predict(est, train, test, [SESSION]).select(SESSION, "label", "prediction")
+
+
+@query("f10_logistic_ovr")
+def f10(t):
+    return _fit_score(M.logistic_ovr(), t)
+
+
+@query("f11_logistic_multinomial")
+def f11(t):
+    return _fit_score(M.logistic_multinomial(), t)
+
+
+@query("f13_random_forest")
+def f13(t):
+    return _fit_score(M.random_forest(100), t)
+
+
+@query("f16_mlp")
+def f16(t):
+    train, test, width = _style1_ml(t)
+    return M.fit_predict(M.mlp(width), train, test, [SESSION]).select(SESSION, "label", "prediction")
+
+
+@query("f14_kernel_svm")
+def f14(t):
+    train, test, _ = _style1_ml(t)
+    marks = M.pick_landmarks(train, SESSION, "features", 64)
+    gamma = M.scale_gamma(train, "features")
+    ktrain = materialize(M.kernel_features(train, "features", marks, "rbf", gamma))
+    ktest = M.kernel_features(test, "features", marks, "rbf", gamma)
+    return M.fit_predict(M.kernel_svm(), ktrain, ktest, [SESSION]).select(SESSION, "label", "prediction")
+
+
+def _style5_ml(t):
+    table, _ = S.style5_sequences(L.label_history(t.clicks, t.labels, with_groups=False))
+    return materialize(M.with_label(M.sequence_tokens(table).withColumn("accuracy_group", F.round("accuracy_group"))))
+
+
+@query("f17_sequence_classifier")
+def f17(t):
+    data = FT.split(_style5_ml(t), SESSION)
+    train, test = data.where(F.col("split") == "train"), data.where(F.col("split") == "test")
+    return M.fit_predict(M.sequence_classifier(), train, test, [KEY, SESSION]).select(KEY, SESSION, "label",
+                                                                                        "prediction")
+
+
+@query("f7_kfold_evaluate")
+def f7(t):
+    data = R.kfold(_style5_ml(t), 5, [KEY, SESSION])
+    preds = M.kfold_evaluate(data, M.sequence_classifier, keep=[KEY, SESSION])
+    return preds.select(KEY, SESSION, "fold", "label", "prediction")
+
+
+@query("f18_cluster_profiles")
+def f18(t):
+    filled = _filled(t)
+    assigned, _ = M.cluster_profiles(filled, ASSESSMENT_TITLES, 4)
+    return SC.cluster_to_group(assigned, "cluster", ASSESSMENT_TITLES).select(KEY, "cluster", "accuracy_group")
+
+
+@query("f23_score_test")
+def f23(t):
+    """Fit on the train players' sessions, score the test players' sessions,
+    keep each test player's last scored session."""
+    train_players = t.clicks.where(F.col(KEY) % 5 != 0)
+    test_players = t.clicks.where(F.col(KEY) % 5 == 0)
+    feats = FT.session_features(FT.style1_events(train_players, t.labels, t.specs))
+    worlds = FT.fit_values(feats, "world")
+    train = M.with_label(FT.dummies(feats, "world", worlds))
+    cols = FEATS_COLS + [f"world_{w}" for w in worlds]
+    scaler = FT.Standardizer.fit(train, cols)
+    model = M.logistic_multinomial().fit(M.assemble(scaler.transform(train), cols))
+    tev = FT.style1_events(test_players, t.labels, t.specs, train=False)
+    tfeat = FT.session_features(tev, [SESSION, "world", KEY]).join(R.session_starts(test_players), [KEY, SESSION])
+    scored = model.transform(M.assemble(scaler.transform(FT.dummies(tfeat, "world", worlds)), cols))
+    return SC.last_prediction(scored, KEY, ["start", SESSION]).withColumn(
+        "accuracy_group", F.col("prediction").cast("int")).select(KEY, "accuracy_group")
