@@ -16,3 +16,122 @@ def fx_clicks(t):
 @query("fx_assessment_labels", "select * from assessment_labels")
 def fx_assessment_labels(t):
     return t.labels
+
+
+# ---------------------------------------------------------------- S1-S8: sources and sinks (round trips)
+
+from pyspark.sql import types as T  # noqa: E402
+
+from playtrail import sources as SRC  # noqa: E402
+from playtrail.operators import labelling as L  # noqa: E402
+from playtrail.operators import relational as R  # noqa: E402
+from playtrail.session import scratch_path  # noqa: E402
+
+EVENT_DATA = "concat('{\"src_id\":', cast(src_id as varchar), ',\"src_type\":\"', src_type, '\"}')"
+CSV_OUT = ("cast(event_id as varchar) event_id, game_session, date_trunc('millisecond', ts) ts, "
+           f"{EVENT_DATA} event_data, cast(installation_id as varchar) installation_id, event_count, event_code, "
+           "game_time, title, type, world")
+
+
+def _as_reference_csv(df):
+    """Events in the reference's file layout (ISO timestamp with Z, JSON event_data)."""
+    return df.select(
+        F.col("event_id").cast("string").alias("event_id"), "game_session",
+        F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("timestamp"),
+        F.concat(F.lit('{"src_id":'), F.col("src_id").cast("string"), F.lit(',"src_type":"'), F.col("src_type"),
+                 F.lit('"}')).alias("event_data"),
+        F.col("installation_id").cast("string").alias("installation_id"), "event_count", "event_code",
+        "game_time", "title", "type", "world")
+
+
+def _read_back(t, df, name):
+    path = scratch_path(t.spark, name)
+    SRC.write_csv(_as_reference_csv(df), path)
+    back = SRC.read_clicks(t.spark, path)
+    return back.select("event_id", "game_session", F.col("ts").cast("timestamp_ntz").alias("ts"), "event_data",
+                       "installation_id", "event_count", "event_code", "game_time", "title", "type", "world")
+
+
+@query("s1_read_clicks", f"select {CSV_OUT} from clicks")
+def s1(t):
+    return _read_back(t, t.clicks, "clicks-csv")
+
+
+TEST_SHAPE = ("lastas as (select installation_id, arg_max(game_session, (start, game_session)) game_session from "
+              "(select installation_id, game_session, min(ts) start from clicks where type = 'Assessment' group by all) q "
+              "group by installation_id)")
+
+
+@query("s2_read_test_clicks", f"select {CSV_OUT} from clicks where installation_id % 5 = 0 and event_count = 1 "
+       "and (installation_id, game_session) in (select installation_id, game_session from lastas)", ctes=TEST_SHAPE)
+def s2(t):
+    return _read_back(t, t.test_clicks(), "test-csv")
+
+
+@query("s3_read_labels", "select game_session, cast(installation_id as varchar) installation_id, title, num_correct, "
+       "num_incorrect, round(accuracy, 6) accuracy, accuracy_group from assessment_labels")
+def s3(t):
+    path = scratch_path(t.spark, "labels-csv")
+    SRC.write_csv(t.labels.withColumn("installation_id", F.col("installation_id").cast("string")), path)
+    back = SRC.read_labels(t.spark, path)
+    return back.withColumn("accuracy", F.round("accuracy", 6))
+
+
+@query("s4_read_specs", "select c.src_id, s.event_type, s.event_action from clicks c join specs s using (event_id)")
+def s4(t):
+    path = scratch_path(t.spark, "specs-csv")
+    SRC.write_csv(t.specs.withColumn("event_id", F.col("event_id").cast("string")), path)
+    specs = SRC.read_specs(t.spark, path)
+    clicks = t.clicks.withColumn("event_id", F.col("event_id").cast("string"))
+    return R.with_specs(clicks, specs).select("src_id", "event_type", "event_action")
+
+
+HIST = """lp as (select * from clicks where installation_id in (select installation_id from assessment_labels)),
+j8 as (select c.*, l.title label_title, l.num_correct, l.num_incorrect, l.accuracy, l.accuracy_group
+  from lp c left join assessment_labels l using (installation_id, game_session)),
+st as (select l.*, s.start from assessment_labels l join (select installation_id, game_session, min(ts) start
+  from clicks group by installation_id, game_session) s using (installation_id, game_session)),
+grp as (select *, row_number() over (order by start, installation_id, game_session) grp from st),
+hist as (select j.src_id, j.installation_id, j.game_session, j.ts, coalesce(j.accuracy_group, n.accuracy_group)
+  accuracy_group, case when j.accuracy_group is null then n.grp end grp
+  from j8 j asof left join grp n on j.installation_id = n.installation_id and j.ts < n.start)"""
+
+
+def _labelled_round_trip(t, name):
+    path = scratch_path(t.spark, name)
+    SRC.write_labelled(L.label_history(t.clicks, t.labels, materialized=False), path)
+    return SRC.read_labelled(t.spark, path).select("src_id", "installation_id", "game_session", "ts",
+                                                   "accuracy_group", "group")
+
+
+@query("s5_write_labelled", 'select src_id, installation_id, game_session, ts, accuracy_group, grp "group" from hist',
+       ctes=HIST)
+def s5(t):
+    return _labelled_round_trip(t, "labelled-s5")
+
+
+@query("s6_read_labelled", 'select installation_id, cast(count(*) as bigint) n, count(grp) n_grouped from hist '
+       'group by installation_id', ctes=HIST)
+def s6(t):
+    back = _labelled_round_trip(t, "labelled-s6")
+    return back.groupBy("installation_id").agg(F.count(F.lit(1)).alias("n"), F.count("group").alias("n_grouped"))
+
+
+SUBMISSION = T.StructType([T.StructField("installation_id", T.StringType()),
+                           T.StructField("accuracy_group", T.IntegerType())])
+
+
+@query("s7_write_submission", "select cast(installation_id as varchar) installation_id, cast(round_even(avg("
+       "accuracy_group), 0) as int) accuracy_group from assessment_labels group by installation_id")
+def s7(t):
+    from playtrail.operators.features import rounded_mean
+    pred = rounded_mean(t.labels).withColumn("accuracy_group", F.col("accuracy_group").cast("int"))
+    path = scratch_path(t.spark, "submission")
+    SRC.write_submission(pred, path)
+    return t.spark.read.option("header", True).schema(SUBMISSION).csv(path)
+
+
+@query("s8_preview", "select src_id, ts, installation_id, game_session, event_code from clicks "
+       "order by ts, event_count, src_id limit 20")
+def s8(t):
+    return SRC.preview(t.clicks, 20).select("src_id", "ts", "installation_id", "game_session", "event_code")
