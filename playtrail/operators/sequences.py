@@ -23,6 +23,7 @@ from playtrail.operators.relational import (complete_rows, events_with_labels, l
                                             last_events, player_last_label, positive_groups,
                                             prior_play)
 from playtrail.plans.ordered import HOUR_US, positions, time_bucket
+from playtrail.session import materialize
 from playtrail.schema import (EVENT_ORDER, KEY, LABEL_COLS, LAST_EVENTS, MAX_SEQUENCE_LENGTH,
                               MIN_SEQUENCE_CODES, NUM_WORDS, PAD_VALUE, SESSION)
 
@@ -80,7 +81,8 @@ def sequence_table(tokens: DataFrame, labels: DataFrame, keys: Sequence[str], mi
     if min_codes is not None:
         lengths = lengths.where(F.col("n_codes") > min_codes)
     docs = lengths.join(labels, list(keys), "inner")                     # J5
-    kept = tokens.join(docs.select(*keys), list(keys), "left_semi")
+    # written once: the vocabulary fit and the encoding both read it
+    kept = materialize(tokens.join(docs.select(*keys), list(keys), "left_semi"), "tokens")
     vocab = vocab if vocab is not None else fit_vocabulary(kept, keys)
     padded = pad_sequences(encode(kept, vocab), keys, maxlen)
     table = docs.join(padded, list(keys), "left").withColumn(

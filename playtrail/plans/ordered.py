@@ -161,10 +161,11 @@ def global_row_number(df: DataFrame, order: Sequence[Column | str], name: str =
     A window without PARTITION BY would sort everything in one task. Here the
     sort is a range-partitioned ``orderBy``; each row gets
     ``monotonically_increasing_id`` (partition index in the high bits), the
-    ids are pinned by a reliable checkpoint, and per-partition row counts
+    ids are pinned by writing the table once, and per-partition row counts
     (one row per partition: a proven size bound) give the offsets.
     """
-    s = df.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id()).checkpoint(eager=True)
+    from playtrail.session import materialize
+    s = materialize(df.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id()), "row-number")
     pid = F.shiftright(F.col("_mid"), 33)
     counts = s.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(
