@@ -267,3 +267,11 @@ def f23(t):
     scored = model.transform(M.assemble(scaler.transform(FT.dummies(tfeat, "world", worlds)), cols))
     return SC.last_prediction(scored, KEY, ["start", SESSION]).withColumn(
         "accuracy_group", F.col("prediction").cast("int")).select(KEY, "accuracy_group")
+
+
+@query("z4_style3_profiles")
+def z4(t):
+    """Score profiles (A12, A13), filled (F5), clustered (F18), mapped to groups."""
+    filled = _filled(t).drop("accuracy_group")
+    assigned, _ = M.cluster_profiles(filled, ASSESSMENT_TITLES, 4)
+    return SC.cluster_to_group(assigned, "cluster", ASSESSMENT_TITLES)

@@ -307,3 +307,39 @@ def w7(t):
 def u1(t):
     cols = {f"type_{v}": F.when(F.col("type") == v, 1).otherwise(0) for v in ("Activity", "Assessment", "Game")}
     return R.side_by_side(t.clicks, cols).select("src_id", *cols)
+
+
+# ---------------------------------------------------------------- X1-X5 (scalar functions over clicks and labels)
+
+from playtrail.functions.scalar import abs_value, parse_timestamp, safe_divide  # noqa: E402
+
+ISO = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
+
+
+@query("x1_abs", "select src_id, abs(game_time - 600000) to_idle from clicks")
+def x1(t):
+    return t.clicks.select("src_id", abs_value(F.col("game_time") - 600000).alias("to_idle"))
+
+
+@query("x2_divide", "select game_session, round(case when num_incorrect = 0 then null else "
+       "cast(num_correct as double) / num_incorrect end, 6) ratio from assessment_labels")
+def x2(t):
+    return t.labels.select(SESSION, round6(safe_divide("num_correct", "num_incorrect")).alias("ratio"))
+
+
+@query("x3_round_half_even", "select game_session, round_even(accuracy * 4, 0) r from assessment_labels")
+def x3(t):
+    return t.labels.select(SESSION, round_half_even(F.col("accuracy") * 4).alias("r"))
+
+
+@query("x4_to_timestamp", "select src_id, date_trunc('millisecond', ts) ts from clicks")
+def x4(t):
+    iso = F.date_format(F.col("ts").cast("timestamp"), ISO)
+    return t.clicks.select("src_id", parse_timestamp(iso).cast("timestamp_ntz").alias("ts"))
+
+
+@query("x5_iso_order", "select installation_id, game_session, strftime(min(ts), '%Y-%m-%dT%H:%M:%S.%g') || 'Z' "
+       "first_iso from clicks group by all")
+def x5(t):
+    iso = F.date_format(F.col("ts").cast("timestamp"), ISO)
+    return t.clicks.groupBy(KEY, SESSION).agg(F.min(iso).alias("first_iso"))
