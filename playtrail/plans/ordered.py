@@ -107,25 +107,35 @@ def sessionize(df: DataFrame, key: str, ts: str, tie: str, gap_us: int = DAY_US,
 
     Adds ``sno`` (1-based session number within the key), ``session_pos``
     (1-based position in the session) and ``session_start`` (first ts).
+
+    Time buckets are at most ``gap_us`` wide, so two events of one bucket are
+    never a gap apart: only the first row of a bucket can open a session, and
+    whether it does depends on the previous bucket's last time. The big table
+    gets one shuffle on (key, bucket) for the in-bucket row number; the
+    per-(key, bucket) summary (count, first and last time) is a map-side
+    hash aggregate, windowed per key and joined back once.
     """
-    bucket = time_bucket(ts, width_us)
-    d = positions(df, [key], [ts, tie], bucket, name="_upos", prev=[ts])
-    d = d.withColumn(_B, bucket)
-    gap = micros(ts) - micros("prev_" + ts)
-    d = d.withColumn("_flag", (F.col("prev_" + ts).isNull() | (gap > F.lit(gap_us))).cast("int"))
-    w = Window.partitionBy(key, _B).orderBy(ts, tie).rowsBetween(Window.unboundedPreceding, 0)
-    start_here = F.when(F.col("_flag") == 1, F.struct(F.col("_upos").alias("p"), F.col(ts).alias("t")))
-    d = d.withColumn("_f_in", F.sum("_flag").over(w)).withColumn("_s_in", F.max(start_here).over(w))
-    summ = d.groupBy(key, _B).agg(F.sum("_flag").alias("_nf"), F.max(start_here).alias("_ls"))
-    summ = summ.select(key, _B,
-                       F.coalesce(F.sum("_nf").over(_before([key])), F.lit(0)).alias("_f_before"),
-                       F.max("_ls").over(_before([key])).alias("_s_before"))
+    width_us = min(width_us, gap_us)
+    gap = lambda a, b: micros(a) - micros(b)
+    d = df.withColumn(_B, time_bucket(ts, width_us))
+    d = d.withColumn("_rn", F.row_number().over(Window.partitionBy(key, _B).orderBy(ts, tie)))
+    summ = d.groupBy(key, _B).agg(F.count(F.lit(1)).alias("_n"), F.min(ts).alias("_t_first"),
+                                  F.max(ts).alias("_t_last"))
+    kw = Window.partitionBy(key).orderBy(_B)
+    summ = (summ.withColumn("_rows_before", F.coalesce(F.sum("_n").over(_before([key])), F.lit(0)))
+                .withColumn("_prev_last", F.lag("_t_last").over(kw)))
+    opens = F.col("_prev_last").isNull() | (gap("_t_first", "_prev_last") > F.lit(gap_us))
+    summ = summ.withColumn("_opens", opens.cast("int")).withColumn(
+        "_start", F.when(opens, F.struct((F.col("_rows_before") + 1).alias("p"), F.col("_t_first").alias("t"))))
+    summ = summ.select(key, _B, "_rows_before",
+                       F.sum("_opens").over(kw.rowsBetween(Window.unboundedPreceding, 0)).alias("_sno"),
+                       F.max("_start").over(kw.rowsBetween(Window.unboundedPreceding, 0)).alias("_s"))
     d = d.join(summ, [key, _B], "left")
-    start = F.coalesce(F.col("_s_in"), F.col("_s_before"))
-    d = (d.withColumn("sno", (F.col("_f_before") + F.col("_f_in")).cast("int"))
-          .withColumn("session_pos", (F.col("_upos") - start["p"] + 1).cast("int"))
-          .withColumn("session_start", start["t"]))
-    return d.drop(_B, "_upos", "prev_" + ts, "_flag", "_f_in", "_s_in", "_f_before", "_s_before")
+    upos = F.col("_rows_before") + F.col("_rn")
+    d = (d.withColumn("sno", F.col("_sno").cast("int"))
+          .withColumn("session_pos", (upos - F.col("_s")["p"] + 1).cast("int"))
+          .withColumn("session_start", F.col("_s")["t"]))
+    return d.drop(_B, "_rn", "_rows_before", "_sno", "_s")
 
 
 def asof_next(events: DataFrame, markers: DataFrame, key: str, ts: str, marker: str,
