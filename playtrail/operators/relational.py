@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from playtrail.plans.ordered import (global_row_number, last_n, next_values, ntile_column,
                                      value_bucket)
+from playtrail.session import bounded_broadcast
 from playtrail.schema import ATTEMPT_CODES, EVENT_ORDER, KEY, LABEL_COLS, MAX_GAP, SESSION
 
 # Sessions longer than this many events are split into position ranges for W1.
@@ -142,9 +143,9 @@ def events_with_labels(clicks: DataFrame, labels: DataFrame) -> DataFrame:
 
 def with_specs(df: DataFrame, specs: DataFrame) -> DataFrame:
     """Attach event_type/event_action; events without a spec row vanish.
-    The spec table is a code book (one row per event id, a few hundred rows),
-    so it is broadcast."""
-    return df.join(F.broadcast(specs), "event_id", "inner")
+    The spec table is a code book (one row per event id, a few hundred rows);
+    it is broadcast after its size is checked."""
+    return df.join(bounded_broadcast(specs), "event_id", "inner")
 
 
 def left_labels(clicks: DataFrame, labels: DataFrame) -> DataFrame:

@@ -224,7 +224,7 @@ def f14(t):
 
 
 def _style5_ml(t):
-    table, _ = S.style5_sequences(L.label_history(t.clicks, t.labels, with_groups=False))
+    table, _ = S.style5_sequences(t.history(with_groups=False))
     return materialize(M.with_label(M.sequence_tokens(table).withColumn("accuracy_group", F.round("accuracy_group"))))
 
 

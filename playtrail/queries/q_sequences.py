@@ -56,7 +56,7 @@ def _seq_out(df, k2):
 
 
 def _history(t, **kw):
-    return L.label_history(t.clicks, t.labels, **kw)
+    return t.history(**kw)
 
 
 def _style5(t):

@@ -71,7 +71,28 @@ def materialize(df, name: str = "table"):
     instead of recomputing from raw events), keeps plans small when a table is
     reused, and, unlike an RDD checkpoint, keeps column pruning and filter
     pushdown for every later scan."""
+    return materialize_at(df, name)[0]
+
+
+def materialize_at(df, name: str = "table"):
+    """:func:`materialize`, also returning the path of the written copy."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.parquet(path), path
+
+
+def path_exists(spark, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def bounded_broadcast(df, max_rows: int = 100_000):
+    """Broadcast ``df`` only after checking it has at most ``max_rows`` rows
+    (one small job over ``max_rows + 1`` rows); otherwise leave the join to the
+    planner (sort-merge with AQE skew splitting)."""
+    from pyspark.sql import functions as F
+    if df.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(df)
+    return df
