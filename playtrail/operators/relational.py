@@ -118,13 +118,15 @@ def last_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols:
 # ---------------------------------------------------------------- J: joins
 
 def labelled_players(clicks: DataFrame, labels: DataFrame) -> DataFrame:
-    """Events of players that have at least one label."""
-    return clicks.join(labels.select(KEY), KEY, "left_semi")
+    """Events of players that have at least one label. The key set is
+    de-duplicated first (a map-side distinct), so a player with many labels
+    adds one row to the join, not one per label."""
+    return clicks.join(labels.select(KEY).distinct(), KEY, "left_semi")
 
 
 def prior_play(clicks: DataFrame, labels: DataFrame) -> DataFrame:
     """Drop the assessment sessions themselves."""
-    return clicks.join(labels.select(SESSION), SESSION, "left_anti")
+    return clicks.join(labels.select(SESSION).distinct(), SESSION, "left_anti")
 
 
 def multi_event_sessions(df: DataFrame, keys: Sequence[str] = (KEY, SESSION)) -> DataFrame:

@@ -22,7 +22,7 @@ from playtrail.operators.labelling import GROUP
 from playtrail.operators.relational import (complete_rows, events_with_labels, labelled_players,
                                             last_events, player_last_label, positive_groups,
                                             prior_play)
-from playtrail.plans.ordered import HOUR_US, positions, time_bucket
+from playtrail.plans.ordered import HOUR_US, allow_partial_limit, positions, time_bucket
 from playtrail.session import materialize
 from playtrail.schema import (EVENT_ORDER, KEY, LABEL_COLS, LAST_EVENTS, MAX_SEQUENCE_LENGTH,
                               MIN_SEQUENCE_CODES, NUM_WORDS, PAD_VALUE, SESSION)
@@ -59,6 +59,7 @@ def encode(tokens: DataFrame, vocab: DataFrame) -> DataFrame:
 
 def pad_sequences(encoded: DataFrame, keys: Sequence[str], maxlen: int = MAX_SEQUENCE_LENGTH) -> DataFrame:
     """X11: per key the last ``maxlen`` ids in order, padded in front with 0."""
+    allow_partial_limit(encoded.sparkSession, maxlen)
     last = encoded.withColumn("_r", F.row_number().over(
         Window.partitionBy(*keys).orderBy(F.desc("pos")))).where(F.col("_r") <= maxlen)
     seq = last.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("pos", "id"))).alias("_s"))
@@ -67,6 +68,7 @@ def pad_sequences(encoded: DataFrame, keys: Sequence[str], maxlen: int = MAX_SEQ
 
 def last_codes(tokens: DataFrame, keys: Sequence[str], n: int = MAX_SEQUENCE_LENGTH) -> DataFrame:
     """The last ``n`` codes of each key in order (bounded array of strings)."""
+    allow_partial_limit(tokens.sparkSession, n)
     last = tokens.withColumn("_r", F.row_number().over(
         Window.partitionBy(*keys).orderBy(F.desc("pos")))).where(F.col("_r") <= n)
     seq = last.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("pos", "code"))).alias("_s"))

@@ -195,6 +195,15 @@ def ntile_column(rank: Column, n: Column, k: int) -> Column:
              .otherwise(m + F.floor((rank - big - 1) / q) + 1)).cast("int")
 
 
+def allow_partial_limit(spark, n: int) -> None:
+    """Catalyst plans ``row_number() <= n`` as a (partial + final) WindowGroupLimit
+    only up to ``spark.sql.optimizer.windowGroupLimitThreshold``; raise it when
+    a larger ``n`` is asked for, so the limit still runs before the shuffle."""
+    key = "spark.sql.optimizer.windowGroupLimitThreshold"
+    if int(spark.conf.get(key, "1000")) < n:
+        spark.conf.set(key, str(n))
+
+
 def last_n(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], n: int,
            name: str = "rn_desc") -> DataFrame:
     """The last ``n`` rows of each key in ``order``; ``name`` = 1 for the last row.
@@ -202,6 +211,7 @@ def last_n(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], n:
     ``row_number() <= n`` is planned as a WindowGroupLimit: a partial limit runs
     before the shuffle, so each map task sends at most ``n`` rows per key.
     """
+    allow_partial_limit(df.sparkSession, n)
     desc = [(F.col(c) if isinstance(c, str) else c).desc() for c in order]
     w = Window.partitionBy(*keys).orderBy(*desc)
     return df.withColumn(name, F.row_number().over(w)).where(F.col(name) <= n)
