@@ -101,7 +101,7 @@ def pick_landmarks(train: DataFrame, key: str, col: str, m: int = 64, seed: int
 
 
 def scale_gamma(train: DataFrame, col: str) -> float:
-    """sklearn's ``gamma='scale'``: 1 / (n_features * variance of all feature values)."""
+    """The 'scale' heuristic for gamma: 1 / (n_features * variance of all feature values)."""
     arr = vector_to_array(F.col(col)) if train.schema[col].dataType.typeName() != "array" else F.col(col)
     ex = train.select(F.explode(arr).alias("_v")).agg(F.var_pop("_v"), F.count("_v")).first()
     dims = train.select(F.size(arr)).first()[0]

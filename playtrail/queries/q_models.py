@@ -275,3 +275,65 @@ def z4(t):
     filled = _filled(t).drop("accuracy_group")
     assigned, _ = M.cluster_profiles(filled, ASSESSMENT_TITLES, 4)
     return SC.cluster_to_group(assigned, "cluster", ASSESSMENT_TITLES)
+
+
+# ---------------------------------------------------------------- model x style combinations of the reference
+
+def _style2_ml(t):
+    """Style 2 rows: one flat, padded last-300 matrix per labelled player, 5 folds by player."""
+    flat = S.style2_last_events(t.clicks, t.labels, 300)
+    data = M.with_label(M.array_features(flat, "features", "vec")).drop("features").withColumnRenamed("vec", "features")
+    return materialize(R.kfold(data, 5, [KEY]), "style2-ml")
+
+
+@query("f7_style2_kfold_knn")
+def f7_knn2(t):
+    """Style 2, k = 15 nearest neighbours, five contiguous folds."""
+    data = _style2_ml(t)
+    out = None
+    for i in range(1, 6):
+        train, test = data.where(F.col("fold") != i), data.where(F.col("fold") == i)
+        pred = M.knn_vote(train, test, KEY, "features", k=15, label="label").withColumn("fold", F.lit(i))
+        out = pred if out is None else out.unionByName(pred)
+    labels = data.select(KEY, "label")
+    return out.join(labels, KEY).select(KEY, "fold", "label", F.col("prediction").cast("double").alias("prediction"))
+
+
+@query("f7_style2_kfold_forest")
+def f7_rf2(t):
+    """Style 2, random forest of 100 trees, five contiguous folds."""
+    preds = M.kfold_evaluate(_style2_ml(t), lambda: M.random_forest(100), keep=[KEY])
+    return preds.select(KEY, "fold", "label", "prediction")
+
+
+def _style4_ml(t):
+    """Style 4 rows: padded id sequence per assessment group, 15 % hold-out by group."""
+    table, _ = S.style4_sequences(t.history())
+    data = M.with_label(M.array_features(table.withColumn("accuracy_group", F.round("accuracy_group")), "sequence"))
+    data = FT.split(data.withColumn("gkey", F.concat_ws("-", KEY, "group")), "gkey")
+    data = materialize(data.select(KEY, "group", "gkey", "label", "features", "split"), "style4-ml")
+    return data.where(F.col("split") == "train"), data.where(F.col("split") == "test")
+
+
+@query("f10_style4_logistic")
+def f10_s4(t):
+    train, test = _style4_ml(t)
+    return M.fit_predict(M.logistic_ovr(), train, test, [KEY, "group"]).select(KEY, "group", "label", "prediction")
+
+
+@query("f12_style4_knn")
+def f12_s4(t):
+    train, test = _style4_ml(t)
+    pred = M.knn_vote(train, test, "gkey", "features", k=5, label="label")
+    return pred.join(test.select("gkey", KEY, "group", "label"), "gkey").select(
+        KEY, "group", "label", F.col("prediction").cast("double").alias("prediction"))
+
+
+@query("f14_style4_svm")
+def f14_s4(t):
+    train, test = _style4_ml(t)
+    marks = M.pick_landmarks(train, "gkey", "features", 64)
+    gamma = M.scale_gamma(train, "features")
+    ktrain = materialize(M.kernel_features(train, "features", marks, "rbf", gamma))
+    ktest = M.kernel_features(test, "features", marks, "rbf", gamma)
+    return M.fit_predict(M.kernel_svm(), ktrain, ktest, [KEY, "group"]).select(KEY, "group", "label", "prediction")
