@@ -41,7 +41,8 @@ def label_by_next(clicks: DataFrame, labels: DataFrame, with_groups: bool = True
     the assessment group of filled rows; assessment rows get their own group
     only with ``include_assessment``.
     """
-    events = left_labels(labelled_players(clicks, labels), labels)
+    players = labelled_players(clicks, labels)
+    events = left_labels(players, labels)
     marks = assessment_starts(clicks, labels)
     if with_groups:
         marks = assessment_groups(marks)
@@ -50,7 +51,8 @@ def label_by_next(clicks: DataFrame, labels: DataFrame, with_groups: bool = True
     packed = F.struct(F.col("start").alias("start"), F.col(SESSION).alias("session"),
                       F.col(GROUP).alias(GROUP), *[F.col(c).alias(c) for c in LABEL_COLS])
     markers = marks.select(KEY, F.col("start").alias("ts"), packed.alias("_mark"))
-    out = asof_next(events, markers, KEY, "ts", "_mark", "_next", width_us)
+    out = asof_next(events, markers, KEY, "ts", "_mark", "_next", width_us,
+                    event_times=players.select(KEY, "ts"))
     own_label = F.col("accuracy_group").isNotNull()
     fills = {c: F.when(own_label, F.col(c)).otherwise(F.col("_next")[c]) for c in LABEL_COLS}
     if include_assessment:

@@ -139,12 +139,15 @@ def sessionize(df: DataFrame, key: str, ts: str, tie: str, gap_us: int = DAY_US,
 
 
 def asof_next(events: DataFrame, markers: DataFrame, key: str, ts: str, marker: str,
-              out: str, width_us: int = HOUR_US) -> DataFrame:
+              out: str, width_us: int = HOUR_US, event_times: DataFrame | None = None) -> DataFrame:
     """Forward as-of join: each event gets the smallest ``marker`` value among the
     markers of its key whose time is strictly later than the event's.
 
     ``markers`` has columns (key, ts, marker); ``marker`` is a struct whose first
     field should be the marker time so that "smallest" means "earliest".
+    ``event_times`` (key, ts), if given, is a narrow source with the same
+    (key, time) pairs as ``events``; the per-bucket summary is built from it
+    instead of re-deriving ``events`` (whose lineage may hold joins).
     """
     mtype = markers.schema[marker].dataType
     ev = (events.withColumn("_us", micros(ts)).withColumn("_m", F.lit(None).cast(mtype))
@@ -156,7 +159,13 @@ def asof_next(events: DataFrame, markers: DataFrame, key: str, ts: str, marker:
     later = (Window.partitionBy(key, _B).orderBy(F.col("_us").desc())
              .rangeBetween(Window.unboundedPreceding, -1))
     u = u.withColumn("_nx_in", F.min("_m").over(later))
-    summ = u.groupBy(key, _B).agg(F.min("_m").alias("_bm"))
+    if event_times is None:
+        summ = u.groupBy(key, _B).agg(F.min("_m").alias("_bm"))
+    else:
+        bucket = F.floor(micros(ts) / F.lit(width_us)).cast("long").alias(_B)
+        ev_b = event_times.select(F.col(key), bucket, F.lit(None).cast(mtype).alias("_m"))
+        mk_b = markers.select(F.col(key), bucket, F.col(marker).alias("_m"))
+        summ = ev_b.unionByName(mk_b).groupBy(key, _B).agg(F.min("_m").alias("_bm"))
     summ = summ.select(key, _B, F.min("_bm").over(
         Window.partitionBy(key).orderBy(F.col(_B).desc())
         .rowsBetween(Window.unboundedPreceding, -1)).alias("_nx_after"))

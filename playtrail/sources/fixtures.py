@@ -142,7 +142,8 @@ class Tables:
 
     @cached_property
     def labels(self) -> DataFrame:
-        return assessment_labels(self.clicks)
+        """Assessment results (the reference's label file), built once."""
+        return self.built("labels", lambda: assessment_labels(self.clicks))
 
     @cached_property
     def specs(self) -> DataFrame:
