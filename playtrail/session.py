@@ -16,10 +16,29 @@ RUNTIME_CONF = {
 }
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings (UTC clock, AQE with skew-join splitting)."""
+# Sizing for a large cluster (on the order of 1000 executors, 100 TB of
+# events): scan splits and post-shuffle partitions of a few hundred MB, a wide
+# initial shuffle that AQE coalesces, and skew splitting for hot join keys.
+CLUSTER_CONF = {
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "40000",
+    "spark.sql.shuffle.partitions": "40000",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.parquet.filterPushdown": "true",
+}
+
+
+def configure(spark: SparkSession, cluster: bool = False) -> SparkSession:
+    """Apply the runtime settings (UTC clock, AQE with skew-join splitting);
+    with ``cluster=True`` also the large-cluster sizing of ``CLUSTER_CONF``."""
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
+    if cluster:
+        for key, value in CLUSTER_CONF.items():
+            spark.conf.set(key, value)
     ensure_checkpoint_dir(spark)
     return spark
 
