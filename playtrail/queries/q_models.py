@@ -11,7 +11,7 @@ from playtrail.operators import relational as R
 from playtrail.operators import scoring as SC
 from playtrail.operators import sequences as S
 from playtrail.queries import query
-from playtrail.schema import ASSESSMENT_TITLES, KEY, SESSION
+from playtrail.schema import ASSESSMENT_TITLES, COUNT_FEATURES, KEY, SESSION, TIME_FEATURES
 from playtrail.session import materialize
 
 FRAC = "(('0x' || substr(md5(concat('{seed}:', cast({key} as varchar))), 1, 8))::bigint / 4294967296.0)"
@@ -159,10 +159,9 @@ s1g as (select * exclude (game_time), coalesce(abs(game_time - lead(game_time) o
 s1c as (select * from s1g where game_time < 600000 and event_code not in (4100, 4110)),
 feats as (select game_session, cast(sum(game_time) as bigint) total_time, """ + ", ".join(
         f"coalesce(cast(sum(case when event_action = {a} and event_type = {tt} then game_time end) as double) "
-        f"/ nullif(cast(sum(game_time) as double), 0), 0) {n}" for n, a, tt in __import__(
-            "playtrail.schema", fromlist=["TIME_FEATURES"]).TIME_FEATURES) + ", " + ", ".join(
-        f"count(*) filter (where event_action = {a} and event_type = {tt}) {n}" for n, a, tt in __import__(
-            "playtrail.schema", fromlist=["COUNT_FEATURES"]).COUNT_FEATURES) + " from s1c group by game_session)")
+        f"/ nullif(cast(sum(game_time) as double), 0), 0) {n}" for n, a, tt in TIME_FEATURES) + ", " + ", ".join(
+        f"count(*) filter (where event_action = {a} and event_type = {tt}) {n}" for n, a, tt in COUNT_FEATURES)
+        + " from s1c group by game_session)")
 def f25(t):
     feats = FT.session_features(FT.style1_events(t.clicks, t.labels, t.specs))
     v = M.assemble(feats, FEATS_COLS).withColumn("_a", vector_to_array("features"))

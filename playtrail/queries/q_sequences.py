@@ -259,3 +259,48 @@ def x12(t):
     return filled.select(KEY, argmax(arr).alias("best_title"))
 
 
+
+
+# ---------------------------------------------------------------- fit on train, apply to test (style 3)
+
+def _seq_sql_split(src: str, train: str, test: str) -> str:
+    """Style-3 oracle CTEs: vocabulary fitted on the ``train`` sessions of ``src``,
+    applied to the ``test`` sessions."""
+    return f"""
+tok as (select installation_id, game_session k2, cast(event_code as varchar) code, row_number() over
+  (partition by installation_id, game_session order by ts, event_count, src_id) pos from {src}),
+tr as (select * from tok where {train}),
+fv as (select * from (select *, row_number() over (partition by code order by installation_id, k2, pos) r
+  from tr) q where r = 1),
+voc as (select code, count(*) n from tr group by code),
+vocab as (select v.code, v.n, row_number() over (order by v.n desc, f.installation_id, f.k2, f.pos) id
+  from voc v join fv f using (code)),
+te as (select * from tok where {test}),
+len as (select installation_id, k2, count(*) n_codes from te group by installation_id, k2),
+enc as (select k.*, v.id from te k join vocab v using (code) where v.id < 200),
+lastk as (select * from (select *, row_number() over (partition by installation_id, k2 order by pos desc) r
+  from enc) q where r <= 400),
+padded as (select installation_id, k2, count(*) c, string_agg(cast(id as varchar), ' ' order by pos) s
+  from lastk group by installation_id, k2),
+seqs as (select l.installation_id, l.k2, l.n_codes,
+  case when p.c is null then rtrim(repeat('0 ', 400)) else concat(repeat('0 ', 400 - p.c), p.s) end sequence
+  from len l left join padded p using (installation_id, k2))"""
+
+
+@query("z3_style3_test_sequences", "select installation_id, k2 game_session, n_codes, sequence from seqs",
+       ctes="ev as (select c.* from clicks c join assessment_labels l using (installation_id, game_session)), "
+            + _seq_sql_split("ev", "installation_id % 5 <> 0", "installation_id % 5 = 0"))
+def z3_test(t):
+    """Z3 on held-out players: the vocabulary is fitted on the train players'
+    assessment sequences and applied unchanged to the test players' ones."""
+    train_clicks = t.clicks.where(F.col(KEY) % 5 != 0)
+    test_clicks = t.clicks.where(F.col(KEY) % 5 == 0)
+    _, vocab = S.style3_sequences(train_clicks, t.labels)
+    ev = R.events_with_labels(test_clicks, t.labels)
+    tokens = S.code_tokens(ev, [KEY, SESSION])
+    lengths = S.sequence_lengths(tokens, [KEY, SESSION])
+    padded = S.pad_sequences(S.encode(tokens, vocab), [KEY, SESSION])
+    table = lengths.join(padded, [KEY, SESSION], "left").withColumn(
+        "sequence", F.coalesce(F.col("sequence"), F.array_repeat(F.lit(0), 400)))
+    return table.select(KEY, SESSION, "n_codes",
+                        F.array_join(F.transform("sequence", lambda x: x.cast("string")), " ").alias("sequence"))
