@@ -22,7 +22,7 @@ from playtrail.operators.labelling import GROUP
 from playtrail.operators.relational import (complete_rows, events_with_labels, labelled_players,
                                             last_events, player_last_label, positive_groups,
                                             prior_play)
-from playtrail.plans.ordered import HOUR_US, allow_partial_limit, positions, time_bucket
+from playtrail.plans.ordered import HOUR_US, allow_partial_limit, positions, with_time_bucket
 from playtrail.session import materialize
 from playtrail.schema import (EVENT_ORDER, KEY, LABEL_COLS, LAST_EVENTS, MAX_SEQUENCE_LENGTH,
                               MIN_SEQUENCE_CODES, NUM_WORDS, PAD_VALUE, SESSION)
@@ -32,7 +32,8 @@ def code_tokens(df: DataFrame, keys: Sequence[str], order: Sequence[str] = tuple
                 width_us: int = HOUR_US) -> DataFrame:
     """A11 (long form) + P4 + X8: one row per event with its 1-based position in
     the key's time order and its code as a normalised token."""
-    pos = positions(df, list(keys), list(order), time_bucket("ts", width_us), name="pos")
+    d = with_time_bucket(df, keys[0], "ts", width_us, name="_tb", sample=df.select(keys[0], "ts"))
+    pos = positions(d, list(keys), list(order), F.col("_tb"), name="pos").drop("_tb")
     return pos.select(*keys, "pos", F.trim(normalize_text(code_text("event_code"))).alias("code"))
 
 

@@ -14,8 +14,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+MINUTE_US = 60_000_000
 HOUR_US = 3_600_000_000
 DAY_US = 86_400_000_000
+# A (key, hour) bucket with more rows than this is cut into minute buckets.
+MAX_BUCKET_ROWS = 5_000_000
+# Upper bound on the number of hot buckets that may be broadcast.
+MAX_HOT_BUCKETS = 200_000
 
 _B = "_bkt"
 
@@ -30,6 +35,34 @@ def time_bucket(col: str | Column, width_us: int = HOUR_US) -> Column:
     return F.floor(micros(col) / F.lit(width_us)).cast("long")
 
 
+def with_time_bucket(df: DataFrame, key: str, ts: str, width_us: int = HOUR_US, fine_us: int = MINUTE_US,
+                     max_rows: int | None = MAX_BUCKET_ROWS, name: str = "_bkt",
+                     sample: DataFrame | None = None) -> DataFrame:
+    """Add a time bucket column, monotone in ``ts`` within each key.
+
+    Buckets are ``width_us`` wide, except that a (key, bucket) holding more than
+    ``max_rows`` rows is cut into ``fine_us`` buckets; ids are counted in
+    ``fine_us`` units either way, so the order of buckets follows time. The hot
+    buckets are found by a map-side count over (key, coarse bucket); there are
+    at most rows / ``max_rows`` of them, and they are broadcast after a size
+    check. ``sample`` (key, ts) is the table to count, if not ``df`` itself.
+    """
+    if width_us % fine_us:
+        raise ValueError("width_us must be a multiple of fine_us")
+    ratio = width_us // fine_us
+    us = micros(ts)
+    coarse = F.floor(us / F.lit(width_us)).cast("long")
+    fine = F.floor(us / F.lit(fine_us)).cast("long")
+    if max_rows is None:
+        return df.withColumn(name, coarse * ratio)
+    src = sample if sample is not None else df
+    hot = (src.groupBy(F.col(key), coarse.alias("_coarse")).agg(F.count(F.lit(1)).alias("_c"))
+              .where(F.col("_c") > max_rows).select(key, "_coarse", F.lit(True).alias("_hot")))
+    from playtrail.session import bounded_broadcast
+    d = df.withColumn("_coarse", coarse).join(bounded_broadcast(hot, MAX_HOT_BUCKETS), [key, "_coarse"], "left")
+    return d.withColumn(name, F.when(F.col("_hot"), fine).otherwise(F.col("_coarse") * ratio)).drop("_coarse", "_hot")
+
+
 def value_bucket(col: str | Column, width: int) -> Column:
     c = F.col(col) if isinstance(col, str) else col
     return F.floor(c / F.lit(width)).cast("long")
@@ -102,13 +135,14 @@ def positions(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket:
 
 
 def sessionize(df: DataFrame, key: str, ts: str, tie: str, gap_us: int = DAY_US,
-               width_us: int = HOUR_US) -> DataFrame:
+               width_us: int = HOUR_US, max_bucket_rows: int | None = MAX_BUCKET_ROWS) -> DataFrame:
     """Split each key's events into sessions at gaps longer than ``gap_us``.
 
     Adds ``sno`` (1-based session number within the key), ``session_pos``
     (1-based position in the session) and ``session_start`` (first ts).
 
-    Time buckets are at most ``gap_us`` wide, so two events of one bucket are
+    Time buckets (hours; minutes inside a hot hour, see ``with_time_bucket``)
+    are at most ``gap_us`` wide, so two events of one bucket are
     never a gap apart: only the first row of a bucket can open a session, and
     whether it does depends on the previous bucket's last time. The big table
     gets one shuffle on (key, bucket) for the in-bucket row number; the
@@ -116,8 +150,9 @@ def sessionize(df: DataFrame, key: str, ts: str, tie: str, gap_us: int = DAY_US,
     hash aggregate, windowed per key and joined back once.
     """
     width_us = min(width_us, gap_us)
+    fine_us = MINUTE_US if width_us % MINUTE_US == 0 else width_us
     gap = lambda a, b: micros(a) - micros(b)
-    d = df.withColumn(_B, time_bucket(ts, width_us))
+    d = with_time_bucket(df, key, ts, width_us, fine_us, max_bucket_rows, _B, sample=df.select(key, ts))
     d = d.withColumn("_rn", F.row_number().over(Window.partitionBy(key, _B).orderBy(ts, tie)))
     summ = d.groupBy(key, _B).agg(F.count(F.lit(1)).alias("_n"), F.min(ts).alias("_t_first"),
                                   F.max(ts).alias("_t_last"))
@@ -139,7 +174,8 @@ def sessionize(df: DataFrame, key: str, ts: str, tie: str, gap_us: int = DAY_US,
 
 
 def asof_next(events: DataFrame, markers: DataFrame, key: str, ts: str, marker: str,
-              out: str, width_us: int = HOUR_US, event_times: DataFrame | None = None) -> DataFrame:
+              out: str, width_us: int = HOUR_US, event_times: DataFrame | None = None,
+              max_bucket_rows: int | None = MAX_BUCKET_ROWS) -> DataFrame:
     """Forward as-of join: each event gets the smallest ``marker`` value among the
     markers of its key whose time is strictly later than the event's.
 
@@ -155,17 +191,20 @@ def asof_next(events: DataFrame, markers: DataFrame, key: str, ts: str, marker:
     mk = markers.select(F.col(key), micros(ts).alias("_us"), F.col(marker).alias("_m"),
                         F.lit(False).alias("_ev"))
     u = ev.unionByName(mk, allowMissingColumns=True)
-    u = u.withColumn(_B, F.floor(F.col("_us") / F.lit(width_us)).cast("long"))
+    fine_us = MINUTE_US if width_us % MINUTE_US == 0 else width_us
+    times = (event_times if event_times is not None else events).select(key, F.col(ts).alias("_bts"))
+    bucketed = lambda d: with_time_bucket(d, key, "_bts", width_us, fine_us, max_bucket_rows, _B,
+                                          sample=times).drop("_bts")
+    u = bucketed(u.withColumn("_bts", F.timestamp_micros(F.col("_us"))))
     later = (Window.partitionBy(key, _B).orderBy(F.col("_us").desc())
              .rangeBetween(Window.unboundedPreceding, -1))
     u = u.withColumn("_nx_in", F.min("_m").over(later))
     if event_times is None:
         summ = u.groupBy(key, _B).agg(F.min("_m").alias("_bm"))
     else:
-        bucket = F.floor(micros(ts) / F.lit(width_us)).cast("long").alias(_B)
-        ev_b = event_times.select(F.col(key), bucket, F.lit(None).cast(mtype).alias("_m"))
-        mk_b = markers.select(F.col(key), bucket, F.col(marker).alias("_m"))
-        summ = ev_b.unionByName(mk_b).groupBy(key, _B).agg(F.min("_m").alias("_bm"))
+        ev_b = event_times.select(F.col(key), F.col(ts).alias("_bts"), F.lit(None).cast(mtype).alias("_m"))
+        mk_b = markers.select(F.col(key), F.col(ts).alias("_bts"), F.col(marker).alias("_m"))
+        summ = bucketed(ev_b.unionByName(mk_b)).groupBy(key, _B).agg(F.min("_m").alias("_bm"))
     summ = summ.select(key, _B, F.min("_bm").over(
         Window.partitionBy(key).orderBy(F.col(_B).desc())
         .rowsBetween(Window.unboundedPreceding, -1)).alias("_nx_after"))
