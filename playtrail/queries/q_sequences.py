@@ -177,7 +177,8 @@ def z3(t):
 select src_id, installation_id, game_session, ts, event_count, event_code, num_correct, accuracy_group, grp "group"
 from hist""", ctes=HIST)
 def z5(t):
-    return L.label_history(t.clicks, t.labels).select("src_id", KEY, SESSION, "ts", "event_count", "event_code",
+    # builds (or reads) the dataset's label history: the table styles 4 and 5 read
+    return t.history().select("src_id", KEY, SESSION, "ts", "event_count", "event_code",
                                                       "num_correct", "accuracy_group", "group")
 
 
