@@ -223,7 +223,7 @@ def f14(t):
 
 
 def _style5_ml(t):
-    table, _ = S.style5_sequences(t.history(with_groups=False))
+    table, _ = S.style5_sequences(t.history())
     return materialize(M.with_label(M.sequence_tokens(table).withColumn("accuracy_group", F.round("accuracy_group"))))
 
 

@@ -60,7 +60,7 @@ def _history(t, **kw):
 
 
 def _style5(t):
-    return S.style5_sequences(_history(t, with_groups=False))
+    return S.style5_sequences(_history(t))
 
 
 STYLE5 = f"{HIST}, {_seq_sql('h', 'game_session', 10)}"
@@ -88,7 +88,7 @@ def p13(t):
 @query("j5_sequences_x_labels", "select installation_id, k2 game_session, n_codes, round(accuracy_group, 6) "
        "accuracy_group from docs", ctes=STYLE5)
 def j5(t):
-    rows = S._history_rows(_history(t, with_groups=False))
+    rows = S._history_rows(_history(t))
     tokens = S.code_tokens(rows, [KEY, SESSION])
     lengths = R.min_length(S.sequence_lengths(tokens, [KEY, SESSION]), "n_codes", 10)
     docs = lengths.join(FT.mean_label(rows, [KEY, SESSION]), [KEY, SESSION], "inner")
@@ -127,7 +127,7 @@ def x8(t):
 
 @query("x9_fit_vocabulary", "select code, n, cast(id as int) id from vocab where id < 200", ctes=STYLE5)
 def x9(t):
-    rows = S._history_rows(_history(t, with_groups=False))
+    rows = S._history_rows(_history(t))
     keys = [KEY, SESSION]
     tokens = S.code_tokens(rows, keys)
     docs = R.min_length(S.sequence_lengths(tokens, keys), "n_codes", 10).join(FT.mean_label(rows, keys), keys)
@@ -136,7 +136,7 @@ def x9(t):
 
 @query("x10_encode", "select installation_id, k2 game_session, pos, cast(id as int) id from enc", ctes=STYLE5)
 def x10(t):
-    rows = S._history_rows(_history(t, with_groups=False))
+    rows = S._history_rows(_history(t))
     keys = [KEY, SESSION]
     tokens = S.code_tokens(rows, keys)
     docs = R.min_length(S.sequence_lengths(tokens, keys), "n_codes", 10).join(FT.mean_label(rows, keys), keys)
