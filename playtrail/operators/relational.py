@@ -5,13 +5,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playtrail.plans.ordered import (global_row_number, last_n, next_values, ntile_column,
                                      value_bucket)
 from playtrail.session import bounded_broadcast
-from playtrail.schema import ATTEMPT_CODES, EVENT_ORDER, KEY, LABEL_COLS, MAX_GAP, SESSION
+from playtrail.schema import ATTEMPT_CODES, EVENT_ORDER, KEY, MAX_GAP, SESSION
 
 # Sessions longer than this many events are split into position ranges for W1.
 POSITION_BUCKET = 100_000
@@ -280,11 +280,3 @@ def side_by_side(df: DataFrame, cols: Mapping[str, Column]) -> DataFrame:
 def remove_rows(df: DataFrame, removed: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Set difference on a key."""
     return df.join(removed.select(*keys), list(keys), "left_anti")
-
-
-def label_columns() -> list[str]:
-    return list(LABEL_COLS)
-
-
-def rank_window(keys: Sequence[str], order: Sequence[str]) -> Window:
-    return Window.partitionBy(*keys).orderBy(*order)

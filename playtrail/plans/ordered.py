@@ -35,17 +35,30 @@ def time_bucket(col: str | Column, width_us: int = HOUR_US) -> Column:
     return F.floor(micros(col) / F.lit(width_us)).cast("long")
 
 
+def hot_buckets(sample: DataFrame, key: str, ts: str, width_us: int = HOUR_US,
+                max_rows: int = MAX_BUCKET_ROWS) -> DataFrame:
+    """The (key, coarse bucket) pairs of ``sample`` with more than ``max_rows``
+    rows: a map-side count, written once to the checkpoint folder, so the size
+    check and the broadcast both read the small written copy instead of
+    counting the big table twice. There are at most rows / ``max_rows`` of
+    them; the copy is broadcast when it holds at most ``MAX_HOT_BUCKETS``."""
+    from playtrail.session import bounded_broadcast, materialize
+    coarse = F.floor(micros(ts) / F.lit(width_us)).cast("long")
+    hot = (sample.groupBy(F.col(key), coarse.alias("_coarse")).agg(F.count(F.lit(1)).alias("_c"))
+                 .where(F.col("_c") > max_rows).select(key, "_coarse", F.lit(True).alias("_hot")))
+    return bounded_broadcast(materialize(hot, "hot-buckets"), MAX_HOT_BUCKETS)
+
+
 def with_time_bucket(df: DataFrame, key: str, ts: str, width_us: int = HOUR_US, fine_us: int = MINUTE_US,
                      max_rows: int | None = MAX_BUCKET_ROWS, name: str = "_bkt",
-                     sample: DataFrame | None = None) -> DataFrame:
+                     sample: DataFrame | None = None, hot: DataFrame | None = None) -> DataFrame:
     """Add a time bucket column, monotone in ``ts`` within each key.
 
     Buckets are ``width_us`` wide, except that a (key, bucket) holding more than
     ``max_rows`` rows is cut into ``fine_us`` buckets; ids are counted in
     ``fine_us`` units either way, so the order of buckets follows time. The hot
-    buckets are found by a map-side count over (key, coarse bucket); there are
-    at most rows / ``max_rows`` of them, and they are broadcast after a size
-    check. ``sample`` (key, ts) is the table to count, if not ``df`` itself.
+    buckets come from ``hot`` (see ``hot_buckets``) or are counted on
+    ``sample`` (key, ts), the table to count if not ``df`` itself.
     """
     if width_us % fine_us:
         raise ValueError("width_us must be a multiple of fine_us")
@@ -55,11 +68,10 @@ def with_time_bucket(df: DataFrame, key: str, ts: str, width_us: int = HOUR_US,
     fine = F.floor(us / F.lit(fine_us)).cast("long")
     if max_rows is None:
         return df.withColumn(name, coarse * ratio)
-    src = sample if sample is not None else df
-    hot = (src.groupBy(F.col(key), coarse.alias("_coarse")).agg(F.count(F.lit(1)).alias("_c"))
-              .where(F.col("_c") > max_rows).select(key, "_coarse", F.lit(True).alias("_hot")))
-    from playtrail.session import bounded_broadcast
-    d = df.withColumn("_coarse", coarse).join(bounded_broadcast(hot, MAX_HOT_BUCKETS), [key, "_coarse"], "left")
+    if hot is None:
+        src = sample if sample is not None else df.select(key, ts)
+        hot = hot_buckets(src, key, ts, width_us, max_rows)
+    d = df.withColumn("_coarse", coarse).join(hot, [key, "_coarse"], "left")
     return d.withColumn(name, F.when(F.col("_hot"), fine).otherwise(F.col("_coarse") * ratio)).drop("_coarse", "_hot")
 
 
@@ -193,8 +205,9 @@ def asof_next(events: DataFrame, markers: DataFrame, key: str, ts: str, marker:
     u = ev.unionByName(mk, allowMissingColumns=True)
     fine_us = MINUTE_US if width_us % MINUTE_US == 0 else width_us
     times = (event_times if event_times is not None else events).select(key, F.col(ts).alias("_bts"))
+    hot = None if max_bucket_rows is None else hot_buckets(times, key, "_bts", width_us, max_bucket_rows)
     bucketed = lambda d: with_time_bucket(d, key, "_bts", width_us, fine_us, max_bucket_rows, _B,
-                                          sample=times).drop("_bts")
+                                          hot=hot).drop("_bts")
     u = bucketed(u.withColumn("_bts", F.timestamp_micros(F.col("_us"))))
     later = (Window.partitionBy(key, _B).orderBy(F.col("_us").desc())
              .rangeBetween(Window.unboundedPreceding, -1))
