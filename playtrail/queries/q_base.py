@@ -26,6 +26,7 @@ from playtrail import sources as SRC  # noqa: E402
 from playtrail.operators import labelling as L  # noqa: E402
 from playtrail.operators import relational as R  # noqa: E402
 from playtrail.session import scratch_path  # noqa: E402
+from playtrail.sources.fixtures import TEST_PLAYER_SQL  # noqa: E402
 
 EVENT_DATA = "concat('{\"src_id\":', cast(src_id as varchar), ',\"src_type\":\"', src_type, '\"}')"
 CSV_OUT = ("cast(event_id as varchar) event_id, game_session, date_trunc('millisecond', ts) ts, "
@@ -62,7 +63,7 @@ TEST_SHAPE = ("lastas as (select installation_id, arg_max(game_session, (start,
               "group by installation_id)")
 
 
-@query("s2_read_test_clicks", f"select {CSV_OUT} from clicks where installation_id % 5 = 0 and event_count = 1 "
+@query("s2_read_test_clicks", f"select {CSV_OUT} from clicks where {TEST_PLAYER_SQL} and event_count = 1 "
        "and (installation_id, game_session) in (select installation_id, game_session from lastas)", ctes=TEST_SHAPE)
 def s2(t):
     return _read_back(t, t.test_clicks(), "test-csv")

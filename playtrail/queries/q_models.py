@@ -253,8 +253,7 @@ def f18(t):
 def f23(t):
     """Fit on the train players' sessions, score the test players' sessions,
     keep each test player's last scored session."""
-    train_players = t.clicks.where(F.col(KEY) % 5 != 0)
-    test_players = t.clicks.where(F.col(KEY) % 5 == 0)
+    train_players, test_players = t.player_clicks(test=False), t.player_clicks(test=True)
     feats = FT.session_features(FT.style1_events(train_players, t.labels, t.specs))
     worlds = FT.fit_values(feats, "world")
     train = M.with_label(FT.dummies(feats, "world", worlds))

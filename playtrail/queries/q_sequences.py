@@ -9,6 +9,7 @@ from playtrail.operators import labelling as L
 from playtrail.operators import relational as R
 from playtrail.operators import sequences as S
 from playtrail.queries import query
+from playtrail.sources.fixtures import TEST_PLAYER_SQL
 from playtrail.schema import ASSESSMENT_TITLES, KEY, SESSION, TOKEN_FILTERS
 
 LP = "lp as (select * from clicks where installation_id in (select installation_id from assessment_labels))"
@@ -290,12 +291,11 @@ seqs as (select l.installation_id, l.k2, l.n_codes,
 
 @query("z3_style3_test_sequences", "select installation_id, k2 game_session, n_codes, sequence from seqs",
        ctes="ev as (select c.* from clicks c join assessment_labels l using (installation_id, game_session)), "
-            + _seq_sql_split("ev", "installation_id % 5 <> 0", "installation_id % 5 = 0"))
+            + _seq_sql_split("ev", f"not ({TEST_PLAYER_SQL})", TEST_PLAYER_SQL))
 def z3_test(t):
     """Z3 on held-out players: the vocabulary is fitted on the train players'
     assessment sequences and applied unchanged to the test players' ones."""
-    train_clicks = t.clicks.where(F.col(KEY) % 5 != 0)
-    test_clicks = t.clicks.where(F.col(KEY) % 5 == 0)
+    train_clicks, test_clicks = t.player_clicks(test=False), t.player_clicks(test=True)
     _, vocab = S.style3_sequences(train_clicks, t.labels)
     ev = R.events_with_labels(test_clicks, t.labels)
     tokens = S.code_tokens(ev, [KEY, SESSION])

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -91,6 +91,19 @@ def specs(spark: SparkSession) -> DataFrame:
 _BUILT: dict[tuple, str] = {}
 
 
+# Held-out players: a repeatable hash of the player id picks about a fifth of
+# the players, whatever their ids; TEST_PLAYER_SQL is the same rule in DuckDB.
+TEST_PLAYER_SHARE = 0.2
+TEST_PLAYER_SEED = 5
+TEST_PLAYER_SQL = ("(('0x' || substr(md5(concat('{seed}:', cast({key} as varchar))), 1, 8))::bigint / 4294967296.0)"
+                   " < {share}").format(seed=TEST_PLAYER_SEED, key="installation_id", share=TEST_PLAYER_SHARE)
+
+
+def is_test_player(key: str) -> Column:
+    from playtrail.functions.scalar import hash_fraction
+    return hash_fraction(key, TEST_PLAYER_SEED) < F.lit(TEST_PLAYER_SHARE)
+
+
 class Tables:
     """Lazy access to the driver tables and the derived views of one scale factor.
 
@@ -153,11 +166,16 @@ class Tables:
     def embeddings(self) -> DataFrame:
         return self.table("embeddings")
 
+    def player_clicks(self, test: bool) -> DataFrame:
+        """Clicks of the held-out players (``test``) or of all the others."""
+        held_out = is_test_player("installation_id")
+        return self.clicks.where(held_out if test else ~held_out)
+
     def train_clicks(self) -> DataFrame:
-        """Players outside the test fifth."""
-        return self.clicks.where(F.col("installation_id") % 5 != 0)
+        """Players outside the held-out share."""
+        return self.player_clicks(test=False)
 
     def test_clicks(self) -> DataFrame:
         """Test players, reduced to the first event of their last Assessment session."""
         from playtrail.operators.relational import test_shape
-        return test_shape(self.clicks.where(F.col("installation_id") % 5 == 0))
+        return test_shape(self.player_clicks(test=True))
