@@ -89,7 +89,15 @@ def score_profile(labels: DataFrame, titles: Sequence[str] = ASSESSMENT_TITLES,
 
 def fit_values(df: DataFrame, col: str) -> list:
     """Sorted distinct values of a category column (bounded by its cardinality)."""
-    return [r[0] for r in df.select(col).distinct().where(F.col(col).isNotNull()).orderBy(col).collect()]
+    return fit_values_of(df, [col])[col]
+
+
+def fit_values_of(df: DataFrame, cols: Sequence[str]) -> dict[str, list]:
+    """Sorted distinct non-null values of several category columns in one pass:
+    one partial ``collect_set`` per column, each bounded by that column's
+    cardinality (code-book columns: event codes, titles, types, worlds)."""
+    row = df.agg(*[F.array_sort(F.collect_set(c)).alias(c) for c in cols]).first()
+    return {c: list(row[c] or []) for c in cols}
 
 
 def dummies(df: DataFrame, col: str, values: Sequence, prefix: str | None = None, drop: bool = True) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from playtrail.functions.scalar import code_text, normalize_text, pad_front
-from playtrail.operators.features import dummies, fit_values, label_onehot, mean_label
+from playtrail.operators.features import dummies, fit_values_of, label_onehot, mean_label
 from playtrail.operators.labelling import GROUP
 from playtrail.operators.relational import (complete_rows, events_with_labels, labelled_players,
                                             last_events, player_last_label, positive_groups,
@@ -141,7 +141,7 @@ def style2_rows(clicks: DataFrame, labels: DataFrame, n: int = LAST_EVENTS,
     d = d.select(KEY, "event_code", "event_count", "game_time", "title", "type", "accuracy_group",
                  "ts", "src_id")
     d = last_events(d, n)
-    values = values or {c: fit_values(d, c) for c in MATRIX_CATEGORIES}
+    values = values or fit_values_of(d, MATRIX_CATEGORIES)
     for c in MATRIX_CATEGORIES:
         d = dummies(d, c, values[c])
     feats = ["event_count", "game_time"] + [f"{c}_{v}" for c in MATRIX_CATEGORIES for v in values[c]]
