@@ -182,21 +182,30 @@ def knn_vote(train: DataFrame, test: DataFrame, key: str, col: str, k: int = 5,
         X = np.stack(t["t_x"].to_numpy()).astype(float)
         tkeys, tys, qkeys = t["t_key"].to_numpy(), t["t_y"].to_numpy(), q["q_key"].to_numpy()
         kk = min(k, X.shape[0])
-        step = max(1, 2_000_000 // max(1, X.shape[0] * X.shape[1]))
-        out = {"q_key": [], "t_key": [], "t_y": [], "dist": []}
+        xx = np.einsum("ij,ij->i", X, X)
+        step = max(1, 4_000_000 // X.shape[0])
+        parts = []
         for s0 in range(0, Q.shape[0], step):
-            # direct sum of squared differences (no cancellation), rounded so that
-            # equal distances tie exactly and fall back to the train key
-            d2 = np.round(((Q[s0:s0 + step, None, :] - X[None, :, :]) ** 2).sum(-1), 9)
-            kth = np.partition(d2, kk - 1, axis=1)[:, kk - 1]
-            for i in range(d2.shape[0]):
-                cand = np.nonzero(d2[i] <= kth[i])[0]
-                best = cand[np.lexsort((tkeys[cand], d2[i, cand]))][:kk]
-                out["q_key"].extend([qkeys[s0 + i]] * len(best))
-                out["t_key"].extend(tkeys[best].tolist())
-                out["t_y"].extend(tys[best].tolist())
-                out["dist"].extend(d2[i, best].tolist())
-        return pd.DataFrame(out)
+            Qs = Q[s0:s0 + step]
+            qq = np.einsum("ij,ij->i", Qs, Qs)
+            # |q|^2 - 2 q.x + |x|^2 by one matrix product; its rounding error is
+            # far below ``tol``, so every row within reach of the k-th best
+            # (plus the 1e-9 rounding of the exact distance) is a candidate
+            approx = qq[:, None] - 2.0 * (Qs @ X.T) + xx[None, :]
+            tol = 1e-8 * (qq[:, None] + xx[None, :]) + 1e-8
+            kth = np.partition(approx + tol, kk - 1, axis=1)[:, kk - 1]
+            ri, cj = np.nonzero(approx - tol <= kth[:, None] + 1e-9)
+            # exact distance for candidates only: direct sum of squared
+            # differences (no cancellation), rounded so that equal distances
+            # tie exactly and fall back to the train key
+            d2 = np.round(((Qs[ri] - X[cj]) ** 2).sum(-1), 9)
+            o = np.lexsort((tkeys[cj], d2, ri))
+            ri, cj, d2 = ri[o], cj[o], d2[o]
+            first = np.searchsorted(ri, ri, side="left")
+            keep = (np.arange(len(ri)) - first) < kk
+            ri, cj, d2 = ri[keep], cj[keep], d2[keep]
+            parts.append(pd.DataFrame({"q_key": qkeys[s0 + ri], "t_key": tkeys[cj], "t_y": tys[cj], "dist": d2}))
+        return pd.concat(parts, ignore_index=True)
 
     cand = (te.groupBy("_qb", "_tb").cogroup(tr.groupBy("_qb", "_tb"))
             .applyInPandas(block_topk, out_schema))

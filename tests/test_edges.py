@@ -162,3 +162,21 @@ def test_kfold_sizes(spark):
         q, m = divmod(n, 5)
         expect = [f for f in range(1, 6) for _ in range(q + 1 if f <= m else q)]
         assert folds == expect
+
+
+def test_knn_exact_with_many_ties(spark):
+    """Small integer vectors: many equal distances, so the k-th place is often
+    shared and the train key must settle it, as in the brute-force order."""
+    rng = np.random.default_rng(3)
+    X = rng.integers(0, 3, size=(300, 6)).astype(float)
+    y = rng.integers(0, 4, size=300)
+    rows = [(int(i), X[i].tolist(), float(y[i])) for i in range(300)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label double")
+    train, test = df.where(F.col("vec_id") >= 60), df.where(F.col("vec_id") < 60)
+    for block in (20000, 23):
+        got = {r[0]: r[1] for r in M.knn_vote(train, test, "vec_id", "embedding", k=7, block_rows=block).collect()}
+        for q in range(60):
+            d = np.round(((X[60:] - X[q]) ** 2).sum(1), 9)
+            nn = np.lexsort((np.arange(60, 300), d))[:7]
+            counts = np.bincount(y[60:][nn], minlength=4)
+            assert got[q] == int(np.argmax(counts)), (block, q)
