@@ -104,7 +104,7 @@ PROFILE = (STARTS + ", fr as (select *, row_number() over (partition by installa
 
 
 def _profile(t):
-    return FT.score_profile(L.assessment_starts(t.clicks, t.labels))
+    return FT.score_profile(t.starts)
 
 
 @query("a13_score_profile", "select * from prof", ctes=PROFILE)

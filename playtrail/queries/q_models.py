@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 from playtrail.functions.scalar import hash_fraction, round6, round_half_even
 from playtrail.operators import features as FT
-from playtrail.operators import labelling as L
 from playtrail.operators import models as M
 from playtrail.operators import relational as R
 from playtrail.operators import scoring as SC
@@ -61,17 +60,17 @@ scored as (select st.installation_id, st.game_session, st.start, st.accuracy_gro
 
 
 def _votes(t):
-    st = L.assessment_starts(t.clicks, t.labels)
+    st = t.starts
     order = F.struct("start", SESSION)
     per_player = st.groupBy(KEY).agg(round_half_even(F.avg("accuracy_group")).cast("int").alias("vm"),
                                      F.min_by("accuracy_group", order).alias("vf"),
                                      F.max_by("accuracy_group", order).alias("vl"))
     per_title = st.groupBy("title").agg(round_half_even(F.avg("accuracy_group")).cast("int").alias("vt"))
     base = st.join(per_player, KEY).join(per_title, "title")
-    votes = None
-    for c in ("vm", "vf", "vl", "vt"):
-        v = base.select(SESSION, F.col(c).cast("int").alias("prediction"))
-        votes = v if votes is None else votes.unionByName(v)
+    # one row per (session, model) in a single projection, not a union of four
+    # branches that would each re-derive the joined table
+    votes = base.select(SESSION, F.explode(F.array(*[F.col(c).cast("int") for c in ("vm", "vf", "vl", "vt")]))
+                        .alias("prediction"))
     return st, votes
 
 
@@ -111,7 +110,7 @@ PC = STARTS + ", pc as (select installation_id, count(*) n, " + ", ".join(
 @query("f21_cross_entropy", """select round(avg(-ln((case st.accuracy_group when 0 then c0 when 1 then c1
   when 2 then c2 else c3 end + 1.0) / (n + 4.0))), 6) cross_entropy from st join pc using (installation_id)""", ctes=PC)
 def f21(t):
-    st = L.assessment_starts(t.clicks, t.labels)
+    st = t.starts
     pc = st.groupBy(KEY).agg(F.count(F.lit(1)).alias("n"),
                              *[F.count_if(F.col("accuracy_group") == c).alias(f"c{c}") for c in range(4)])
     probs = F.array(*[(F.col(f"c{c}") + 1.0) / (F.col("n") + 4.0) for c in range(4)])
@@ -130,7 +129,7 @@ PROFILE = (STARTS + ", fr as (select *, row_number() over (partition by installa
 
 
 def _filled(t):
-    prof = FT.score_profile(L.assessment_starts(t.clicks, t.labels))
+    prof = FT.score_profile(t.starts)
     return FT.fill_profile(prof, FT.fit_profile_fill(prof))
 
 

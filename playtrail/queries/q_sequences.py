@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 from playtrail.functions.scalar import argmax, events_add, normalize_text, round6, sliced
 from playtrail.operators import features as FT
-from playtrail.operators import labelling as L
 from playtrail.operators import relational as R
 from playtrail.operators import sequences as S
 from playtrail.queries import query
@@ -255,7 +254,7 @@ PROFILE = (STARTS + ", fr as (select *, row_number() over (partition by installa
        "(select installation_id, [" + ", ".join(f"\"{tt}\"" for tt in ASSESSMENT_TITLES) + "] l from filled) q",
        ctes=PROFILE)
 def x12(t):
-    prof = FT.score_profile(L.assessment_starts(t.clicks, t.labels))
+    prof = FT.score_profile(t.starts)
     filled = FT.fill_profile(prof, FT.fit_profile_fill(prof))
     arr = F.array(*[F.col(f"`{tt}`") for tt in ASSESSMENT_TITLES])
     return filled.select(KEY, argmax(arr).alias("best_title"))

@@ -153,6 +153,13 @@ class Tables:
         from playtrail.operators.labelling import label_by_next
         return self.built("history", lambda: label_by_next(self.clicks, self.labels, **options), **options)
 
+    @cached_property
+    def starts(self) -> DataFrame:
+        """Assessment results with the start of their session (one row per
+        assessment), built once: profiles, votes and folds all read it."""
+        from playtrail.operators.labelling import assessment_starts
+        return self.built("starts", lambda: assessment_starts(self.clicks, self.labels))
+
     @cached_property
     def labels(self) -> DataFrame:
         """Assessment results (the reference's label file), built once."""
