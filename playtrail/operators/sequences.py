@@ -76,6 +76,12 @@ def last_codes(tokens: DataFrame, keys: Sequence[str], n: int = MAX_SEQUENCE_LEN
     return seq.select(*keys, F.transform("_s", lambda x: x["code"]).alias("codes"))
 
 
+def kept_tokens(tokens: DataFrame, docs: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Tokens of the kept documents, written once: the vocabulary fit and the
+    encoding both read them."""
+    return materialize(tokens.join(docs.select(*keys), list(keys), "left_semi"), "tokens")
+
+
 def sequence_table(tokens: DataFrame, labels: DataFrame, keys: Sequence[str], min_codes: int | None,
                    vocab: DataFrame | None = None, maxlen: int = MAX_SEQUENCE_LENGTH) -> tuple[DataFrame, DataFrame]:
     """P13 + J5 + X9-X11 + F2: padded id sequences of the keys with more than
@@ -84,8 +90,7 @@ def sequence_table(tokens: DataFrame, labels: DataFrame, keys: Sequence[str], mi
     if min_codes is not None:
         lengths = lengths.where(F.col("n_codes") > min_codes)
     docs = lengths.join(labels, list(keys), "inner")                     # J5
-    # written once: the vocabulary fit and the encoding both read it
-    kept = materialize(tokens.join(docs.select(*keys), list(keys), "left_semi"), "tokens")
+    kept = kept_tokens(tokens, docs, keys)
     vocab = vocab if vocab is not None else fit_vocabulary(kept, keys)
     padded = pad_sequences(encode(kept, vocab), keys, maxlen)
     table = docs.join(padded, list(keys), "left").withColumn(

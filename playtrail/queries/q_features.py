@@ -4,10 +4,10 @@ from pyspark.sql import functions as F
 
 from playtrail.functions.scalar import hash_fraction, round6
 from playtrail.operators import features as FT
-from playtrail.operators import labelling as L
 from playtrail.operators import relational as R
 from playtrail.queries import query
 from playtrail.schema import ASSESSMENT_TITLES, COUNT_FEATURES, KEY, SESSION, TIME_FEATURES
+from playtrail.session import materialize
 
 S1 = """s1 as (select c.installation_id, c.game_session, c.world, c.event_code, l.accuracy_group, c.event_count, c.src_id,
   s.event_type, s.event_action, c.game_time from clicks c join assessment_labels l using (installation_id, game_session)
@@ -84,7 +84,7 @@ hist as (select j.src_id, j.installation_id, j.game_session, j.ts, j.event_count
 @query("a6_mean_label", "select installation_id, game_session, round(avg(accuracy_group), 6) accuracy_group "
        "from hist where accuracy_group is not null group by installation_id, game_session", ctes=HIST)
 def a6(t):
-    h = R.complete_rows(L.label_by_next(t.clicks, t.labels, with_groups=False), ["accuracy_group"])
+    h = R.complete_rows(t.history(), ["accuracy_group"])
     return FT.mean_label(h, [KEY, SESSION]).withColumn("accuracy_group", round6("accuracy_group"))
 
 
@@ -175,7 +175,7 @@ def f9(t):
 
 @query("u2_remove_sampled", f"select game_session from feats where {THIN}", ctes=FEATS)
 def u2(t):
-    feats = _feats(t)
+    feats = materialize(_feats(t), "style1-feats")      # read by both sides of the anti join
     sampled = feats.where((F.col("accuracy_group") == 3) & (hash_fraction(SESSION, 0) < 0.65))
     return R.remove_rows(feats, sampled, [SESSION]).select(SESSION)
 

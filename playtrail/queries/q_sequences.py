@@ -140,7 +140,7 @@ def x10(t):
     keys = [KEY, SESSION]
     tokens = S.code_tokens(rows, keys)
     docs = R.min_length(S.sequence_lengths(tokens, keys), "n_codes", 10).join(FT.mean_label(rows, keys), keys)
-    kept = tokens.join(docs.select(*keys), keys, "left_semi")
+    kept = S.kept_tokens(tokens, docs, keys)
     return S.encode(kept, S.fit_vocabulary(kept, keys)).select(*keys, "pos", "id")
 
 
