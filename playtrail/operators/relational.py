@@ -254,13 +254,22 @@ def sort_sessions(df: DataFrame) -> DataFrame:
     return df.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
-def kfold(df: DataFrame, k: int = 5, order: Sequence[str | Column] = (KEY, SESSION),
-          name: str = "fold") -> DataFrame:
+def kfold(df: DataFrame, k: int = 5, order: Sequence[str] = (KEY, SESSION),
+          name: str = "fold", order_is_key: bool = True) -> DataFrame:
     """Contiguous folds in ``order`` without shuffling (unshuffled k-fold):
-    fold sizes differ by at most one, the larger folds first."""
-    ranked = global_row_number(df, list(order), "_rank")
+    fold sizes differ by at most one, the larger folds first.
+
+    When the ``order`` columns identify a row (``order_is_key``, true for every
+    caller: labels per session, training rows per player or session), only
+    that narrow key projection is sorted and numbered, and the fold is joined
+    back on the key; the wide rows (feature vectors) are never range-sorted
+    or written for it."""
+    cols = list(order)
+    src = df.select(*cols) if order_is_key else df
+    ranked = global_row_number(src, cols, "_rank")
     n = ranked.agg(F.max("_rank")).first()[0] or 0
-    return ranked.withColumn(name, ntile_column(F.col("_rank"), F.lit(n), k)).drop("_rank")
+    folds = ranked.withColumn(name, ntile_column(F.col("_rank"), F.lit(n), k)).drop("_rank")
+    return df.join(folds, cols, "inner") if order_is_key else folds
 
 
 def test_shape(df: DataFrame) -> DataFrame:

@@ -236,7 +236,7 @@ def f17(t):
 
 @query("f7_kfold_evaluate")
 def f7(t):
-    data = R.kfold(_style5_ml(t), 5, [KEY, SESSION])
+    data = materialize(R.kfold(_style5_ml(t), 5, [KEY, SESSION]), "style5-folds")  # read by every fold
     preds = M.kfold_evaluate(data, M.sequence_classifier, keep=[KEY, SESSION])
     return preds.select(KEY, SESSION, "fold", "label", "prediction")
 
