@@ -23,7 +23,7 @@ from playtrail.operators.relational import (complete_rows, events_with_labels, l
                                             last_events, player_last_label, positive_groups,
                                             prior_play)
 from playtrail.plans.ordered import HOUR_US, allow_partial_limit, positions, with_time_bucket
-from playtrail.session import materialize
+from playtrail.session import bounded_broadcast, materialize
 from playtrail.schema import (EVENT_ORDER, KEY, LABEL_COLS, LAST_EVENTS, MAX_SEQUENCE_LENGTH,
                               MIN_SEQUENCE_CODES, NUM_WORDS, PAD_VALUE, SESSION)
 
@@ -46,8 +46,18 @@ def fit_vocabulary(tokens: DataFrame, keys: Sequence[str], num_words: int = NUM_
     """Token ids by frequency (ties: first appearance in key order, then
     position), ids 1..num_words-1 kept. The ranking window runs over distinct
     codes only: a four-digit code book, a bounded table."""
-    first = F.struct(*[F.col(k) for k in keys], F.col("pos"))
-    voc = tokens.groupBy("code").agg(F.count(F.lit(1)).alias("n"), F.min(first).alias("_first"))
+    # Counts and the first key per code are hash aggregates over all tokens;
+    # the full first appearance (a struct with string parts, which only a
+    # sort-based aggregate can take) is then found among the tokens of that
+    # first key only, picked out by a broadcast of the per-code table (one row
+    # per code, written once).
+    head, rest = keys[0], list(keys[1:])
+    per_code = materialize(tokens.groupBy("code").agg(F.count(F.lit(1)).alias("n"), F.min(head).alias("_k1")),
+                           "vocab-counts")
+    firsts = (tokens.join(bounded_broadcast(per_code.select("code", F.col("_k1").alias(head))), ["code", head])
+                    .groupBy("code").agg(F.min(F.struct(*[F.col(k) for k in rest], F.col("pos"))).alias("_rest")))
+    voc = per_code.join(firsts, "code").withColumn(
+        "_first", F.struct(F.col("_k1"), F.col("_rest")))
     voc = voc.withColumn("id", F.row_number().over(Window.orderBy(F.desc("n"), F.asc("_first"))))
     return voc.where(F.col("id") < num_words).select("code", "n", "id")
 

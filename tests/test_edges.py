@@ -180,3 +180,22 @@ def test_knn_exact_with_many_ties(spark):
             nn = np.lexsort((np.arange(60, 300), d))[:7]
             counts = np.bincount(y[60:][nn], minlength=4)
             assert got[q] == int(np.argmax(counts)), (block, q)
+
+
+def test_vocabulary_ties_follow_first_appearance(spark):
+    """Codes with equal counts are ranked by their first appearance in
+    (player, session, position) order, the session being a string."""
+    rng = np.random.default_rng(11)
+    rows = []
+    for inst in (5, 3, 9):
+        for sess in ("b", "a", "c"):
+            for pos in range(1, 8):
+                rows.append((inst, sess, pos, str(2000 + int(rng.integers(0, 12)))))
+    tokens = spark.createDataFrame(rows, "installation_id long, game_session string, pos long, code string")
+    got = {r["code"]: r["id"] for r in S.fit_vocabulary(tokens, ["installation_id", "game_session"], 8).collect()}
+    n, first = {}, {}
+    for inst, sess, pos, code in rows:
+        n[code] = n.get(code, 0) + 1
+        first[code] = min(first.get(code, (inst, sess, pos)), (inst, sess, pos))
+    ranked = sorted(n, key=lambda c: (-n[c], first[c]))
+    assert got == {c: i + 1 for i, c in enumerate(ranked) if i + 1 < 8}
