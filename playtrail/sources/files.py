@@ -45,11 +45,12 @@ def write_submission(df: DataFrame, path: str, cols: Sequence[str] = (KEY, "accu
 def write_labelled(df: DataFrame, path: str, partitions: int | None = None) -> None:
     """Save the labelled event table as parquet, range-partitioned and sorted by
     player and time so scans prune on installation_id and a hot player spans
-    several files instead of one."""
+    several files instead of one. Without ``partitions`` the range count is the
+    shuffle width (``spark.sql.shuffle.partitions``), which AQE coalesces to
+    its advisory size, so file size follows the data, not the core count."""
     order = [KEY] + [c for c in EVENT_ORDER if c in df.columns]
-    n = partitions or df.sparkSession.sparkContext.defaultParallelism
-    (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-       .write.mode("overwrite").parquet(path))
+    ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
+    ranged.sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
 
 
 def read_labelled(spark: SparkSession, path: str) -> DataFrame:
