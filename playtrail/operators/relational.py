@@ -8,8 +8,8 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playtrail.plans.ordered import (global_row_number, last_n, next_values, ntile_column,
-                                     value_bucket)
+from playtrail.plans.ordered import (global_row_number, global_running_total, last_n, next_values,
+                                     ntile_column, value_bucket)
 from playtrail.session import bounded_broadcast
 from playtrail.schema import ATTEMPT_CODES, EVENT_ORDER, KEY, MAX_GAP, SESSION
 
@@ -205,9 +205,27 @@ def column_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def column_median(df: DataFrame, col: str, exact: bool = True) -> DataFrame:
-    """Exact median (interpolated, as pandas), or ``percentile_approx``."""
-    f = F.median(col) if exact else F.percentile_approx(col, 0.5)
-    return df.agg(f.alias(f"median_{col}"))
+    """Exact median (the mean of the two middle values, as pandas), or
+    ``percentile_approx``.
+
+    The exact form does not use the ``median`` aggregate, whose buffer holds
+    every distinct value and whose final merge runs in one task. Values are
+    counted first (a value shared by a third of the rows is one row), the
+    running total of the counts in value order is computed with a distributed
+    sort (``global_running_total``), and the value(s) holding the one or two
+    middle ranks are averaged."""
+    out = f"median_{col}"
+    if not exact:
+        return df.agg(F.percentile_approx(col, 0.5).alias(out))
+    v = F.col(col).cast("double")
+    counts = df.where(v.isNotNull()).groupBy(v.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    n = df.agg(F.count(v)).first()[0]
+    lo, hi = (n + 1) // 2, (n + 2) // 2
+    cum = global_running_total(counts, ["_v"], "_c", "_cum")
+    holds = lambda k: (F.col("_cum") - F.col("_c") < F.lit(k)) & (F.col("_cum") >= F.lit(k))
+    picked = cum.where(holds(lo) | holds(hi))
+    # one row when both middle ranks fall on the same value
+    return picked.agg(F.avg("_v").alias(out))
 
 
 def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:

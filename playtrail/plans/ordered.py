@@ -246,6 +246,27 @@ def global_row_number(df: DataFrame, order: Sequence[Column | str], name: str =
     return out.drop("_pid", "_off", "_mid")
 
 
+def global_running_total(df: DataFrame, order: Sequence[Column | str], weight: str,
+                         name: str = "running_total") -> DataFrame:
+    """Running sum of ``weight`` over a total order of the whole table.
+
+    As ``global_row_number``: a range-partitioned sort written once, per-partition
+    sums (one row per partition) for the offsets, and the in-partition running
+    sum over a window whose groups are the sorted partitions themselves, so no
+    group is larger than one range partition.
+    """
+    from playtrail.session import materialize
+    s = materialize(df.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id()), "running-total")
+    s = s.withColumn("_pid", F.shiftright(F.col("_mid"), 33))
+    sums = s.groupBy("_pid").agg(F.sum(weight).alias("_w"))
+    offsets = sums.select("_pid", F.coalesce(F.sum("_w").over(
+        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    within = F.sum(weight).over(Window.partitionBy("_pid").orderBy("_mid")
+                                .rowsBetween(Window.unboundedPreceding, 0))
+    out = s.withColumn(name, within).join(F.broadcast(offsets), "_pid")
+    return out.withColumn(name, F.col("_off") + F.col(name)).drop("_pid", "_off", "_mid")
+
+
 def ntile_column(rank: Column, n: Column, k: int) -> Column:
     """SQL ``ntile(k)`` from a 1-based rank and the row count: the first ``n % k``
     tiles get one row more. Equal to an unshuffled k-fold split."""

@@ -199,3 +199,18 @@ def test_vocabulary_ties_follow_first_appearance(spark):
         first[code] = min(first.get(code, (inst, sess, pos)), (inst, sess, pos))
     ranked = sorted(n, key=lambda c: (-n[c], first[c]))
     assert got == {c: i + 1 for i, c in enumerate(ranked) if i + 1 < 8}
+
+
+def test_exact_median_without_one_task_buffer(spark):
+    """A15 against numpy: odd and even counts, a value held by a third of the
+    rows, nulls ignored, and the empty column."""
+    rng = np.random.default_rng(5)
+    for n in (1, 2, 7, 300, 301):
+        vals = rng.integers(0, 50, size=n).astype(float)
+        vals[: n // 3] = 0.0
+        rows = [(float(x),) for x in vals] + [(None,)]
+        df = spark.createDataFrame(rows, "game_time double").repartition(4)
+        got = R.column_median(df, "game_time").first()[0]
+        assert got == float(np.median(vals)), n
+    empty = spark.createDataFrame([(None,)], "game_time double")
+    assert R.column_median(empty, "game_time").first()[0] is None
