@@ -56,7 +56,8 @@ def with_label(df: DataFrame, col: str = "accuracy_group") -> DataFrame:
 
 def logistic_ovr(max_iter: int = 100):
     """one-vs-rest logistic regression."""
-    return OneVsRest(classifier=LogisticRegression(maxIter=max_iter), labelCol=LABEL, featuresCol=FEATURES)
+    return OneVsRest(classifier=LogisticRegression(maxIter=max_iter), labelCol=LABEL, featuresCol=FEATURES,
+                     parallelism=4)
 
 
 def logistic_multinomial(max_iter: int = 100):
@@ -143,7 +144,7 @@ def kernel_features(df: DataFrame, col: str, landmarks: np.ndarray, kernel: str
 
 def kernel_svm():
     """F14 classifier on kernel features: one-vs-rest linear SVM."""
-    return OneVsRest(classifier=LinearSVC(maxIter=50), labelCol=LABEL, featuresCol=FEATURES)
+    return OneVsRest(classifier=LinearSVC(maxIter=50), labelCol=LABEL, featuresCol=FEATURES, parallelism=4)
 
 
 # ---------------------------------------------------------------- kNN
