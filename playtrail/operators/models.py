@@ -243,12 +243,24 @@ def fit_predict(estimator, train: DataFrame, test: DataFrame, keep: Sequence[str
 
 
 def kfold_evaluate(df: DataFrame, make_estimator: Callable[[], object], fold: str = "fold", k: int = 5,
-                   keep: Sequence[str] = ()) -> DataFrame:
+                   keep: Sequence[str] = (), parallelism: int = 5) -> DataFrame:
     """fit on k-1 folds, score the held-out fold, for each fold; the
-    predictions of all folds, tagged with their fold."""
-    out = None
-    for i in range(1, k + 1):
+    predictions of all folds, tagged with their fold. The fits are independent
+    and run as concurrent Spark jobs (as ``CrossValidator(parallelism=...)``)."""
+    from multiprocessing.pool import ThreadPool
+
+    from pyspark.util import inheritable_thread_target
+
+    def one(i: int) -> DataFrame:
         train, test = df.where(F.col(fold) != i), df.where(F.col(fold) == i)
-        preds = fit_predict(make_estimator(), train, test, keep).withColumn(fold, F.lit(i))
-        out = preds if out is None else out.unionByName(preds, allowMissingColumns=True)
+        return fit_predict(make_estimator(), train, test, keep).withColumn(fold, F.lit(i))
+
+    pool = ThreadPool(processes=max(1, min(parallelism, k)))
+    try:
+        parts = pool.map(inheritable_thread_target(df.sparkSession)(one), range(1, k + 1))
+    finally:
+        pool.close()
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
     return out
