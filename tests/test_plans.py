@@ -96,16 +96,3 @@ def test_kfold_sorts_only_the_key(spark):
     scans = re.findall(r"ReadSchema: (struct<[^\n]*>)", text)
     assert any(s.startswith("struct<event_id:") and "user_id" not in s and "_mid" in s for s in scans), scans
     assert folds.count() == ev.count()
-
-
-def test_vocabulary_sort_aggregate_sees_first_players_only(spark):
-    t = Tables(spark, SF_MID)
-    tokens = S.code_tokens(t.clicks, [KEY, SESSION])
-    text = _plan(S.fit_vocabulary(tokens, [KEY, SESSION]))
-    # the partial struct minimum (sort-based) reads only the rows that pass the
-    # broadcast join with the written per-code table (code, first player)
-    lines = text.splitlines()
-    i = next(j for j, line in enumerate(lines) if "partial_min(struct" in line)
-    below = [line for line in lines[i + 1:i + 6] if "Sort [" not in line and "Project [" not in line]
-    assert "BroadcastHashJoin [code" in below[0], lines[i:i + 6]
-    assert re.search(r"ReadSchema: struct<code:string,_k1:bigint>", text)
