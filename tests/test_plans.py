@@ -96,3 +96,12 @@ def test_kfold_sorts_only_the_key(spark):
     scans = re.findall(r"ReadSchema: (struct<[^\n]*>)", text)
     assert any(s.startswith("struct<event_id:") and "user_id" not in s and "_mid" in s for s in scans), scans
     assert folds.count() == ev.count()
+
+
+def test_asof_inputs_share_one_hot_bucket_copy(spark):
+    from playtrail.operators import labelling as L
+    t = Tables(spark, SF_MID)
+    text = _formatted(L.label_by_next(t.clicks, t.labels, with_groups=False))
+    # every scan of the hot-bucket table reads the one copy written for this join
+    locations = set(re.findall(r"hot-buckets-[0-9a-f]+", text))
+    assert len(locations) == 1, locations
