@@ -281,13 +281,18 @@ def kfold(df: DataFrame, k: int = 5, order: Sequence[str] = (KEY, SESSION),
     caller: labels per session, training rows per player or session), only
     that narrow key projection is sorted and numbered, and the fold is joined
     back on the key; the wide rows (feature vectors) are never range-sorted
-    or written for it."""
+    or written for it. Keys are numbered once each (rows sharing a key share
+    its fold, no row is repeated) and joined null-safely (no row is lost)."""
     cols = list(order)
-    src = df.select(*cols) if order_is_key else df
+    src = df.select(*cols).distinct() if order_is_key else df
     ranked = global_row_number(src, cols, "_rank")
     n = ranked.agg(F.max("_rank")).first()[0] or 0
     folds = ranked.withColumn(name, ntile_column(F.col("_rank"), F.lit(n), k)).drop("_rank")
-    return df.join(folds, cols, "inner") if order_is_key else folds
+    if not order_is_key:
+        return folds
+    keyed = folds.select(*[F.col(c).alias(f"_fk_{c}") for c in cols], name)
+    cond = [df[c].eqNullSafe(keyed[f"_fk_{c}"]) for c in cols]
+    return df.join(keyed, cond, "inner").drop(*[f"_fk_{c}" for c in cols])
 
 
 def test_shape(df: DataFrame) -> DataFrame:

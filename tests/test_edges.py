@@ -214,3 +214,15 @@ def test_exact_median_without_one_task_buffer(spark):
         assert got == float(np.median(vals)), n
     empty = spark.createDataFrame([(None,)], "game_time double")
     assert R.column_median(empty, "game_time").first()[0] is None
+
+
+def test_kfold_keeps_every_row_with_duplicate_and_null_keys(spark):
+    rows = [(i % 7 if i != 3 else None, float(i)) for i in range(20)]
+    df = spark.createDataFrame(rows, "k long, x double")
+    out = R.kfold(df, 3, ["k"]).collect()
+    assert len(out) == 20
+    by_key = {}
+    for r in out:
+        by_key.setdefault(r["k"], set()).add(r["fold"])
+    assert all(len(f) == 1 for f in by_key.values())        # a key has one fold
+    assert len(by_key) == 8                                  # 7 keys and the null key
