@@ -215,9 +215,13 @@ def asof_next(events: DataFrame, markers: DataFrame, key: str, ts: str, marker:
     if event_times is None:
         summ = u.groupBy(key, _B).agg(F.min("_m").alias("_bm"))
     else:
-        ev_b = event_times.select(F.col(key), F.col(ts).alias("_bts"), F.lit(None).cast(mtype).alias("_m"))
-        mk_b = markers.select(F.col(key), F.col(ts).alias("_bts"), F.col(marker).alias("_m"))
-        summ = bucketed(ev_b.unionByName(mk_b)).groupBy(key, _B).agg(F.min("_m").alias("_bm"))
+        # events only say "this bucket exists": a hash distinct reduces them to
+        # one row per (key, bucket) before the struct minimum, which Spark runs
+        # as a sort-based aggregate, sees them next to the (few) markers
+        ev_b = bucketed(event_times.select(F.col(key), F.col(ts).alias("_bts"))).select(key, _B).distinct()
+        mk_b = bucketed(markers.select(F.col(key), F.col(ts).alias("_bts"), F.col(marker).alias("_m")))
+        summ = (ev_b.withColumn("_m", F.lit(None).cast(mtype)).unionByName(mk_b.select(key, _B, "_m"))
+                    .groupBy(key, _B).agg(F.min("_m").alias("_bm")))
     summ = summ.select(key, _B, F.min("_bm").over(
         Window.partitionBy(key).orderBy(F.col(_B).desc())
         .rowsBetween(Window.unboundedPreceding, -1)).alias("_nx_after"))
