@@ -10,6 +10,7 @@ from playtrail.operators import relational as R
 from playtrail.operators import scoring as SC
 from playtrail.operators import sequences as S
 from playtrail.queries import query
+from playtrail.queries.q_sequences import HIST, _seq_sql
 from playtrail.schema import ASSESSMENT_TITLES, COUNT_FEATURES, KEY, SESSION, TIME_FEATURES
 from playtrail.session import materialize
 
@@ -318,7 +319,22 @@ def f10_s4(t):
     return M.fit_predict(M.logistic_ovr(), train, test, [KEY, "group"]).select(KEY, "group", "label", "prediction")
 
 
-@query("f12_style4_knn")
+# style-4 rows as in z6's oracle, split by the hash of "installation_id-group",
+# then the same exact kNN (k = 5, ties by the train key) and vote as F12
+KNN4 = (f"{HIST}, hg as (select * from h where grp is not null), {_seq_sql('hg', 'grp', 10)}, "
+        "s4 as (select installation_id, k2 grp, concat_ws('-', installation_id, k2) gkey, "
+        "round(accuracy_group) label, cast(string_split(sequence, ' ') as double[]) x from seqs), "
+        f"s4s as (select *, {FRAC.format(seed=1, key='gkey')} < 0.15 is_test from s4), "
+        "d4 as (select q.gkey q_key, t.gkey t_key, t.label t_y, round(list_sum(list_transform(list_zip(q.x, t.x), "
+        "lambda z: (z[1] - z[2]) * (z[1] - z[2]))), 9) dist from s4s q, s4s t where q.is_test and not t.is_test), "
+        "b4 as (select * from (select *, row_number() over (partition by q_key order by dist, t_key) r from d4) q "
+        "where r <= 5), "
+        "c4 as (select q_key, t_y, count(*) n from b4 group by all), "
+        "v4 as (select q_key, t_y, row_number() over (partition by q_key order by n desc, t_y) r from c4)")
+
+
+@query("f12_style4_knn", "select s.installation_id, s.grp \"group\", s.label, cast(v4.t_y as double) prediction "
+       "from v4 join s4s s on s.gkey = v4.q_key where v4.r = 1", ctes=KNN4)
 def f12_s4(t):
     train, test = _style4_ml(t)
     pred = M.knn_vote(train, test, "gkey", "features", k=5, label="label")
