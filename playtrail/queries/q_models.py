@@ -10,7 +10,7 @@ from playtrail.operators import relational as R
 from playtrail.operators import scoring as SC
 from playtrail.operators import sequences as S
 from playtrail.queries import query
-from playtrail.queries.q_sequences import HIST, _seq_sql
+from playtrail.queries.q_sequences import HIST, _seq_sql, _style2_sql
 from playtrail.schema import ASSESSMENT_TITLES, COUNT_FEATURES, KEY, SESSION, TIME_FEATURES
 from playtrail.session import materialize
 
@@ -284,7 +284,23 @@ def _style2_ml(t):
     return materialize(R.kfold(data, 5, [KEY]), "style2-ml")
 
 
-@query("f7_style2_kfold_knn")
+# style-2 rows as in z2's oracle, five contiguous folds by player (SQL ntile),
+# then the exact kNN (k = 15, ties by the train key) and vote of F12 per fold
+KNN2 = (f"{_style2_sql(300)}, "
+        "f2 as (select installation_id, cast(accuracy_group as double) label, "
+        "cast(string_split(features, ' ') as double[]) x, "
+        "cast(ntile(5) over (order by installation_id) as int) fold from mat), "
+        "d2 as (select q.installation_id q_key, q.fold, t.installation_id t_key, t.label t_y, "
+        "round(list_sum(list_transform(list_zip(q.x, t.x), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), 9) dist "
+        "from f2 q join f2 t on q.fold <> t.fold), "
+        "b2 as (select * from (select *, row_number() over (partition by q_key order by dist, t_key) r from d2) q "
+        "where r <= 15), "
+        "c2 as (select q_key, fold, t_y, count(*) n from b2 group by all), "
+        "v2 as (select q_key, fold, t_y, row_number() over (partition by q_key order by n desc, t_y) r from c2)")
+
+
+@query("f7_style2_kfold_knn", "select v2.q_key installation_id, v2.fold, f2.label, cast(v2.t_y as double) prediction "
+       "from v2 join f2 on f2.installation_id = v2.q_key where v2.r = 1", ctes=KNN2)
 def f7_knn2(t):
     """Style 2, k = 15 nearest neighbours, five contiguous folds."""
     data = _style2_ml(t)
