@@ -43,3 +43,10 @@ def op2(spark, sf_dir):
 def op10(spark, sf_dir):
     from playtrail.llm.sharding import shard
     return shard(table(spark, sf_dir, "documents"))
+
+
+@query("op9_ngram_jaccard_join")
+def op9(spark, sf_dir):
+    from playtrail.llm.jaccard_join import jaccard_join
+    return jaccard_join(table(spark, sf_dir, "documents"), words=3, percent=90).select(
+        "doc_id", "n_shingles", "component_id")
