@@ -12,11 +12,15 @@ key it can reach by links. The steps:
 2. *Groups.* Every document is compared with the smallest document of each
    signature it shares (a star, never all pairs); links of these exact
    comparisons partition similar documents into groups.
-3. *Matrix.* The pairs left are those with a common signature in different
-   groups. Groups are cut into bounded parts, and each part stores the union of
-   its members' tokens. A query's overlap with that union bounds its overlap
-   with every member: only parts that reach ``percent`` of the query are opened.
-4. Members of opened parts are compared exactly and components are formed again.
+3. *Matrix.* What is left are signatures that hold several groups. The documents
+   on them are dealt into parts of similar documents (by family: the smallest
+   head they share a signature with) of bounded size. Two parts with a common
+   signature are a cell. In a cell, the union of a part's tokens bounds the
+   overlap of each query of the other part with all its members; only queries
+   that reach ``percent`` of their own size open the part, and their overlaps
+   are one matrix product. A cell returns a spanning forest of the links it
+   adds, so pairs never become rows.
+4. Components are formed again.
 
 Tokens, and texts as a whole, are addressed by 64-bit hashes. Copies of a text
 share an address and are one member everywhere.
@@ -40,8 +44,8 @@ from pyspark.sql import functions as F
 from playtrail.llm.common import components, whole_text
 from playtrail.session import bounded_broadcast, materialize
 
-SKETCH = 64          # counters of a set's sketch, one byte each
-PART_MEMBERS = 64    # mean number of members of a part of a group
+PART_TOKENS = 32_768  # mean number of tokens in a part
+CELLS_PER_BATCH = 32  # cells sent to Python at once
 NEED_ROWS = 500_000  # ids that may be broadcast to pick texts; a shuffle join beyond
 
 
@@ -120,12 +124,6 @@ def signatures(tokens: np.ndarray, levels: Levels) -> np.ndarray:
     return np.concatenate(out)
 
 
-def sketch(tokens: np.ndarray) -> bytes:
-    """Token counts by the low bits, at most 255 each: the sum of differences
-    of two sketches never exceeds the number of tokens in which the sets differ."""
-    return np.minimum(np.bincount((tokens % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH), 255).astype(np.uint8).tobytes()
-
-
 def _signed(values: list[np.ndarray]) -> pa.ListArray:
     offsets = np.concatenate([[0], np.cumsum([len(v) for v in values])]).astype(np.int32)
     flat = np.concatenate(values) if values else np.empty(0, np.uint64)
@@ -141,8 +139,7 @@ def _digest(words: int, percent: int):
                 sets = [token_set(t, words, ids, weights) for t in b.column("t").cast(pa.binary()).to_pylist()]
                 yield pa.RecordBatch.from_arrays([
                     b.column("doc_id"), b.column("tid"), pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([sketch(s) if len(s) else None for s in sets], pa.binary()),
-                    _signed([signatures(s, levels) if len(s) else s for s in sets])], ["doc_id", "tid", "n", "sk", "sigs"])
+                    _signed([signatures(s, levels) if len(s) else s for s in sets])], ["doc_id", "tid", "n", "sigs"])
     return run
 
 
@@ -157,17 +154,57 @@ def _tokens(words: int):
     return run
 
 
-def _near(percent: int):
-    """Keep pairs whose sketches allow a link."""
+class Part:
+    """Members of a part: ids, groups and token sets (``tokens`` end to end)."""
+
+    def __init__(self, held: pa.StructArray):
+        toks = held.field("toks")
+        self.tid, self.grp = held.field("tid").to_pylist(), held.field("grp").to_pylist()
+        self.size, self.tokens = toks.value_lengths().to_numpy(), toks.flatten().to_numpy()
+
+
+def cell_links(left: Part, right: Part, percent: int, same: bool) -> list[tuple[int, int]]:
+    """Links between the members of two parts that join different groups, as a
+    spanning forest over the groups."""
+    vocabulary, at = np.unique(np.concatenate([left.tokens, right.tokens]), return_inverse=True)
+    sizes = np.concatenate([left.size, right.size])
+    rows = np.repeat(np.arange(len(sizes)), sizes)
+    has = np.zeros((len(sizes), len(vocabulary)), np.float32)
+    has[rows, at] = 1
+    size = has.sum(axis=1)
+    queries, members = np.arange(len(left.tid)), np.arange(len(left.tid), len(sizes))
+    reach = has[queries] @ has[members].max(axis=0)   # bound by the part's token union
+    queries = queries[100 * reach >= percent * size[queries]]
+    if not len(queries):
+        return []
+    overlap = has[queries] @ has[members].T
+    whole = size[queries][:, None] + size[members][None, :] - overlap
+    q, m = np.nonzero(100 * overlap >= percent * whole)
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while root.get(x, x) != x:
+            x = root[x]
+        return x
+    out = []
+    for i, j in zip(queries[q], m):
+        if same and i >= j:
+            continue
+        x, y = find(left.grp[i]), find(right.grp[j])
+        if x != y:
+            root[max(x, y)] = min(x, y)
+            out.append((left.tid[i], right.tid[j]))
+    return out
+
+
+def _cells(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if not b.num_rows:
-                continue
-            def plane(name, b=b):
-                return np.frombuffer(b"".join(b.column(name).to_pylist()), np.uint8).reshape(-1, SKETCH).astype(np.int16)
-            apart = np.abs(plane("ska") - plane("skb")).sum(axis=1)
-            most = (100 - percent) * (b.column("na").to_numpy() + b.column("nb").to_numpy()) // (100 + percent)
-            yield b.select(["a", "b"]).filter(pa.array(apart <= most))
+        for batch in batches:
+            links = []
+            for i in range(batch.num_rows):
+                x, y = (Part(batch.column(side)[i].values) for side in ("left", "right"))
+                links += cell_links(x, y, percent, batch.column("same")[i].as_py())
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], ["a", "b"])
     return run
 
 
@@ -180,12 +217,42 @@ def _linked(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
             .where(100 * both >= percent * (F.size("ta") + F.size("tb") - both)).select("a", "b"))
 
 
-def _sized(pairs: DataFrame, info: DataFrame, percent: int, *more: str) -> DataFrame:
-    """Pairs of compatible sizes, with sizes (and further columns) of both sides."""
+def _sized(pairs: DataFrame, info: DataFrame, percent: int) -> DataFrame:
+    """Pairs of sizes that allow a link."""
     def side(x):
-        return info.select(F.col("tid").alias(x), *[F.col(c).alias(c + x) for c in ("n", *more)])
+        return info.select(F.col("tid").alias(x), F.col("n").alias("n" + x))
     out = pairs.join(side("a"), "a").join(side("b"), "b")
-    return out.where((100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")))
+    return out.where((100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))).select("a", "b")
+
+
+def _matrix_links(members: DataFrame, groups: DataFrame, info: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
+    """Links between different groups, found cell by cell."""
+    grouped = materialize(
+        members.join(groups.select(F.col("id").alias("tid"), "comp"), "tid", "left")
+        .select("sig", "tid", "head", F.coalesce("comp", "tid").alias("grp")), "grouped-members")
+    mixed = grouped.groupBy("sig").agg(F.min("grp").alias("x"), F.max("grp").alias("y")).where("x < y").select("sig")
+    left = materialize(grouped.join(mixed, "sig", "left_semi"), "mixed-members")
+    family = left.groupBy("tid", "grp").agg(F.min("head").alias("fam")).join(info, "tid")
+    per = family.groupBy("fam").agg(F.ceil(F.sum("n") / PART_TOKENS).alias("cuts"))
+    parts = materialize(family.join(per, "fam").select(
+        "tid", "grp", F.xxhash64("fam", F.pmod(F.xxhash64("tid"), F.col("cuts"))).alias("part")), "parts")
+    seen = left.select("sig", "tid").join(parts.select("tid", "part"), "tid").select("sig", "part").distinct()
+    cells = materialize(
+        seen.withColumnRenamed("part", "x").join(seen.withColumnRenamed("part", "y"), "sig")
+        .where("x <= y").select("x", "y").distinct(), "cells")
+    payload = materialize(parts.join(tokens, "tid").groupBy("part")
+                          .agg(F.collect_list(F.struct("tid", "grp", "toks")).alias("held")), "part-tokens")
+    spark, conf = members.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(conf)
+    spark.conf.set(conf, str(CELLS_PER_BATCH))
+    try:
+        return materialize(
+            cells.join(payload.select(F.col("part").alias("x"), F.col("held").alias("left")), "x")
+            .join(payload.select(F.col("part").alias("y"), F.col("held").alias("right")), "y")
+            .select("left", "right", (F.col("x") == F.col("y")).alias("same"))
+            .mapInArrow(_cells(percent), "a long, b long"), "matrix-links")
+    finally:
+        spark.conf.set(conf, before)
 
 
 def addressed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -200,8 +267,8 @@ def jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str
     texts = addressed(docs, id_col, text_col)
     key = texts.schema["doc_id"].dataType.simpleString()
     digest = materialize(texts.mapInArrow(_digest(words, percent),
-                                          f"doc_id {key}, tid long, n long, sk binary, sigs array<long>"), "shingle-digest")
-    info = digest.where("n > 0").select("tid", "n", "sk").dropDuplicates(["tid"])
+                                          f"doc_id {key}, tid long, n long, sigs array<long>"), "shingle-digest")
+    info = digest.where("n > 0").select("tid", "n").dropDuplicates(["tid"])
 
     # Members of signatures that different texts share.
     rows = digest.select(F.explode("sigs").alias("sig"), "tid")
@@ -211,7 +278,7 @@ def jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str
 
     # Groups: links to the head of a signature.
     stars = members.where("tid <> head").select(F.col("head").alias("a"), F.col("tid").alias("b")).distinct()
-    stars = materialize(_sized(stars, info, percent).select("a", "b"), "star-pairs")
+    stars = materialize(_sized(stars, info, percent), "star-pairs")
     need = members.select("tid").distinct()
     tokens = materialize(
         texts.join(bounded_broadcast(materialize(need, "text-ids"), NEED_ROWS), "tid", "left_semi").select("tid", "t")
@@ -220,32 +287,7 @@ def jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str
     links = materialize(_linked(stars, tokens, percent), "star-links")
     groups = components(links, "groups")
 
-    # Matrix: what is left are pairs with a common signature in different groups.
-    grouped = materialize(
-        members.join(groups.select(F.col("id").alias("tid"), "comp"), "tid", "left")
-        .select("sig", "tid", F.coalesce("comp", "tid").alias("grp")), "grouped-members")
-    mixed = grouped.groupBy("sig").agg(F.min("grp").alias("x"), F.max("grp").alias("y")).where("x < y").select("sig")
-    open_rows = grouped.join(mixed, "sig", "left_semi")
-    a = open_rows.select("sig", F.col("tid").alias("a"), F.col("grp").alias("ga"))
-    b = open_rows.select("sig", F.col("tid").alias("b"), F.col("grp").alias("gb"))
-    pairs = a.join(b, "sig").where("ga < gb").select("a", "b").distinct()
-    pairs = (_sized(pairs, info, percent, "sk").mapInArrow(_near(percent), "a long, b long"))
-    tested = stars.union(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    pairs = materialize(pairs.join(tested, ["a", "b"], "left_anti"), "open-pairs")
-    sizes = grouped.select("tid", "grp").distinct()
-    per_group = sizes.groupBy("grp").agg(F.count(F.lit(1)).alias("m"))
-    parts = sizes.join(per_group, "grp").select(
-        "tid", "grp", F.pmod("tid", F.ceil(F.col("m") / PART_MEMBERS)).alias("part"))
-    cells = pairs.join(parts.withColumnRenamed("tid", "b"), "b")
-    opened = cells.select("grp", "part").distinct()
-    union = (parts.join(opened, ["grp", "part"], "left_semi").join(tokens, "tid")
-             .select("grp", "part", F.explode("toks").alias("tok")).distinct())
-    asked = (cells.select("a", "grp", "part").distinct()
-             .join(tokens.select(F.col("tid").alias("a"), F.col("toks")), "a")
-             .select("a", "grp", "part", F.size("toks").alias("na"), F.explode("toks").alias("tok")))
-    reach = (asked.join(union, ["grp", "part", "tok"]).groupBy("a", "grp", "part", "na")
-             .agg(F.count(F.lit(1)).alias("overlap")).where(100 * F.col("overlap") >= percent * F.col("na")))
-    more = _linked(cells.join(reach, ["a", "grp", "part"], "left_semi").select("a", "b"), tokens, percent)
+    more = _matrix_links(members, groups, info, tokens, percent)
     links = materialize(links.union(more), "links")
     comp = components(links, "components")
 
