@@ -62,3 +62,25 @@ select doc_id, {counts},
   sha256(coalesce(string_agg(txt, ',' order by b, ord) filter (where kind in ({base})), '')) base_sha256,
   coalesce(string_agg(txt, ',' order by b, ord), '') spans
 from d left join s using (rid) group by rid, doc_id"""
+
+
+def warc(pages: str = "pages") -> str:
+    """Digest, revisit decision and global order of captures, from the table alone."""
+    bits = "list_reduce([cast(instr('0123456789abcdef', substr(h, 10*g + k, 1)) - 1 as bigint) for k in range(1, 11)], lambda x, y: x * 16 + y)"
+    letters = ("array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + cast(("
+               f"({bits}) >> (35 - 5*i)) & 31 as int), 1) for i in range(0, 8)], '')")
+    return rf"""
+with p as (select row_number() over () rid, page_id, lower(coalesce(url, '')) u, coalesce(html, '') t from {pages}),
+q as (select rid, page_id, t, sha1(encode(t)) h, octet_length(encode(t)) payload_bytes,
+        min(page_id) over (partition by t) low,
+        regexp_replace(u, '^[a-z][a-z0-9+.-]*://|#.*$', '', 'g') bare from p),
+k as (select *, regexp_replace(regexp_extract(bare, '^([^/?]*)', 1), '^[^@]*@|:[0-9]*$', '', 'g') host from q),
+r as (select *, case when bare = '' then '' else concat(array_to_string(list_reverse(string_split(host, '.')), ','), ')',
+        regexp_replace(bare, '^[^/?]*', '')) end url_key,
+        strftime(timestamp '2024-01-01' + to_seconds(coalesce(page_id, 0)), '%Y-%m-%dT%H:%M:%SZ') captured from k)
+select page_id, cast(payload_bytes as bigint) payload_bytes,
+  array_to_string([{letters} for g in range(0, 4)], '') payload_digest,
+  case when page_id > low then 'revisit' else 'response' end record_type,
+  case when page_id > low then low end refers_to, url_key, captured,
+  row_number() over (order by url_key, captured, page_id) history_pos
+from r"""

@@ -50,3 +50,15 @@ def op9(spark, sf_dir):
     from playtrail.llm.jaccard_join import jaccard_join
     return jaccard_join(table(spark, sf_dir, "documents"), words=3, percent=90).select(
         "doc_id", "n_shingles", "component_id")
+
+
+@query("op6_warc", oracles.warc())
+def op6(spark, sf_dir):
+    from playtrail.llm.warc import archive
+    return archive(table(spark, sf_dir, "pages"))
+
+
+@query("op7_source_mixing")
+def op7(spark, sf_dir):
+    from playtrail.llm.mixing import mix
+    return mix(table(spark, sf_dir, "documents"))
