@@ -62,3 +62,9 @@ def op6(spark, sf_dir):
 def op7(spark, sf_dir):
     from playtrail.llm.mixing import mix
     return mix(table(spark, sf_dir, "documents"))
+
+
+@query("op3_quality_classifier")
+def op3(spark, sf_dir):
+    from playtrail.llm.quality_model import classify
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
