@@ -68,3 +68,9 @@ def op7(spark, sf_dir):
 def op3(spark, sf_dir):
     from playtrail.llm.quality_model import classify
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op8_nearest_neighbours")
+def op8(spark, sf_dir):
+    from playtrail.llm.neighbours import nearest
+    return nearest(table(spark, sf_dir, "embeddings"))
