@@ -74,3 +74,9 @@ def op3(spark, sf_dir):
 def op8(spark, sf_dir):
     from playtrail.llm.neighbours import nearest
     return nearest(table(spark, sf_dir, "embeddings"))
+
+
+@query("op5_personal_data")
+def op5(spark, sf_dir):
+    from playtrail.llm.pii import digest_columns, personal_data
+    return digest_columns(personal_data(table(spark, sf_dir, "documents")))
