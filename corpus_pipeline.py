@@ -1,10 +1,69 @@
-"""Corpus pipeline: stages over ``documents``, each written as Parquet and reread."""
+"""Corpus pipeline: five stages over ``documents``, each written as Parquet and
+reread as the next stage's input. All stages but the last return the columns of
+``documents``; the last adds ``codes``.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from playtrail.llm.jaccard_join import one_per_group
+from playtrail.llm.mixing import in_mixture_order
+from playtrail.llm.pii import sanitise
+from playtrail.llm.quality_rules import quality_rules
+from playtrail.llm.sentencepiece_codes import Pieces, decode, encode
+from playtrail.session import bounded_broadcast, configure, materialize
+
+#: Groups of approximate duplicates, SentencePiece codes and PMI are not expressible in one SQL text.
 ORACLE_SQL = None
 
+REJECTED_ROWS = 500_000   # rejected documents that may be broadcast; a shuffle join beyond
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules reject go. The verdict follows from the
+    text alone, so it is joined back by key and text hash."""
+    keyed = docs.withColumn("tid__", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
+    gone = quality_rules(keyed.select(F.col("tid__").alias("doc_id"), "text")).where(~F.col("kept"))
+    gone = materialize(gone.select(F.col("doc_id").alias("gone")).distinct(), "rejected")
+    return keyed.join(bounded_broadcast(gone, REJECTED_ROWS), F.col("tid__") == F.col("gone"), "left_anti").select(*docs.columns)
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays: five-word shingles, 0.8."""
+    return one_per_group(docs, words=5, percent=80)
+
+
+def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data and terms that reveal it are replaced in the text."""
+    return sanitise(docs)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, in the order of the mixture of sources."""
+    return in_mixture_order(docs)
+
+
+def codes_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """SentencePiece codes of every document and the text they decode to."""
+    pieces = Pieces()
+    return decode(encode(docs, pieces), pieces).select("doc_id", "codes", "decoded")
+
+
+STAGES = [
+    ("quality_rules", quality_stage),
+    ("near_duplicates", near_duplicate_stage),
+    ("personal_data", personal_data_stage),
+    ("source_mixing", mixing_stage),
+    ("sentencepiece", codes_stage),
+]
+
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of ``sf_dir``."""
+    configure(spark)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -80,3 +80,14 @@ def op8(spark, sf_dir):
 def op5(spark, sf_dir):
     from playtrail.llm.pii import digest_columns, personal_data
     return digest_columns(personal_data(table(spark, sf_dir, "documents")))
+
+
+@query("op4_sentencepiece")
+def op4(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from playtrail.llm.sentencepiece_codes import Pieces, decode, encode
+    pieces = Pieces()
+    coded = decode(encode(table(spark, sf_dir, "documents"), pieces), pieces)
+    return coded.select("doc_id", F.size("codes").cast("long").alias("n_codes"), "codes",
+                        (F.col("decoded") == F.col("text")).alias("round_trip"))
