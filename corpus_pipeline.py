@@ -25,8 +25,10 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents that the quality rules reject go. The verdict follows from the
     text alone, so it is joined back by key and text hash."""
     keyed = docs.withColumn("tid__", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
-    gone = quality_rules(keyed.select(F.col("tid__").alias("doc_id"), "text")).where(~F.col("kept"))
-    gone = materialize(gone.select(F.col("doc_id").alias("gone")).distinct(), "rejected")
+    # Written before it is filtered: a filter would be pushed into the statistics and repeat them.
+    verdict = materialize(quality_rules(keyed.select(F.col("tid__").alias("doc_id"), "text")).select(
+        F.col("doc_id").alias("gone"), "kept"), "quality-verdicts")
+    gone = materialize(verdict.where(~F.col("kept")).select("gone").distinct(), "rejected")
     return keyed.join(bounded_broadcast(gone, REJECTED_ROWS), F.col("tid__") == F.col("gone"), "left_anti").select(*docs.columns)
 
 
