@@ -43,6 +43,7 @@ MARK = "▁"
 COMMON = 4_000_000
 BYTE0 = 3            # code of byte piece <0x00>
 ROWS = 1_000         # documents coded together
+WIDEN = 4            # tasks of the lattice, times the shuffle partitions
 
 
 class Pieces:
@@ -127,7 +128,7 @@ def fold_viterbi(n: Column, edges: Column) -> Column:
 
     def step(acc, i):
         ends = F.transform(F.filter(edges, lambda e: e["e"] == i), lambda e: F.struct(
-            (F.get(acc, e["s"])["v"] + e["score"]).alias("v"), e["s"].alias("p")))
+            (F.get(acc, e["s"])["v"] - e["cost"]).alias("v"), e["s"].alias("p")))
         fallback = F.struct((F.get(acc, i - 1)["v"] + UNKNOWN).alias("v"), (i - 1).alias("p"))
         return F.concat(acc, F.array(F.array_max(F.concat(ends, F.array(fallback)))))
     table = F.aggregate(F.sequence(F.lit(1), n), state, step)
@@ -146,10 +147,12 @@ def word_table(words: DataFrame, pieces: Pieces, model: str = "bpe") -> DataFram
         "word", "n", "s", F.explode(F.sequence(F.lit(1), F.least(F.lit(pieces.longest), n - F.col("s")))).alias("len"))
     subs = subs.withColumn("sub", F.substr("word", F.col("s") + 1, F.col("len")))
     edge = F.struct((-F.col("score")).alias("cost"), F.col("s").alias("s"), (F.col("s") + F.col("len")).alias("e"),
-                    F.col("code").alias("code"), F.col("score").alias("score"))
+                    F.col("code").alias("code"))
     table = F.broadcast(pieces.frame(words.sparkSession))    # the vocabulary: a fixed size
-    # A left join: a word without any edge keeps a row. The word's partitioning is kept, so grouping moves nothing.
-    found = (subs.join(table, "sub", "left").groupBy("word", "n")
+    # A word keeps its edges, and its first substring should it have none. The
+    # word's partitioning is kept, so grouping moves nothing.
+    found = (subs.join(table, "sub", "left").where("code is not null or (s = 0 and len = 1)")
+             .select("word", "n", "s", "len", "code", "score").groupBy("word", "n")
              .agg(F.sort_array(F.collect_list(F.when(F.col("code").isNotNull(), edge))).alias("edges")))
     fold = {"bpe": fold_bpe, "unigram": fold_viterbi}[model]
     found = found.withColumn("cuts", fold(F.length("word"), F.col("edges")))
@@ -248,7 +251,10 @@ def encode(docs: DataFrame, pieces: Pieces | None = None, model: str = "bpe", id
     pieces = pieces or Pieces()
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).alias("doc_id"), whole_text(text_col).alias("t"))
-    counted = texts.select("t").mapInArrow(_counts(pieces.pattern), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    # The lattice is some twenty times its words, so they are dealt to more tasks than their bytes ask for.
+    tasks = WIDEN * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    counted = (texts.select("t").mapInArrow(_counts(pieces.pattern), "word string, n long")
+               .repartition(tasks, "word").groupBy("word").agg(F.sum("n").alias("n")))
     table = materialize(_with_hash(word_table(counted, pieces, model)), "word-codes")
     shared = spark.sparkContext.broadcast(Table(table, common))
     key = texts.schema["doc_id"].dataType.simpleString()
