@@ -40,7 +40,7 @@ from playtrail.session import materialize
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"   # a public vocabulary file; the path is a parameter
 MARK = "▁"
-COMMON = 4_000_000
+COMMON = 1_000_000
 BYTE0 = 3            # code of byte piece <0x00>
 ROWS = 1_000         # documents coded together
 WIDEN = 4            # tasks of the lattice, times the shuffle partitions
@@ -115,8 +115,9 @@ def fold_bpe(n: Column, edges: Column) -> Column:
         return (i > 0) & (F.get(b, i + 1) == e["e"])
 
     def step(b, _):
-        best = F.get(F.filter(edges, lambda e: joins(b, e)), F.lit(0))
-        return F.when(best.isNull(), b).otherwise(F.array_remove(b, F.get(b, F.array_position(b, best["s"]).cast("int"))))
+        best = F.slice(F.filter(edges, lambda e: joins(b, e)), 1, 1)   # bound once, as an array of one or none
+        return F.coalesce(F.get(F.transform(best, lambda x: F.array_remove(
+            b, F.get(b, F.array_position(b, x["s"]).cast("int")))), F.lit(0)), b)
     return F.aggregate(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), F.sequence(F.lit(0), n), step)
 
 
