@@ -76,12 +76,13 @@ def mlp(n_features: int, hidden: Sequence[int] = (30, 30), classes: int = 4, see
                                           labelCol=LABEL, featuresCol=FEATURES)
 
 
-def sequence_classifier(n: int = 2, vocab: int = 1 << 12, max_iter: int = 100):
+def sequence_classifier(n: int = 2, ids: int = 199, max_iter: int = 100):
     """F17 (re-aimed LSTM): unigram + n-gram counts of the id sequence into a
-    multinomial logistic model. Input column ``tokens`` (array<string>)."""
+    multinomial logistic model. Input column ``tokens`` (array<string>). The
+    vocabularies have room for every id and every n-gram of ids: nothing is cut."""
     grams = NGram(n=n, inputCol="tokens", outputCol="_grams")
-    cv1 = CountVectorizer(inputCol="tokens", outputCol="_uni", vocabSize=vocab)
-    cv2 = CountVectorizer(inputCol="_grams", outputCol="_bi", vocabSize=vocab)
+    cv1 = CountVectorizer(inputCol="tokens", outputCol="_uni", vocabSize=ids)
+    cv2 = CountVectorizer(inputCol="_grams", outputCol="_bi", vocabSize=ids ** n)
     asm = VectorAssembler(inputCols=["_uni", "_bi"], outputCol=FEATURES)
     lr = LogisticRegression(family="multinomial", maxIter=max_iter, labelCol=LABEL, featuresCol=FEATURES)
     return Pipeline(stages=[grams, cv1, cv2, asm, lr])

@@ -246,9 +246,10 @@ def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
 
 def time_to_next(df: DataFrame, keys: Sequence[str] = (KEY, SESSION), col: str = "game_time",
                  order: Sequence[str] = ("event_count", "src_id"), out: str | None = None) -> DataFrame:
-    """``abs(t[i] - t[i+1])`` within each session in event order, 0 on the last row.
+    """``abs(t[i] - t[i+1])`` within each session in event order, 0 on the last row. A null time counts as 0 before the difference.
 
     Sessions are cut into ranges of event_count so a huge session is not one task."""
+    df = df.withColumn(col, F.coalesce(F.col(col), F.lit(0).cast(df.schema[col].dataType)))
     nxt = next_values(df, keys, order, value_bucket(order[0], POSITION_BUCKET), [col], prefix="_next_")
     return nxt.withColumn(out or col, F.coalesce(F.abs(F.col(col) - F.col("_next_" + col)), F.lit(0)).cast(
         df.schema[col].dataType)).drop("_next_" + col)

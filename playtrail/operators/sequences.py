@@ -67,13 +67,12 @@ def pad_sequences(encoded: DataFrame, keys: Sequence[str], maxlen: int = MAX_SEQ
     return seq.select(*keys, pad_front(F.transform("_s", lambda x: x["id"]), maxlen, 0).alias("sequence"))
 
 
-def last_codes(tokens: DataFrame, keys: Sequence[str], n: int = MAX_SEQUENCE_LENGTH) -> DataFrame:
-    """The last ``n`` codes of each key in order (bounded array of strings)."""
-    allow_partial_limit(tokens.sparkSession, n)
-    last = tokens.withColumn("_r", F.row_number().over(
-        Window.partitionBy(*keys).orderBy(F.desc("pos")))).where(F.col("_r") <= n)
-    seq = last.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("pos", "code"))).alias("_s"))
-    return seq.select(*keys, F.transform("_s", lambda x: x["code"]).alias("codes"))
+def code_chunks(tokens: DataFrame, keys: Sequence[str], size: int = MAX_SEQUENCE_LENGTH) -> DataFrame:
+    """All codes of each key in order, as rows ``chunk_no`` (from 0) of ``size``
+    codes each, so a key of any length is bounded arrays in many groups."""
+    chunk = F.floor((F.col("pos") - 1) / size).cast("long").alias("chunk_no")
+    seq = tokens.groupBy(*keys, chunk).agg(F.array_sort(F.collect_list(F.struct("pos", "code"))).alias("_s"))
+    return seq.select(*keys, "chunk_no", F.transform("_s", lambda x: x["code"]).alias("codes"))
 
 
 def kept_tokens(tokens: DataFrame, docs: DataFrame, keys: Sequence[str]) -> DataFrame:

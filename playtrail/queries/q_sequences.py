@@ -95,25 +95,25 @@ def j5(t):
     return docs.withColumn("accuracy_group", round6("accuracy_group"))
 
 
-LAST400 = ("l4 as (select installation_id, game_session, string_agg(cast(event_code as varchar), ' ' order by pos) s "
-           "from (select *, row_number() over (partition by installation_id, game_session order by ts desc, "
-           "event_count desc, src_id desc) r, row_number() over (partition by installation_id, game_session order by "
-           "ts, event_count, src_id) pos from clicks) q where r <= 400 group by all)")
+CHUNKS = ("ch as (select installation_id, game_session, cast((pos - 1) // 400 as bigint) chunk_no, "
+          "string_agg(cast(event_code as varchar), ' ' order by pos) s "
+          "from (select *, row_number() over (partition by installation_id, game_session order by "
+          "ts, event_count, src_id) pos from clicks) q group by all)")
 
 
-def _last400(t):
-    return S.last_codes(S.code_tokens(t.clicks, [KEY, SESSION]), [KEY, SESSION], 400)
+def _chunks(t):
+    return S.code_chunks(S.code_tokens(t.clicks, [KEY, SESSION]), [KEY, SESSION])
 
 
-@query("x6_sliced", "select installation_id, game_session, s codes from l4", ctes=LAST400)
+@query("x6_sliced", "select installation_id, game_session, chunk_no, s codes from ch", ctes=CHUNKS)
 def x6(t):
-    d = _last400(t).withColumn("_joined", F.array_join("codes", ""))
-    return d.select(KEY, SESSION, events_add(sliced("_joined", 4)).alias("codes"))
+    d = _chunks(t).withColumn("_joined", F.array_join("codes", ""))
+    return d.select(KEY, SESSION, "chunk_no", events_add(sliced("_joined", 4)).alias("codes"))
 
 
-@query("x7_events_add", "select installation_id, game_session, s codes from l4", ctes=LAST400)
+@query("x7_events_add", "select installation_id, game_session, chunk_no, s codes from ch", ctes=CHUNKS)
 def x7(t):
-    return _last400(t).select(KEY, SESSION, events_add("codes").alias("codes"))
+    return _chunks(t).select(KEY, SESSION, "chunk_no", events_add("codes").alias("codes"))
 
 
 _FILTERS_SQL = "'" + TOKEN_FILTERS.replace("\t", "").replace("\n", "") + "' || chr(9) || chr(10)"

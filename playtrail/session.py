@@ -60,8 +60,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the operator sets it; only when it is unset (local tests)
-    a scratch folder is created and registered.
+    On a cluster the operator must set it (an error otherwise); only on a local
+    master a scratch folder is created and registered when it is unset.
     """
     current = spark.sparkContext.getCheckpointDir()
     if current:
@@ -69,6 +69,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     conf = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None)
     if not conf:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf = tempfile.mkdtemp(prefix="playtrail-ckpt-")
     spark.sparkContext.setCheckpointDir(conf)
     return spark.sparkContext.getCheckpointDir() or conf
