@@ -85,8 +85,8 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = TREES, depth: int = DEPTH, bi
     """Fit by second-order boosting of the logistic loss over binned features."""
     share = float(y.mean()) if len(y) else 0.5
     none = np.zeros((0, 2 ** depth))
-    if not 0 < share < 1:
-        return Model(math.copysign(60, share - 0.5) if share != 0.5 else 0.0, none[:, 1:].astype(int), none[:, 1:], none)
+    if not len(y) or not 0 < share < 1:
+        return Model(math.copysign(60, share - 0.5) if len(y) else 0.0, none[:, 1:].astype(int), none[:, 1:], none)
     cuts = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, bins + 1)[1:-1])) for f in range(x.shape[1])]
     code = np.stack([np.searchsorted(c, x[:, f], side="left") for f, c in enumerate(cuts)], axis=1)
     base = math.log(share / (1 - share))

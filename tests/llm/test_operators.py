@@ -99,7 +99,7 @@ def test_personal_data_base_spans(docs):
 
 def test_disclosing_terms_are_spans(spark):
     rows = [(i, f"filler number{i} text here Rosalind{'' if i < 3 else i} zed@corp.example end word{i}") for i in range(3)]
-    rows += [(i, f"plain filler text without anything {i} end") for i in range(3, 60)]
+    rows += [(i, f"plain filler text here without anything {i} end") for i in range(3, 60)]
     d = spark.createDataFrame(rows, "doc_id long, text string")
     found = {r.doc_id: r for r in pii.personal_data(d).collect()}
     text = dict(rows)
