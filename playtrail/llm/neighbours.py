@@ -36,7 +36,7 @@ from playtrail.session import materialize
 DEGREE = 24      # neighbours of a node
 NAMED_BY = 12    # nodes that name a node, kept besides
 ORDERS = 4       # random orders of the first graph
-BLOCK = 256      # vectors of a block
+BLOCK = 1024     # vectors of a block
 SIGNS = 5        # coarse cells of an order: 2 ** SIGNS
 ROUNDS = 4       # rounds of NN-descent at most
 BEAM = 80        # candidates of a query
@@ -118,7 +118,7 @@ def _first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def first_graph(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The first graph ``(id, nbs)`` and the block of each node ``(id, block)``."""
-    runs = (nodes.mapInArrow(_orders, "t long, cell long, line double, id long, vec array<double>")
+    runs = (nodes.mapInArrow(_orders, "t long, cell long, line double, id long, vec array<float>")
             .repartitionByRange("t", "cell", "line").sortWithinPartitions("t", "cell", "line", "id"))
     found = materialize(runs.mapInArrow(_first, "t long, id long, block long, best array<struct<s:double,nb:long>>"), "first-neighbours")
     best = F.slice(F.sort_array(F.array_distinct(F.flatten(F.collect_list("best"))), asc=False), 1, DEGREE)
@@ -159,7 +159,7 @@ def hop(centres: DataFrame, lists: DataFrame, nodes: DataFrame, keep: int, name:
     near = wanted.join(lists.select("id", F.col("nbs").alias("ids")), "id")
     near = materialize(near, name + "-lists")
     reach = near.select("block", F.explode("ids").alias("id")).union(wanted.select("block", "id")).distinct()
-    none_ids, none_vec = F.lit(None).cast("array<long>"), F.lit(None).cast("array<double>")
+    none_ids, none_vec = F.lit(None).cast("array<long>"), F.lit(None).cast("array<float>")
     rows = (centres.select("block", F.lit(0).alias("kind"), "id", F.col("nbs").alias("ids"), "vec")
             .union(near.select("block", F.lit(1), "id", "ids", none_vec))
             .union(reach.join(nodes, "id").select("block", F.lit(2), "id", none_ids, "vec")))
@@ -200,7 +200,8 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embeddin
     place = Window.partitionBy("h", "vec").orderBy("vec_id")
     same = base.withColumn("nth", F.row_number().over(place)).withColumn("id", F.min("vec_id").over(Window.partitionBy("h", "vec")))
     same = materialize(same.select("id", "vec_id", "nth", "vec"), "vector-classes")
-    nodes = same.where("nth = 1").select("id", "vec")
+    exact = same.where("nth = 1").select("id", "vec")
+    nodes = exact.select("id", F.col("vec").cast("array<float>").alias("vec"))   # graph and search; scores are exact
     graph, blocks = build(nodes)
     lists = materialize(both_ways(graph), "search-lists")
     asked = materialize(same.where(F.col("vec_id") % every == 0).select("vec_id", "id"), "queries")
@@ -215,8 +216,8 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embeddin
     found = asked.select("id").distinct().select("id", F.col("id").alias("node")).union(found).distinct()
     members = same.where(F.col("nth") <= k + 1).select(F.col("id").alias("node"), "vec_id")
     dot = F.aggregate(F.zip_with("qv", "vec", lambda a, b: a * b), F.lit(0.0), lambda acc, x: acc + x)
-    scored = (found.join(nodes.select(F.col("id"), F.col("vec").alias("qv")), "id")
-              .join(nodes.withColumnRenamed("id", "node"), "node").select("id", "node", dot.alias("score")))
+    scored = (found.join(exact.select(F.col("id"), F.col("vec").alias("qv")), "id")
+              .join(exact.withColumnRenamed("id", "node"), "node").select("id", "node", dot.alias("score")))
     rows = (asked.withColumnRenamed("vec_id", "query_id").join(scored, "id").join(members, "node")
             .where("vec_id <> query_id"))
     rows = rows.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
