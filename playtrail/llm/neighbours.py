@@ -88,7 +88,7 @@ def _first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = np.argsort(-s, axis=1, kind="stable")[:, :k]
         rows = np.arange(len(ids))[:, None]
         offsets = pa.array(np.arange(len(ids) + 1, dtype=np.int32) * k)
-        pairs = pa.StructArray.from_arrays([pa.array(s[rows, best].ravel()), pa.array(ids[best].ravel())], ["s", "nb"])
+        pairs = pa.StructArray.from_arrays([pa.array(s[rows, best].ravel().astype(np.float64)), pa.array(ids[best].ravel())], ["s", "nb"])
         return pa.RecordBatch.from_arrays(
             [table.column("t").combine_chunks(), table.column("id").combine_chunks(),
              pa.array(np.full(len(ids), ids.min())), pa.ListArray.from_arrays(offsets, pairs)], ["t", "id", "block", "best"])
