@@ -31,6 +31,6 @@ def spark():
 def duck():
     import duckdb
     con = duckdb.connect()
-    for t in ("events", "embeddings", "labels"):
+    for t in ("events", "embeddings", "labels", "documents", "pages", "benchmark", "conversations"):
         con.execute(f"create view {t} as select * from read_parquet('{SF_SMALL}/{t}.parquet')")
     return con
