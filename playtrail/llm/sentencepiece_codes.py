@@ -1,11 +1,11 @@
 """SentencePiece encoding and decoding over a relational lattice of words.
 
-A text is cut into words that no piece can cross: a run of word marks with what
-follows it, cut again at control characters that no longer piece holds. Each
-distinct word of the corpus is encoded once: its substrings (up to the longest
-piece) are exploded and equi-joined to the piece table, the edges are grouped by
-word, and a Spark higher-order ``aggregate`` folds the lattice. Characters
-without a piece become byte pieces.
+A text is cut into words wherever no piece holds the two neighbouring characters
+side by side: no piece can cross there, so the words have the codes they have in
+the text. Each distinct word of the corpus is encoded once: its substrings (up to
+the longest piece) are exploded and equi-joined to the piece table, the edges are
+grouped by word, and a Spark higher-order ``aggregate`` folds the lattice.
+Characters without a piece become byte pieces.
 
 The fold depends on the model type. ``unigram`` tables fold Viterbi: the best
 sum of scores up to each position. A BPE model assigns other pieces than the
@@ -13,10 +13,10 @@ best sum of its scores, so for ``bpe`` the fold applies, step by step, the best
 scored edge that spans two neighbouring pieces, leftmost first: these are the
 codes the model's own library gives.
 
-Texts are coded through the word table: its ``COMMON`` most frequent words as a
-broadcast of hashes and codes (at most ``COMMON`` x about 20 bytes, whatever the
-corpus), all other words by an equi-join of the word table with the (document,
-word) pairs that need them.
+Texts are coded through the word table: its most frequent words (at most
+``COMMON``, of up to ``SHORT`` characters, whatever the corpus) as a broadcast,
+all other words by an equi-join of the word table with the (document, word)
+pairs that need them.
 
 Defined results: a null or empty text has no codes; repeated rows get equal
 codes; an empty table gives no rows; a null key is kept; other columns are not
@@ -26,12 +26,11 @@ one in front; unknown codes raise.
 
 from __future__ import annotations
 
-import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,9 +39,10 @@ from playtrail.session import materialize
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"   # a public vocabulary file; the path is a parameter
 MARK = "▁"
-COMMON = 1_000_000
+COMMON = 500_000     # words of the broadcast table at most
+SHORT = 64           # characters of its words at most
 BYTE0 = 3            # code of byte piece <0x00>
-ROWS = 1_000         # documents coded together
+BYTES = 8_000_000    # of texts coded together
 WIDEN = 4            # tasks of the lattice, times the shuffle partitions
 
 
@@ -65,40 +65,66 @@ class Pieces:
 
     def _ready(self) -> None:
         self.longest = max(len(t) for t, _, _ in self.rows)
-        inside = {c for t, _, _ in self.rows if len(t) > 1 for c in t}
-        if any(MARK in t.lstrip(MARK) for t, _, _ in self.rows):
-            raise ValueError("a piece crosses words")
-        alone = "".join(chr(c) for c in range(32) if chr(c) not in inside)
-        cut = re.escape(alone)
-        self.pattern = f"[{cut}]|{MARK}+[^{MARK}{cut}]*|[^{MARK}{cut}]+" if alone else f"{MARK}+[^{MARK}]*|[^{MARK}]+"
+        # [last byte of a character, first byte of the next]: no piece holds the two side by side.
+        self.cut = np.ones((256, 256), dtype=bool)
+        self.cut[:, 0x80:0xC0] = False
+        for a, b in {(x, y) for t, _, _ in self.rows for x, y in zip(t, t[1:])}:
+            self.cut[_as_text(a)[-1], _as_text(b)[0]] = False
 
     def frame(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(self.rows, "sub string, code int, score double")
 
 
-def words_of(text: str, pattern: re.Pattern) -> list[str]:
-    return pattern.findall(MARK + text.replace(" ", MARK)) if text else []
-
-
-def _hash(word: str) -> int:
-    import xxhash
-    return xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"), seed=42)  # as Spark's xxhash64
-
-
-def _counts(pattern: str):
+def _as_text(piece: str) -> bytes:
+    """The bytes a piece stands for: a word mark is a space."""
+    return piece.replace(MARK, " ").encode("utf-8")
+
+
+def _words(texts: pa.Array, cut: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """The words of all ``texts`` in a row, word marks as spaces, and the number of each text."""
+    texts = pc.replace_substring(texts, MARK, " ")
+    texts = pc.if_else(pc.equal(texts, ""), "", pc.binary_join_element_wise(" ", texts, ""))
+    ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[ends[0]:ends[-1]]
+    ends = ends - ends[0]
+    start = np.zeros(len(data) + 1, dtype=bool)
+    if len(data):
+        start[1:-1] = cut.ravel()[(data[:-1].astype(np.uint16) << 8) | data[1:]]
+    start[ends] = True
+    at = np.flatnonzero(start).astype(np.int32)    # the last is the end of the data
+    words = pa.StringArray.from_buffers(len(at) - 1, pa.py_buffer(at), pa.py_buffer(np.ascontiguousarray(data)))
+    return words, np.diff(np.searchsorted(at, ends))
+
+
+def _slices(batches: Iterator[pa.RecordBatch], col: str, most: int) -> Iterator[pa.RecordBatch]:
+    """Batches cut into runs of rows of about ``most`` bytes or elements of ``col``."""
+    for b in batches:
+        if not b.num_rows:
+            continue
+        c = b.column(col)
+        size = pc.binary_length(c) if pa.types.is_string(c.type) else pc.list_value_length(c)
+        part = np.cumsum(size.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)) // most
+        edges = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1, [b.num_rows]])
+        for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist()):
+            yield b.slice(lo, hi - lo)
+
+
+def _counts(cut: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rx, counts = re.compile(pattern), Counter()
-
-        def out():
-            batch = pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
-            counts.clear()
-            return batch
-        for b in batches:
-            for text in b.column("t").to_pylist():
-                counts.update(words_of(text, rx))
-                if len(counts) > 300_000:
-                    yield out()
-        yield out()
+        held: list[pa.Table] = []
+
+        def summed() -> pa.Table:
+            both = pa.concat_tables(held).group_by("word").aggregate([("n", "sum")])
+            return pa.table({"word": both.column("word"), "n": both.column("n_sum")})
+        for b in _slices(batches, "t", BYTES):
+            found = _words(b.column("t"), cut)[0].value_counts()
+            held.append(pa.table({"word": found.field("values"), "n": found.field("counts")}))
+            if len(held) > 8:
+                held[:] = [summed()]
+                if held[0].num_rows > 600_000:
+                    yield from held.pop().to_batches()
+        if held:
+            yield from summed().to_batches()
     return run
 
 
@@ -167,82 +193,91 @@ def word_table(words: DataFrame, pieces: Pieces, model: str = "bpe") -> DataFram
 
 
 class Table:
-    """Codes of the most frequent words by 64-bit hash, in three arrays."""
-
-    def __init__(self, words: DataFrame, most: int = COMMON):
-        top = words.orderBy(F.desc("n"), "word").limit(most)
-        rows = top.select(F.col("h"), "codes").toArrow()   # at most ``most`` rows of about 20 bytes
-        order = np.argsort(h := rows.column("h").to_numpy().view(np.uint64))
-        codes = rows.column("codes").combine_chunks()
-        size = codes.value_lengths().to_numpy().astype(np.int64) if len(h) else np.empty(0, np.int64)
-        start = np.cumsum(size) - size
-        self.hash, self.start, self.size = h[order], start[order].astype(np.int32), size[order].astype(np.int32)
-        self.codes = (codes.flatten() if len(h) else pa.array([], pa.int32())).to_numpy().astype(np.uint16)
-
-    def codes_of(self, words: list[str]) -> list[np.ndarray | None]:
-        if not len(self.hash):
-            return [None] * len(words)
-        h = np.array([_hash(w) for w in words], dtype=np.uint64)
-        at = np.minimum(np.searchsorted(self.hash, h), len(self.hash) - 1)
-        hit = self.hash[at] == h
-        return [self.codes[self.start[i]:self.start[i] + self.size[i]] if ok else None for i, ok in zip(at.tolist(), hit.tolist())]
-
-
-class _Coder:
-    """Codes texts with the common table and a document's own rare words."""
-
-    def __init__(self, table: Table, pattern: str):
-        self.table, self.rx, self.known = table, re.compile(pattern), {}
-
-    def learn(self, texts: list[list[str]]) -> None:
-        if len(self.known) > 400_000:
-            self.known.clear()
-        new = list({w for ws in texts for w in ws if w not in self.known})
-        self.known.update(zip(new, self.table.codes_of(new)))
-
-
-def _rare(table, pattern: str):
+    """Words and their codes, in flat arrays."""
+
+    def __init__(self, words: pa.Array, codes: pa.ListArray):
+        self.words = words
+        self.size = codes.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        self.start = np.cumsum(self.size) - self.size
+        self.codes = codes.flatten().to_numpy(zero_copy_only=False).astype(np.int32)
+
+    def where(self, words: pa.Array) -> np.ndarray:
+        """The row of each word, -1 for none."""
+        return pc.index_in(words, value_set=self.words).fill_null(-1).to_numpy(zero_copy_only=False)
+
+
+def _gather(pool: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The runs ``pool[start:start + size]``, one after another."""
+    shift = start - (np.cumsum(size) - size)
+    return pool[np.repeat(shift, size) + np.arange(size.sum())]
+
+
+def common_words(words: DataFrame, most: int = COMMON) -> tuple[Table, bool]:
+    """The most frequent words, at most ``most``, and whether these are all. The
+    least count of a common word follows from a histogram of the counts."""
+    step = F.floor(F.log2("n") * 16)
+    short = F.length("word") <= SHORT
+    bars = words.groupBy(step.alias("step"), short.alias("short")).count().orderBy(F.desc("step")).collect()  # some hundred rows
+    least, total = None, 0
+    for bar in (b for b in bars if b["short"]):
+        if total + bar["count"] > most:
+            break
+        least, total = bar["step"], total + bar["count"]
+    rows = words.where(short & (step >= F.lit(least))) if least is not None else words.limit(0)
+    got = rows.select("word", "codes").toArrow().combine_chunks()   # at most ``most`` short words
+    codes = got.column("codes")
+    codes = codes.chunk(0) if codes.num_chunks else pa.array([], pa.list_(pa.int32()))
+    texts = got.column("word").cast(pa.string())
+    texts = texts.chunk(0) if texts.num_chunks else pa.array([], pa.string())
+    return Table(pc.replace_substring(texts, MARK, " "), codes), total == sum(b["count"] for b in bars)
+
+
+def _rare(table, cut: np.ndarray):
     """Words of each document that the common table lacks."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = _Coder(table.value, pattern)
-        for whole in batches:
-            for at in range(0, whole.num_rows, ROWS):
-                b = whole.slice(at, ROWS)
-                texts = [words_of(t, c.rx) for t in b.column("t").to_pylist()]
-                c.learn(texts)
-                lack = [(i, w) for i, ws in enumerate(texts) for w in dict.fromkeys(ws) if c.known[w] is None]
-                rows = pa.array([i for i, _ in lack], pa.int64())
-                yield pa.RecordBatch.from_arrays([b.column("addr").take(rows), pa.array([w for _, w in lack], pa.string())], ["addr", "word"])
+        for b in _slices(batches, "t", BYTES):
+            words, count = _words(b.column("t"), cut)
+            coded = words.dictionary_encode()
+            lack = table.value.where(coded.dictionary) < 0
+            which = coded.indices.to_numpy()
+            miss = lack[which]
+            pairs = np.unique(np.repeat(np.arange(b.num_rows), count)[miss] * len(lack) + which[miss])
+            yield pa.RecordBatch.from_arrays(
+                [b.column("addr").take(pa.array(pairs // len(lack) if len(pairs) else pairs)),
+                 pc.replace_substring(coded.dictionary.take(pa.array(pairs % len(lack) if len(pairs) else pairs)), " ", MARK)],
+                ["addr", "word"])
     return run
 
 
-def _encode(table, pattern: str, complete: bool | None):
+def _encode(table, cut: np.ndarray, complete: bool):
     """Codes of each document; with ``complete`` only of documents without rare
-    words, with None of documents with their ``rare`` words."""
+    words, else of documents with their ``rare`` words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = _Coder(table.value, pattern)
-        none = np.empty(0, np.uint16)
-        for whole in batches:
-            for at in range(0, whole.num_rows, ROWS):
-                b = whole.slice(at, ROWS)
-                texts = [words_of(t, c.rx) for t in b.column("t").to_pylist()]
-                c.learn(texts)
-                own = ([dict(zip(w or [], x or [])) for w, x in zip(b.column("rare").to_pylist(), b.column("rare_codes").to_pylist())]
-                       if complete is None else [{}] * b.num_rows)
-                keep, out = [], []
-                for i, ws in enumerate(texts):
-                    codes = [x if (x := c.known[w]) is not None else own[i].get(w) for w in ws]
-                    if any(x is None for x in codes):
-                        if complete is None:
-                            raise ValueError("a word without codes")
-                        continue
-                    keep.append(i)
-                    out.append(np.concatenate([none, *codes]).astype(np.int32))
-                rows = pa.array(keep, pa.int64())
-                offsets = pa.array(np.concatenate([[0], np.cumsum([len(x) for x in out])]).astype(np.int32))
-                flat = pa.array(np.concatenate(out) if out else np.empty(0, np.int32))
-                yield pa.RecordBatch.from_arrays([b.column("doc_id").take(rows), b.column("t").take(rows),
-                                                  pa.ListArray.from_arrays(offsets, flat)], ["doc_id", "text", "codes"])
+        known = table.value
+        for b in _slices(batches, "t", BYTES):
+            words, count = _words(b.column("t"), cut)
+            coded = words.dictionary_encode()
+            at = known.where(coded.dictionary)
+            pool, start, size = known.codes, known.start, known.size
+            if not complete:
+                own = Table(pc.replace_substring(b.column("rare").flatten(), MARK, " "), b.column("rare_codes").flatten())
+                other = own.where(coded.dictionary)
+                at = np.where((at < 0) & (other >= 0), other + len(start), at)
+                pool, start, size = (np.concatenate(x) for x in ((pool, own.codes), (start, own.start + len(pool)), (size, own.size)))
+            which = at[coded.indices.to_numpy()]
+            doc = np.repeat(np.arange(b.num_rows), count)
+            lack = np.bincount(doc[which < 0], minlength=b.num_rows) > 0
+            if not complete and lack.any():
+                raise ValueError("a word without codes")
+            which = which[~lack[doc]]
+            keep = np.flatnonzero(~lack)
+            ends = np.concatenate([[0], np.cumsum(count[keep])])
+            sizes = size[which] if len(which) else np.empty(0, np.int64)
+            codes = _gather(pool, start[which], sizes) if len(which) else np.empty(0, np.int32)
+            offsets = np.concatenate([[0], np.cumsum(sizes)])[ends].astype(np.int32)
+            rows = pa.array(keep)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id").take(rows), b.column("t").take(rows),
+                                              pa.ListArray.from_arrays(pa.array(offsets), pa.array(codes))], ["doc_id", "text", "codes"])
     return run
 
 
@@ -254,47 +289,61 @@ def encode(docs: DataFrame, pieces: Pieces | None = None, model: str = "bpe", id
     texts = docs.select(F.col(id_col).alias("doc_id"), whole_text(text_col).alias("t"))
     # The lattice is some twenty times its words, so they are dealt to more tasks than their bytes ask for.
     tasks = WIDEN * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    counted = (texts.select("t").mapInArrow(_counts(pieces.pattern), "word string, n long")
-               .repartition(tasks, "word").groupBy("word").agg(F.sum("n").alias("n")))
-    table = materialize(_with_hash(word_table(counted, pieces, model)), "word-codes")
-    shared = spark.sparkContext.broadcast(Table(table, common))
+    counted = (texts.select("t").mapInArrow(_counts(pieces.cut), "word string, n long")
+               .repartition(tasks, "word").groupBy("word").agg(F.sum("n").alias("n"))
+               .select(F.replace("word", F.lit(" "), F.lit(MARK)).alias("word"), "n"))
+    table = materialize(word_table(counted, pieces, model), "word-codes")
+    most, all_of_them = common_words(table, common)
+    shared = spark.sparkContext.broadcast(most)
     key = texts.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {key}, text string, codes array<int>"
-    whole = texts.select("doc_id", "t").mapInArrow(_encode(shared, pieces.pattern, True), schema)
-    if table.limit(common + 1).count() <= common:
+    whole = texts.select("doc_id", "t").mapInArrow(_encode(shared, pieces.cut, True), schema)
+    if all_of_them:
         return whole
     keyed = texts.withColumn("addr", F.xxhash64("t"))
-    lack = keyed.select("addr", "t").mapInArrow(_rare(shared, pieces.pattern), "addr long, word string").distinct()
+    lack = (keyed.select("addr", "t").mapInArrow(_rare(shared, pieces.cut), "addr long, word string")
+            .repartition(tasks, "word").dropDuplicates(["addr", "word"]))
     found = (lack.join(table.select("word", "codes"), "word").groupBy("addr")
              .agg(F.collect_list(F.struct("word", "codes")).alias("x"))
              .select("addr", F.col("x.word").alias("rare"), F.col("x.codes").alias("rare_codes")))
     rest = keyed.join(found, "addr").select("doc_id", "t", "rare", "rare_codes").mapInArrow(
-        _encode(shared, pieces.pattern, None), schema)
+        _encode(shared, pieces.cut, False), schema)
     return whole.union(rest)
 
 
-def _with_hash(words: DataFrame) -> DataFrame:
-    return words.withColumn("h", F.xxhash64(F.col("word")))
-
-
-def _decode(pieces: list[bytes | None]):
+def _decode(data: np.ndarray, start: np.ndarray, size: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out = []
-            for codes in b.column("codes").to_pylist():
-                raw = b"".join([pieces[c] for c in codes or []]).decode("utf-8", "replace").replace(MARK, " ")
-                out.append(raw[1:] if raw.startswith(" ") else raw)
-            yield pa.RecordBatch.from_arrays([b.column(i) for i in range(b.num_columns)] + [pa.array(out, pa.string())],
-                                             [*b.schema.names, "decoded"])
+        for b in _slices(batches, "codes", BYTES // 4):
+            lists = b.column("codes")
+            codes = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            if len(codes) and (codes.min() < 0 or codes.max() >= len(size) or (size[codes] < 0).any()):
+                raise ValueError("an unknown code")
+            raw = _gather(data, start[codes], size[codes])
+            per_doc = np.concatenate([[0], np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))])
+            ends = np.concatenate([[0], np.cumsum(size[codes])])[per_doc]
+            keep = np.ones(len(raw) + 1, dtype=bool)       # without the word mark in front of a text
+            first = ends[:-1][ends[:-1] < ends[1:]]
+            keep[first] = raw[first] != 32
+            ends -= np.concatenate([[0], np.cumsum(~keep)])[ends]
+            raw = raw[keep[:-1]]
+            out = pa.StringArray.from_buffers(b.num_rows, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(raw))
+            try:
+                out.validate(full=True)
+            except pa.ArrowInvalid:     # bytes that are no UTF-8
+                out = pa.array([raw[i:j].tobytes().decode("utf-8", "replace") for i, j in zip(ends[:-1], ends[1:])], pa.string())
+            yield pa.RecordBatch.from_arrays([*b.columns, out], [*b.schema.names, "decoded"])
     return run
 
 
 def decode(coded: DataFrame, pieces: Pieces | None = None) -> DataFrame:
     """All columns of ``coded`` and the text of ``codes``, as ``decoded``."""
     pieces = pieces or Pieces()
-    table: list[bytes | None] = [None] * (max(i for _, i, _ in pieces.rows) + 1)
+    table: list[bytes | None] = [None] * max(max(i for _, i, _ in pieces.rows) + 1, BYTE0 + 256)
     table[BYTE0:BYTE0 + 256] = [bytes([i]) for i in range(256)]
     for text, i, _ in pieces.rows:
-        table[i] = text.encode()
+        table[i] = _as_text(text)
+    size = np.array([-1 if t is None else len(t) for t in table])
+    long = np.maximum(size, 0)
+    data = np.frombuffer(b"".join(t or b"" for t in table), np.uint8)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in coded.schema)
-    return coded.mapInArrow(_decode(table), f"{fields}, decoded string")
+    return coded.mapInArrow(_decode(data, np.cumsum(long) - long, size), f"{fields}, decoded string")
