@@ -39,10 +39,10 @@ from playtrail.session import materialize
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"   # a public vocabulary file; the path is a parameter
 MARK = "▁"
-COMMON = 500_000     # words of the broadcast table at most
+COMMON = 300_000     # words of the broadcast table at most
 SHORT = 64           # characters of its words at most
 BYTE0 = 3            # code of byte piece <0x00>
-BYTES = 8_000_000    # of texts coded together
+BYTES = 4_000_000    # of texts coded together
 WIDEN = 4            # tasks of the lattice, times the shuffle partitions
 
 
@@ -118,7 +118,7 @@ def _counts(cut: np.ndarray):
             return pa.table({"word": both.column("word"), "n": both.column("n_sum")})
         for b in _slices(batches, "t", BYTES):
             found = _words(b.column("t"), cut)[0].value_counts()
-            held.append(pa.table({"word": found.field("values"), "n": found.field("counts")}))
+            held.append(pa.table({"word": pc.replace_substring(found.field("values"), " ", MARK), "n": found.field("counts")}))
             if len(held) > 8:
                 held[:] = [summed()]
                 if held[0].num_rows > 600_000:
@@ -135,16 +135,22 @@ def _bytes_of(ch: Column) -> Column:
 
 
 def fold_bpe(n: Column, edges: Column) -> Column:
-    """Start positions of the pieces, ended by ``n``; ``edges`` best first."""
+    """Start positions of the pieces, ended by ``n``; ``edges`` best first. The state
+    holds the positions left and the edges between them that can still be used."""
     def joins(b, e):
         i = F.array_position(b, e["s"]).cast("int")
         return (i > 0) & (F.get(b, i + 1) == e["e"])
 
-    def step(b, _):
-        best = F.slice(F.filter(edges, lambda e: joins(b, e)), 1, 1)   # bound once, as an array of one or none
-        return F.coalesce(F.get(F.transform(best, lambda x: F.array_remove(
-            b, F.get(b, F.array_position(b, x["s"]).cast("int")))), F.lit(0)), b)
-    return F.aggregate(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), F.sequence(F.lit(0), n), step)
+    def step(state, _):
+        b, alive = state["b"], state["e"]
+        best = F.slice(F.filter(alive, lambda e: joins(b, e)), 1, 1)   # arrays of one or none bind a value once
+        gone = F.transform(best, lambda x: F.get(b, F.array_position(b, x["s"]).cast("int")))
+        after = F.transform(gone, lambda g: F.struct(
+            F.array_remove(b, g).alias("b"), F.filter(alive, lambda e: (e["s"] != g) & (e["e"] != g)).alias("e")))
+        return F.coalesce(F.get(after, F.lit(0)), F.struct(b.alias("b"), F.slice(alive, 1, 0).alias("e")))
+    wide = F.filter(edges, lambda e: e["e"] - e["s"] > 1)              # one character spans no two pieces
+    state = F.struct(F.sequence(F.lit(0), n).alias("b"), wide.alias("e"))
+    return F.aggregate(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), state, step, lambda done: done["b"])
 
 
 def fold_viterbi(n: Column, edges: Column) -> Column:
@@ -208,8 +214,8 @@ class Table:
 
 def _gather(pool: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """The runs ``pool[start:start + size]``, one after another."""
-    shift = start - (np.cumsum(size) - size)
-    return pool[np.repeat(shift, size) + np.arange(size.sum())]
+    shift = (start - (np.cumsum(size) - size)).astype(np.int32)
+    return pool[np.repeat(shift, size) + np.arange(size.sum(), dtype=np.int32)]
 
 
 def common_words(words: DataFrame, most: int = COMMON) -> tuple[Table, bool]:
@@ -290,8 +296,7 @@ def encode(docs: DataFrame, pieces: Pieces | None = None, model: str = "bpe", id
     # The lattice is some twenty times its words, so they are dealt to more tasks than their bytes ask for.
     tasks = WIDEN * int(spark.conf.get("spark.sql.shuffle.partitions"))
     counted = (texts.select("t").mapInArrow(_counts(pieces.cut), "word string, n long")
-               .repartition(tasks, "word").groupBy("word").agg(F.sum("n").alias("n"))
-               .select(F.replace("word", F.lit(" "), F.lit(MARK)).alias("word"), "n"))
+               .repartition(tasks, "word").groupBy("word").agg(F.sum("n").alias("n")))
     table = materialize(word_table(counted, pieces, model), "word-codes")
     most, all_of_them = common_words(table, common)
     shared = spark.sparkContext.broadcast(most)
