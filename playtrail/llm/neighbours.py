@@ -2,14 +2,16 @@
 
 Build: vectors are put in order by random projections several times; runs of
 ``BLOCK`` consecutive vectors give each vector its first neighbours. Then rounds
-of NN-descent: every vector looks at the neighbours of its neighbours (and of
-those that name it) and keeps the best ``DEGREE``. Search: a query starts from
+of NN-descent: the neighbours of a vector (and those that name it) meet each
+other, so that each sees neighbours of its neighbours, and each keeps its best
+``DEGREE``. Search: a query starts from
 its neighbours in the graph and greedily expands its best ``BEAM`` candidates
 until none of the beams changes.
 
-A round works by blocks of similar vectors: neighbour lists and vectors that the
-members of a block need are joined once per block, not once per member, so a
-round's shuffle is the graph and a few copies of the vectors.
+A round works by blocks of similar vectors: vectors that the members of a block
+need are joined once per block, not once per member, and only scores that beat
+a node's present list leave the block, so a round's shuffle is the graph and a
+few copies of the vectors.
 
 Equal vectors are one node of the graph; each node keeps its ``k + 1`` smallest
 ids, which is all that a result of ``k`` rows can use (equal scores go to the
@@ -34,13 +36,14 @@ from pyspark.sql import functions as F
 from playtrail.session import materialize
 
 DEGREE = 24      # neighbours of a node
-NAMED_BY = 12    # nodes that name a node, kept besides
+NAMED_BY = 16    # nodes that name a node, kept besides
 ORDERS = 4       # random orders of the first graph
-BLOCK = 1024     # vectors of a block
+BLOCK = 4096     # vectors of a block
 SIGNS = 5        # coarse cells of an order: 2 ** SIGNS
-ROUNDS = 4       # rounds of NN-descent at most
-BEAM = 80        # candidates of a query
+ROUNDS = 6       # rounds of NN-descent at most
+BEAM = 128       # candidates of a query
 HOPS = 4         # rounds of a search at most
+BEST = "array<struct<s:float,nb:long>>"
 
 
 def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -85,10 +88,10 @@ def _first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = x @ x.T
         np.fill_diagonal(s, -np.inf)
         k = min(DEGREE, len(ids) - 1)
-        best = np.argsort(-s, axis=1, kind="stable")[:, :k]
         rows = np.arange(len(ids))[:, None]
+        best = np.argpartition(-s, k - 1, axis=1)[:, :k] if 0 < k < len(ids) - 1 else np.argsort(-s, axis=1)[:, :k]
         offsets = pa.array(np.arange(len(ids) + 1, dtype=np.int32) * k)
-        pairs = pa.StructArray.from_arrays([pa.array(s[rows, best].ravel().astype(np.float64)), pa.array(ids[best].ravel())], ["s", "nb"])
+        pairs = pa.StructArray.from_arrays([pa.array(s[rows, best].ravel().astype(np.float32)), pa.array(ids[best].ravel())], ["s", "nb"])
         return pa.RecordBatch.from_arrays(
             [table.column("t").combine_chunks(), table.column("id").combine_chunks(),
              pa.array(np.full(len(ids), ids.min())), pa.ListArray.from_arrays(offsets, pairs)], ["t", "id", "block", "best"])
@@ -116,14 +119,74 @@ def _first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from blocks(True)
 
 
+def _best(found: DataFrame) -> DataFrame:
+    """The graph ``(id, best, nbs)`` from rows ``(id, best)`` with scored neighbours."""
+    ranked = (found.groupBy("id").agg(F.flatten(F.collect_list("best")).alias("all"))
+              .select("id", F.sort_array(F.array_distinct("all"), asc=False).alias("all"))
+              .withColumn("names", F.transform("all", lambda e: e["nb"])))
+    # A neighbour scored in two blocks may differ in the last bits: its first place counts.
+    once = F.filter("all", lambda e, i: F.array_position("names", e["nb"]) == i + 1)
+    return ranked.select("id", F.slice(once, 1, DEGREE).alias("best")).withColumn(
+        "nbs", F.transform("best", lambda e: e["nb"]))
+
+
 def first_graph(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The first graph ``(id, nbs)`` and the block of each node ``(id, block)``."""
+    """The first graph ``(id, best, nbs)`` and the block of each node ``(id, block)``."""
     runs = (nodes.mapInArrow(_orders, "t long, cell long, line double, id long, vec array<float>")
             .repartitionByRange("t", "cell", "line").sortWithinPartitions("t", "cell", "line", "id"))
-    found = materialize(runs.mapInArrow(_first, "t long, id long, block long, best array<struct<s:double,nb:long>>"), "first-neighbours")
-    best = F.slice(F.sort_array(F.array_distinct(F.flatten(F.collect_list("best"))), asc=False), 1, DEGREE)
-    graph = found.groupBy("id").agg(F.transform(best, lambda e: e["nb"]).alias("nbs"))
-    return materialize(graph, "graph"), materialize(found.where("t = 0").select("id", "block"), "blocks")
+    found = materialize(runs.mapInArrow(_first, f"t long, id long, block long, best {BEST}"), "first-neighbours")
+    return materialize(_best(found), "graph"), materialize(found.where("t = 0").select("id", "block"), "blocks")
+
+
+def _meet(table: pa.Table) -> pa.Table:
+    """Scores among the members of each list of a block. Returned are, for each node
+    met, the best ``DEGREE`` that beat the worst of its present list."""
+    kind = table.column("kind").to_numpy()
+    lists, vecs = (table.filter(pa.array(kind == k)).combine_chunks() for k in (0, 1))
+    order = np.argsort(vecs.column("id").to_numpy())
+    ids, x = vecs.column("id").to_numpy()[order], _matrix(vecs.column("vec").combine_chunks())[order]
+    floor = vecs.column("floor").to_numpy()[order]
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def trimmed() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        u, w, s = (np.concatenate(c) for c in zip(*found)) if found else (np.empty(0, np.int64),) * 2 + (np.empty(0, np.float32),)
+        _, first = np.unique(u * len(ids) + w, return_index=True)
+        u, w, s = u[first], w[first], s[first]
+        at = np.lexsort((w, -s, u))
+        u, w, s = u[at], w[at], s[at]
+        nth = np.arange(len(u)) - np.searchsorted(u, u)
+        return u[nth < DEGREE], w[nth < DEGREE], s[nth < DEGREE]
+
+    held = 0
+    for own, v in zip(lists.column("ids").combine_chunks(), lists.column("id").to_numpy()):
+        at = np.searchsorted(ids, np.append(np.asarray(own.values), v))
+        s = x[at] @ x[at].T
+        np.fill_diagonal(s, -np.inf)
+        i, j = np.nonzero(s > floor[at][:, None])
+        found.append((at[i], at[j], s[i, j]))
+        held += len(i)
+        if held > 4_000_000:
+            found[:] = [trimmed()]
+            held = len(found[0][0])
+    u, w, s = trimmed()
+    met, start = np.unique(u, return_index=True)
+    pairs = pa.StructArray.from_arrays([pa.array(s.astype(np.float32)), pa.array(ids[w])], ["s", "nb"])
+    offsets = pa.array(np.append(start, len(u)).astype(np.int32))
+    return pa.table({"id": pa.array(ids[met]), "best": pa.ListArray.from_arrays(offsets, pairs)})
+
+
+def descend(graph: DataFrame, blocks: DataFrame, nodes: DataFrame, name: str) -> DataFrame:
+    """One round of NN-descent: the members of a two-way list meet each other, and
+    each keeps what beats its list. A block holds each vector it needs once."""
+    lists = materialize(both_ways(graph).join(blocks, "id"), name + "-lists")
+    floor = F.when(F.size("best") >= DEGREE, F.get("best", F.lit(DEGREE - 1))["s"]).otherwise(F.lit(float("-inf")))
+    needed = lists.select("block", F.explode(F.concat("nbs", F.array("id"))).alias("id")).distinct()
+    vectors = nodes.join(graph.select("id", floor.cast("float").alias("floor")), "id")
+    rows = (lists.select("block", F.lit(0).alias("kind"), "id", F.col("nbs").alias("ids"),
+                         F.lit(None).cast("array<float>").alias("vec"), F.lit(None).cast("float").alias("floor"))
+            .union(needed.join(vectors, "id").select("block", F.lit(1), "id", F.lit(None).cast("array<long>"), "vec", "floor")))
+    met = rows.groupBy("block").applyInArrow(_meet, f"id long, best {BEST}")
+    return materialize(_best(graph.select("id", "best").union(met)), name)
 
 
 def _expand(keep: int):
@@ -157,7 +220,6 @@ def hop(centres: DataFrame, lists: DataFrame, nodes: DataFrame, keep: int, name:
     """One round for centres ``(id, block, nbs, vec)``: ``(id, nbs, changed)``."""
     wanted = centres.select("block", F.explode("nbs").alias("id")).distinct()
     near = wanted.join(lists.select("id", F.col("nbs").alias("ids")), "id")
-    near = materialize(near, name + "-lists")
     reach = near.select("block", F.explode("ids").alias("id")).union(wanted.select("block", "id")).distinct()
     none_ids, none_vec = F.lit(None).cast("array<long>"), F.lit(None).cast("array<float>")
     rows = (centres.select("block", F.lit(0).alias("kind"), "id", F.col("nbs").alias("ids"), "vec")
@@ -177,19 +239,17 @@ def both_ways(graph: DataFrame) -> DataFrame:
 
 
 def build(nodes: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
-    """NN-descent over ``nodes`` (id, vec): the graph ``(id, nbs)`` and the blocks."""
+    """NN-descent over ``nodes`` (id, vec): the graph ``(id, best, nbs)`` and the
+    blocks. It ends when a round renews fewer than one in fifty list entries."""
     graph, blocks = first_graph(nodes)
-    count = None
     for r in range(rounds):
-        lists = materialize(both_ways(graph), f"lists-{r}")
-        centres = lists.join(blocks, "id").join(nodes, "id").select("id", "block", "nbs", "vec")
-        graph = hop(centres, lists, nodes, DEGREE, f"descent-{r}")
-        count = count or nodes.count()
-        # "changed" compares with the two-way list, so the graph itself is compared.
-        if r and graph.join(before.withColumnRenamed("nbs", "was"), "id").where("nbs <> was").count() < count // 100:
+        new = descend(graph, blocks, nodes, f"descent-{r}")
+        renewed, entries = new.join(graph.select("id", F.col("nbs").alias("was")), "id").agg(
+            F.sum(F.size(F.array_except("nbs", "was"))), F.sum(F.size("nbs"))).first()
+        graph = new
+        if (renewed or 0) * 50 < (entries or 1):
             break
-        before = graph.select("id", "nbs")
-    return graph.select("id", "nbs"), blocks
+    return graph, blocks
 
 
 def nearest(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", k: int = 20,
