@@ -5,8 +5,8 @@ Build: vectors are put in order by random projections several times; runs of
 of NN-descent: the neighbours of a vector (and those that name it) meet each
 other, so that each sees neighbours of its neighbours, and each keeps its best
 ``DEGREE``. Search: a query starts from
-its neighbours in the graph and greedily expands its best ``BEAM`` candidates
-until none of the beams changes.
+its neighbours in the graph and greedily expands those of its best ``BEAM``
+candidates that are new, until no beam gains any.
 
 A round works by blocks of similar vectors: vectors that the members of a block
 need are joined once per block, not once per member, and only scores that beat
@@ -30,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from playtrail.session import materialize
@@ -42,7 +42,7 @@ BLOCK = 4096     # vectors of a block
 SIGNS = 5        # coarse cells of an order: 2 ** SIGNS
 ROUNDS = 6       # rounds of NN-descent at most
 BEAM = 128       # candidates of a query
-HOPS = 4         # rounds of a search at most
+HOPS = 6         # rounds of a search at most
 BEST = "array<struct<s:float,nb:long>>"
 
 
@@ -119,15 +119,46 @@ def _first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from blocks(True)
 
 
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The best ``DEGREE`` neighbours of each id, from rows ``(id, best)`` sorted by id."""
+    def solve(table: pa.Table) -> pa.RecordBatch:
+        lists = table.column("best").combine_chunks()
+        of = table.column("id").to_numpy()
+        u = np.repeat(of, lists.value_lengths().to_numpy(zero_copy_only=False))
+        s, w = (c.to_numpy(zero_copy_only=False) for c in lists.flatten().flatten())
+        at = np.lexsort((-s, w, u))      # a neighbour scored in two blocks counts once
+        u, w, s = u[at], w[at], s[at]
+        new = np.ones(len(u), dtype=bool)
+        new[1:] = (u[1:] != u[:-1]) | (w[1:] != w[:-1])
+        u, w, s = u[new], w[new], s[new]
+        at = np.lexsort((w, -s, u))
+        u, w, s = u[at], w[at], s[at]
+        near = np.arange(len(u)) - np.searchsorted(u, u) < DEGREE
+        u, w, s = u[near], w[near], s[near]
+        ids = np.unique(of)
+        offsets = pa.array(np.append(np.searchsorted(u, ids), len(u)).astype(np.int32))
+        pairs = pa.StructArray.from_arrays([pa.array(s), pa.array(w)], ["s", "nb"])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(ids), pa.ListArray.from_arrays(offsets, pairs), pa.ListArray.from_arrays(offsets, pa.array(w))], ["id", "best", "nbs"])
+
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        if b.num_rows:
+            held.append(b)
+            table = pa.Table.from_batches(held)
+            ids = table.column("id").to_numpy()
+            done = int(np.searchsorted(ids, ids[-1]))    # the last id may go on
+            if done:
+                yield solve(table.slice(0, done))
+                held = table.slice(done).to_batches()
+    if held:
+        yield solve(pa.Table.from_batches(held))
+
+
 def _best(found: DataFrame) -> DataFrame:
     """The graph ``(id, best, nbs)`` from rows ``(id, best)`` with scored neighbours."""
-    ranked = (found.groupBy("id").agg(F.flatten(F.collect_list("best")).alias("all"))
-              .select("id", F.sort_array(F.array_distinct("all"), asc=False).alias("all"))
-              .withColumn("names", F.transform("all", lambda e: e["nb"])))
-    # A neighbour scored in two blocks may differ in the last bits: its first place counts.
-    once = F.filter("all", lambda e, i: F.array_position("names", e["nb"]) == i + 1)
-    return ranked.select("id", F.slice(once, 1, DEGREE).alias("best")).withColumn(
-        "nbs", F.transform("best", lambda e: e["nb"]))
+    return found.select("id", "best").repartition("id").sortWithinPartitions("id").mapInArrow(
+        _merged, f"id long, best {BEST}, nbs array<long>")
 
 
 def first_graph(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -175,6 +206,12 @@ def _meet(table: pa.Table) -> pa.Table:
     return pa.table({"id": pa.array(ids[met]), "best": pa.ListArray.from_arrays(offsets, pairs)})
 
 
+def _none(kind: str) -> Column:
+    """An empty value of a column that rows of one kind lack: runs of null arrays take
+    Arrow's writer time in the square of their length."""
+    return F.array().cast(kind) if kind.startswith("array") else F.lit(0).cast(kind)
+
+
 def descend(graph: DataFrame, blocks: DataFrame, nodes: DataFrame, name: str) -> DataFrame:
     """One round of NN-descent: the members of a two-way list meet each other, and
     each keeps what beats its list. A block holds each vector it needs once."""
@@ -183,49 +220,68 @@ def descend(graph: DataFrame, blocks: DataFrame, nodes: DataFrame, name: str) ->
     needed = lists.select("block", F.explode(F.concat("nbs", F.array("id"))).alias("id")).distinct()
     vectors = nodes.join(graph.select("id", floor.cast("float").alias("floor")), "id")
     rows = (lists.select("block", F.lit(0).alias("kind"), "id", F.col("nbs").alias("ids"),
-                         F.lit(None).cast("array<float>").alias("vec"), F.lit(None).cast("float").alias("floor"))
-            .union(needed.join(vectors, "id").select("block", F.lit(1), "id", F.lit(None).cast("array<long>"), "vec", "floor")))
+                         _none("array<float>").alias("vec"), F.lit(0.0).cast("float").alias("floor"))
+            .union(needed.join(vectors, "id").select("block", F.lit(1), "id", _none("array<long>"), "vec", "floor")))
     met = rows.groupBy("block").applyInArrow(_meet, f"id long, best {BEST}")
     return materialize(_best(graph.select("id", "best").union(met)), name)
 
 
-def _expand(keep: int):
-    """Of each centre of a block: the best ``keep`` of its list and of the lists of
-    those on its list."""
+def _expand(keep: int, k: int):
+    """Of each centre of a block: the best ``keep`` of its beam, of its fresh nodes and
+    of the lists of those."""
     def run(table: pa.Table) -> pa.Table:
         kind = table.column("kind").to_numpy()
-        part = {k: table.filter(pa.array(kind == k)) for k in range(3)}
-        out = {"id": [], "nbs": [], "old": []}
-        if part[0].num_rows and part[2].num_rows:
-            ids = part[2].column("id").to_numpy()
-            order = np.argsort(ids)
-            ids, x = ids[order], _matrix(part[2].column("vec").combine_chunks())[order]
-            near = dict(zip(part[1].column("id").to_pylist(), (np.asarray(v.values) for v in part[1].column("ids"))))
-            none = np.empty(0, np.int64)
-            for u, own, v in zip(part[0].column("id").to_pylist(), part[0].column("ids"), part[0].column("vec")):
-                own = np.asarray(own.values)
-                seen = np.unique(np.concatenate([own, *[near.get(i, none) for i in own.tolist()]]))
-                seen = seen[seen != u]
+        part = {n: table.filter(pa.array(kind == n)).combine_chunks() for n in range(3)}
+        out = {c: [] for c in ("id", "nbs", "s", "fresh", "norm", "sure")}
+        none = np.empty(0, np.int64)
+        ids = part[2].column("id").to_numpy()
+        order = np.argsort(ids)
+        ids = ids[order]
+        x = _matrix(part[2].column("vec").combine_chunks())[order] if len(ids) else None
+        norms = np.sqrt((x.astype(np.float64) ** 2).sum(axis=1)) if len(ids) else None
+        near = dict(zip(part[1].column("id").to_pylist(), (np.asarray(v.values) for v in part[1].column("ids"))))
+        for u, own, own_s, fresh, norm, v in zip(*(part[0].column(c) for c in ("id", "ids", "s", "fresh", "norm", "vec"))):
+            u, own, own_s, fresh, norm = u.as_py(), *(np.asarray(c.values) for c in (own, own_s, fresh)), norm.as_py()
+            q = np.asarray(v.values)
+            seen = np.setdiff1d(np.concatenate([fresh, *[near.get(i, none) for i in fresh.tolist()]]), own)
+            seen = seen[seen != u]
+            if len(seen) and len(ids):
                 at = np.minimum(np.searchsorted(ids, seen), len(ids) - 1)
                 seen, at = seen[ids[at] == seen], at[ids[at] == seen]
-                s = x[at] @ np.asarray(v.values)
-                best = np.lexsort((seen, -s))[:keep]
-                out["id"].append(u), out["nbs"].append(seen[best]), out["old"].append(own)
-        changed = [not np.array_equal(np.sort(a), np.sort(b)) for a, b in zip(out["nbs"], out["old"])]
-        return pa.table({"id": pa.array(out["id"], pa.int64()), "nbs": _lists(out["nbs"]), "changed": pa.array(changed, pa.bool_())})
+                nbs, s = np.concatenate([own, seen]), np.concatenate([own_s, x[at] @ q]).astype(np.float32)
+                norm = max(norm, norms[at].max(initial=0.0))
+            else:
+                nbs, s = own, own_s
+            best = np.lexsort((nbs, -s))[:keep]
+            nbs, s = nbs[best], s[best]
+            # Single precision may be off by this much: what can be among the best ``k`` is sure to be scored exactly.
+            off = (len(q) + 4) * 2.0 ** -23 * float(np.linalg.norm(q.astype(np.float64))) * norm
+            sure = int((~(s < s[k - 1] - 2 * off)).sum()) if len(s) > k else len(s)
+            for c, value in zip(out, (u, nbs, s, np.setdiff1d(nbs, own), norm, sure)):
+                out[c].append(value)
+        lists = {c: _lists(out[c]) for c in ("nbs", "fresh")}
+        scores = pa.ListArray.from_arrays(lists["nbs"].offsets, pa.array(np.concatenate(out["s"]) if out["s"] else [], pa.float32()))
+        return pa.table({"id": pa.array(out["id"], pa.int64()), "nbs": lists["nbs"], "s": scores, "fresh": lists["fresh"],
+                         "norm": pa.array(out["norm"], pa.float64()), "sure": pa.array(out["sure"], pa.int32())})
     return run
 
 
-def hop(centres: DataFrame, lists: DataFrame, nodes: DataFrame, keep: int, name: str) -> DataFrame:
-    """One round for centres ``(id, block, nbs, vec)``: ``(id, nbs, changed)``."""
-    wanted = centres.select("block", F.explode("nbs").alias("id")).distinct()
+def hop(beams: DataFrame, lists: DataFrame, nodes: DataFrame, keep: int, k: int, name: str) -> DataFrame:
+    """One round for beams ``(id, block, nbs, s, fresh, norm, vec)``: only nodes that are
+    fresh in a beam are expanded, and only nodes not yet in it are scored."""
+    wanted = beams.select("block", F.explode("fresh").alias("id")).distinct()
     near = wanted.join(lists.select("id", F.col("nbs").alias("ids")), "id")
     reach = near.select("block", F.explode("ids").alias("id")).union(wanted.select("block", "id")).distinct()
-    none_ids, none_vec = F.lit(None).cast("array<long>"), F.lit(None).cast("array<float>")
-    rows = (centres.select("block", F.lit(0).alias("kind"), "id", F.col("nbs").alias("ids"), "vec")
-            .union(near.select("block", F.lit(1), "id", "ids", none_vec))
-            .union(reach.join(nodes, "id").select("block", F.lit(2), "id", none_ids, "vec")))
-    return materialize(rows.groupBy("block").applyInArrow(_expand(keep), "id long, nbs array<long>, changed boolean"), name)
+    state = {"s": "array<float>", "fresh": "array<long>", "norm": "double", "vec": "array<float>"}
+
+    def without(*given: str):
+        return [_none(kind).alias(c) for c, kind in state.items() if c not in given]
+    rows = (beams.select("block", F.lit(0).alias("kind"), "id", F.col("nbs").alias("ids"), *state)
+            .unionByName(near.select("block", F.lit(1).alias("kind"), "id", "ids", *without()))
+            .unionByName(reach.join(nodes, "id").select(
+                "block", F.lit(2).alias("kind"), "id", _none("array<long>").alias("ids"), "vec", *without("vec"))))
+    return materialize(rows.groupBy("block").applyInArrow(
+        _expand(keep, k), "id long, nbs array<long>, s array<float>, fresh array<long>, norm double, sure int"), name)
 
 
 def both_ways(graph: DataFrame) -> DataFrame:
@@ -257,28 +313,34 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embeddin
     """``(query_id, rank, vec_id, score)``: the ``k`` nearest found for every row whose
     id is divisible by ``every``, among all rows but the query's own."""
     base = materialize(usable(vectors, id_col, vec_col).withColumn("h", F.xxhash64("vec")), "vectors")
-    place = Window.partitionBy("h", "vec").orderBy("vec_id")
-    same = base.withColumn("nth", F.row_number().over(place)).withColumn("id", F.min("vec_id").over(Window.partitionBy("h", "vec")))
-    same = materialize(same.select("id", "vec_id", "nth", "vec"), "vector-classes")
-    exact = same.where("nth = 1").select("id", "vec")
+    # The k + 1 smallest ids of equal vectors: limited before the shuffle, so a vector that many rows share is no task of its own.
+    place = Window.partitionBy("h", "vec")
+    same = base.withColumn("nth", F.row_number().over(place.orderBy("vec_id"))).where(F.col("nth") <= k + 1)
+    same = materialize(same.withColumn("id", F.min("vec_id").over(place)), "vector-classes")
+    one = same.where("nth = 1")
+    exact = one.select("id", "vec")
     nodes = exact.select("id", F.col("vec").cast("array<float>").alias("vec"))   # graph and search; scores are exact
     graph, blocks = build(nodes)
     lists = materialize(both_ways(graph), "search-lists")
-    asked = materialize(same.where(F.col("vec_id") % every == 0).select("vec_id", "id"), "queries")
-    centres = asked.select("id").distinct().join(blocks, "id").join(nodes, "id")
-    beams = lists.join(centres.select("id"), "id")
+    asked = base.where(F.col("vec_id") % every == 0).select("vec_id", "h", "vec").join(one.select("h", "vec", "id"), ["h", "vec"])
+    asked = materialize(asked.select("vec_id", "id"), "queries")
+    centres = materialize(asked.select("id").distinct().join(blocks, "id").join(nodes, "id"), "centres")
+    beams = lists.join(centres.select("id"), "id").selectExpr(
+        "id", "cast(array() as array<long>) nbs", "cast(array() as array<float>) s", "nbs fresh", "double(0) norm")
     for h in range(HOPS):
-        beams = hop(beams.join(centres, "id").select("id", "block", "nbs", "vec"), lists, nodes, BEAM, f"hop-{h}")
-        if beams.where("changed").limit(1).count() == 0:
+        beams = hop(beams.select("id", "nbs", "s", "fresh", "norm").join(centres, "id"), lists, nodes, BEAM, k, f"hop-{h}")
+        if beams.where("size(fresh) > 0").limit(1).count() == 0:
             break
-    # Exact scores of the beam and of the node itself (its other ids), with all ids that can matter.
-    found = beams.select("id", F.explode(F.concat("nbs", F.array("id"))).alias("node"))
-    found = asked.select("id").distinct().select("id", F.col("id").alias("node")).union(found).distinct()
-    members = same.where(F.col("nth") <= k + 1).select(F.col("id").alias("node"), "vec_id")
+    # Exact scores of what can be among the best k and of the node itself (its other ids).
+    found = beams.select("id", F.explode(F.concat(F.slice("nbs", F.lit(1), F.col("sure")), F.array("id"))).alias("node"))
+    found = centres.select("id", F.col("id").alias("node")).union(found).distinct()
     dot = F.aggregate(F.zip_with("qv", "vec", lambda a, b: a * b), F.lit(0.0), lambda acc, x: acc + x)
     scored = (found.join(exact.select(F.col("id"), F.col("vec").alias("qv")), "id")
               .join(exact.withColumnRenamed("id", "node"), "node").select("id", "node", dot.alias("score")))
-    rows = (asked.withColumnRenamed("vec_id", "query_id").join(scored, "id").join(members, "node")
+    # Ranked once per distinct query vector; k + 1, as a query's own id goes.
+    members = scored.join(same.select(F.col("id").alias("node"), "vec_id"), "node").withColumn(
+        "nth", F.row_number().over(Window.partitionBy("id").orderBy(F.desc("score"), "vec_id"))).where(F.col("nth") <= k + 1)
+    rows = (asked.withColumnRenamed("vec_id", "query_id").join(members.select("id", "vec_id", "score"), "id")
             .where("vec_id <> query_id"))
     rows = rows.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
     return rows.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
