@@ -1,10 +1,14 @@
 """Corpus pipeline: five stages over ``documents``, each written as Parquet and
 reread as the next stage's input. All stages but the last return the columns of
-``documents``; the last adds ``codes``.
+``documents``; the last returns each document's place in the mixture, its codes
+and the text they decode to, in the order of the mixture.
 """
 
 from __future__ import annotations
 
+import re
+from itertools import accumulate
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,9 +52,24 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def codes_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """SentencePiece codes of every document and the text they decode to."""
+    """SentencePiece codes of every document and the text they decode to, sorted by
+    ``place``: the row's place (from 0) in the files that ``mixing_stage`` wrote.
+    Spark packs files by size and encoding moves rows, so the place goes with the row."""
     pieces = Pieces()
-    return decode(encode(docs, pieces), pieces).select("doc_id", "codes", "decoded")
+    at = docs.select("*", F.col("_metadata.file_name").alias("file__"), F.col("_metadata.row_index").alias("row__"))
+    # One row per file; files of one task, should it write several, differ after its number.
+    rows = {r["file__"]: r["count"] for r in at.groupBy("file__").count().collect()}
+    files = sorted(rows, key=lambda f: (int(re.match(r"part-(\d+)", f)[1]), f))
+    starts = list(accumulate((rows[f] for f in files), initial=0))
+    start = spark.createDataFrame(list(zip(files, starts)), "file string, start long")
+    keyed = at.select(F.struct("file__", "row__", "doc_id").alias("doc_id"), "text")
+    coded = encode(keyed, pieces).join(F.broadcast(start), F.col("doc_id.file__") == F.col("file"))
+    coded = coded.select(F.col("doc_id.doc_id").alias("doc_id"), (F.col("start") + F.col("doc_id.row__")).alias("place"), "codes")
+    # Places are dense, so equal runs of them are the sorted partitions: no sampling, which would encode twice.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    run_of = F.floor(F.col("place") * tasks / max(starts[-1], 1)).cast("int")
+    coded = coded.repartitionById(tasks, run_of).sortWithinPartitions("place")
+    return decode(coded, pieces).select("doc_id", "place", "codes", "decoded")
 
 
 STAGES = [
@@ -63,9 +82,9 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of ``sf_dir``."""
+    """All stages over the documents of ``sf_dir``; the rows come in the order of the mixture."""
     configure(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+    return STAGES[-1][1](spark, docs, sf_dir).select("doc_id", "codes", "decoded")

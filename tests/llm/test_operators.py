@@ -302,3 +302,45 @@ def test_pipeline_keeps_clean_documents(spark):
     assert clean.join(kept, "doc_id", "left_anti").count() <= 0.02 * clean.count()
     assert corpus_pipeline.run(spark, SF_SMALL).columns == ["doc_id", "codes", "decoded"]
     assert [len(corpus_pipeline.STAGES)] == [5]
+
+
+def schedule(sizes, share, cycle):
+    """Blocks ``(source, number)`` by slot: each slot looks at every source's next block."""
+    done, out, slot = dict.fromkeys(sizes, 0), [], 0
+    while any(done[s] < n for s, n in sizes.items()):
+        ready = [(-(-(done[s] + 1) * cycle // share[s]), s is not None, s or "", s) for s in sizes if done[s] * cycle // share[s] <= slot]
+        s = min(ready)[3]
+        if done[s] < sizes[s]:
+            out.append((s, done[s]))
+        done[s] += 1
+        slot += 1
+    return out
+
+
+def test_pipeline_rows_follow_the_mixture(spark):
+    import corpus_pipeline
+    from playtrail.session import materialize
+    sf = "/root/testdata/sf0.01"
+    held = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")     # many files, of unequal sizes
+    try:
+        docs = spark.read.parquet(sf + "/documents.parquet")
+        for name, stage in corpus_pipeline.STAGES[:3]:
+            docs = materialize(stage(spark, docs, sf), name)
+        mixed = materialize(corpus_pipeline.mixing_stage(spark, docs, sf), "mixed")
+        rows = corpus_pipeline.codes_stage(spark, mixed, sf).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", held)
+    by = collections.defaultdict(list)
+    for r in docs.select("doc_id", "source", F.xxhash64(F.col("doc_id").cast("string"), "source").alias("h")).collect():
+        by[r.source].append((r.h, r.doc_id))
+    blocks = {s: [sorted(v)[i:i + mixing.BLOCK_ROWS] for i in range(0, len(v), mixing.BLOCK_ROWS)] for s, v in by.items()}
+    share = mixing.shares({s: len(v) ** mixing.POWER for s, v in by.items()})
+    order = schedule({s: len(v) for s, v in blocks.items()}, share, mixing.CYCLE)
+    want = [i for s, b in order for _, i in blocks[s][b]]
+    assert [r.place for r in rows] == list(range(len(want)))
+    assert [r.doc_id for r in rows] == want
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    assert all(r.decoded == texts[r.doc_id] for r in rows)
+    whole = corpus_pipeline.run(spark, sf)
+    assert [r.doc_id for r in whole.select("doc_id").collect()] == want
