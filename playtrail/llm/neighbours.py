@@ -1,12 +1,15 @@
 """Approximate nearest neighbours by inner product over an NN-descent graph.
 
 Build: vectors are put in order by random projections several times; runs of
-``BLOCK`` consecutive vectors give each vector its first neighbours. Then rounds
+``BLOCK`` consecutive vectors give each vector its first neighbours. A block is a
+smaller share of more vectors, so the number of orders and of the cells of an
+order grow with the vectors (``effort``). Then rounds
 of NN-descent: the neighbours of a vector (and those that name it) meet each
 other, so that each sees neighbours of its neighbours, and each keeps its best
-``DEGREE``. Search: a query starts from
+``DEGREE``, until a round renews few entries. Search: a query starts from
 its neighbours in the graph and greedily expands those of its best ``BEAM``
-candidates that are new, until no beam gains any.
+candidates that are new, until no beam gains any. Lists and beams only ever
+change for better scores, so both end.
 
 A round works by blocks of similar vectors: vectors that the members of a block
 need are joined once per block, not once per member, and only scores that beat
@@ -27,6 +30,7 @@ carried.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -37,12 +41,11 @@ from playtrail.session import materialize
 
 DEGREE = 24      # neighbours of a node
 NAMED_BY = 16    # nodes that name a node, kept besides
-ORDERS = 4       # random orders of the first graph
+ORDERS = 4       # random orders of the first graph at least; one more for each doubling beyond 16 blocks
 BLOCK = 4096     # vectors of a block
-SIGNS = 5        # coarse cells of an order: 2 ** SIGNS
-ROUNDS = 6       # rounds of NN-descent at most
+SIGNS = 5        # coarse cells of an order at least: 2 ** SIGNS; beyond, about one for each block
+RENEWED = 50     # a round of NN-descent that renews fewer than one in so many entries is the last
 BEAM = 128       # candidates of a query
-HOPS = 6         # rounds of a search at most
 BEST = "array<struct<s:float,nb:long>>"
 
 
@@ -64,23 +67,31 @@ def _lists(values: list) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(values) if values else [], pa.int64()))
 
 
-def _orders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each vector once per random order, with its place in it."""
-    for b in batches:
-        if not b.num_rows:
-            continue
-        x = _matrix(b.column("vec"))
-        for t in range(ORDERS):
-            lines = np.random.default_rng(7 + t).standard_normal((x.shape[1], SIGNS + 1))
-            y = x @ lines
-            cell = ((y[:, :SIGNS] > 0) << np.arange(SIGNS)).sum(axis=1)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(x), t)), pa.array(cell), pa.array(y[:, SIGNS]), b.column("id"), b.column("vec")],
-                ["t", "cell", "line", "id", "vec"])
-
-
-def _first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Best neighbours within each run of ``BLOCK`` rows of an order."""
+def effort(rows: int, block: int = BLOCK) -> tuple[int, int]:
+    """Number of orders, and of the signs that make the cells of an order."""
+    doublings = (max(rows - 1, 0) // block).bit_length()     # of a block until it holds all rows
+    return max(ORDERS, ORDERS + doublings - 4), max(SIGNS, doublings)
+
+
+def _orders(orders: int, signs: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each vector once per random order, with its place in it."""
+        for b in batches:
+            if not b.num_rows:
+                continue
+            x = _matrix(b.column("vec"))
+            for t in range(orders):
+                lines = np.random.default_rng(7 + t).standard_normal((x.shape[1], signs + 1))
+                y = x @ lines
+                cell = ((y[:, :signs] > 0) << np.arange(signs)).sum(axis=1)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(x), t)), pa.array(cell), pa.array(y[:, signs]), b.column("id"), b.column("vec")],
+                    ["t", "cell", "line", "id", "vec"])
+    return run
+
+
+def _first(batches: Iterator[pa.RecordBatch], block: int) -> Iterator[pa.RecordBatch]:
+    """Best neighbours within each run of ``block`` rows of an order."""
     held: list[pa.RecordBatch] = []
 
     def solve(table: pa.Table) -> pa.RecordBatch:
@@ -103,8 +114,8 @@ def _first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for v in np.unique(t):
             part = table.filter(pa.array(t == v))
             last = v == t[-1] and not final
-            while part.num_rows >= 2 * BLOCK or (part.num_rows and not last):
-                n = BLOCK if part.num_rows >= 2 * BLOCK else part.num_rows
+            while part.num_rows >= 2 * block or (part.num_rows and not last):
+                n = block if part.num_rows >= 2 * block else part.num_rows
                 yield solve(part.slice(0, n))
                 part = part.slice(n)
             if last and part.num_rows:
@@ -113,7 +124,7 @@ def _first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         if b.num_rows:
             held.append(b)
-            if sum(h.num_rows for h in held) >= 4 * BLOCK:
+            if sum(h.num_rows for h in held) >= 4 * block:
                 yield from blocks(False)
     if held:
         yield from blocks(True)
@@ -161,11 +172,11 @@ def _best(found: DataFrame) -> DataFrame:
         _merged, f"id long, best {BEST}, nbs array<long>")
 
 
-def first_graph(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+def first_graph(nodes: DataFrame, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """The first graph ``(id, best, nbs)`` and the block of each node ``(id, block)``."""
-    runs = (nodes.mapInArrow(_orders, "t long, cell long, line double, id long, vec array<float>")
+    runs = (nodes.mapInArrow(_orders(*effort(nodes.count(), block)), "t long, cell long, line double, id long, vec array<float>")
             .repartitionByRange("t", "cell", "line").sortWithinPartitions("t", "cell", "line", "id"))
-    found = materialize(runs.mapInArrow(_first, f"t long, id long, block long, best {BEST}"), "first-neighbours")
+    found = materialize(runs.mapInArrow(lambda batches: _first(batches, block), f"t long, id long, block long, best {BEST}"), "first-neighbours")
     return materialize(_best(found), "graph"), materialize(found.where("t = 0").select("id", "block"), "blocks")
 
 
@@ -294,22 +305,22 @@ def both_ways(graph: DataFrame) -> DataFrame:
         "id", F.array_distinct(F.concat("nbs", F.coalesce("more", F.array().cast("array<long>")))).alias("nbs"))
 
 
-def build(nodes: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
+def build(nodes: DataFrame, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """NN-descent over ``nodes`` (id, vec): the graph ``(id, best, nbs)`` and the
-    blocks. It ends when a round renews fewer than one in fifty list entries."""
-    graph, blocks = first_graph(nodes)
-    for r in range(rounds):
+    blocks. It ends when a round renews fewer than one in ``RENEWED`` list entries."""
+    graph, blocks = first_graph(nodes, block)
+    for r in count():
         new = descend(graph, blocks, nodes, f"descent-{r}")
         renewed, entries = new.join(graph.select("id", F.col("nbs").alias("was")), "id").agg(
             F.sum(F.size(F.array_except("nbs", "was"))), F.sum(F.size("nbs"))).first()
         graph = new
-        if (renewed or 0) * 50 < (entries or 1):
+        if (renewed or 0) * RENEWED < (entries or 1):
             break
     return graph, blocks
 
 
 def nearest(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", k: int = 20,
-            every: int = 20) -> DataFrame:
+            every: int = 20, block: int = BLOCK) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the ``k`` nearest found for every row whose
     id is divisible by ``every``, among all rows but the query's own."""
     base = materialize(usable(vectors, id_col, vec_col).withColumn("h", F.xxhash64("vec")), "vectors")
@@ -320,14 +331,14 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embeddin
     one = same.where("nth = 1")
     exact = one.select("id", "vec")
     nodes = exact.select("id", F.col("vec").cast("array<float>").alias("vec"))   # graph and search; scores are exact
-    graph, blocks = build(nodes)
+    graph, blocks = build(nodes, block)
     lists = materialize(both_ways(graph), "search-lists")
     asked = base.where(F.col("vec_id") % every == 0).select("vec_id", "h", "vec").join(one.select("h", "vec", "id"), ["h", "vec"])
     asked = materialize(asked.select("vec_id", "id"), "queries")
     centres = materialize(asked.select("id").distinct().join(blocks, "id").join(nodes, "id"), "centres")
     beams = lists.join(centres.select("id"), "id").selectExpr(
         "id", "cast(array() as array<long>) nbs", "cast(array() as array<float>) s", "nbs fresh", "double(0) norm")
-    for h in range(HOPS):
+    for h in count():
         beams = hop(beams.select("id", "nbs", "s", "fresh", "norm").join(centres, "id"), lists, nodes, BEAM, k, f"hop-{h}")
         if beams.where("size(fresh) > 0").limit(1).count() == 0:
             break

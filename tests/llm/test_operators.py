@@ -245,6 +245,19 @@ def test_nearest_recall_and_odd_vectors(spark):
     assert neighbours.nearest(d.limit(0)).count() == 0
 
 
+def test_nearest_recall_with_blocks_far_below_the_rows(spark):
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((6000, 12))
+    d = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    by = collections.defaultdict(set)
+    for r in neighbours.nearest(d, every=50, block=32).collect():
+        by[r.query_id].add(r.vec_id)
+    hits = sum(len(by[q] & set([i for i in np.argsort(-(x @ x[q]), kind="stable").tolist() if i != q][:20])) for q in range(0, 6000, 50))
+    assert len(by) == 120 and hits / (20 * 120) > 0.9, hits / (20 * 120)
+    few, many = neighbours.effort(10_000), neighbours.effort(100_000_000)
+    assert few == (neighbours.ORDERS, neighbours.SIGNS) and many[0] > 2 * few[0] and 2 ** many[1] * neighbours.BLOCK >= 100_000_000
+
+
 def test_sentencepiece_matches_the_library(spark, docs):
     import sentencepiece
     p = sentencepiece.SentencePieceProcessor(model_file=sentencepiece_codes.MODEL)
