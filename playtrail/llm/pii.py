@@ -2,16 +2,21 @@
 
 E-mail addresses, IP addresses, card numbers and phone numbers are found by
 pattern. Each distinct value is a protected entity. From the whole corpus, the
-co-occurrence of an entity ``c`` and a term ``t`` near its mentions estimates how
-strongly the term reveals it: with document frequencies, the pointwise mutual
+co-occurrence of an entity ``c`` and a term ``t`` in the same document estimates
+how strongly the term reveals it: with document frequencies, the pointwise mutual
 information ``PMI(c; t) = log p(c, t) / (p(c) p(t))`` against the entity's
 information ``IC(c) = -log p(c)``. A term that reaches ``ALPHA * IC(c)``, seen with
-the entity in two different texts at least, discloses it: near the mentions it is
-a further span. The rewriting step replaces pattern spans by their kind and
-generalises disclosing terms with digits to ``[NUMBER]``, and removes others.
-
-The texts are scanned once; what is shuffled are words' document counts (summed
-per batch first) and the few words around each mention, never texts.
+the entity in two different texts at least, discloses it: wherever it stands in a
+document of the entity, outside of the pattern spans, it is a further span. The
+rewriting step replaces pattern spans by their kind and generalises disclosing
+terms with digits to ``[NUMBER]``, and removes others. Documents without the
+entity keep the term: it has nobody to reveal there.
+
+All texts are scanned once, and those of entities in two texts at least twice
+more: for their terms and for the places of the disclosing ones. What is shuffled
+are document counts of words and of (entity, term) pairs, both summed per batch
+first; a term too frequent to reach the threshold with any entity goes before.
+Texts meet their entities and terms by broadcast, up to ``EXTRA_ROWS`` texts.
 
 Defined results: a null text is the empty text and has no spans; repeated rows
 are documents of their own, with equal spans; an entity of one text only has no
@@ -35,9 +40,9 @@ from playtrail.session import bounded_broadcast, materialize
 
 KINDS = ("email", "ip", "card", "phone")
 ALPHA = 0.9            # share of an entity's information that a term may not reveal
-AROUND = 6             # words on each side of a mention
 BATCH_ROWS = 2_000     # documents whose words are counted together
-EXTRA_ROWS = 200_000   # documents with disclosing terms that may be broadcast
+EXTRA_ROWS = 200_000   # texts with entities or disclosing terms, or frequent terms, that may be broadcast
+PAIRS = 500_000        # (entity, term) pairs counted together
 
 LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -95,37 +100,38 @@ def entity(kind: int, value: str) -> int:
     return _hash(f"{kind}:" + (value.lower() if kind == 0 else "".join(c for c in value if c.isdigit() or (kind == 1 and c == "."))))
 
 
-def contexts(text: str, spans: list[tuple[int, int, int]], around: int = AROUND) -> list[dict]:
-    """Terms within ``around`` words of each mention, outside of all spans."""
-    if not spans:
-        return []
-    words = [(m.start(), m.end()) for m in WORD.finditer(text)]
-    starts = [w[0] for w in words]
-    from bisect import bisect_left, bisect_right
-    taken = sorted((b, e) for _, b, e in spans)
-    begins = [b for b, _ in taken]
-    out = []
-    for kind, b, e in spans:
-        c = entity(kind, text[b:e])
-        i, j = bisect_right(starts, b), bisect_left(starts, e)
-        for s, t in words[max(0, i - 1 - around):j + around]:
-            term = text[s:t].strip(TRIM)
-            if len(term) < 3:
-                continue
-            s += text[s:t].index(term)
-            t = s + len(term)
-            k = bisect_left(begins, t)
-            if any(y > s for _, y in taken[max(0, k - 4):k]):
-                continue
-            out.append({"ent": c, "term": _hash(term.lower()), "start": s, "end": t})
-    return out
+def terms(text: str, spans: list[tuple[int, int, int]]) -> Iterator[tuple[str, int, int]]:
+    """``(term, start, end)`` of every word of three characters or more outside of
+    all spans, trimmed and then in lower case."""
+    ends: list[tuple[int, int]] = []      # the union of the spans
+    for b, e in sorted((b, e) for _, b, e in spans):
+        if ends and b < ends[-1][1]:
+            ends[-1] = (ends[-1][0], max(e, ends[-1][1]))
+        else:
+            ends.append((b, e))
+    k = 0
+    for m in WORD.finditer(text):
+        word = m[0].strip(TRIM)
+        if len(word) < 3:
+            continue
+        s = m.start() + m[0].index(word)
+        t = s + len(word)
+        while k < len(ends) and ends[k][1] <= s:
+            k += 1
+        if k == len(ends) or ends[k][0] >= t:
+            yield word.lower(), s, t
+
+
+def term_set(text: str, spans: list[tuple[int, int, int]]) -> set[str]:
+    """The distinct terms of a text."""
+    if spans:
+        return {t for t, _, _ in terms(text, spans)}
+    return {w.lower() for w in {w.strip(TRIM) for w in set(WORD.findall(text))} if len(w) >= 3}
 
 
 SCAN = pa.schema([("doc_id", pa.string()), ("tid", pa.int64()), ("base", pa.list_(pa.string())),
-                  ("near", pa.list_(pa.struct([("ent", pa.int64()), ("term", pa.int64()), ("start", pa.int64()), ("end", pa.int64())]))),
                   ("ents", pa.list_(pa.int64())), ("word", pa.int64()), ("docs", pa.int64())])
-SCAN_SQL = ("tid long, base array<string>, near array<struct<ent:long,term:long,start:long,end:long>>, ents array<long>, "
-            "word long, docs long")
+SCAN_SQL = "tid long, base array<string>, ents array<long>, word long, docs long"
 
 
 def _scan(key_type: pa.DataType):
@@ -138,64 +144,110 @@ def _scan(key_type: pa.DataType):
                 rows, counts = [], Counter()
                 for text in b.column("t").to_pylist():
                     spans = base_spans(text)
-                    rows.append(([f"{KINDS[k]}:{s}:{e}" for k, s, e in spans], contexts(text, spans),
-                                 sorted({entity(k, text[s:e]) for k, s, e in spans})))
-                    counts.update(set(text.lower().split()))
+                    rows.append(([f"{KINDS[k]}:{s}:{e}" for k, s, e in spans], sorted({entity(k, text[s:e]) for k, s, e in spans})))
+                    counts.update(term_set(text, spans))
                 n = b.num_rows
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id"), b.column("tid"), *[pa.array([r[i] for r in rows], schema.field(2 + i).type) for i in range(3)],
+                    [b.column("doc_id"), b.column("tid"), *[pa.array([r[i] for r in rows], schema.field(2 + i).type) for i in range(2)],
                      pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())], schema=schema)
-                terms: Counter = Counter()
-                for w, c in counts.items():
-                    w = w.strip(TRIM)
-                    if len(w) >= 3:
-                        terms[_hash(w)] += c
-                n = len(terms)
+                n = len(counts)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.nulls(n, key_type), *[pa.nulls(n, schema.field(i).type) for i in range(1, 5)],
-                     pa.array(list(terms), pa.int64()), pa.array(list(terms.values()), pa.int64())], schema=schema)
+                    [pa.nulls(n, key_type), *[pa.nulls(n, schema.field(i).type) for i in range(1, 4)],
+                     pa.array([_hash(w) for w in counts], pa.int64()), pa.array(list(counts.values()), pa.int64())], schema=schema)
     return run
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One pass over the texts, written once: a row per document (pattern spans,
-    words near mentions, entities) and rows of document counts of words."""
+    entities) and rows of document counts of words."""
     from pyspark.sql.pandas.types import to_arrow_type
     df = docs.select(F.col(id_col).alias("doc_id"), whole_text(text_col).alias("t")).withColumn("tid", F.xxhash64("t"))
     kind = df.schema["doc_id"].dataType
     out = df.mapInArrow(_scan(to_arrow_type(kind)), f"doc_id {kind.simpleString()}, {SCAN_SQL}")
-    return materialize(out.withColumn("rid", F.monotonically_increasing_id()), "pii-scan")
+    return materialize(out, "pii-scan")
+
 
+def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents of each (entity, term), with the smallest and largest text hash."""
+    seen: dict[tuple[int, str], list[int]] = {}
+
+    def counted() -> pa.RecordBatch:
+        number = {t: _hash(t) for _, t in seen}
+        out = pa.RecordBatch.from_arrays(
+            [pa.array([c for c, _ in seen], pa.int64()), pa.array([number[t] for _, t in seen], pa.int64()),
+             *[pa.array([v[i] for v in seen.values()], pa.int64()) for i in range(3)]], ["ent", "term", "both", "a", "b"])
+        seen.clear()
+        return out
+    for b in batches:
+        for text, tid, ents in zip(*(b.column(c).to_pylist() for c in ("t", "tid", "ents"))):
+            for term in term_set(text, base_spans(text)):
+                for c in ents:
+                    x = seen.setdefault((c, term), [0, tid, tid])
+                    x[0] += 1
+                    x[1], x[2] = min(x[1], tid), max(x[2], tid)
+                if len(seen) > PAIRS:
+                    yield counted()
+    if seen:
+        yield counted()
+
+
+def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every place of the disclosing terms of each text."""
+    for b in batches:
+        rows = []
+        for text, own in zip(b.column("t").to_pylist(), b.column("own").to_pylist()):
+            spans, own, number = base_spans(text), set(own), {}
+            rows.append([f"term:{s}:{e}" for t, s, e in terms(text, spans) if (number.get(t) or number.setdefault(t, _hash(t))) in own])
+        yield pa.RecordBatch.from_arrays([b.column("tid"), pa.array(rows, pa.list_(pa.string()))], ["tid", "extra"])
 
-def disclosing(scanned: DataFrame, alpha: float = ALPHA) -> DataFrame:
-    """``(ent, term)`` pairs that reach the disclosure threshold."""
+
+def shared_entities(scanned: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """Entities of two different texts at least ``(ent, n_ent)``, the texts that hold
+    such ones ``(tid, ents)`` and the number of documents."""
     people = scanned.where("base is not null")
     n = people.count()
-    near = people.select("rid", "tid", F.explode(F.array_distinct(F.transform(
-        "near", lambda x: F.struct(x["ent"].alias("ent"), x["term"].alias("term"))))).alias("x"))
-    pairs = (near.groupBy("x.ent", "x.term").agg(F.count(F.lit(1)).alias("both"), F.min("tid").alias("a"), F.max("tid").alias("b"))
-             .where("a < b").select("ent", "term", "both"))
-    pairs = materialize(pairs, "pii-pairs")
-    ents = people.select(F.explode("ents").alias("ent")).groupBy("ent").agg(F.count(F.lit(1)).alias("n_ent"))
+    each = people.select("tid", F.explode("ents").alias("ent"))
+    ents = each.groupBy("ent").agg(F.count(F.lit(1)).alias("n_ent"), F.min("tid").alias("a"), F.max("tid").alias("b"))
+    ents = materialize(ents.where((F.col("a") < F.col("b")) & (F.col("n_ent") < n)).select("ent", "n_ent"), "pii-entities")
+    held = each.join(bounded_broadcast(ents.select("ent"), EXTRA_ROWS), "ent").groupBy("tid").agg(F.collect_set("ent").alias("ents"))
+    return ents, materialize(held, "pii-texts"), n
+
+
+def disclosing(scanned: DataFrame, texts: DataFrame, shared: tuple[DataFrame, DataFrame, int], alpha: float = ALPHA) -> DataFrame:
+    """``(ent, term)`` pairs that reach the disclosure threshold; ``texts`` are ``(tid, t)``."""
+    ents, held, n = shared
     words = scanned.where("word is not null").groupBy(F.col("word").alias("term")).agg(F.sum("docs").alias("n_term"))
-    # p(c|t) / p(c) >= p(c) ** -alpha; a term's own form may differ in case or trimming, so at least ``both``.
+    words = materialize(words, "pii-words")
+    # p(c|t) / p(c) >= p(c) ** -alpha, and a pair has at most the entity's documents, so a term of more
+    # than n ** (1 - alpha) * n_ent ** alpha documents reaches it with no entity.
+    most = ents.agg(F.max("n_ent")).first()[0] or 0
+    frequent = words.where(F.col("n_term") > n ** (1 - alpha) * most ** alpha * 1.001).select("term")
+    pairs = texts.join(bounded_broadcast(held, EXTRA_ROWS), "tid").select("t", "tid", "ents").mapInArrow(
+        _pairs, "ent long, term long, both long, a long, b long")
+    pairs = pairs.join(bounded_broadcast(frequent, EXTRA_ROWS), "term", "left_anti")
+    pairs = (pairs.groupBy("ent", "term").agg(F.sum("both").alias("both"), F.min("a").alias("a"), F.max("b").alias("b"))
+             .where("a < b").select("ent", "term", "both"))
     all_ = F.lit(float(max(n, 1)))
-    pmi = F.log(F.col("both") * all_ / (F.col("n_ent") * F.greatest("n_term", "both")))
+    pmi = F.log(F.col("both") * all_ / (F.col("n_ent") * F.col("n_term")))
     return (pairs.join(ents, "ent").join(words, "term").where(pmi >= alpha * F.log(all_ / F.col("n_ent")))
-            .where(F.col("n_ent") < all_).select("ent", "term"))
+            .select("ent", "term"))
 
 
 def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", alpha: float = ALPHA) -> DataFrame:
     """``(doc_id, tid, base, extra)``: pattern spans and disclosing spans
     (``kind:start:end``) of every document; ``tid`` is the hash of its text."""
     scanned = scan(docs, id_col, text_col)
-    reveal = materialize(disclosing(scanned, alpha), "pii-disclosing")
-    near = scanned.where("size(near) > 0").select("rid", F.explode("near").alias("x")).select("rid", "x.*")
-    hit = near.join(reveal, ["ent", "term"]).groupBy("rid").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("hits"))
-    people = scanned.where("base is not null").select("rid", "doc_id", "tid", "base")
-    extra = F.transform("hits", lambda h: F.concat_ws(":", F.lit("term"), h["start"], h["end"]))
-    return people.join(hit, "rid", "left").select(
-        "doc_id", "tid", "base", F.coalesce(extra, F.array().cast("array<string>")).alias("extra"))
+    texts = docs.select(whole_text(text_col).alias("t")).withColumn("tid", F.xxhash64("t"))
+    shared = shared_entities(scanned)
+    reveal = materialize(disclosing(scanned, texts, shared, alpha), "pii-disclosing").groupBy("ent").agg(F.collect_list("term").alias("own"))
+    own = shared[1].select("tid", F.explode("ents").alias("ent")).join(reveal, "ent").groupBy("tid").agg(
+        F.array_distinct(F.flatten(F.collect_list("own"))).alias("own"))
+    own = bounded_broadcast(materialize(own, "pii-terms"), EXTRA_ROWS)
+    hit = texts.join(own, "tid").select("tid", "t", "own").mapInArrow(_places, "tid long, extra array<string>")
+    hit = materialize(hit.where("size(extra) > 0").groupBy("tid").agg(F.first("extra").alias("extra")), "pii-places")  # equal texts, equal places
+    people = scanned.where("base is not null").select("doc_id", "tid", "base")
+    return people.join(bounded_broadcast(hit, EXTRA_ROWS), "tid", "left").select(
+        "doc_id", "tid", "base", F.coalesce("extra", F.array().cast("array<string>")).alias("extra"))
 
 
 def digest_columns(found: DataFrame) -> DataFrame:

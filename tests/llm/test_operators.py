@@ -108,6 +108,46 @@ def test_disclosing_terms_are_spans(spark):
     assert not any(terms[i] for i in range(3, 60))
 
 
+def test_disclosing_terms_by_document_against_brute_force(spark):
+    rng = random.Random(8)
+    far = " ".join(f"common{i}" for i in range(30))
+    rows = []
+    for i in range(120):
+        words = [rng.choice(["alpha", "beta", "gamma", "Delta,", "eps"]) for _ in range(8)]
+        if i < 4:       # far from the address, twice, and with a no-break space in it
+            words = ["zed@corp.example", far, "Rosalind", far, "(rosalind)", "\u00ab\u00a0Ysolde\u00a0\u00bb"] + words
+        elif i < 9:
+            words += [f"u{i % 2}@x.example", far, rng.choice(["Quentin", "Perdita"])]
+        rows.append((i, " ".join(words)))
+    rows += [(200, rows[0][1]), (201, "Rosalind alone")]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: list(r.extra) for r in pii.personal_data(d).collect()}
+    held, docs_of, ents_of = {}, collections.defaultdict(set), collections.defaultdict(set)
+    for i, t in rows:
+        spans = [(m.start(), m.end()) for m in re.finditer(r"\S+@\S+", t)]
+        ents_of[i] = {t[b:e] for b, e in spans}
+        held[i] = []
+        for m in WORD.finditer(t):
+            w = m[0].strip(pii.TRIM)
+            if len(w) >= 3 and "@" not in w:
+                s = m.start() + m[0].index(w)
+                held[i].append((w.lower(), s, s + len(w)))
+                docs_of[w.lower()].add(i)
+    text, n = dict(rows), len(rows)
+    for i in text:
+        want = []
+        for w, s, e in held[i]:
+            for c in ents_of[i]:
+                own = {j for j in text if c in ents_of[j]}
+                both = own & docs_of[w]
+                if len({text[j] for j in both}) > 1 and np.log(len(both) * n / len(own) / len(docs_of[w])) >= pii.ALPHA * np.log(n / len(own)):
+                    want.append(f"term:{s}:{e}")
+        assert got[i] == list(dict.fromkeys(want)), i
+    assert got[200] == got[0]
+    spoken = [text[0][int(x.split(":")[1]):int(x.split(":")[2])] for x in got[0]]
+    assert {"Rosalind", "rosalind"} <= set(spoken) and any("Ysolde" in x for x in spoken) and got[201] == []
+
+
 def brute_components(rows, k, percent):
     low = str.maketrans({chr(i): chr(i + 32) for i in range(65, 91)})
     sets = []
