@@ -65,9 +65,10 @@ def logistic_multinomial(max_iter: int = 100):
     return LogisticRegression(family="multinomial", maxIter=max_iter, labelCol=LABEL, featuresCol=FEATURES)
 
 
-def random_forest(trees: int = 100, seed: int = 1):
-    """F13."""
-    return RandomForestClassifier(numTrees=trees, seed=seed, labelCol=LABEL, featuresCol=FEATURES)
+def random_forest(trees: int = 100, seed: int = 1, depth: int = 30, bins: int = 256):
+    """F13. The reference grows full trees with a threshold between any two values;
+    Spark ends at depth 30 and takes at most ``bins`` thresholds of a column."""
+    return RandomForestClassifier(numTrees=trees, seed=seed, maxDepth=depth, maxBins=bins, labelCol=LABEL, featuresCol=FEATURES)
 
 
 def mlp(n_features: int, hidden: Sequence[int] = (30, 30), classes: int = 4, seed: int = 1, max_iter: int = 100):

@@ -34,6 +34,15 @@ def test_kfold_evaluate_covers_every_row_once(spark):
     assert sorted(r[0] for r in preds.select("fold").distinct().collect()) == [1, 2, 3, 4, 5]
 
 
+def test_forest_separates_what_needs_deep_trees(spark):
+    from playtrail.operators import models as M
+    # 64 runs of one label each: 32 leaves or 32 thresholds cannot tell them apart.
+    rows = spark.createDataFrame([(i, float(i), i // 4 % 2) for i in range(256) for _ in range(4)], "id long, x double, accuracy_group int")
+    df = M.with_label(M.assemble(rows, ["x"]))
+    out = M.fit_predict(M.random_forest(20), df, df, ["id"])
+    assert out.where("prediction = label").count() > 0.95 * 1024
+
+
 def test_cluster_profiles_assigns_all_players(spark):
     out = entry.queries()["f18_cluster_profiles"](spark, SF_MID).collect()
     assert len(out) == 150
