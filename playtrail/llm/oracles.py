@@ -84,3 +84,44 @@ select page_id, cast(payload_bytes as bigint) payload_bytes,
   case when page_id > low then low end refers_to, url_key, captured,
   row_number() over (order by url_key, captured, page_id) history_pos
 from r"""
+
+
+def url_filter(pages: str = "pages", labels: str = "labels") -> str:
+    """Rules and host reputations, level by level."""
+    from playtrail.llm.url_reputation import LOWER, MAX_BAD, RULES, STRENGTH, TWO_LABEL_SUFFIXES, UPPER, Z
+    ruled = sorted(RULES, key=lambda r: -len(r.name))
+    fit = {r: f"(host = '{r.host}' or ends_with(host, '.{r.host}')) and starts_with(path, '{r.path}')" for r in ruled}
+    case = {v: "case " + " ".join(f"when {fit[r]} then '{getattr(r, v)}'" for r in ruled) + " end" for v in ("name", "verdict")}
+    low, high = STRENGTH
+    two = ", ".join(f"'{s}'" for s in TWO_LABEL_SUFFIXES)
+
+    def strength(src, m):
+        var = f"({m} * (1 - {m}))"
+        return (f"(select coalesce(least({high}, greatest({low}, case when rho <= 1 / ({high} + 1) then {high} else 1 / rho - 1 end)), {high}) k "
+                f"from (select sum(pow(bad - n * {m}, 2.0) - n * {var}) / nullif(sum(n * (n - 1) * {var}), 0.0) rho from {src}))")
+    return rf"""
+with u as (select row_number() over () rid, page_id, coalesce(url, '') u from {pages}),
+r as (select rid, page_id, case when instr(u, '://') > 0 then substr(u, instr(u, '://') + 3) else '' end r from u),
+p as (select rid, page_id, translate(regexp_extract(r, '\A[^/?#]*', 0), '{UPPER}', '{LOWER}') host,
+        regexp_extract(r, '\A[^/?#]*([^?#]*)', 1) path from r),
+j as (select *, {case['name']} "rule", {case['verdict']} ruled,
+        regexp_replace(regexp_replace(host, '(?s)\A.*@', ''), ':[0-9]*\z', '') nm from p),
+w as (select *, string_split(nm, '.') s from j),
+d as (select *, array_to_string(s[-2:], '.') d2, array_to_string(s[-3:], '.') d3, regexp_matches(nm, '\A[0-9.]+\z') num from w),
+k as (select *, case when num then nm when d2 in ({two}) then d3 else d2 end dom,
+        case when num then '#' when d2 in ({two}) then d2 else s[-1] end suf from d),
+m as (select doc_id, max(case when quality = 0 or toxic = 1 then 1 when quality is not null or toxic is not null then 0 end) bad
+      from {labels} group by doc_id),
+h as (select nm, dom, suf, cast(count(bad) as bigint) n, cast(coalesce(sum(bad), 0) as bigint) bad
+      from k left join m on page_id = doc_id group by all),
+o as (select (coalesce(sum(bad), 0) + 1) / (coalesce(sum(n), 0) + 2) m0 from h),
+s0 as (select suf, cast(sum(n) as bigint) n, cast(sum(bad) as bigint) bad, any_value(m0) m0 from h, o group by suf),
+s1 as (select suf, (bad + k * m0) / (n + k) m1 from s0, {strength('s0', 'm0')}),
+d0 as (select dom, suf, cast(sum(n) as bigint) n, cast(sum(bad) as bigint) bad, any_value(m1) m1 from h join s1 using (suf) group by dom, suf),
+d1 as (select dom, suf, (bad + k * m1) / (n + k) m2 from d0, {strength('d0', 'm1')}),
+h0 as (select h.*, m2 from h join d1 using (dom, suf)),
+h1 as (select nm, n, (bad + k * m2) / (n + k) mean, k from h0, {strength('h0', 'm2')}),
+h2 as (select *, mean - {Z} * sqrt(mean * (1 - mean) / (n + k + 1)) bound from h1)
+select page_id, host, path, "rule", coalesce(ruled, case when bound > {MAX_BAD} then 'block' else 'allow' end) verdict,
+  n host_labels, round(mean, 6) bad_share, round(bound, 6) bad_bound
+from k join h2 using (nm)"""

@@ -91,3 +91,15 @@ def op4(spark, sf_dir):
     coded = decode(encode(table(spark, sf_dir, "documents"), pieces), pieces)
     return coded.select("doc_id", F.size("codes").cast("long").alias("n_codes"), "codes",
                         (F.col("decoded") == F.col("text")).alias("round_trip"))
+
+
+@query("op11_url_filter", oracles.url_filter())
+def op11(spark, sf_dir):
+    from playtrail.llm.url_reputation import page_outcomes, url_filter
+    return url_filter(table(spark, sf_dir, "pages"), page_outcomes(table(spark, sf_dir, "labels")))
+
+
+@query("op13_periodic_runs")
+def op13(spark, sf_dir):
+    from playtrail.llm.periodic_runs import digest_columns, find_runs, with_planted_periods
+    return digest_columns(find_runs(with_planted_periods(table(spark, sf_dir, "documents"))))

@@ -36,7 +36,7 @@ def docs(spark):
 def test_matches_oracle(spark, name):
     import duckdb
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "labels"):
         con.execute(f"create view {t} as select * from read_parquet('{SF_SMALL}/{t}.parquet')")
     df = QUERIES[name](spark, SF_SMALL)
     cur = con.execute(ORACLES[name])
