@@ -125,3 +125,31 @@ h2 as (select *, mean - {Z} * sqrt(mean * (1 - mean) / (n + k + 1)) bound from h
 select page_id, host, path, "rule", coalesce(ruled, case when bound > {MAX_BAD} then 'block' else 'allow' end) verdict,
   n host_labels, round(mean, 6) bad_share, round(bound, 6) bad_bound
 from k join h2 using (nm)"""
+
+
+def collocations(documents: str = "documents") -> str:
+    """All phrases of one to four words, counted one by one."""
+    from playtrail.llm.collocations import LEAST, SCALE, SUBSUMED, TOP, WORDS
+    from playtrail.llm.url_reputation import LOWER, UPPER
+    share, whole = SUBSUMED
+    sizes = ", ".join(f"({m})" for m in range(1, WORDS + 1))
+    return rf"""
+with d as (select coalesce(lang, 'und') lang, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') t from {documents}),
+p as (select lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) p from d),
+w as (select lang, list_filter(regexp_split_to_array(p, '[\x20\x09]+'), lambda x: x <> '') w from p),
+g as (select lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) phrase
+      from w, (values {sizes}) o(m)),
+f as (select lang, m, phrase, count(*) f from g group by all),
+n as (select lang, cast(sum(f) as bigint) n from f where m = 1 group by lang),
+c as (select lang, m, phrase, f a, string_split(phrase, ' ') s from f where m > 1 and f >= {LEAST}),
+x as (select lang, phrase, max(a) x from (
+        select lang, array_to_string(s[:-2], ' ') phrase, a from c where m > 2 union all
+        select lang, array_to_string(s[2:], ' '), a from c where m > 2) e group by all),
+k as (select c.* from c left join x using (lang, phrase) where x is null or x::hugeint * {whole} < a::hugeint * {share}),
+u as (select *, unnest(range(1, m)) k from k),
+v as (select u.lang, u.phrase, a, k, fl.f l, fr.f r, cast({SCALE}::hugeint * a // (fl.f + fr.f) as bigint) score from u
+      join f fl on fl.lang = u.lang and fl.phrase = array_to_string(s[:k], ' ')
+      join f fr on fr.lang = u.lang and fr.phrase = array_to_string(s[k + 1:], ' ')),
+b as (select * from v qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+r as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) "rank" from b)
+select lang, "rank", phrase, a, l, r, n, score from r join n using (lang) where "rank" <= {TOP}"""

@@ -103,3 +103,9 @@ def op11(spark, sf_dir):
 def op13(spark, sf_dir):
     from playtrail.llm.periodic_runs import digest_columns, find_runs, with_planted_periods
     return digest_columns(find_runs(with_planted_periods(table(spark, sf_dir, "documents"))))
+
+
+@query("op12_phrase_collocations", oracles.collocations())
+def op12(spark, sf_dir):
+    from playtrail.llm.collocations import collocations
+    return collocations(table(spark, sf_dir, "documents"))

@@ -144,8 +144,8 @@ def _with_reputation(pages: DataFrame, rep: DataFrame) -> DataFrame:
     salts = (F.col("pages") / HOT_PAGES).cast("int") + 1
     hot = materialize(found.where(F.col("pages") > HOT_PAGES).select(F.col("rep_name").alias("hot_name"), salts.alias("salts")), "url-hot")
     salted = pages.join(F.broadcast(hot), F.col("name") == F.col("hot_name"), "left").withColumn(
-        "salt", F.coalesce(F.pmod(F.xxhash64("page_id", "path"), F.col("salts")), F.lit(0)))
-    spread = found.withColumn("rep_salt", F.explode(F.sequence(F.lit(0), salts - 1)).cast("long"))
+        "salt", F.coalesce(F.pmod(F.xxhash64("page_id", "path"), F.col("salts")).cast("int"), F.lit(0)))
+    spread = found.withColumn("rep_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
     return salted.join(spread, (F.col("name") == F.col("rep_name")) & (F.col("salt") == F.col("rep_salt")))
 
 

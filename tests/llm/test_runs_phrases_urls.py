@@ -113,3 +113,190 @@ def test_query_of_periodic_runs_equals_brute_force(spark):
         assert got[d.doc_id] == (len(runs), *best, best[1] and 1000 * best[1] // best[2],
                                  sha("".join("%d,%d,%d\n" % r for r in runs)), sha(plain_collapse(w, runs))), d.doc_id
     assert some > 5
+
+
+# ---------------------------------------------------------------- phrase collocations
+
+PIECE = re.compile(r"[.,;:!?\x0A-\x0D]")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def plain_collocations(rows, words, least, top):
+    f, n = collections.Counter(), collections.Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        for piece in PIECE.split((text or "").translate(LOWER)):
+            w = [x for x in re.split("[ \t]", piece) if x]
+            n[lang] += len(w)
+            for m in range(1, words + 1):
+                for i in range(len(w) - m + 1):
+                    f[lang, tuple(w[i:i + m])] += 1
+    cands = {k: a for k, a in f.items() if len(k[1]) > 1 and a >= least}
+    inside = lambda p, q: any(q[i:i + len(p)] == p for i in range(len(q) - len(p) + 1))
+    out = []
+    for lang in n:
+        scored = []
+        for (g, p), a in cands.items():
+            if g != lang or any(g2 == lang and len(q) > len(p) and inside(p, q) and 100 * b >= 80 * a for (g2, q), b in cands.items()):
+                continue
+            cuts = [(2_000_000 * a // (f[lang, p[:k]] + f[lang, p[k:]]), k) for k in range(1, len(p))]
+            s, k = min(cuts)
+            scored.append((-s, -a, " ".join(p).encode(), f[lang, p[:k]], f[lang, p[k:]]))
+        for r, (s, a, p, left, right) in enumerate(sorted(scored)[:top], 1):
+            out.append((lang, r, p.decode(), -a, left, right, n[lang], -s))
+    return sorted(out)
+
+
+def phrase_rows(seed):
+    rng = random.Random(seed)
+    vocab = ["the", "The", "cat", "sat", "on", "a", "mat", "é", "日本", "x\u00a0y", "\U0001F600"]
+    rows = [(None, None), ("en", None), ("en", ""), ("de", " \t ,;. \n"), ("", "the cat sat"), ("en", ", ".join(["the cat sat on"] * 50))]
+    for _ in range(120):
+        lang = rng.choice(["en", "en", "en", None])
+        words = [rng.choice(vocab) for _ in range(rng.randint(0, 40))]
+        rows.append((lang, "".join(w + rng.choice([" ", "  ", "\t", ", ", "\n", " ", " "]) for w in words)))
+    rows.append(("en", "the cat " * 30_000))       # one long text: a hot prefix
+    return rows
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_collocations_equal_brute_force(spark, monkeypatch, small):
+    from playtrail.llm import collocations as C
+    if small:      # many chunks, stripes given out often
+        monkeypatch.setattr(C, "CHUNK_BYTES", 200)
+        monkeypatch.setattr(C, "HELD", 50)
+    rows = phrase_rows(1 + small)
+    df = spark.createDataFrame([(i % 5, t, g, "s", "r", "t", 1, "p") for i, (g, t) in enumerate(rows)], SCHEMA).repartition(3)
+    got = C.collocations(df, least=5, top=40).collect()
+    assert sorted(tuple(r) for r in got) == plain_collocations(rows, 4, 5, 40)
+    assert len({r.lang for r in got}) == 2
+
+
+def test_collocations_of_nothing(spark):
+    from playtrail.llm import collocations as C
+    df = spark.createDataFrame([(1, "a b c", "en", "s", "r", "t", 1, "p")], SCHEMA)
+    assert C.collocations(df).count() == 0
+    assert C.collocations(df.limit(0)).count() == 0
+
+
+def test_full_filter_loses_nothing(spark, monkeypatch):
+    """A bitmap far too small lets everything through; the counts stay exact."""
+    from playtrail.llm import collocations as C
+    monkeypatch.setattr(C, "FILTER_BITS", 8)
+    rows = phrase_rows(7)
+    df = spark.createDataFrame([(i, t, g, "s", "r", "t", 1, "p") for i, (g, t) in enumerate(rows)], SCHEMA)
+    got = C.collocations(df, least=5, top=25).collect()
+    assert sorted(tuple(r) for r in got) == plain_collocations(rows, 4, 5, 25)
+
+
+def test_stripes_of_one_prefix_are_many_groups(spark):
+    from playtrail.llm import collocations as C
+    df = spark.createDataFrame([("en", " ".join(f"the w{i}," for i in range(500)))], "lang string, text string")
+    one = df.mapInArrow(C._stripes(1, None, C.WORD_SHARDS), C.STRIPES)
+    assert one.select("shard").distinct().count() > 400
+
+
+# ---------------------------------------------------------------- url filter
+
+URLS = [None, "", "no scheme", "http://", "https://A.Example.ORG/es/x?y#z", "http://example.org/en/1/2", "http://example.org/en/2",
+        "http://notexample.org/es/", "http://org/x", "http://org", "ftp://u:p@sub.example.com:8080/fr/é", "http://example.com/de/",
+        "http://example.com/DE/", "http://xcom/fr/", "a://b://c.com/fr/", "http://127.0.0.1/fr/", "http://x.org?p=/es/", "http://x.org#/",
+        "http://h.co.uk/a\nb", "http://É.com/fr/"]
+
+
+def plain_parts(url):
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    host = re.match(r"[^/?#]*", rest)[0]
+    return host.translate(LOWER), re.match(r"[^?#]*", rest[len(host):])[0]
+
+
+def plain_rule(host, path):
+    rules = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
+             ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+    fit = [(len(h + p), h + p, v) for v, h, p in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    return max(fit)[1:] if fit else (None, None)
+
+
+def test_rules_on_odd_urls(spark):
+    from playtrail.llm import url_reputation as U
+    rows = [(i if i else None, u, "html", "h", "n", 1.0, "r") for i, u in enumerate(URLS + URLS[4:6])]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, host string, name string, mean double, rule string")
+    none = spark.createDataFrame([], "page_id long, bad boolean")
+    got = U.url_filter(pages, none).collect()
+    want = []
+    for i, u, *_ in rows:
+        host, path = plain_parts(u)
+        name, verdict = plain_rule(host, path)
+        want.append((str(i), host, path, str(name), verdict or "allow"))
+    assert sorted((str(r.page_id), r.host, r.path, str(r.rule), r.verdict) for r in got) == sorted(want)
+    assert U.url_filter(pages.limit(0), none).count() == 0
+
+
+def reputation_fixture(spark):
+    rng = random.Random(5)
+    pages, outcomes, k = [], [], 0
+    for host, n, rate in [("bad.spam.net", 60, 0.95), ("new.spam.net", 0, 0), ("www.spam.net", 80, 0.9), ("good.site.net", 200, 0.02),
+                          ("few.site.net", 1, 1.0), ("a.co.uk", 30, 0.05), ("b.co.uk", 30, 0.1), ("hot.big.net", 2000, 0.05)]:
+        for _ in range(n + 3):
+            pages.append((k, f"http://{host}/p{k}"))
+            if n:
+                outcomes.append((k, rng.random() < rate))
+            k += 1
+    outcomes += outcomes[:5] + [(None, True), (10**9, True)]
+    return (spark.createDataFrame(pages, "page_id long, url string"),
+            spark.createDataFrame(outcomes, "page_id long, bad boolean"))
+
+
+def plain_reputation(pages, outcomes):
+    from playtrail.llm import url_reputation as U
+    bad = {}
+    for p, b in outcomes:
+        bad[p] = max(bad.get(p, False), b)
+    level = lambda h: (h, ".".join(h.split(".")[-(3 if h.endswith(".co.uk") else 2):]), "co.uk" if h.endswith(".co.uk") else h.split(".")[-1])
+    counts = [collections.defaultdict(lambda: [0, 0]) for _ in range(3)]
+    for p, u in pages:
+        for c, name in zip(counts, level(plain_parts(u)[0])):
+            c[name][0] += p in bad
+            c[name][1] += bad.get(p, False)
+    names = {plain_parts(u)[0] for _, u in pages}
+    n = sum(v[0] for v in counts[2].values())
+    prior = dict.fromkeys(counts[2], (sum(v[1] for v in counts[2].values()) + 1) / (n + 2))
+    for lv in (2, 1, 0):
+        c = counts[lv]
+        num = sum((b - m * prior[g]) ** 2 - m * prior[g] * (1 - prior[g]) for g, (m, b) in c.items())
+        den = sum(m * (m - 1) * prior[g] * (1 - prior[g]) for g, (m, b) in c.items())
+        rho = num / den if den else 0
+        k = U.STRENGTH[1] if rho <= 1 / (U.STRENGTH[1] + 1) else min(U.STRENGTH[1], max(U.STRENGTH[0], 1 / rho - 1))
+        mean = {g: (b + k * prior[g]) / (m + k) for g, (m, b) in c.items()}
+        if lv:
+            prior = {level(h)[lv - 1]: mean[level(h)[lv]] for h in names}
+    return {g: (m, mean[g], mean[g] - U.Z * (mean[g] * (1 - mean[g]) / (m + k + 1)) ** 0.5) for g, (m, b) in c.items()}
+
+
+@pytest.mark.parametrize("salted", [False, True])
+def test_reputation_equals_plain_arithmetic(spark, monkeypatch, salted):
+    from playtrail.llm import url_reputation as U
+    if salted:     # no broadcast of the reputations; hot hosts over several tasks
+        monkeypatch.setattr(U, "LOOKUP_ROWS", 1)
+        monkeypatch.setattr(U, "HOT_PAGES", 100)
+    pages, outcomes = reputation_fixture(spark)
+    got = U.url_filter(pages, outcomes, rules=()).collect()
+    assert len(got) == pages.count()
+    want = plain_reputation([tuple(r) for r in pages.collect()], [tuple(r) for r in outcomes.collect()])
+    for r in got:
+        n, mean, bound = want[r.host]
+        assert (r.host_labels, r.verdict) == (n, "block" if bound > 0.5 else "allow")
+        assert abs(r.bad_share - mean) < 2e-6 and abs(r.bad_bound - bound) < 2e-6
+    verdicts = {r.host: r.verdict for r in got}
+    # Plain evidence blocks; one bad page on a good domain does not.
+    assert verdicts["bad.spam.net"] == verdicts["www.spam.net"] == "block"
+    assert verdicts["few.site.net"] == verdicts["good.site.net"] == verdicts["hot.big.net"] == "allow"
+
+
+def test_url_filter_runs_no_python(spark):
+    pages, outcomes = reputation_fixture(spark)
+    from playtrail.llm import url_reputation as U
+    plan = U.url_filter(pages, outcomes)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow|Cartesian|NestedLoop", plan)
