@@ -11,17 +11,18 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from playtrail.functions.scalar import hash_fraction, round_half_even, safe_divide
-from playtrail.operators.relational import (drop_codes, drop_idle, events_with_labels,
-                                            labelled_players, time_to_next, with_specs)
+from playtrail.operators.relational import (complete_labelled_events, drop_codes, drop_idle,
+                                            position_bucket, time_to_next, with_specs)
 from playtrail.schema import (ASSESSMENT_TITLES, CLASS_WEIGHTS, COUNT_FEATURES, HOLDOUT_SHARE, KEY,
                               SESSION, THIN_CLASS, THIN_SHARE, TIME_FEATURES)
 
 FEATURE_KEYS = [SESSION, "world", KEY, "accuracy_group"]
-FEATURE_COLS = ["total_time"] + [n for n, _, _ in TIME_FEATURES] + [n for n, _, _ in COUNT_FEATURES]
+SHARE_COLS = [n for n, _, _ in TIME_FEATURES]
+FEATURE_COLS = ["total_time", *SHARE_COLS] + [n for n, _, _ in COUNT_FEATURES]
 
 
 def _pair(action: int, etype: int) -> Column:
@@ -29,12 +30,14 @@ def _pair(action: int, etype: int) -> Column:
 
 
 def style1_events(clicks: DataFrame, labels: DataFrame, specs: DataFrame, train: bool = True) -> DataFrame:
-    """Events ready for session features: labelled sessions (J1, J7), specs (J6),
-    time to the next event (W1) with idle gaps dropped (P8), and on the train
-    side attempt codes removed (P11) after the gaps are taken."""
-    d = events_with_labels(labelled_players(clicks, labels), labels) if train else clicks
-    d = d.drop("ts", "title", "type") if train else d.drop("title", "type")
-    d = time_to_next(with_specs(d, specs))
+    """Events ready for session features: complete rows of labelled sessions (J1,
+    J7, P6), specs (J6), time to the next event (W1) with idle gaps dropped (P8),
+    and on the train side attempt codes removed (P11) after the gaps are taken.
+    A session's events are spread by ranges of positions from the label join on."""
+    d = clicks.withColumn("_range", position_bucket())
+    if train:
+        d = complete_labelled_events(d, labels, ["accuracy_group"], "_range").drop("ts")
+    d = time_to_next(with_specs(d.drop("title", "type"), specs), bucket="_range").drop("_range")
     d = drop_idle(d)
     return drop_codes(d) if train else d
 
@@ -45,10 +48,8 @@ def total_time() -> Column:
 
 
 def conditional_times() -> list[Column]:
-    """A2 + A3: time spent per (action, type) pair as a share of the session's
-    total; 0 when the session has no time (0/0)."""
-    return [F.coalesce(safe_divide(F.sum(F.when(_pair(a, t), F.col("game_time"))), F.sum("game_time")),
-                       F.lit(0.0)).alias(name) for name, a, t in TIME_FEATURES]
+    """A2: time spent per (action, type) pair; null where a key has no such event."""
+    return [F.sum(F.when(_pair(a, t), F.col("game_time"))).alias(name) for name, a, t in TIME_FEATURES]
 
 
 def conditional_counts() -> list[Column]:
@@ -56,10 +57,25 @@ def conditional_counts() -> list[Column]:
     return [F.count_if(_pair(a, t)).alias(name) for name, a, t in COUNT_FEATURES]
 
 
-def session_features(events: DataFrame, keys: Sequence[str] = FEATURE_KEYS) -> DataFrame:
-    """A5: all fourteen session features in one aggregate (partial aggregation
-    on the map side; a huge session costs one row per map task)."""
-    return events.groupBy(*keys).agg(total_time(), *conditional_times(), *conditional_counts())
+def time_share(name: str, total: str = "total_time") -> Column:
+    """A3: a time as a share of the session's total; 0 when the session has no time (0/0)."""
+    return F.coalesce(safe_divide(F.col(name), F.col(total)), F.lit(0.0))
+
+
+def session_features(events: DataFrame, keys: Sequence[str] = FEATURE_KEYS, session: str = SESSION) -> DataFrame:
+    """A5: one row per distinct ``keys`` (session, world, player, result), each with
+    all fourteen features of its whole *session*.
+
+    Two levels: one aggregate per ``keys`` (partial on the map side, so a huge
+    session costs one row per map task and world), then the session's totals over
+    those few rows, aligned to each of them by the session key (J11: a key without
+    a value keeps 0). A session that spans two worlds gives two rows with equal
+    features."""
+    parts = events.groupBy(*keys).agg(total_time(), *conditional_times(), *conditional_counts())
+    whole = Window.partitionBy(session)
+    totals = parts.withColumns({c: F.sum(c).over(whole) for c in FEATURE_COLS})
+    zeros = {c: F.coalesce(F.col(c), F.lit(0)) for c in FEATURE_COLS if c not in SHARE_COLS}
+    return totals.withColumns({**zeros, **{c: time_share(c) for c in SHARE_COLS}})
 
 
 def mean_label(df: DataFrame, keys: Sequence[str], col: str = "accuracy_group", mixed: str = "mean") -> DataFrame:

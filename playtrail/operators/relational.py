@@ -8,9 +8,9 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playtrail.plans.ordered import (global_row_number, global_running_total, last_n, next_values,
-                                     ntile_column, value_bucket)
-from playtrail.session import bounded_broadcast
+from playtrail.plans.ordered import (global_row_number, global_running_total, join_in_buckets, last_n,
+                                     next_values, ntile_column, positions, value_bucket)
+from playtrail.session import bounded_broadcast, materialize
 from playtrail.schema import ATTEMPT_CODES, EVENT_ORDER, KEY, MAX_GAP, SESSION
 
 # Sessions longer than this many events are split into position ranges for W1.
@@ -135,14 +135,25 @@ def multi_event_sessions(df: DataFrame, keys: Sequence[str] = (KEY, SESSION)) ->
 
 
 def events_with_labels(clicks: DataFrame, labels: DataFrame) -> DataFrame:
-    """Events of labelled sessions with their label (inner join on both keys).
-
-    The reference writes a full outer join followed by dropping incomplete rows;
-    Catalyst does not turn that into an inner join by itself, so it is written so."""
+    """Events of labelled sessions with their label (inner join on both keys)."""
     lab = labels.select(KEY, SESSION, *[c for c in labels.columns if c not in (KEY, SESSION, "title")])
     return clicks.join(lab, [KEY, SESSION], "inner")
 
 
+def complete_labelled_events(clicks: DataFrame, labels: DataFrame, cols: Sequence[str], bucket: str) -> DataFrame:
+    """A full outer join whose incomplete rows are dropped. A row without its
+    other side is incomplete, so that is an inner join (Catalyst does not see it by
+    itself) of which rows with any null, in the event or in ``cols``, go (P6)."""
+    return complete_rows(labelled_events(clicks, labels, cols, bucket))
+
+
+def labelled_events(clicks: DataFrame, labels: DataFrame, cols: Sequence[str], bucket: str) -> DataFrame:
+    """J4 for ordered work: events of labelled sessions with the label columns
+    ``cols``, spread over tasks by (player, session, ``bucket``). An event of a
+    labelled session belongs to a labelled player, so J1 needs no join of its own."""
+    return join_in_buckets(clicks, labels.select(KEY, SESSION, *cols), [KEY, SESSION], bucket)
+
+
 def with_specs(df: DataFrame, specs: DataFrame) -> DataFrame:
     """Attach event_type/event_action; events without a spec row vanish.
     The spec table is a code book (one row per event id, a few hundred rows);
@@ -244,13 +255,21 @@ def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
 
 # ---------------------------------------------------------------- W: windows and order
 
+def position_bucket(col: str = "event_count") -> Column:
+    """The range of positions that W1 handles in one task."""
+    return value_bucket(col, POSITION_BUCKET)
+
+
 def time_to_next(df: DataFrame, keys: Sequence[str] = (KEY, SESSION), col: str = "game_time",
-                 order: Sequence[str] = ("event_count", "src_id"), out: str | None = None) -> DataFrame:
+                 order: Sequence[str] = ("event_count", "src_id"), out: str | None = None,
+                 bucket: str | None = None) -> DataFrame:
     """``abs(t[i] - t[i+1])`` within each session in event order, 0 on the last row. A null time counts as 0 before the difference.
 
-    Sessions are cut into ranges of event_count so a huge session is not one task."""
+    Sessions are cut into ranges of event_count so a huge session is not one task;
+    ``bucket`` names the range where the events are spread by it already."""
     df = df.withColumn(col, F.coalesce(F.col(col), F.lit(0).cast(df.schema[col].dataType)))
-    nxt = next_values(df, keys, order, value_bucket(order[0], POSITION_BUCKET), [col], prefix="_next_")
+    ranges = F.col(bucket) if bucket else position_bucket(order[0])
+    nxt = next_values(df, keys, order, ranges, [col], prefix="_next_")
     return nxt.withColumn(out or col, F.coalesce(F.abs(F.col(col) - F.col("_next_" + col)), F.lit(0)).cast(
         df.schema[col].dataType)).drop("_next_" + col)
 
@@ -273,6 +292,14 @@ def sort_sessions(df: DataFrame) -> DataFrame:
     return df.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
+def sorted_positions(df: DataFrame, name: str = "position") -> DataFrame:
+    """W5 with each row's 1-based place in its session, read off the sorted rows:
+    ids that grow along the sorted table are pinned by writing it, and the place
+    is counted within a table partition plus the session's rows in earlier ones."""
+    pinned = materialize(sort_sessions(df).withColumn("_mid", F.monotonically_increasing_id()), "sorted-sessions")
+    return positions(pinned, [KEY, SESSION], ["_mid"], F.shiftright("_mid", 33), name).drop("_mid")
+
+
 def kfold(df: DataFrame, k: int = 5, order: Sequence[str] = (KEY, SESSION),
           name: str = "fold", order_is_key: bool = True) -> DataFrame:
     """Contiguous folds in ``order`` without shuffling (unshuffled k-fold):

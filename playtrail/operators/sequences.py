@@ -19,21 +19,23 @@ from pyspark.sql import functions as F
 from playtrail.functions.scalar import code_text, normalize_text, pad_front
 from playtrail.operators.features import dummies, fit_values_of, label_onehot, mean_label
 from playtrail.operators.labelling import GROUP
-from playtrail.operators.relational import (complete_rows, events_with_labels, labelled_players,
-                                            last_events, player_last_label, positive_groups,
-                                            prior_play)
+from playtrail.operators.relational import (complete_rows, labelled_events, labelled_players, last_events,
+                                            player_last_label, positive_groups, prior_play)
 from playtrail.plans.ordered import HOUR_US, allow_partial_limit, positions, with_time_bucket
 from playtrail.session import materialize
-from playtrail.schema import (EVENT_ORDER, KEY, LABEL_COLS, LAST_EVENTS, MAX_SEQUENCE_LENGTH,
+from playtrail.schema import (EVENT_ORDER, KEY, LAST_EVENTS, MAX_SEQUENCE_LENGTH,
                               MIN_SEQUENCE_CODES, NUM_WORDS, PAD_VALUE, SESSION)
 
 
 def code_tokens(df: DataFrame, keys: Sequence[str], order: Sequence[str] = tuple(EVENT_ORDER),
-                width_us: int = HOUR_US) -> DataFrame:
+                width_us: int = HOUR_US, bucket: str | None = None) -> DataFrame:
     """A11 (long form) + P4 + X8: one row per event with its 1-based position in
-    the key's time order and its code as a normalised token."""
-    d = with_time_bucket(df, keys[0], "ts", width_us, name="_tb", sample=df.select(keys[0], "ts"))
-    pos = positions(d, list(keys), list(order), F.col("_tb"), name="pos").drop("_tb")
+    the key's time order and its code as a normalised token. ``bucket`` names the
+    time bucket where the events are spread by it already."""
+    if bucket is None:
+        bucket = "_tb"
+        df = with_time_bucket(df, keys[0], "ts", width_us, name=bucket, sample=df.select(keys[0], "ts"))
+    pos = positions(df, list(keys), list(order), F.col(bucket), name="pos").drop(bucket)
     return pos.select(*keys, "pos", F.trim(normalize_text(code_text("event_code"))).alias("code"))
 
 
@@ -97,17 +99,25 @@ def sequence_table(tokens: DataFrame, labels: DataFrame, keys: Sequence[str], mi
     return label_onehot(table), vocab
 
 
+def labelled_tokens(clicks: DataFrame, labels: DataFrame) -> DataFrame:
+    """J4 + A11: tokens of labelled sessions. The time bucket is set before the
+    label join, which spreads the events by it (:func:`labelled_events`)."""
+    timed = with_time_bucket(clicks, KEY, "ts", name="_tb")
+    return code_tokens(labelled_events(timed, labels, [], "_tb"), [KEY, SESSION], bucket="_tb")
+
+
 def style3_sequences(clicks: DataFrame, labels: DataFrame, vocab: DataFrame | None = None):
     """Z3: one row per assessment session: its own code sequence and result."""
-    ev = events_with_labels(clicks, labels)
-    tokens = code_tokens(ev, [KEY, SESSION])
+    tokens = labelled_tokens(clicks, labels)
     lab = labels.select(KEY, SESSION, "accuracy_group")
     return sequence_table(tokens, lab, [KEY, SESSION], None, vocab)
 
 
 def _history_rows(history: DataFrame) -> DataFrame:
-    """P2 + P6: drop the label's title, keep rows with a complete label."""
-    return complete_rows(history.drop("label_title"), LABEL_COLS)
+    """P2 + P6: drop the label's title, keep rows without any null. A row without a
+    group (an assessment's own events) is complete: null is our "no group"."""
+    rows = history.drop("label_title")
+    return complete_rows(rows, [c for c in rows.columns if c != GROUP])
 
 
 def style4_sequences(history: DataFrame, vocab: DataFrame | None = None):
@@ -137,14 +147,16 @@ def style2_rows(clicks: DataFrame, labels: DataFrame, n: int = LAST_EVENTS,
                 values: dict | None = None, label_order: Sequence[str] = ("start", SESSION)) -> tuple[DataFrame, dict]:
     """J1, J2, J9, P1, W2, F1 x3, U1: the last ``n`` prior-play events of each
     labelled player as numeric rows ``[event_count, game_time, dummies...]``.
-    Returns (rows, fitted dummy values)."""
+    Returns (rows, fitted dummy values).
+
+    J1 and J9 keep or drop whole players and add one value to each of a player's
+    rows, so the last ``n`` events are taken before them: each map task sends at
+    most ``n`` rows of a player, and the joins see no more than that. Only J2,
+    which removes single sessions, has to come first."""
     from playtrail.operators.labelling import assessment_starts
-    play = prior_play(labelled_players(clicks, labels), labels)
-    starts = assessment_starts(clicks, labels)
-    d = player_last_label(play, starts, order=label_order)
-    d = d.select(KEY, "event_code", "event_count", "game_time", "title", "type", "accuracy_group",
-                 "ts", "src_id")
-    d = last_events(d, n)
+    play = prior_play(clicks, labels).select(KEY, "event_code", "event_count", "game_time", "title", "type", "ts", "src_id")
+    d = labelled_players(last_events(play, n), labels)
+    d = player_last_label(d, assessment_starts(clicks, labels), order=label_order).drop("label_session", "ts", "src_id")
     values = values or fit_values_of(d, MATRIX_CATEGORIES)
     for c in MATRIX_CATEGORIES:
         d = dummies(d, c, values[c])

@@ -95,6 +95,21 @@ def _before(keys: list[str]) -> Window:
     return Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
 
 
+def join_in_buckets(df: DataFrame, small: DataFrame, keys: Sequence[str], bucket: str) -> DataFrame:
+    """Inner join of events ``df`` with ``small`` (one row per key), matched on
+    (keys, bucket), so that the events are exchanged on (keys, bucket) and stay so
+    for the bucketed windows that follow.
+
+    Joined on the keys alone, a shuffled join would leave each key's events in one
+    task, and a window over (keys, bucket) would take that partitioning as good
+    enough: a hot key would never be spread. Here the row of ``small`` is copied
+    once per bucket its key has (a hash distinct over the narrow keys), and the
+    events pass one exchange for the join and the windows together."""
+    keys = _cols(keys)
+    spread = df.select(*keys, bucket).distinct().join(small, keys)
+    return df.join(spread, [*keys, bucket])
+
+
 def next_values(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column,
                 values: Sequence[str], prefix: str = "next_") -> DataFrame:
     """Values of the next row in ``order`` within each key (``lead``), null on the last row."""

@@ -18,13 +18,15 @@ s1c as (select * from s1g where game_time < 600000 and event_code not in (4100,
 
 
 def _feature_sql(src: str = "s1c") -> str:
+    """One row per identity, each with its whole session's features."""
     shares = ", ".join(
         f"round(coalesce(cast(sum(case when event_action = {a} and event_type = {t} then game_time end) as double) "
         f"/ nullif(cast(sum(game_time) as double), 0), 0), 6) {n}" for n, a, t in TIME_FEATURES)
     counts = ", ".join(f"count(*) filter (where event_action = {a} and event_type = {t}) {n}"
                        for n, a, t in COUNT_FEATURES)
-    return (f"select game_session, world, installation_id, accuracy_group, cast(sum(game_time) as bigint) total_time, "
-            f"{shares}, {counts} from {src} group by game_session, world, installation_id, accuracy_group")
+    return (f"select * from (select distinct game_session, world, installation_id, accuracy_group from {src}) i join "
+            f"(select game_session, cast(sum(game_time) as bigint) total_time, {shares}, {counts} from {src} "
+            f"group by game_session) t using (game_session)")
 
 
 FEATS = f"{S1}, feats as ({_feature_sql()})"
@@ -55,9 +57,9 @@ def a2(t):
                                      .alias(n) for n, a, tt in TIME_FEATURES])
 
 
-@query("a3_time_share", f"select game_session, {SHARES[3]} from feats", ctes=FEATS)
+@query("a3_time_share", f"select game_session, {', '.join(SHARES)} from feats", ctes=FEATS)
 def a3(t):
-    return _rounded(_feats(t)).select(SESSION, SHARES[3])
+    return _rounded(_feats(t)).select(SESSION, *SHARES)
 
 
 @query("a4_conditional_counts", "select game_session, " + ", ".join(n for n, _, _ in COUNT_FEATURES) + " from feats",
@@ -71,6 +73,42 @@ def a5(t):
     return _rounded(_feats(t))
 
 
+# Sessions that span worlds, and events and labels with nulls: every sixth event is
+# in another world, and some rows have no time, no title or a label without result.
+ODD = """wc as (select * replace (case when src_id % 6 = 0 then 'NONE' else world end as world,
+  case when src_id % 11 = 0 then null else game_time end as game_time,
+  case when src_id % 17 = 0 then null else title end as title) from clicks),
+wl as (select * replace (case when installation_id % 13 = 0 then null else accuracy_group end as accuracy_group)
+  from assessment_labels),
+w1 as (select c.installation_id, c.game_session, c.world, c.event_code, l.accuracy_group, c.event_count, c.src_id,
+  c.event_id, c.game_time from wc c join wl l using (installation_id, game_session)
+  where c.game_time is not null and c.title is not null and l.accuracy_group is not null)"""
+ODD_GAPS = """w1g as (select w1.* exclude (game_time), s.event_type, s.event_action, coalesce(abs(game_time - lead(game_time) over (
+  partition by installation_id, game_session order by event_count, src_id)), 0) game_time from w1 join specs s using (event_id)),
+w1c as (select * from w1g where game_time < 600000 and event_code not in (4100, 4110))"""
+
+
+def _odd(t):
+    blank = lambda cond, c: F.when(~cond, F.col(c))
+    c = t.clicks.withColumns({
+        "world": F.when(F.col("src_id") % 6 == 0, "NONE").otherwise(F.col("world")),
+        "game_time": blank(F.col("src_id") % 11 == 0, "game_time"),
+        "title": blank(F.col("src_id") % 17 == 0, "title")})
+    return c, t.labels.withColumn("accuracy_group", blank(F.col(KEY) % 13 == 0, "accuracy_group"))
+
+
+@query("a5_features_of_mixed_worlds", f"select * from ({_feature_sql('w1c')})", ctes=f"{ODD}, {ODD_GAPS}")
+def a5_worlds(t):
+    return _rounded(FT.session_features(FT.style1_events(*_odd(t), t.specs)))
+
+
+@query("j7_drop_incomplete", "select src_id, accuracy_group from w1", ctes=ODD)
+def j7_incomplete(t):
+    c, labels = _odd(t)
+    d = R.complete_labelled_events(c.withColumn("_range", R.position_bucket()), labels, ["accuracy_group"], "_range")
+    return d.select("src_id", "accuracy_group")
+
+
 HIST = """lp as (select * from clicks where installation_id in (select installation_id from assessment_labels)),
 j8 as (select c.*, l.title label_title, l.num_correct, l.num_incorrect, l.accuracy, l.accuracy_group
   from lp c left join assessment_labels l using (installation_id, game_session)),
@@ -135,16 +173,18 @@ def f2(t):
     return FT.label_onehot(t.labels).select(SESSION, *[f"accuracy_group_{c}" for c in range(4)])
 
 
-@query("f3_standardize", """
-select f.game_session, round((total_time - m1) / case when s1 = 0 then 1 else s1 end, 6) total_time,
-  round((num_rounds - m2) / case when s2 = 0 then 1 else s2 end, 6) num_rounds
-from feats f, (select avg(total_time) m1, stddev_pop(total_time) s1, avg(num_rounds) m2, stddev_pop(num_rounds) s2
-  from feats where """ + FRAC.format(seed=1, key="game_session") + """ >= 0.15) st""", ctes=FEATS)
+_NUMBERS = ["total_time", *SHARES, *[n for n, _, _ in COUNT_FEATURES]]
+_UNROUNDED = f"{S1}, feats as ({_feature_sql().replace('round(', '(').replace(', 6)', ')')})"
+
+
+@query("f3_standardize", "select f.game_session, " + ", ".join(
+    f"round(({c} - m_{c}) / case when s_{c} = 0 then 1 else s_{c} end, 6) {c}" for c in _NUMBERS)
+    + " from feats f, (select " + ", ".join(f"avg({c}) m_{c}, stddev_pop({c}) s_{c}" for c in _NUMBERS)
+    + " from feats where " + FRAC.format(seed=1, key="game_session") + " >= 0.15) st", ctes=_UNROUNDED)
 def f3(t):
     feats = FT.split(_feats(t), SESSION)
-    model = FT.Standardizer.fit(feats.where(F.col("split") == "train"), ["total_time", "num_rounds"])
-    out = model.transform(feats)
-    return out.select(SESSION, round6("total_time").alias("total_time"), round6("num_rounds").alias("num_rounds"))
+    model = FT.Standardizer.fit(feats.where(F.col("split") == "train"), FT.FEATURE_COLS)
+    return model.transform(feats).select(SESSION, *[round6(c).alias(c) for c in FT.FEATURE_COLS])
 
 
 @query("f4_mean_normalize", "select src_id, round((game_time - m) / nullif(hi - lo, 0), 6) game_time from clicks, "

@@ -282,9 +282,10 @@ def w4(t):
     return R.session_starts(t.clicks)
 
 
-@query("w5_sort_sessions", "select src_id, game_session, event_count from clicks")
+@query("w5_sort_sessions", "select src_id, game_session, event_count, row_number() over (partition by installation_id, "
+       "game_session order by event_count, src_id) as position from clicks")
 def w5(t):
-    return R.sort_sessions(t.clicks).select("src_id", SESSION, "event_count")
+    return R.sorted_positions(t.clicks).select("src_id", SESSION, "event_count", "position")
 
 
 @query("w6_assessment_groups", "select installation_id, game_session, start, grp \"group\" from grp",
