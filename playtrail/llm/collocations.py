@@ -8,17 +8,19 @@ yields all three things mining needs: the extensions (phrases of m words with
 their counts), the prefix total (the count of each first part of a cut) and the
 largest extension (whether a longer phrase subsumes the prefix).
 
-Stripes are made level by level, m = 1 to ``WORDS``. A phrase is counted at
-level m only where its first and its last m - 1 words are frequent, which every
-frequent phrase fulfils. Tasks test that on a bitmap of hashes of the frequent
-phrases of the level before: it keeps every frequent phrase, and one that a
-chance hash lets through is dropped by its exact count. The bitmap has 16 bits a
-frequent phrase and ``FILTER_BITS`` bits (128 MB) at most, so what is broadcast
-is bounded; with more phrases it lets more through, and nothing is lost.
+Stripes are made level by level, m = 1 to ``WORDS``, in one pass over the texts
+each. A stripe is kept only for a frequent prefix, and takes in a next word only
+where a sketch of the pass before lets the longer phrase through: counters of
+hashed phrases (16-bit places in blocks, merged elementwise), whose frequent
+places become a bitmap. A frequent phrase always passes; one that a chance hash
+lets through is dropped by its exact count. Sketch and bitmaps have at most
+``FILTER_BITS`` places (a bitmap of 128 MB), so what is broadcast is bounded; on
+more text they let more through, and nothing is lost.
 
 A stripe is cut into ``SHARDS`` parts by a checksum of the next word, so that a
-frequent prefix is many groups, and a task's counters are given out whenever
-they hold ``HELD`` entries. Counts meet in Spark's hash aggregate, which spills.
+frequent prefix is many groups. Counts meet in Spark's hash aggregate, which
+spills; a task holds the words of ``CHUNK_BYTES`` of text (of one piece, if that
+is longer) and nothing else.
 
 Defined results: a null text is empty and a null language is ``und``; words and
 pieces of any length count whole; repeated rows count each time; ties are
@@ -32,6 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -46,208 +49,261 @@ TOP = 2000                # phrases given a language
 SCALE = 2_000_000
 SUBSUMED = (80, 100)      # a longer phrase with this share of the count subsumes
 
-CHUNK_BYTES = 1 << 20     # text whose words are counted at once
-HELD = 300_000            # entries of a task's counters
+CHUNK_BYTES = 8 << 20     # text whose words are counted at once
 SHARDS, WORD_SHARDS = 32, 1 << 14
-FILTER_BITS = 1 << 30
+FILTER_BITS = 1 << 30     # places of a sketch, bits of a bitmap
+LEAST_BITS = 1 << 18
+BLOCK = 1 << 16           # places of a sketch that are merged together
 
 MARK = b"\xff"            # ends a piece; no byte of UTF-8
 # A-Z to a-z, the ends of pieces to the mark, tab to space.
 TABLE = bytes(ord(MARK) if b in b".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
-STRIPES = "lang string, prefix string, shard int, nexts array<string>, counts array<long>"
-MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
+#: Rows of a pass: a part of a stripe, or a block of the sketch of phrases one word longer.
+PASS = ("lang string, prefix string, shard int, nexts array<string>, counts array<long>, "
+        "block int, places binary, hits binary")
+PASS_TYPES = {"lang": pa.string(), "prefix": pa.string(), "shard": pa.int32(), "nexts": pa.list_(pa.string()),
+              "counts": pa.list_(pa.int64()), "block": pa.int32(), "places": pa.binary(), "hits": pa.binary()}
+MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 
 
-def _slots(hashes: np.ndarray, seed: int, bits: int) -> np.ndarray:
-    """Place in the bitmap of phrases, one a row of ``hashes`` (words by columns)."""
-    with np.errstate(over="ignore"):
-        mixed = (hashes * MIX[:hashes.shape[1]]).sum(axis=1, dtype=np.uint64) + np.uint64(seed)
-        mixed ^= mixed >> np.uint64(31)
-        mixed *= np.uint64(0x94D049BB133111EB)
-        mixed ^= mixed >> np.uint64(29)
-    return (mixed & np.uint64(bits - 1)).astype(np.int64)
+def _finish(mixed: np.ndarray) -> np.ndarray:
+    mixed = (mixed ^ (mixed >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
+    return mixed ^ (mixed >> np.uint64(29))
 
 
-def _hash(word: bytes) -> int:
-    return xxhash.xxh64_intdigest(word)
+def phrase_hash(lang: str, words: list[bytes]) -> int:
+    """The hash of a phrase, as :meth:`Chunk.hashes_at` has it for all its places."""
+    mixed = np.array([xxhash.xxh64_intdigest(lang.encode())], np.uint64)
+    for k, word in enumerate(words):
+        mixed += np.array([xxhash.xxh64_intdigest(word)], np.uint64) * np.uint64(MIX[k])
+    return int(_finish(mixed)[0])
+
+
+def places_for(n: int) -> int:
+    """A power of two of about ``n``, within the bounds of a sketch."""
+    return min(FILTER_BITS, max(LEAST_BITS, 1 << max(n - 1, 1).bit_length()))
 
 
 class Filter:
-    """Hashes of the frequent phrases of one level."""
+    """A bitmap of hashes: no frequent phrase fails it."""
 
-    def __init__(self, bits: int, blocks: dict[int, bytes]):
-        self.bits, self.bytes = bits, np.zeros(bits // 8, np.uint8)
-        for number, block in blocks.items():
-            part = np.frombuffer(block, np.uint8)
-            start = number * len(part)
-            self.bytes[start:start + len(part)] = part[:len(self.bytes) - start]
+    def __init__(self, bits: int, bytes_: np.ndarray):
+        self.bits, self.bytes = bits, bytes_
 
-    def holds(self, slots: np.ndarray) -> np.ndarray:
-        return (self.bytes[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1 == 1
+    def holds(self, hashes: np.ndarray) -> np.ndarray:
+        at = (hashes & np.uint64(self.bits - 1)).astype(np.int64)
+        return (self.bytes[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
 
-def _phrase_slots(bits: int):
-    def slots(batches):
+def _phrase_places(bits: int):
+    def places(batches):
         for batch in batches:
-            langs, phrases = batch.column("lang").to_pylist(), batch.column("phrase").to_pylist()
-            out = [int(_slots(np.array([[_hash(w.encode()) for w in p.split(" ")]], np.uint64), _hash(g.encode()), bits)[0])
-                   for g, p in zip(langs, phrases)]
-            yield pa.record_batch({"slot": pa.array(out, pa.int64())})
-    return slots
+            pairs = zip(batch.column("lang").to_pylist(), batch.column("phrase").to_pylist())
+            yield pa.record_batch({"place": pa.array([phrase_hash(g, [w.encode() for w in p.split(" ")]) & (bits - 1)
+                                                      for g, p in pairs], pa.int64())})
+    return places
 
 
 def frequent_filter(phrases: DataFrame):
-    """A broadcast :class:`Filter` of the table ``phrases`` (lang, phrase): at most
-    ``FILTER_BITS`` bits, put together in blocks by Spark's bitmap aggregate."""
-    spark = phrases.sparkSession
-    bits = min(FILTER_BITS, max(1 << 18, 1 << (16 * phrases.count()).bit_length()))
-    slots = phrases.select("lang", "phrase").mapInArrow(_phrase_slots(bits), "slot long")
-    # Buckets count from 1 and hold 32,768 slots each, so slot 0 goes in as 1; a bucket is 4,096 bytes.
-    slot = F.col("slot") + 1
-    blocks = slots.select(F.bitmap_bucket_number(slot).alias("b"), F.bitmap_bit_position(slot).alias("p"))
-    rows = blocks.groupBy("b").agg(F.bitmap_construct_agg("p").alias("m")).collect()
-    return spark.sparkContext.broadcast(Filter(bits, {r.b - 1: bytes(r.m) for r in rows}))
-
-
-def _tokens(data: bytes) -> tuple[np.ndarray, list[bytes]]:
-    """Word numbers of a text, marks and empty words among them, and the distinct words."""
-    words = data.replace(MARK, b" \xff ").split(b" ")
-    coded = pa.array(words, pa.binary()).dictionary_encode()
-    return coded.indices.to_numpy(), coded.dictionary.to_pylist()
-
-
-def _pieces(data: bytes) -> Iterator[bytes]:
-    """``data`` in parts of about ``CHUNK_BYTES``, cut at ends of pieces."""
-    start = 0
-    while start < len(data):
-        end = data.find(MARK, start + CHUNK_BYTES)
-        end = len(data) if end < 0 else end + 1
-        yield data[start:end]
-        start = end
-
-
-class _Counter:
-    """Stripes of one task: (lang, prefix) -> next word -> count."""
-
-    def __init__(self, level: int, frequent: Filter | None, shards: int):
-        self.level, self.frequent, self.shards = level, frequent, shards
-        self.stripes: dict[tuple[str, bytes], dict[bytes, int]] = {}
-        self.held = 0
-
-    def count(self, lang: str, data: bytes) -> None:
-        ids, words = _tokens(data)
-        ids = ids[ids != words.index(b"")] if b"" in words else ids     # spaces in a row
-        mark = words.index(MARK) if MARK in words else -1
-        n, m = len(ids), self.level
-        if m == 1:
-            counts = np.bincount(ids, minlength=len(words))
-            if mark >= 0:
-                counts[mark] = 0
-            some = np.flatnonzero(counts)
-            self._add(lang, b"", [words[i] for i in some.tolist()], counts[some].tolist())
-            return
-        if n < m - 1:
-            return
-        # Places where m - 1 frequent words in a row begin, inside one piece.
-        breaks = np.concatenate([[0], np.cumsum(ids == mark)])
-        starts = np.arange(n - m + 2)
-        starts = starts[breaks[starts + m - 1] == breaks[starts]]
-        hashes = np.array([_hash(w) for w in words], np.uint64)
-        windows = np.lib.stride_tricks.sliding_window_view(ids, m - 1)
-        frequent = np.zeros(n + 1, bool)
-        frequent[starts] = self.frequent.holds(_slots(hashes[windows[starts]], _hash(lang.encode()), self.frequent.bits))
-        starts = np.flatnonzero(frequent)
-        if not len(starts):
-            return
-        # Numbers of the distinct prefixes, word by word, then of (prefix, next word).
-        prefix = ids[starts].astype(np.int64)
-        for k in range(1, m - 1):
-            prefix = np.unique(prefix * len(words) + ids[starts + k], return_inverse=True)[1]
-        at, first, number, totals = np.unique(prefix, return_index=True, return_inverse=True, return_counts=True)
-        names = [b" ".join(words[j] for j in ids[i:i + m - 1].tolist()) for i in starts[first].tolist()]
-        for name, total in zip(names, totals.tolist()):
-            self._add(lang, name, [b""], [total])
-        longer = (starts + m <= n) & frequent[starts + 1]
-        following = number[longer] * len(words) + ids[starts[longer] + m - 1]
-        pairs, counts = np.unique(following, return_counts=True)
-        for pair, c in zip(pairs.tolist(), counts.tolist()):
-            self._add(lang, names[pair // len(words)], [words[pair % len(words)]], [c])
-
-    def _add(self, lang: str, prefix: bytes, nexts: list[bytes], counts: list[int]) -> None:
-        stripe = self.stripes.setdefault((lang, prefix), {})
-        before = len(stripe)
-        for word, c in zip(nexts, counts):
-            stripe[word] = stripe.get(word, 0) + c
-        self.held += len(stripe) - before
-
-    def give(self) -> Iterator[pa.RecordBatch]:
-        rows: dict[str, list] = {k: [] for k in ("lang", "prefix", "shard", "nexts", "counts")}
-        for (lang, prefix), stripe in self.stripes.items():
-            parts: dict[int, list[bytes]] = {}
-            for word in stripe:
-                parts.setdefault(zlib.crc32(word) % self.shards, []).append(word)
-            for shard, nexts in parts.items():
-                for column, value in zip(rows.values(), (lang, prefix, shard, nexts, [stripe[w] for w in nexts])):
-                    column.append(value)
-        self.stripes, self.held = {}, 0
-        text, many = pa.string(), pa.list_(pa.binary())
-        for i in range(0, len(rows["lang"]), 20_000):
-            part = {k: v[i:i + 20_000] for k, v in rows.items()}
-            yield pa.record_batch({"lang": pa.array(part["lang"], text), "prefix": pa.array(part["prefix"], pa.binary()).cast(text),
-                                   "shard": pa.array(part["shard"], pa.int32()),
-                                   "nexts": pa.array(part["nexts"], many).cast(pa.list_(text)),
-                                   "counts": pa.array(part["counts"], pa.list_(pa.int64()))})
-
-
-def _stripes(level: int, frequent, shards: int):
-    def run(batches):
-        counter = _Counter(level, frequent.value if frequent is not None else None, shards)
-        waiting: dict[str, list[bytes]] = {}
-        size = 0
+    """A broadcast :class:`Filter` of the table ``phrases`` (lang, phrase), with 16 to 32
+    bits a phrase, put together in blocks by Spark's bitmap aggregate."""
+    bits = places_for(16 * phrases.count())
+    # Buckets count from 1 and hold 32,768 bits each, so place 0 goes in as 1; a bucket is 4,096 bytes.
+    place = F.col("place") + 1
+    blocks = phrases.select("lang", "phrase").mapInArrow(_phrase_places(bits), "place long").select(
+        F.bitmap_bucket_number(place).alias("b"), F.bitmap_bit_position(place).alias("p"))
+    held = np.zeros(max(bits // 8, 4096), np.uint8)
+    for row in blocks.groupBy("b").agg(F.bitmap_construct_agg("p").alias("m")).collect():
+        held[(row.b - 1) * 4096:row.b * 4096] = np.frombuffer(bytes(row.m), np.uint8)
+    return phrases.sparkSession.sparkContext.broadcast(Filter(bits, held))
+
+
+def _merge_sketch(least: int):
+    def merge(batches):
+        held: dict[int, np.ndarray] = {}
         for batch in batches:
-            texts = batch.column("text").cast(pa.binary())
-            for lang, text in zip(batch.column("lang").to_pylist(), texts):
-                data = text.as_py().translate(TABLE)
-                waiting.setdefault(lang, []).append(data)
-                size += len(data)
-                if size < CHUNK_BYTES:
-                    continue
-                for of, held in waiting.items():
-                    for part in _pieces(MARK.join(held)):
-                        counter.count(of, part)
-                        if counter.held >= HELD:
-                            yield from counter.give()
+            for block, places, hits in zip(*(batch.column(c).to_pylist() for c in ("block", "places", "hits"))):
+                at = np.frombuffer(places, np.uint16)
+                counter = held.setdefault(block, np.zeros(BLOCK, _hit_type(least)))
+                # Places differ within a row; a counter stops at ``least``.
+                counter[at] = np.minimum(counter[at].astype(np.int64) + np.frombuffer(hits, _hit_type(least)), least)
+        found = {b: np.packbits(c >= least, bitorder="little") for b, c in held.items() if (c >= least).any()}
+        yield pa.record_batch({"block": pa.array(list(found), pa.int32()),
+                               "bits": pa.array([zlib.compress(v.tobytes(), 1) for v in found.values()], pa.binary())})
+    return merge
+
+
+def _hit_type(least: int):
+    return np.uint8 if least < 256 else np.uint32
+
+
+def sketch_filter(rows: DataFrame, bits: int, least: int):
+    """A broadcast :class:`Filter` of the sketch's places that reach ``least``. Each block
+    (64 KB of counters) is merged by one task; what comes back is the bitmap."""
+    blocks = rows.where("block is not null").select("block", "places", "hits").repartition("block")
+    held = np.zeros(bits // 8, np.uint8)
+    for row in blocks.mapInArrow(_merge_sketch(least), "block int, bits binary").collect():
+        span = held[row.block * BLOCK // 8:(row.block + 1) * BLOCK // 8]
+        span[:] = np.frombuffer(zlib.decompress(bytes(row.bits)), np.uint8)[:len(span)]
+    return rows.sparkSession.sparkContext.broadcast(Filter(bits, held))
+
+
+class Chunk:
+    """Words of some text of one language, as numbers."""
+
+    def __init__(self, lang: str, data: bytes):
+        self.lang = lang
+        split = pc.split_pattern(pa.array([data.replace(MARK, b" \xff ")], pa.large_binary()), " ").flatten()
+        split = split.filter(pc.not_equal(pc.binary_length(split), 0)).dictionary_encode()
+        self.ids = split.indices.to_numpy().astype(np.int64)
+        self.words: list[bytes] = split.dictionary.to_pylist()
+        self.hashes = np.array([xxhash.xxh64_intdigest(w) for w in self.words], np.uint64)
+        self.mark = self.words.index(MARK) if MARK in self.words else -1
+        self.breaks = np.concatenate([[0], np.cumsum(self.ids == self.mark)])
+
+    def starts(self, m: int) -> np.ndarray:
+        """Places where ``m`` words in a row begin, inside one piece."""
+        at = np.arange(max(len(self.ids) - m + 1, 0))
+        return at[self.breaks[at + m] == self.breaks[at]]
+
+    def hashes_at(self, at: np.ndarray, m: int) -> np.ndarray:
+        mixed = np.full(len(at), xxhash.xxh64_intdigest(self.lang.encode()), np.uint64)
+        for k in range(m):
+            mixed += self.hashes[self.ids[at + k]] * np.uint64(MIX[k])
+        return _finish(mixed)
+
+    def sketch(self, at: np.ndarray, m: int, bits: int, least: int) -> dict:
+        """Counters of the phrases of ``m`` words at ``at``: a row per block of places."""
+        places, hits = np.unique(self.hashes_at(at, m) & np.uint64(bits - 1), return_counts=True)
+        block = (places // np.uint64(BLOCK)).astype(np.int32)
+        inner, hits = (places % np.uint64(BLOCK)).astype(np.uint16), np.minimum(hits, least).astype(_hit_type(least))
+        edges = np.concatenate([[0], np.flatnonzero(block[1:] != block[:-1]) + 1, [len(block)]]) if len(block) else [0]
+        spans = list(zip(edges[:-1], edges[1:]))
+        return {"block": block[edges[:-1]], "places": [inner[i:j].tobytes() for i, j in spans],
+                "hits": [hits[i:j].tobytes() for i, j in spans]}
+
+    def stripes(self, names: list[bytes], prefix: np.ndarray, following: np.ndarray, counts: np.ndarray, shards: int) -> dict:
+        """Parts of stripes from (prefix number, next word, count) in arrays. The number
+        after the last word stands for the empty word."""
+        words = [*self.words, b""]
+        shard = np.array([zlib.crc32(w) % shards for w in words], np.int64)[following]
+        order = np.lexsort((shard, prefix))
+        prefix, shard = prefix[order], shard[order]
+        new = (prefix[1:] != prefix[:-1]) | (shard[1:] != shard[:-1])
+        first = np.concatenate([[0], np.flatnonzero(new) + 1]) if len(order) else np.zeros(0, np.int64)
+        offsets = pa.array(np.append(first, len(order)), pa.int32())
+        nexts = pa.array(words, pa.binary()).take(pa.array(following[order])).cast(pa.string())     # the mark is never taken
+        return {"lang": [self.lang] * len(first), "prefix": pa.array(names, pa.binary()).cast(pa.string()).take(pa.array(prefix[first])),
+                "shard": shard[first], "nexts": pa.ListArray.from_arrays(offsets, nexts),
+                "counts": pa.ListArray.from_arrays(offsets, pa.array(counts[order], pa.int64()))}
+
+
+def _count(chunk: Chunk, level: int, known, passing, bits: int, least: int, longest: int) -> Iterator[dict]:
+    """Stripes of one level, and the sketch of the next. ``known`` holds the frequent
+    prefixes of the level, ``passing`` the sketch of its phrases."""
+    at = chunk.starts(level)
+    none = len(chunk.words)
+    if level == 1:
+        numbers, counts = np.unique(chunk.ids[at], return_counts=True)
+        yield chunk.stripes([b""], np.zeros(len(numbers), np.int64), numbers, counts, WORD_SHARDS)
+        longer = chunk.starts(2)
+    else:
+        m = level - 1
+        starts = chunk.starts(m)
+        starts = starts[known.holds(chunk.hashes_at(starts, m))]
+        frequent = np.zeros(len(chunk.ids) + 1, bool)
+        frequent[starts] = True
+        # Numbers of the distinct prefixes, word by word.
+        number = chunk.ids[starts]
+        for k in range(1, m):
+            number = np.unique(number * none + chunk.ids[starts + k], return_inverse=True)[1]
+        _, first, number, totals = np.unique(number, return_index=True, return_inverse=True, return_counts=True)
+        names = [b" ".join(chunk.words[j] for j in chunk.ids[i:i + m].tolist()) for i in starts[first].tolist()]
+        numbered = np.zeros(len(chunk.ids) + 1, np.int64)
+        numbered[starts] = number
+        at = at[frequent[at] & frequent[at + 1]]
+        at = at[passing.holds(chunk.hashes_at(at, level))]
+        pairs, counts = np.unique(numbered[at] * none + chunk.ids[at + m], return_counts=True)
+        yield chunk.stripes(names, np.concatenate([np.arange(len(names)), pairs // max(none, 1)]),
+                            np.concatenate([np.full(len(names), none), pairs % max(none, 1)]), np.concatenate([totals, counts]), SHARDS)
+        passed = np.zeros(len(chunk.ids) + 1, bool)
+        passed[at] = True
+        longer = chunk.starts(level + 1)
+        longer = longer[passed[longer] & passed[longer + 1]]
+    if level < longest:
+        yield chunk.sketch(longer, level + 1, bits, least)
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], chunk_bytes: int) -> Iterator[Chunk]:
+    """Texts of a task by language, about ``chunk_bytes`` at a time, cut at ends of pieces."""
+    waiting: dict[str, list[bytes]] = {}
+    size = 0
+
+    def full() -> Iterator[Chunk]:
+        for lang, texts in waiting.items():
+            data, start = MARK.join(texts), 0
+            while start < len(data):
+                end = data.find(MARK, start + chunk_bytes)
+                end = len(data) if end < 0 else end + 1
+                yield Chunk(lang, data[start:end])
+                start = end
+
+    for batch in batches:
+        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").cast(pa.binary())):
+            data = text.as_py().translate(TABLE)
+            waiting.setdefault(lang, []).append(data)
+            size += len(data)
+            if size >= chunk_bytes:
+                yield from full()
                 waiting, size = {}, 0
-        for of, held in waiting.items():
-            for part in _pieces(MARK.join(held)):
-                counter.count(of, part)
-        yield from counter.give()
+    yield from full()
+
+
+def _pass(level: int, known, passing, bits: int, least: int, longest: int, chunk_bytes: int = CHUNK_BYTES):
+    def run(batches):
+        filters = [b.value if b is not None else None for b in (known, passing)]
+        for chunk in _chunks(batches, chunk_bytes):
+            for rows in _count(chunk, level, *filters, bits, least, longest):
+                n = len(rows[next(iter(rows))])
+                columns = {c: pa.array(rows[c], t) if c in rows and not isinstance(rows[c], pa.Array) else
+                           rows[c] if c in rows else pa.nulls(n, t) for c, t in PASS_TYPES.items()}
+                batch = pa.record_batch(columns)
+                for i in range(0, n, 20_000):
+                    yield batch.slice(i, 20_000)
     return run
 
 
-def merged_stripes(rows: DataFrame, level: int, frequent=None) -> DataFrame:
-    """Merged stripes of one level in long form: lang, prefix, next, n. The next word
-    ``''`` holds the prefix's total (for level 1 there is no prefix and no total)."""
-    shards = WORD_SHARDS if level == 1 else SHARDS
-    parts = rows.mapInArrow(_stripes(level, frequent, shards), STRIPES)
+def merged_stripes(rows: DataFrame) -> DataFrame:
+    """Merged stripes of a pass in long form: lang, prefix, next, n. The next word ``''``
+    holds the prefix's total (for level 1 there is no prefix and no total)."""
     # Parts of a stripe meet once; the elementwise sum needs no further exchange.
-    parts = parts.repartition("lang", "prefix", "shard").select(
-        "lang", "prefix", "shard", F.explode(F.arrays_zip("nexts", "counts")).alias("e"))
-    return parts.groupBy("lang", "prefix", "shard", F.col("e.nexts").alias("next")).agg(F.sum("e.counts").alias("n")).drop("shard")
+    parts = rows.where("shard is not null").select("lang", "prefix", "shard", "nexts", "counts").repartition("lang", "prefix", "shard")
+    long = parts.select("lang", "prefix", "shard", F.explode(F.arrays_zip("nexts", "counts")).alias("e"))
+    return long.groupBy("lang", "prefix", "shard", F.col("e.nexts").alias("next")).agg(F.sum("e.counts").alias("n")).drop("shard")
 
 
 def phrase_counts(docs: DataFrame, words: int = WORDS, least: int = LEAST, text_col: str = "text",
-                  lang_col: str = "lang") -> tuple[DataFrame, list[DataFrame]]:
+                  lang_col: str = "lang", chunk_bytes: int = CHUNK_BYTES) -> tuple[DataFrame, list[DataFrame]]:
     """(totals, levels): ``totals`` has ``lang`` and ``n``, its number of words;
     ``levels[m - 2]`` the frequent part of the merged stripes of level m, m from 2."""
+    if not 2 <= words < len(MIX):
+        raise ValueError(f"phrases have 2 to {len(MIX) - 1} words")
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), whole_text(text_col).alias("text"))
-    singles = materialize(merged_stripes(rows, 1), "stripes-1")
-    phrases = singles.where(F.col("n") >= least).select("lang", F.col("next").alias("phrase"))
+    # Words have some six bytes, so this is about one place a word.
+    bits = places_for((rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // 6)
     levels: list[DataFrame] = []
-    for level in range(2, words + 1):
-        level_rows = materialize(merged_stripes(rows, level, frequent_filter(phrases)).where(F.col("n") >= least), f"stripes-{level}")
-        levels.append(level_rows)
-        phrases = level_rows.where("next <> ''").select("lang", F.concat_ws(" ", "prefix", "next").alias("phrase"))
+    known = passing = None
+    for level in range(1, words + 1):
+        given = materialize(rows.mapInArrow(_pass(level, known, passing, bits, least, words, chunk_bytes), PASS), f"stripes-{level}")
+        merged = merged_stripes(given)
+        if level == 1:
+            singles = materialize(merged, "words")
+            phrases = singles.where(F.col("n") >= least).select("lang", F.col("next").alias("phrase"))
+        else:
+            levels.append(materialize(merged.where(F.col("n") >= least), f"phrases-{level}"))
+            phrases = levels[-1].where("next <> ''").select("lang", F.concat_ws(" ", "prefix", "next").alias("phrase"))
+        if level < words:
+            known, passing = frequent_filter(phrases), sketch_filter(given, bits, least)
     return singles.groupBy("lang").agg(F.sum("n").alias("n")), levels
 
 
@@ -255,11 +311,11 @@ def _big(name: str):
     return F.col(name).cast("decimal(20,0)")
 
 
-def collocations(docs: DataFrame, words: int = WORDS, least: int = LEAST, top: int = TOP, **columns) -> DataFrame:
+def collocations(docs: DataFrame, words: int = WORDS, least: int = LEAST, top: int = TOP, **options) -> DataFrame:
     """The ``top`` phrases of each language: lang, rank, phrase, a (its count), l and r
     (the counts of the two parts of its weakest cut), n (words of the language) and
     score = floor(2000000 a / (l + r)). Phrases that a longer candidate subsumes go."""
-    totals, levels = phrase_counts(docs, words, least, **columns)
+    totals, levels = phrase_counts(docs, words, least, **options)
     spark = docs.sparkSession
     candidates = materialize(_union([df.where("next <> ''").select(
         "lang", F.concat_ws(" ", "prefix", "next").alias("phrase"), F.col("n").alias("a"), "prefix", F.lit(i + 2).alias("m"))

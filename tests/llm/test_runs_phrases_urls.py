@@ -159,15 +159,12 @@ def phrase_rows(seed):
     return rows
 
 
-@pytest.mark.parametrize("small", [False, True])
-def test_collocations_equal_brute_force(spark, monkeypatch, small):
+@pytest.mark.parametrize("chunk_bytes", [200, 8 << 20])
+def test_collocations_equal_brute_force(spark, chunk_bytes):
     from playtrail.llm import collocations as C
-    if small:      # many chunks, stripes given out often
-        monkeypatch.setattr(C, "CHUNK_BYTES", 200)
-        monkeypatch.setattr(C, "HELD", 50)
-    rows = phrase_rows(1 + small)
+    rows = phrase_rows(chunk_bytes)
     df = spark.createDataFrame([(i % 5, t, g, "s", "r", "t", 1, "p") for i, (g, t) in enumerate(rows)], SCHEMA).repartition(3)
-    got = C.collocations(df, least=5, top=40).collect()
+    got = C.collocations(df, least=5, top=40, chunk_bytes=chunk_bytes).collect()
     assert sorted(tuple(r) for r in got) == plain_collocations(rows, 4, 5, 40)
     assert len({r.lang for r in got}) == 2
 
@@ -182,7 +179,8 @@ def test_collocations_of_nothing(spark):
 def test_full_filter_loses_nothing(spark, monkeypatch):
     """A bitmap far too small lets everything through; the counts stay exact."""
     from playtrail.llm import collocations as C
-    monkeypatch.setattr(C, "FILTER_BITS", 8)
+    monkeypatch.setattr(C, "FILTER_BITS", 64)
+    monkeypatch.setattr(C, "LEAST_BITS", 64)
     rows = phrase_rows(7)
     df = spark.createDataFrame([(i, t, g, "s", "r", "t", 1, "p") for i, (g, t) in enumerate(rows)], SCHEMA)
     got = C.collocations(df, least=5, top=25).collect()
@@ -192,8 +190,8 @@ def test_full_filter_loses_nothing(spark, monkeypatch):
 def test_stripes_of_one_prefix_are_many_groups(spark):
     from playtrail.llm import collocations as C
     df = spark.createDataFrame([("en", " ".join(f"the w{i}," for i in range(500)))], "lang string, text string")
-    one = df.mapInArrow(C._stripes(1, None, C.WORD_SHARDS), C.STRIPES)
-    assert one.select("shard").distinct().count() > 400
+    one = df.mapInArrow(C._pass(1, None, None, C.LEAST_BITS, 30, 4), C.PASS)
+    assert one.where("shard is not null").select("shard").distinct().count() > 400
 
 
 # ---------------------------------------------------------------- url filter
