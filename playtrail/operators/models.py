@@ -4,12 +4,11 @@ Estimators run distributed in Spark ML. The deep nets of the reference are
 re-aimed (see README): the dense net is a multilayer perceptron, the LSTM a
 code n-gram + multinomial logistic model, Ward clustering a weighted k-means
 on distinct profiles, kernel SVMs are landmark kernel features + linear SVM.
-kNN is exact: blocked distance computation, per-block top-k, final top-k.
+kNN (F12) is in ``knn``.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Sequence
 
 import numpy as np
@@ -20,11 +19,12 @@ from pyspark.ml.classification import (LinearSVC, LogisticRegression, Multilayer
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import CountVectorizer, NGram, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from playtrail.functions.scalar import hash_fraction
+from playtrail.operators.knn import knn_vote  # noqa: F401  (F12)
 
 LABEL = "label"
 FEATURES = "features"
@@ -103,13 +103,27 @@ def pick_landmarks(train: DataFrame, key: str, col: str, m: int = 64, seed: int
     return np.array([np.asarray(r[0].toArray() if hasattr(r[0], "toArray") else r[0], dtype=float) for r in rows])
 
 
+def _values(df: DataFrame, col: str):
+    return F.col(col) if df.schema[col].dataType.typeName() == "array" else vector_to_array(F.col(col))
+
+
+def auto_gamma(train: DataFrame, col: str) -> float:
+    """The 'auto' rule for gamma: 1 / number of features."""
+    return 1.0 / (train.agg(F.max(F.size(_values(train, col)))).first()[0] or 1)
+
+
 def scale_gamma(train: DataFrame, col: str) -> float:
-    """The 'scale' heuristic for gamma: 1 / (n_features * variance of all feature values)."""
-    arr = vector_to_array(F.col(col)) if train.schema[col].dataType.typeName() != "array" else F.col(col)
-    ex = train.select(F.explode(arr).alias("_v")).agg(F.var_pop("_v"), F.count("_v")).first()
-    dims = train.select(F.size(arr)).first()[0]
-    var = ex[0] or 1.0
-    return 1.0 / (dims * var) if var > 0 else 1.0
+    """The 'scale' rule for gamma: 1 / (number of features * variance of all feature
+    values). Each row gives its count, sum and sum of squares: one narrow aggregate,
+    no row per value."""
+    arr = _values(train, col)
+    total = lambda f: F.sum(F.aggregate(arr, F.lit(0.0), lambda acc, v: acc + f(v)))
+    r = train.agg(F.max(F.size(arr)).alias("width"), F.sum(F.size(arr)).alias("n"), total(lambda v: v).alias("s"),
+                  total(lambda v: v * v).alias("ss")).first()
+    if not r["n"]:
+        return 1.0
+    var = r["ss"] / r["n"] - (r["s"] / r["n"]) ** 2
+    return 1.0 / (r["width"] * var) if var > 0 else 1.0
 
 
 def kernel_features(df: DataFrame, col: str, landmarks: np.ndarray, kernel: str = "rbf", gamma: float = 1.0,
@@ -149,76 +163,6 @@ def kernel_svm():
     return OneVsRest(classifier=LinearSVC(maxIter=50), labelCol=LABEL, featuresCol=FEATURES, parallelism=4)
 
 
-# ---------------------------------------------------------------- kNN
-
-def knn_vote(train: DataFrame, test: DataFrame, key: str, col: str, k: int = 5, label: str = "label",
-             block_rows: int = 20000, out: str = "prediction") -> DataFrame:
-    """exact k-nearest-neighbour vote (squared Euclidean; ties by train key),
-    majority label with ties to the smaller label.
-
-    Both sides are cut into blocks of about ``block_rows``; each (query block,
-    train block) pair is one group, where numpy computes the distances and keeps
-    only each query's ``k`` best. No pair is ever a row: a group emits
-    ``k`` rows per query, and the final top-k per query sees at most
-    ``k * train_blocks`` candidates.
-    """
-    n_train, n_test = train.count(), test.count()
-    bt, bq = max(1, math.ceil(n_train / block_rows)), max(1, math.ceil(n_test / block_rows))
-    as_arr = (lambda d: vector_to_array(F.col(col)) if d.schema[col].dataType.typeName() != "array"
-              else F.col(col).cast("array<double>"))
-    tr = train.select(F.col(key).alias("t_key"), as_arr(train).alias("t_x"), F.col(label).cast("long").alias("t_y"),
-                      F.pmod(F.xxhash64(key), F.lit(bt)).alias("_tb"))
-    tr = tr.withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(bq - 1)))).withColumn("_qb", F.col("_qb").cast("long"))
-    te = test.select(F.col(key).alias("q_key"), as_arr(test).alias("q_x"),
-                     F.pmod(F.xxhash64(key), F.lit(bq)).alias("_qb"))
-    te = te.withColumn("_tb", F.explode(F.sequence(F.lit(0), F.lit(bt - 1)))).withColumn("_tb", F.col("_tb").cast("long"))
-    key_type = train.schema[key].dataType
-    out_schema = T.StructType([T.StructField("q_key", test.schema[key].dataType),
-                               T.StructField("t_key", key_type),
-                               T.StructField("t_y", T.LongType()),
-                               T.StructField("dist", T.DoubleType())])
-
-    def block_topk(q: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
-        if len(q) == 0 or len(t) == 0:
-            return pd.DataFrame({c: [] for c in out_schema.fieldNames()})
-        Q = np.stack(q["q_x"].to_numpy()).astype(float)
-        X = np.stack(t["t_x"].to_numpy()).astype(float)
-        tkeys, tys, qkeys = t["t_key"].to_numpy(), t["t_y"].to_numpy(), q["q_key"].to_numpy()
-        kk = min(k, X.shape[0])
-        xx = np.einsum("ij,ij->i", X, X)
-        step = max(1, 4_000_000 // X.shape[0])
-        parts = []
-        for s0 in range(0, Q.shape[0], step):
-            Qs = Q[s0:s0 + step]
-            qq = np.einsum("ij,ij->i", Qs, Qs)
-            # |q|^2 - 2 q.x + |x|^2 by one matrix product; its rounding error is
-            # far below ``tol``, so every row within reach of the k-th best
-            # (plus the 1e-9 rounding of the exact distance) is a candidate
-            approx = qq[:, None] - 2.0 * (Qs @ X.T) + xx[None, :]
-            tol = 1e-8 * (qq[:, None] + xx[None, :]) + 1e-8
-            kth = np.partition(approx + tol, kk - 1, axis=1)[:, kk - 1]
-            ri, cj = np.nonzero(approx - tol <= kth[:, None] + 1e-9)
-            # exact distance for candidates only: direct sum of squared
-            # differences (no cancellation), rounded so that equal distances
-            # tie exactly and fall back to the train key
-            d2 = np.round(((Qs[ri] - X[cj]) ** 2).sum(-1), 9)
-            o = np.lexsort((tkeys[cj], d2, ri))
-            ri, cj, d2 = ri[o], cj[o], d2[o]
-            first = np.searchsorted(ri, ri, side="left")
-            keep = (np.arange(len(ri)) - first) < kk
-            ri, cj, d2 = ri[keep], cj[keep], d2[keep]
-            parts.append(pd.DataFrame({"q_key": qkeys[s0 + ri], "t_key": tkeys[cj], "t_y": tys[cj], "dist": d2}))
-        return pd.concat(parts, ignore_index=True)
-
-    cand = (te.groupBy("_qb", "_tb").cogroup(tr.groupBy("_qb", "_tb"))
-            .applyInPandas(block_topk, out_schema))
-    w = Window.partitionBy("q_key").orderBy("dist", "t_key")
-    best = cand.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k)
-    counts = best.groupBy("q_key", "t_y").agg(F.count(F.lit(1)).alias("_n"))
-    vote = counts.groupBy("q_key").agg(F.max(F.struct("_n", (-F.col("t_y")).alias("_neg"))).alias("_b"))
-    return vote.select(F.col("q_key").alias(key), (-F.col("_b")["_neg"]).alias(out))
-
-
 # ---------------------------------------------------------------- clustering
 
 def cluster_profiles(profiles: DataFrame, cols: Sequence[str], k: int = 4, seed: int = 1,

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from playtrail.functions.scalar import hash_fraction, round6, round_half_even
 from playtrail.operators import features as FT
+from playtrail.operators import knn as K
 from playtrail.operators import models as M
 from playtrail.operators import relational as R
 from playtrail.operators import scoring as SC
@@ -302,15 +303,13 @@ KNN2 = (f"{_style2_sql(300)}, "
 @query("f7_style2_kfold_knn", "select v2.q_key installation_id, v2.fold, f2.label, cast(v2.t_y as double) prediction "
        "from v2 join f2 on f2.installation_id = v2.q_key where v2.r = 1", ctes=KNN2)
 def f7_knn2(t):
-    """Style 2, k = 15 nearest neighbours, five contiguous folds."""
+    """Style 2, k = 15 nearest neighbours, five contiguous folds: one search over the
+    whole table in which a player's own fold is left out."""
     data = _style2_ml(t)
-    out = None
-    for i in range(1, 6):
-        train, test = data.where(F.col("fold") != i), data.where(F.col("fold") == i)
-        pred = M.knn_vote(train, test, KEY, "features", k=15, label="label").withColumn("fold", F.lit(i))
-        out = pred if out is None else out.unionByName(pred)
-    labels = data.select(KEY, "label")
-    return out.join(labels, KEY).select(KEY, "fold", "label", F.col("prediction").cast("double").alias("prediction"))
+    best = K.nearest(data, data, KEY, "features", 15, "label", exclude="fold")
+    pred = K.vote(best, 15).withColumnRenamed("q_key", KEY)
+    return pred.join(data.select(KEY, "fold", "label"), KEY).select(
+        KEY, "fold", "label", F.col("prediction").cast("double").alias("prediction"))
 
 
 @query("f7_style2_kfold_forest")
@@ -336,21 +335,23 @@ def f10_s4(t):
 
 
 # style-4 rows as in z6's oracle, split by the hash of "installation_id-group",
-# then the same exact kNN (k = 5, ties by the train key) and vote as F12
+# then the same exact kNN (ties by the train key) and vote as F12
+STYLE4_K = (5, 20, 50, 100)
 KNN4 = (f"{HIST}, hg as (select * from h where grp is not null), {_seq_sql('hg', 'grp', 10)}, "
         "s4 as (select installation_id, k2 grp, concat_ws('-', installation_id, k2) gkey, "
         "round(accuracy_group) label, cast(string_split(sequence, ' ') as double[]) x from seqs), "
         f"s4s as (select *, {FRAC.format(seed=1, key='gkey')} < 0.15 is_test from s4), "
         "d4 as (select q.gkey q_key, t.gkey t_key, t.label t_y, round(list_sum(list_transform(list_zip(q.x, t.x), "
         "lambda z: (z[1] - z[2]) * (z[1] - z[2]))), 9) dist from s4s q, s4s t where q.is_test and not t.is_test), "
-        "b4 as (select * from (select *, row_number() over (partition by q_key order by dist, t_key) r from d4) q "
-        "where r <= 5), "
-        "c4 as (select q_key, t_y, count(*) n from b4 group by all), "
-        "v4 as (select q_key, t_y, row_number() over (partition by q_key order by n desc, t_y) r from c4)")
+        f"ks as (select unnest([{', '.join(map(str, STYLE4_K))}]) k), "
+        "b4 as (select q.*, k from (select *, row_number() over (partition by q_key order by dist, t_key) r from d4) q, ks "
+        "where r <= k), "
+        "c4 as (select q_key, k, t_y, count(*) n from b4 group by all), "
+        "v4 as (select q_key, k, t_y, row_number() over (partition by q_key, k order by n desc, t_y) r from c4)")
 
 
 @query("f12_style4_knn", "select s.installation_id, s.grp \"group\", s.label, cast(v4.t_y as double) prediction "
-       "from v4 join s4s s on s.gkey = v4.q_key where v4.r = 1", ctes=KNN4)
+       "from v4 join s4s s on s.gkey = v4.q_key where v4.r = 1 and v4.k = 5", ctes=KNN4)
 def f12_s4(t):
     train, test = _style4_ml(t)
     pred = M.knn_vote(train, test, "gkey", "features", k=5, label="label")
@@ -358,11 +359,21 @@ def f12_s4(t):
         KEY, "group", "label", F.col("prediction").cast("double").alias("prediction"))
 
 
+@query("f12_style4_knn_by_k", "select s.installation_id, s.grp \"group\", cast(v4.k as int) k, s.label, cast(v4.t_y as double) "
+       "prediction from v4 join s4s s on s.gkey = v4.q_key where v4.r = 1", ctes=KNN4)
+def f12_s4_by_k(t):
+    """Style 4, k = 5, 20, 50 and 100 from one search."""
+    train, test = _style4_ml(t)
+    pred = K.knn_votes(train, test, "gkey", "features", STYLE4_K, "label")
+    return pred.join(test.select("gkey", KEY, "group", "label"), "gkey").select(
+        KEY, "group", "k", "label", F.col("prediction").cast("double").alias("prediction"))
+
+
 @query("f14_style4_svm")
 def f14_s4(t):
     train, test = _style4_ml(t)
     marks = M.pick_landmarks(train, "gkey", "features", 64)
-    gamma = M.scale_gamma(train, "features")
+    gamma = M.auto_gamma(train, "features")
     ktrain = materialize(M.kernel_features(train, "features", marks, "rbf", gamma))
     ktest = M.kernel_features(test, "features", marks, "rbf", gamma)
     return M.fit_predict(M.kernel_svm(), ktrain, ktest, [KEY, "group"]).select(KEY, "group", "label", "prediction")
