@@ -25,7 +25,7 @@ from pyspark.sql import types as T  # noqa: E402
 from playtrail import sources as SRC  # noqa: E402
 from playtrail.operators import labelling as L  # noqa: E402
 from playtrail.operators import relational as R  # noqa: E402
-from playtrail.session import scratch_path  # noqa: E402
+from playtrail.session import materialize, scratch_path  # noqa: E402
 from playtrail.sources.fixtures import TEST_PLAYER_SQL  # noqa: E402
 
 EVENT_DATA = "concat('{\"src_id\":', cast(src_id as varchar), ',\"src_type\":\"', src_type, '\"}')"
@@ -45,17 +45,18 @@ def _as_reference_csv(df):
         "game_time", "title", "type", "world")
 
 
-def _read_back(t, df, name):
+def _read_back(t, df, name, more=()):
     path = scratch_path(t.spark, name)
     SRC.write_csv(_as_reference_csv(df), path)
     back = SRC.read_clicks(t.spark, path)
-    return back.select("event_id", "game_session", F.col("ts").cast("timestamp_ntz").alias("ts"), "event_data",
+    return back.select(*more, "event_id", "game_session", F.col("ts").cast("timestamp_ntz").alias("ts"), "event_data",
                        "installation_id", "event_count", "event_code", "game_time", "title", "type", "world")
 
 
-@query("s1_read_clicks", f"select {CSV_OUT} from clicks")
+@query("s1_read_clicks", f"select place src_id, {CSV_OUT} from (select *, row_number() over (order by src_id) - 1 place from clicks) c")
 def s1(t):
-    return _read_back(t, t.clicks, "clicks-csv")
+    """Files written in the order of ``src_id``; ids read back are places in the files."""
+    return _read_back(t, t.clicks.orderBy("src_id"), "clicks-csv", ["src_id"])
 
 
 TEST_SHAPE = ("lastas as (select installation_id, arg_max(game_session, (start, game_session)) game_session from "
@@ -93,29 +94,42 @@ j8 as (select c.*, l.title label_title, l.num_correct, l.num_incorrect, l.accura
 st as (select l.*, s.start from assessment_labels l join (select installation_id, game_session, min(ts) start
   from clicks group by installation_id, game_session) s using (installation_id, game_session)),
 grp as (select *, row_number() over (order by start, installation_id, game_session) grp from st),
-hist as (select j.src_id, j.installation_id, j.game_session, j.ts, coalesce(j.accuracy_group, n.accuracy_group)
+hist as (select j.src_id, j.installation_id, j.game_session, j.ts, j.type, coalesce(j.accuracy_group, n.accuracy_group)
   accuracy_group, case when j.accuracy_group is null then n.grp end grp
   from j8 j asof left join grp n on j.installation_id = n.installation_id and j.ts < n.start)"""
 
 
-def _labelled_round_trip(t, name):
+LABELLED = 'src_id, installation_id, game_session, ts, type, accuracy_group, grp "group"'
+
+
+def _stored(t, name):
     path = scratch_path(t.spark, name)
     SRC.write_labelled(L.label_history(t.clicks, t.labels, materialized=False), path)
-    return SRC.read_labelled(t.spark, path).select("src_id", "installation_id", "game_session", "ts",
-                                                   "accuracy_group", "group")
+    return path
+
 
+def _labelled(df):
+    return df.select("src_id", "installation_id", "game_session", "ts", "type", "accuracy_group", "group")
 
-@query("s5_write_labelled", 'select src_id, installation_id, game_session, ts, accuracy_group, grp "group" from hist',
-       ctes=HIST)
+
+@query("s5_write_labelled", f"select {LABELLED} from hist", ctes=HIST)
 def s5(t):
-    return _labelled_round_trip(t, "labelled-s5")
+    return _labelled(SRC.read_labelled(t.spark, _stored(t, "labelled-s5")))
+
+
+@query("s5_overwrite_one_type", f"select {LABELLED.replace('grp', 'case when type <> ' + chr(39) + 'Game' + chr(39) + ' then grp end')} "
+       "from hist", ctes=HIST)
+def s5_overwrite(t):
+    """The Game events are written anew without their groups; other types stay."""
+    path = _stored(t, "labelled-s5o")
+    games = SRC.read_labelled(t.spark, path, ["Game"])
+    SRC.overwrite_labelled(materialize(games.withColumn("group", F.lit(None).cast("long")), "games"), path)
+    return _labelled(SRC.read_labelled(t.spark, path))
 
 
-@query("s6_read_labelled", 'select installation_id, cast(count(*) as bigint) n, count(grp) n_grouped from hist '
-       'group by installation_id', ctes=HIST)
+@query("s6_read_labelled", f"select {LABELLED} from hist where type in ('Assessment', 'Activity')", ctes=HIST)
 def s6(t):
-    back = _labelled_round_trip(t, "labelled-s6")
-    return back.groupBy("installation_id").agg(F.count(F.lit(1)).alias("n"), F.count("group").alias("n_grouped"))
+    return _labelled(SRC.read_labelled(t.spark, _stored(t, "labelled-s6"), ["Assessment", "Activity"]))
 
 
 SUBMISSION = T.StructType([T.StructField("installation_id", T.StringType()),
