@@ -1,12 +1,13 @@
 """Phrase collocation mining with stripes.
 
 A stripe is one structure per prefix (a phrase of m - 1 words): an associative
-counter of the words that follow it inside a piece, with the prefix's own total
-under the empty word. Each task counts stripes of its texts and gives them out
-as arrays; stripes of a prefix are merged elementwise, and the merged stripe
-yields all three things mining needs: the extensions (phrases of m words with
-their counts), the prefix total (the count of each first part of a cut) and the
-largest extension (whether a longer phrase subsumes the prefix).
+counter of the words that follow it inside a piece. Each task counts stripes of
+its texts and gives them out as arrays; stripes of a prefix are merged
+elementwise, and the merged stripes yield all that mining needs: the extensions
+(phrases of m words with their counts), the prefix totals (the entry of a prefix
+in the stripe of its own first words; the sum of the empty prefix's stripe is the
+number of words) and the largest extension of a prefix, which tells whether a
+longer phrase subsumes it.
 
 Stripes are made level by level, m = 1 to ``WORDS``, in one pass over the texts
 each. A stripe is kept only for a frequent prefix, and takes in a next word only
@@ -17,8 +18,9 @@ lets through is dropped by its exact count. Sketch and bitmaps have at most
 ``FILTER_BITS`` places (a bitmap of 128 MB), so what is broadcast is bounded; on
 more text they let more through, and nothing is lost.
 
-A stripe is cut into ``SHARDS`` parts by a checksum of the next word, so that a
-frequent prefix is many groups. Counts meet in Spark's hash aggregate, which
+A stripe is one group, but the stripe of a heavy prefix (more than ``HEAVY``
+occurrences and a 100,000th of all words; so there are at most 100,000) is cut
+by a checksum of the next word into parts of about that many. Counts meet in Spark's hash aggregate, which
 spills; a task holds the words of ``CHUNK_BYTES`` of text (of one piece, if that
 is longer) and nothing else.
 
@@ -50,7 +52,7 @@ SCALE = 2_000_000
 SUBSUMED = (80, 100)      # a longer phrase with this share of the count subsumes
 
 CHUNK_BYTES = 8 << 20     # text whose words are counted at once
-SHARDS, WORD_SHARDS = 32, 1 << 14
+HEAVY = 100_000           # occurrences of a prefix that are one part of its stripe
 FILTER_BITS = 1 << 30     # places of a sketch, bits of a bitmap
 LEAST_BITS = 1 << 18
 BLOCK = 1 << 16           # places of a sketch that are merged together
@@ -59,10 +61,11 @@ MARK = b"\xff"            # ends a piece; no byte of UTF-8
 # A-Z to a-z, the ends of pieces to the mark, tab to space.
 TABLE = bytes(ord(MARK) if b in b".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
 #: Rows of a pass: a part of a stripe, or a block of the sketch of phrases one word longer.
-PASS = ("lang string, prefix string, shard int, nexts array<string>, counts array<long>, "
+#: ``nexts`` are words joined by spaces.
+PASS = ("lang string, prefix string, shard int, nexts string, counts array<int>, "
         "block int, places binary, hits binary")
-PASS_TYPES = {"lang": pa.string(), "prefix": pa.string(), "shard": pa.int32(), "nexts": pa.list_(pa.string()),
-              "counts": pa.list_(pa.int64()), "block": pa.int32(), "places": pa.binary(), "hits": pa.binary()}
+PASS_TYPES = {"lang": pa.string(), "prefix": pa.string(), "shard": pa.int32(), "nexts": pa.string(),
+              "counts": pa.list_(pa.int32()), "block": pa.int32(), "places": pa.binary(), "hits": pa.binary()}
 MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 
 
@@ -182,30 +185,33 @@ class Chunk:
         return {"block": block[edges[:-1]], "places": [inner[i:j].tobytes() for i, j in spans],
                 "hits": [hits[i:j].tobytes() for i, j in spans]}
 
-    def stripes(self, names: list[bytes], prefix: np.ndarray, following: np.ndarray, counts: np.ndarray, shards: int) -> dict:
-        """Parts of stripes from (prefix number, next word, count) in arrays. The number
-        after the last word stands for the empty word."""
-        words = [*self.words, b""]
-        shard = np.array([zlib.crc32(w) % shards for w in words], np.int64)[following]
+    def stripes(self, names: list[bytes], prefix: np.ndarray, following: np.ndarray, counts: np.ndarray, parts: np.ndarray) -> dict:
+        """Parts of stripes. Each prefix has a name and a number of parts; its entries
+        are (prefix number, next word, count) in arrays."""
+        sums = np.array([zlib.crc32(w) for w in self.words], np.int64)
+        shard = sums[following] % parts[prefix]
         order = np.lexsort((shard, prefix))
-        prefix, shard = prefix[order], shard[order]
+        prefix, shard, following, counts = prefix[order], shard[order], following[order], counts[order]
         new = (prefix[1:] != prefix[:-1]) | (shard[1:] != shard[:-1])
         first = np.concatenate([[0], np.flatnonzero(new) + 1]) if len(order) else np.zeros(0, np.int64)
-        offsets = pa.array(np.append(first, len(order)), pa.int32())
-        nexts = pa.array(words, pa.binary()).take(pa.array(following[order])).cast(pa.string())     # the mark is never taken
-        return {"lang": [self.lang] * len(first), "prefix": pa.array(names, pa.binary()).cast(pa.string()).take(pa.array(prefix[first])),
-                "shard": shard[first], "nexts": pa.ListArray.from_arrays(offsets, nexts),
-                "counts": pa.ListArray.from_arrays(offsets, pa.array(counts[order], pa.int64()))}
+        offsets = np.append(first, len(order))
+        words = pa.array(self.words, pa.binary()).take(pa.array(following))
+        joined = pc.binary_join(pa.LargeListArray.from_arrays(pa.array(offsets, pa.int64()), words), b" ")
+        return {"lang": [self.lang] * len(first), "prefix": pa.array(names, pa.binary()).take(pa.array(prefix[first])).cast(pa.string()),
+                "shard": shard[first], "nexts": joined.cast(pa.string()),
+                "counts": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(counts, pa.int32()))}
 
 
-def _count(chunk: Chunk, level: int, known, passing, bits: int, least: int, longest: int) -> Iterator[dict]:
+def _count(chunk: Chunk, level: int, known, passing, heavy: dict, bits: int, least: int, longest: int) -> Iterator[dict]:
     """Stripes of one level, and the sketch of the next. ``known`` holds the frequent
-    prefixes of the level, ``passing`` the sketch of its phrases."""
+    prefixes of the level, ``passing`` the sketch of its phrases, ``heavy`` the parts
+    of heavy prefixes."""
     at = chunk.starts(level)
     none = len(chunk.words)
     if level == 1:
         numbers, counts = np.unique(chunk.ids[at], return_counts=True)
-        yield chunk.stripes([b""], np.zeros(len(numbers), np.int64), numbers, counts, WORD_SHARDS)
+        # The empty prefix; its parts are blocks of the sketch.
+        yield chunk.stripes([b""], np.zeros(len(numbers), np.int64), numbers, counts, np.array([max(256, bits // BLOCK)]))
         longer = chunk.starts(2)
     else:
         m = level - 1
@@ -213,19 +219,17 @@ def _count(chunk: Chunk, level: int, known, passing, bits: int, least: int, long
         starts = starts[known.holds(chunk.hashes_at(starts, m))]
         frequent = np.zeros(len(chunk.ids) + 1, bool)
         frequent[starts] = True
-        # Numbers of the distinct prefixes, word by word.
-        number = chunk.ids[starts]
-        for k in range(1, m):
-            number = np.unique(number * none + chunk.ids[starts + k], return_inverse=True)[1]
-        _, first, number, totals = np.unique(number, return_index=True, return_inverse=True, return_counts=True)
-        names = [b" ".join(chunk.words[j] for j in chunk.ids[i:i + m].tolist()) for i in starts[first].tolist()]
-        numbered = np.zeros(len(chunk.ids) + 1, np.int64)
-        numbered[starts] = number
         at = at[frequent[at] & frequent[at + 1]]
         at = at[passing.holds(chunk.hashes_at(at, level))]
-        pairs, counts = np.unique(numbered[at] * none + chunk.ids[at + m], return_counts=True)
-        yield chunk.stripes(names, np.concatenate([np.arange(len(names)), pairs // max(none, 1)]),
-                            np.concatenate([np.full(len(names), none), pairs % max(none, 1)]), np.concatenate([totals, counts]), SHARDS)
+        # Numbers of the distinct prefixes, word by word.
+        number = chunk.ids[at]
+        for k in range(1, m):
+            number = np.unique(number * none + chunk.ids[at + k], return_inverse=True)[1]
+        _, first, number = np.unique(number, return_index=True, return_inverse=True)
+        names = [b" ".join(chunk.words[j] for j in chunk.ids[i:i + m].tolist()) for i in at[first].tolist()]
+        parts = np.array([heavy.get((chunk.lang, name), 1) for name in names], np.int64)
+        pairs, counts = np.unique(number * none + chunk.ids[at + m], return_counts=True)
+        yield chunk.stripes(names, pairs // max(none, 1), pairs % max(none, 1), counts, parts)
         passed = np.zeros(len(chunk.ids) + 1, bool)
         passed[at] = True
         longer = chunk.starts(level + 1)
@@ -259,11 +263,11 @@ def _chunks(batches: Iterator[pa.RecordBatch], chunk_bytes: int) -> Iterator[Chu
     yield from full()
 
 
-def _pass(level: int, known, passing, bits: int, least: int, longest: int, chunk_bytes: int = CHUNK_BYTES):
+def _pass(level: int, known, passing, heavy, bits: int, least: int, longest: int, chunk_bytes: int = CHUNK_BYTES):
     def run(batches):
-        filters = [b.value if b is not None else None for b in (known, passing)]
+        shared = [b.value if b is not None else None for b in (known, passing, heavy)]
         for chunk in _chunks(batches, chunk_bytes):
-            for rows in _count(chunk, level, *filters, bits, least, longest):
+            for rows in _count(chunk, level, *shared, bits, least, longest):
                 n = len(rows[next(iter(rows))])
                 columns = {c: pa.array(rows[c], t) if c in rows and not isinstance(rows[c], pa.Array) else
                            rows[c] if c in rows else pa.nulls(n, t) for c, t in PASS_TYPES.items()}
@@ -274,37 +278,47 @@ def _pass(level: int, known, passing, bits: int, least: int, longest: int, chunk
 
 
 def merged_stripes(rows: DataFrame) -> DataFrame:
-    """Merged stripes of a pass in long form: lang, prefix, next, n. The next word ``''``
-    holds the prefix's total (for level 1 there is no prefix and no total)."""
+    """Merged stripes of a pass in long form: lang, prefix, next, n."""
     # Parts of a stripe meet once; the elementwise sum needs no further exchange.
     parts = rows.where("shard is not null").select("lang", "prefix", "shard", "nexts", "counts").repartition("lang", "prefix", "shard")
-    long = parts.select("lang", "prefix", "shard", F.explode(F.arrays_zip("nexts", "counts")).alias("e"))
-    return long.groupBy("lang", "prefix", "shard", F.col("e.nexts").alias("next")).agg(F.sum("e.counts").alias("n")).drop("shard")
+    entries = F.explode(F.arrays_zip(F.split("nexts", " ").alias("next"), F.col("counts").alias("n")))
+    long = parts.select("lang", "prefix", "shard", entries.alias("e")).select("lang", "prefix", "shard", "e.next", "e.n")
+    return long.groupBy("lang", "prefix", "shard", "next").agg(F.sum("n").alias("n")).drop("shard")
+
+
+def heavy_prefixes(phrases: DataFrame, words: int, per_part: int = HEAVY):
+    """A broadcast dict from (lang, phrase) of heavy phrases to the parts of their
+    stripes. A phrase is heavy above a 100,000th of all ``words``, so they are few."""
+    heavy = phrases.where(F.col("n") > max(per_part, words // 100_000)).select("lang", "phrase", "n").collect()
+    return phrases.sparkSession.sparkContext.broadcast({(r.lang, r.phrase.encode()): 1 + r.n // per_part for r in heavy})
 
 
 def phrase_counts(docs: DataFrame, words: int = WORDS, least: int = LEAST, text_col: str = "text",
-                  lang_col: str = "lang", chunk_bytes: int = CHUNK_BYTES) -> tuple[DataFrame, list[DataFrame]]:
+                  lang_col: str = "lang", chunk_bytes: int = CHUNK_BYTES, per_part: int = HEAVY) -> tuple[DataFrame, list[DataFrame]]:
     """(totals, levels): ``totals`` has ``lang`` and ``n``, its number of words;
-    ``levels[m - 2]`` the frequent part of the merged stripes of level m, m from 2."""
+    ``levels[m - 1]`` the frequent part of the merged stripes of level m: lang,
+    prefix, phrase, n."""
     if not 2 <= words < len(MIX):
         raise ValueError(f"phrases have 2 to {len(MIX) - 1} words")
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), whole_text(text_col).alias("text"))
     # Words have some six bytes, so this is about one place a word.
     bits = places_for((rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // 6)
     levels: list[DataFrame] = []
-    known = passing = None
+    known = passing = heavy = None
     for level in range(1, words + 1):
-        given = materialize(rows.mapInArrow(_pass(level, known, passing, bits, least, words, chunk_bytes), PASS), f"stripes-{level}")
+        given = materialize(rows.mapInArrow(_pass(level, known, passing, heavy, bits, least, words, chunk_bytes), PASS), f"stripes-{level}")
         merged = merged_stripes(given)
         if level == 1:
-            singles = materialize(merged, "words")
-            phrases = singles.where(F.col("n") >= least).select("lang", F.col("next").alias("phrase"))
-        else:
-            levels.append(materialize(merged.where(F.col("n") >= least), f"phrases-{level}"))
-            phrases = levels[-1].where("next <> ''").select("lang", F.concat_ws(" ", "prefix", "next").alias("phrase"))
+            merged = materialize(merged, "words")
+            totals = materialize(merged.groupBy("lang").agg(F.sum("n").alias("n")), "words-by-lang")
+            n_words = totals.agg(F.sum("n")).first()[0] or 0
+        phrase = F.concat(F.when(F.col("prefix") == "", "").otherwise(F.concat("prefix", F.lit(" "))), "next")
+        phrases = materialize(merged.where(F.col("n") >= least).select("lang", "prefix", phrase.alias("phrase"), "n"), f"phrases-{level}")
+        levels.append(phrases)
         if level < words:
             known, passing = frequent_filter(phrases), sketch_filter(given, bits, least)
-    return singles.groupBy("lang").agg(F.sum("n").alias("n")), levels
+            heavy = heavy_prefixes(phrases, n_words, per_part)
+    return totals, levels
 
 
 def _big(name: str):
@@ -317,10 +331,9 @@ def collocations(docs: DataFrame, words: int = WORDS, least: int = LEAST, top: i
     score = floor(2000000 a / (l + r)). Phrases that a longer candidate subsumes go."""
     totals, levels = phrase_counts(docs, words, least, **options)
     spark = docs.sparkSession
-    candidates = materialize(_union([df.where("next <> ''").select(
-        "lang", F.concat_ws(" ", "prefix", "next").alias("phrase"), F.col("n").alias("a"), "prefix", F.lit(i + 2).alias("m"))
-        for i, df in enumerate(levels)]), "phrases")
-    part_counts = _union([df.where("next = ''").select("lang", F.col("prefix").alias("part"), F.col("n").alias("f")) for df in levels])
+    candidates = materialize(_union([df.select("lang", "phrase", F.col("n").alias("a"), "prefix", F.lit(m).alias("m"))
+                                     for m, df in enumerate(levels[1:], 2)]), "phrases")
+    part_counts = _union([df.select("lang", F.col("phrase").alias("part"), F.col("n").alias("f")) for df in levels[:-1]])
     # The largest extension of a phrase to the right (its stripe's maximum) and to the left.
     left_out = F.expr("substring(phrase, instr(phrase, ' ') + 1)")
     longer = candidates.where("m > 2")
@@ -329,7 +342,7 @@ def collocations(docs: DataFrame, words: int = WORDS, least: int = LEAST, top: i
     share, whole = SUBSUMED
     kept = candidates.join(longest, ["lang", "phrase"], "left").where(
         F.col("longest").isNull() | (_big("longest") * whole < _big("a") * share)).drop("longest", "prefix")
-    # Every cut as two parts; the count of a part is the total of its stripe.
+    # Every cut as two parts, each frequent as the whole is.
     w = F.split("phrase", " ")
     cut = F.explode(F.expr("sequence(1, m - 1)")).alias("k")
     cuts = kept.select("lang", "phrase", "a", "m", cut).withColumns({

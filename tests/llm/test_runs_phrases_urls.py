@@ -164,7 +164,7 @@ def test_collocations_equal_brute_force(spark, chunk_bytes):
     from playtrail.llm import collocations as C
     rows = phrase_rows(chunk_bytes)
     df = spark.createDataFrame([(i % 5, t, g, "s", "r", "t", 1, "p") for i, (g, t) in enumerate(rows)], SCHEMA).repartition(3)
-    got = C.collocations(df, least=5, top=40, chunk_bytes=chunk_bytes).collect()
+    got = C.collocations(df, least=5, top=40, chunk_bytes=chunk_bytes, per_part=40).collect()
     assert sorted(tuple(r) for r in got) == plain_collocations(rows, 4, 5, 40)
     assert len({r.lang for r in got}) == 2
 
@@ -187,11 +187,16 @@ def test_full_filter_loses_nothing(spark, monkeypatch):
     assert sorted(tuple(r) for r in got) == plain_collocations(rows, 4, 5, 25)
 
 
-def test_stripes_of_one_prefix_are_many_groups(spark):
+def test_stripe_of_a_heavy_prefix_is_many_groups(spark):
     from playtrail.llm import collocations as C
-    df = spark.createDataFrame([("en", " ".join(f"the w{i}," for i in range(500)))], "lang string, text string")
-    one = df.mapInArrow(C._pass(1, None, None, C.LEAST_BITS, 30, 4), C.PASS)
-    assert one.where("shard is not null").select("shard").distinct().count() > 400
+    df = spark.createDataFrame([("en", " ".join(f"the w{i % 500}," for i in range(1500)))], "lang string, text string")
+    share = lambda x: spark.sparkContext.broadcast(x)
+    every = share(C.Filter(64, np.full(8, 255, np.uint8)))
+    for heavy, parts in (({}, 1), ({("en", b"the"): 16}, 16)):
+        given = df.mapInArrow(C._pass(2, every, every, share(heavy), C.LEAST_BITS, 30, 4), C.PASS)
+        assert given.where("prefix = 'the'").select("shard").distinct().count() == parts
+        merged = {r.next: r.n for r in C.merged_stripes(given).where("prefix = 'the'").collect()}
+        assert merged == {f"w{i}": 3 for i in range(500)}
 
 
 # ---------------------------------------------------------------- url filter
