@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from playtrail.functions.scalar import hash_fraction, round_half_even, safe_divide
-from playtrail.operators.relational import (complete_labelled_events, drop_codes, drop_idle,
+from playtrail.operators.relational import (complete_labelled_events, drop_codes, drop_idle, first_per_key,
                                             position_bucket, time_to_next, with_specs)
 from playtrail.schema import (ASSESSMENT_TITLES, CLASS_WEIGHTS, COUNT_FEATURES, HOLDOUT_SHARE, KEY,
                               SESSION, THIN_CLASS, THIN_SHARE, TIME_FEATURES)
@@ -96,9 +96,11 @@ def score_profile(labels: DataFrame, titles: Sequence[str] = ASSESSMENT_TITLES,
     """Per player, the first result on each assessment title (null if never
     played) next to the rounded mean result (A12). The pivot values are given,
     so no pass over the data collects them."""
-    first = (labels.groupBy(KEY).pivot("title", list(titles))
-             .agg(F.min_by(col, F.struct(*order))))
-    return first.join(rounded_mean(labels, col), KEY)
+    # One row per player and title, found by hashing; the pivot then has one score to take.
+    first = first_per_key(labels.where(F.col("title").isin(*titles)), [KEY, "title"], list(order), [col])
+    wide = first.groupBy(KEY).pivot("title", list(titles)).agg(F.max(col))
+    # Players without any of the titles have a mean and no score.
+    return rounded_mean(labels, col).join(wide, KEY, "left").select(KEY, *[F.col(f"`{t}`") for t in titles], col)
 
 
 # ---------------------------------------------------------------- F: preparation

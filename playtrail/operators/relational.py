@@ -96,23 +96,46 @@ def distinct_rows(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.select(*cols).distinct()
 
 
-def _pick_by(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str],
-             agg) -> DataFrame:
-    packed = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)],
-                      *[F.col(c).alias(f"v{i}") for i, c in enumerate(cols)])
-    out = df.groupBy(*keys).agg(agg(packed).alias("_p"))
-    return out.select(*keys, *[F.col("_p")[f"v{i}"].alias(c) for i, c in enumerate(cols)])
+def _hash_order(df: DataFrame, col: str) -> Column:
+    """A fixed-width value that grows with ``col``: the column itself, or of a string
+    its first seven bytes as a number (equal for strings that begin alike)."""
+    if df.schema[col].dataType.typeName() not in ("string", "char", "varchar"):
+        return F.col(col)
+    head = F.rpad(F.hex(F.substring(F.col(col).cast("binary"), 1, 7)), 14, "0")
+    return F.when(F.col(col).isNotNull(), F.conv(head, 16, 10).cast("long"))
+
+
+def _pick_by(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str], first: bool) -> DataFrame:
+    """The first or last row of each key, without sorting all rows.
+
+    Spark sorts its input to aggregate a struct or a string. So the smallest (or
+    largest) leading order value per key comes first, which is of fixed width and
+    takes a hash aggregate; only the rows that hold it, one per key but for ties,
+    go into the struct aggregate. Nulls come first in the order, as in a struct."""
+    d = df.select(*keys, *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
+                  *[F.col(c).alias(f"_v{i}") for i, c in enumerate(cols)])
+    d = d.withColumn("_lead", _hash_order(d, "_o0"))
+    ends = d.groupBy(*keys).agg((F.min if first else F.max)("_lead").alias("_end"),
+                                F.count_if(F.col("_lead").isNull()).alias("_nulls"))
+    ends = ends.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+                       (F.when(F.col("_nulls") == 0, F.col("_end")) if first else F.col("_end")).alias("_end"))
+    at = F.col("_lead").eqNullSafe(F.col("_end"))
+    for i, k in enumerate(keys):
+        at = at & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    near = d.join(ends, at)
+    packed = F.struct(*[f"_o{i}" for i in range(len(order))], *[f"_v{i}" for i in range(len(cols))])
+    out = near.groupBy(*keys).agg((F.min if first else F.max)(packed).alias("_p"))
+    return out.select(*keys, *[F.col("_p")[f"_v{i}"].alias(c) for i, c in enumerate(cols)])
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str]) -> DataFrame:
-    """The first row of each key in ``order``. A partial aggregate (map-side
-    min of a struct), so a hot key costs one row per map task."""
-    return _pick_by(df, keys, order, cols, F.min)
+    """The first row of each key in ``order``."""
+    return _pick_by(df, keys, order, cols, first=True)
 
 
 def last_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str]) -> DataFrame:
     """The last row of each key in ``order``."""
-    return _pick_by(df, keys, order, cols, F.max)
+    return _pick_by(df, keys, order, cols, first=False)
 
 
 # ---------------------------------------------------------------- J: joins

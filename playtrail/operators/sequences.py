@@ -48,8 +48,10 @@ def fit_vocabulary(tokens: DataFrame, keys: Sequence[str], num_words: int = NUM_
     """Token ids by frequency (ties: first appearance in key order, then
     position), ids 1..num_words-1 kept. The ranking window runs over distinct
     codes only: a four-digit code book, a bounded table."""
-    first = F.struct(*[F.col(k) for k in keys], F.col("pos"))
-    voc = tokens.groupBy("code").agg(F.count(F.lit(1)).alias("n"), F.min(first).alias("_first"))
+    # Counts and first positions per code and key take a hash aggregate; the struct, for
+    # which Spark sorts, sees one row per code and key.
+    parts = tokens.groupBy("code", *keys).agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("pos"))
+    voc = parts.groupBy("code").agg(F.sum("n").alias("n"), F.min(F.struct(*keys, "pos")).alias("_first"))
     voc = voc.withColumn("id", F.row_number().over(Window.orderBy(F.desc("n"), F.asc("_first"))))
     return voc.where(F.col("id") < num_words).select("code", "n", "id")
 

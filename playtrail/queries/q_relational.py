@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 from playtrail.functions.scalar import code_text, round6, round_half_even, to_int
 from playtrail.operators import labelling as L
 from playtrail.operators import relational as R
+from playtrail.operators import sketches as SK
 from playtrail.queries import query
+from playtrail.session import materialize
 from playtrail.schema import KEY, SESSION
 
 LP = "lp as (select * from clicks where installation_id in (select installation_id from assessment_labels))"
@@ -224,6 +226,18 @@ def a9(t):
     return R.distinct_counts(R.only_type(t.clicks), [SESSION, KEY])
 
 
+@query("a9_distinct_sketches", "select world, count(distinct game_session) exact_game_session, count(distinct installation_id) "
+       "exact_installation_id, true near from clicks group by world")
+def a9_sketches(t):
+    """Sketches stored per (world, type), merged per world, next to the exact counts:
+    ``near`` where both estimates are within four standard errors."""
+    stored = materialize(SK.distinct_sketches(t.clicks, ["world", "type"], [SESSION, KEY]), "distinct-sketches")
+    rough = SK.distinct_estimates(SK.merge_distinct(stored, ["world"], [SESSION, KEY]), [SESSION, KEY])
+    exact = t.clicks.groupBy("world").agg(*[F.countDistinct(c).alias(f"exact_{c}") for c in (SESSION, KEY)])
+    off = lambda c: F.abs(F.col(f"n_{c}") - F.col(f"exact_{c}")) <= 4 * 1.04 / 2 ** (SK.HLL_LG_K / 2) * F.col(f"exact_{c}") + 1
+    return exact.join(rough, "world").select("world", f"exact_{SESSION}", f"exact_{KEY}", (off(SESSION) & off(KEY)).alias("near"))
+
+
 @query("a10_distinct_keys", "select distinct installation_id from assessment_labels")
 def a10(t):
     return R.distinct_rows(t.labels, [KEY])
@@ -242,6 +256,26 @@ def a15(t):
     return R.column_median(t.clicks, "game_time").withColumn("median_game_time", round6("median_game_time"))
 
 
+@query("a15_quantile_sketches", "select type, count(game_time) n, true near from clicks group by type")
+def a15_sketches(t):
+    """Sketches stored per (type, world), merged per type: ``near`` where the ranks of
+    the estimated quartiles are within the rank error of the sketch."""
+    stored = materialize(SK.quantile_sketches(t.clicks, ["type", "world"], "game_time"), "quantile-sketches")
+    whole = SK.merge_quantiles(stored, ["type"], "game_time")
+    shares = (0.25, 0.5, 0.75)
+    rough = whole.select("type", SK.sketched_rows("game_time").alias("n"),
+                         *[SK.quantile("game_time", p).alias(f"q{i}") for i, p in enumerate(shares)])
+    rows = t.clicks.select("type", "game_time").join(F.broadcast(rough), "type")       # one row per type
+    ranks = rows.groupBy("type", "n").agg(*[f(F.col("game_time") - F.col(f"q{i}")).alias(f"{name}{i}")
+                                            for i in range(len(shares)) for name, f in (("below", lambda d: F.count_if(d < 0)),
+                                                                                        ("upto", lambda d: F.count_if(d <= 0)))])
+    near = F.lit(True)
+    for i, p in enumerate(shares):
+        slack = F.col("n") * SK.KLL_RANK_ERROR + 1
+        near = near & (F.col(f"below{i}") <= F.col("n") * p + slack) & (F.col(f"upto{i}") >= F.col("n") * p - slack)
+    return ranks.select("type", "n", near.alias("near"))
+
+
 @query("a16_histogram", """
 select cast(bin as int) bin, round(lo + bin * w, 6) lower, count(*) n from (
   select lo, w, least(floor((accuracy - lo) / w), 9) bin from assessment_labels,

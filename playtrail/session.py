@@ -109,6 +109,13 @@ def path_exists(spark, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def listing(spark, path: str) -> tuple:
+    """Name, size and time of change of the files of a table, in whatever store it is."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(p)
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in files))
+
+
 def bounded_broadcast(df, max_rows: int = 100_000):
     """Broadcast ``df`` only after checking it has at most ``max_rows`` rows
     (one small job over ``max_rows + 1`` rows); otherwise leave the join to the

@@ -15,9 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from playtrail.plans.ordered import DAY_US, micros, sessionize
-import os
-
-from playtrail.session import checkpoint_dir, configure, materialize_at, path_exists
+from playtrail.session import checkpoint_dir, configure, listing, materialize_at, path_exists
 
 # Fixed values of the fixture mapping.
 EVENT_CODES = {"signup": 2000, "view": 3010, "click": 4070, "error": 4020}
@@ -86,8 +84,8 @@ def specs(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(SPEC_ROWS, schema)
 
 
-# Written copies of derived tables, per dataset version: (events path, size,
-# mtime, checkpoint folder, view, options) -> parquet path.
+# Written copies of derived tables, per dataset version: (events path, its files
+# with sizes and times, checkpoint folder, view, options) -> parquet path.
 _BUILT: dict[tuple, str] = {}
 
 
@@ -125,14 +123,10 @@ class Tables:
 
     def _version(self) -> tuple:
         p = f"{self.sf_dir}/events.parquet"
-        try:
-            st = os.stat(p)
-            stamp = (st.st_size, st.st_mtime_ns)
-        except OSError:
-            stamp = (None, None)
+        stamp = listing(self.spark, p)
         # the shuffle width is part of the key so that partition-independence
         # checks rebuild the views instead of reading an earlier copy
-        return (p, *stamp, checkpoint_dir(self.spark), self.spark.conf.get("spark.sql.shuffle.partitions"))
+        return (p, stamp, checkpoint_dir(self.spark), self.spark.conf.get("spark.sql.shuffle.partitions"))
 
     def built(self, view: str, build, **options) -> DataFrame:
         """Read the written copy of a derived view, building it first if needed."""

@@ -74,7 +74,7 @@ def test_labelled_round_trip_keeps_rows(spark):
     from playtrail.operators import labelling as L
     hist = L.label_history(t.clicks, t.labels, materialized=False)
     d = tempfile.mkdtemp(prefix="playtrail-pq-")
-    SRC.write_labelled(hist, d + "/h", partitions=4)
+    SRC.write_labelled(hist, d + "/h", buckets=4)
     back = SRC.read_labelled(spark, d + "/h")
     assert back.count() == hist.count()
     assert set(back.columns) == set(hist.columns)
