@@ -18,9 +18,11 @@ lets through is dropped by its exact count. Sketch and bitmaps have at most
 ``FILTER_BITS`` places (a bitmap of 128 MB), so what is broadcast is bounded; on
 more text they let more through, and nothing is lost.
 
-A stripe is one group, but the stripe of a heavy prefix (more than ``HEAVY``
+Prefixes are dealt to ``GROUPS`` groups by a checksum, and a task gives out the
+stripes of a group in one row. The stripe of a heavy prefix (more than ``HEAVY``
 occurrences and a 100,000th of all words; so there are at most 100,000) is cut
-by a checksum of the next word into parts of about that many. Counts meet in Spark's hash aggregate, which
+by a checksum of the next word into parts that go to different groups, and the
+stripe of the empty prefix, which counts the words, into all groups. Counts meet in Spark's hash aggregate, which
 spills; a task holds the words of ``CHUNK_BYTES`` of text (of one piece, if that
 is longer) and nothing else.
 
@@ -41,9 +43,9 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from playtrail.llm.common import whole_text
+from playtrail.llm.common import discard, whole_text
 from playtrail.plans.ordered import allow_partial_limit
-from playtrail.session import materialize
+from playtrail.session import materialize, materialize_at
 
 WORDS = 4                 # words of the longest phrase
 LEAST = 30                # occurrences of a candidate
@@ -52,20 +54,21 @@ SCALE = 2_000_000
 SUBSUMED = (80, 100)      # a longer phrase with this share of the count subsumes
 
 CHUNK_BYTES = 8 << 20     # text whose words are counted at once
+GROUPS = 1024             # groups of stripes of a language, blocks of a sketch
 HEAVY = 100_000           # occurrences of a prefix that are one part of its stripe
 FILTER_BITS = 1 << 30     # places of a sketch, bits of a bitmap
 LEAST_BITS = 1 << 18
-BLOCK = 1 << 16           # places of a sketch that are merged together
 
 MARK = b"\xff"            # ends a piece; no byte of UTF-8
 # A-Z to a-z, the ends of pieces to the mark, tab to space.
 TABLE = bytes(ord(MARK) if b in b".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
-#: Rows of a pass: a part of a stripe, or a block of the sketch of phrases one word longer.
-#: ``nexts`` are words joined by spaces.
-PASS = ("lang string, prefix string, shard int, nexts string, counts array<int>, "
-        "block int, places binary, hits binary")
-PASS_TYPES = {"lang": pa.string(), "prefix": pa.string(), "shard": pa.int32(), "nexts": pa.string(),
-              "counts": pa.list_(pa.int32()), "block": pa.int32(), "places": pa.binary(), "hits": pa.binary()}
+#: Rows of a pass: a group's stripes (next words joined by spaces), or a block of the
+#: sketch of phrases one word longer (places in their low and high 16 bits, and counts).
+PASS = ("lang string, group int, stripes array<struct<prefix: string, nexts: string, counts: array<int>>>, "
+        "block int, low binary, high binary, hits binary")
+STRIPE = pa.struct([("prefix", pa.string()), ("nexts", pa.string()), ("counts", pa.list_(pa.int32()))])
+PASS_TYPES = {"lang": pa.string(), "group": pa.int32(), "stripes": pa.list_(STRIPE),
+              "block": pa.int32(), "low": pa.binary(), "high": pa.binary(), "hits": pa.binary()}
 MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 
 
@@ -121,13 +124,15 @@ def frequent_filter(phrases: DataFrame):
     return phrases.sparkSession.sparkContext.broadcast(Filter(bits, held))
 
 
-def _merge_sketch(least: int):
+def _merge_sketch(places: int, least: int):
+    """``places`` are the places of a block."""
     def merge(batches):
         held: dict[int, np.ndarray] = {}
         for batch in batches:
-            for block, places, hits in zip(*(batch.column(c).to_pylist() for c in ("block", "places", "hits"))):
-                at = np.frombuffer(places, np.uint16)
-                counter = held.setdefault(block, np.zeros(BLOCK, _hit_type(least)))
+            for block, *parts, hits in zip(*(batch.column(c).to_pylist() for c in ("block", "low", "high", "hits"))):
+                low, high = (np.frombuffer(p, np.uint16).astype(np.int64) for p in parts)
+                at = high << 16 | low
+                counter = held.setdefault(block, np.zeros(places, _hit_type(least)))
                 # Places differ within a row; a counter stops at ``least``.
                 counter[at] = np.minimum(counter[at].astype(np.int64) + np.frombuffer(hits, _hit_type(least)), least)
         found = {b: np.packbits(c >= least, bitorder="little") for b, c in held.items() if (c >= least).any()}
@@ -140,14 +145,19 @@ def _hit_type(least: int):
     return np.uint8 if least < 256 else np.uint32
 
 
+def block_places(bits: int) -> int:
+    """Places of a block: ``bits`` in ``GROUPS`` blocks, at least a byte of bits each."""
+    return max(bits // GROUPS, 8)
+
+
 def sketch_filter(rows: DataFrame, bits: int, least: int):
     """A broadcast :class:`Filter` of the sketch's places that reach ``least``. Each block
-    (64 KB of counters) is merged by one task; what comes back is the bitmap."""
-    blocks = rows.where("block is not null").select("block", "places", "hits").repartition("block")
+    (at most a million counters) is merged by one task; what comes back is the bitmap."""
+    places = block_places(bits)
+    blocks = rows.where("block is not null").select("block", "low", "high", "hits").repartition("block")
     held = np.zeros(bits // 8, np.uint8)
-    for row in blocks.mapInArrow(_merge_sketch(least), "block int, bits binary").collect():
-        span = held[row.block * BLOCK // 8:(row.block + 1) * BLOCK // 8]
-        span[:] = np.frombuffer(zlib.decompress(bytes(row.bits)), np.uint8)[:len(span)]
+    for row in blocks.mapInArrow(_merge_sketch(places, least), "block int, bits binary").collect():
+        held[row.block * places // 8:(row.block + 1) * places // 8] = np.frombuffer(zlib.decompress(bytes(row.bits)), np.uint8)
     return rows.sparkSession.sparkContext.broadcast(Filter(bits, held))
 
 
@@ -178,28 +188,38 @@ class Chunk:
     def sketch(self, at: np.ndarray, m: int, bits: int, least: int) -> dict:
         """Counters of the phrases of ``m`` words at ``at``: a row per block of places."""
         places, hits = np.unique(self.hashes_at(at, m) & np.uint64(bits - 1), return_counts=True)
-        block = (places // np.uint64(BLOCK)).astype(np.int32)
-        inner, hits = (places % np.uint64(BLOCK)).astype(np.uint16), np.minimum(hits, least).astype(_hit_type(least))
-        edges = np.concatenate([[0], np.flatnonzero(block[1:] != block[:-1]) + 1, [len(block)]]) if len(block) else [0]
-        spans = list(zip(edges[:-1], edges[1:]))
-        return {"block": block[edges[:-1]], "places": [inner[i:j].tobytes() for i, j in spans],
-                "hits": [hits[i:j].tobytes() for i, j in spans]}
+        block, inner = np.divmod(places.astype(np.int64), block_places(bits))
+        hits = np.minimum(hits, least).astype(_hit_type(least))
+        first = _runs(block)
+        spans = list(zip(first, np.append(first[1:], len(block))))
+        low, high = (inner & 0xFFFF).astype(np.uint16), (inner >> 16).astype(np.uint16)
+        return {"block": block[first], **{c: [v[i:j].tobytes() for i, j in spans] for c, v in (("low", low), ("high", high), ("hits", hits))}}
 
     def stripes(self, names: list[bytes], prefix: np.ndarray, following: np.ndarray, counts: np.ndarray, parts: np.ndarray) -> dict:
-        """Parts of stripes. Each prefix has a name and a number of parts; its entries
+        """Groups of stripes. Each prefix has a name and a number of parts; its entries
         are (prefix number, next word, count) in arrays."""
         sums = np.array([zlib.crc32(w) for w in self.words], np.int64)
-        shard = sums[following] % parts[prefix]
-        order = np.lexsort((shard, prefix))
-        prefix, shard, following, counts = prefix[order], shard[order], following[order], counts[order]
-        new = (prefix[1:] != prefix[:-1]) | (shard[1:] != shard[:-1])
-        first = np.concatenate([[0], np.flatnonzero(new) + 1]) if len(order) else np.zeros(0, np.int64)
+        home = np.array([zlib.crc32(w) for w in names], np.int64)
+        group = (home[prefix] + sums[following] % parts[prefix]) % GROUPS
+        order = np.lexsort((prefix, group))
+        group, prefix, following, counts = group[order], prefix[order], following[order], counts[order]
+        first = _runs(group * (len(names) + 1) + prefix)              # stripes
         offsets = np.append(first, len(order))
         words = pa.array(self.words, pa.binary()).take(pa.array(following))
-        joined = pc.binary_join(pa.LargeListArray.from_arrays(pa.array(offsets, pa.int64()), words), b" ")
-        return {"lang": [self.lang] * len(first), "prefix": pa.array(names, pa.binary()).take(pa.array(prefix[first])).cast(pa.string()),
-                "shard": shard[first], "nexts": joined.cast(pa.string()),
-                "counts": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(counts, pa.int32()))}
+        nexts = pc.binary_join(pa.LargeListArray.from_arrays(pa.array(offsets, pa.int64()), words), b" ").cast(pa.string())
+        held = pa.array(names, pa.binary()).take(pa.array(prefix[first])).cast(pa.string())
+        per_stripe = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(counts, pa.int32()))
+        whole = pa.StructArray.from_arrays([held, nexts, per_stripe], fields=list(STRIPE))
+        rows = _runs(group[first])
+        return {"lang": [self.lang] * len(rows), "group": group[first][rows],
+                "stripes": pa.ListArray.from_arrays(pa.array(np.append(rows, len(first)), pa.int32()), whole)}
+
+
+def _runs(sorted_values: np.ndarray) -> np.ndarray:
+    """Starts of the runs of equal values."""
+    if not len(sorted_values):
+        return np.zeros(0, np.int64)
+    return np.concatenate([[0], np.flatnonzero(sorted_values[1:] != sorted_values[:-1]) + 1])
 
 
 def _count(chunk: Chunk, level: int, known, passing, heavy: dict, bits: int, least: int, longest: int) -> Iterator[dict]:
@@ -210,8 +230,7 @@ def _count(chunk: Chunk, level: int, known, passing, heavy: dict, bits: int, lea
     none = len(chunk.words)
     if level == 1:
         numbers, counts = np.unique(chunk.ids[at], return_counts=True)
-        # The empty prefix; its parts are blocks of the sketch.
-        yield chunk.stripes([b""], np.zeros(len(numbers), np.int64), numbers, counts, np.array([max(256, bits // BLOCK)]))
+        yield chunk.stripes([b""], np.zeros(len(numbers), np.int64), numbers, counts, np.array([GROUPS]))
         longer = chunk.starts(2)
     else:
         m = level - 1
@@ -272,18 +291,19 @@ def _pass(level: int, known, passing, heavy, bits: int, least: int, longest: int
                 columns = {c: pa.array(rows[c], t) if c in rows and not isinstance(rows[c], pa.Array) else
                            rows[c] if c in rows else pa.nulls(n, t) for c, t in PASS_TYPES.items()}
                 batch = pa.record_batch(columns)
-                for i in range(0, n, 20_000):
-                    yield batch.slice(i, 20_000)
+                for i in range(0, n, 64):
+                    yield batch.slice(i, 64)
     return run
 
 
 def merged_stripes(rows: DataFrame) -> DataFrame:
     """Merged stripes of a pass in long form: lang, prefix, next, n."""
-    # Parts of a stripe meet once; the elementwise sum needs no further exchange.
-    parts = rows.where("shard is not null").select("lang", "prefix", "shard", "nexts", "counts").repartition("lang", "prefix", "shard")
-    entries = F.explode(F.arrays_zip(F.split("nexts", " ").alias("next"), F.col("counts").alias("n")))
-    long = parts.select("lang", "prefix", "shard", entries.alias("e")).select("lang", "prefix", "shard", "e.next", "e.n")
-    return long.groupBy("lang", "prefix", "shard", "next").agg(F.sum("n").alias("n")).drop("shard")
+    # A group of stripes meets once; the elementwise sum needs no further exchange.
+    groups = rows.where("group is not null").select("lang", "group", "stripes").repartition("lang", "group")
+    one = groups.select("lang", "group", F.explode("stripes").alias("s"))
+    entries = F.explode(F.arrays_zip(F.split("s.nexts", " ").alias("next"), F.col("s.counts").alias("n")))
+    long = one.select("lang", "group", "s.prefix", entries.alias("e")).select("lang", "group", "prefix", "e.next", "e.n")
+    return long.groupBy("lang", "group", "prefix", "next").agg(F.sum("n").alias("n")).drop("group")
 
 
 def heavy_prefixes(phrases: DataFrame, words: int, per_part: int = HEAVY):
@@ -306,7 +326,7 @@ def phrase_counts(docs: DataFrame, words: int = WORDS, least: int = LEAST, text_
     levels: list[DataFrame] = []
     known = passing = heavy = None
     for level in range(1, words + 1):
-        given = materialize(rows.mapInArrow(_pass(level, known, passing, heavy, bits, least, words, chunk_bytes), PASS), f"stripes-{level}")
+        given, path = materialize_at(rows.mapInArrow(_pass(level, known, passing, heavy, bits, least, words, chunk_bytes), PASS), f"stripes-{level}")
         merged = merged_stripes(given)
         if level == 1:
             merged = materialize(merged, "words")
@@ -318,6 +338,7 @@ def phrase_counts(docs: DataFrame, words: int = WORDS, least: int = LEAST, text_
         if level < words:
             known, passing = frequent_filter(phrases), sketch_filter(given, bits, least)
             heavy = heavy_prefixes(phrases, n_words, per_part)
+        discard(docs.sparkSession, path)          # merged and written, or sent out
     return totals, levels
 
 

@@ -32,6 +32,12 @@ def values_table(spark: SparkSession, columns: str, rows: list[str]) -> DataFram
     return spark.sql(f"select * from values {', '.join(rows)} as t({columns})")
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a written intermediate table of this run that nothing reads any more."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def sql_text(s: str) -> str:
     """``s`` as a Spark SQL string literal."""
     return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"

@@ -179,8 +179,8 @@ def test_collocations_of_nothing(spark):
 def test_full_filter_loses_nothing(spark, monkeypatch):
     """A bitmap far too small lets everything through; the counts stay exact."""
     from playtrail.llm import collocations as C
-    monkeypatch.setattr(C, "FILTER_BITS", 64)
-    monkeypatch.setattr(C, "LEAST_BITS", 64)
+    monkeypatch.setattr(C, "FILTER_BITS", 1 << 13)
+    monkeypatch.setattr(C, "LEAST_BITS", 1 << 13)
     rows = phrase_rows(7)
     df = spark.createDataFrame([(i, t, g, "s", "r", "t", 1, "p") for i, (g, t) in enumerate(rows)], SCHEMA)
     got = C.collocations(df, least=5, top=25).collect()
@@ -194,7 +194,7 @@ def test_stripe_of_a_heavy_prefix_is_many_groups(spark):
     every = share(C.Filter(64, np.full(8, 255, np.uint8)))
     for heavy, parts in (({}, 1), ({("en", b"the"): 16}, 16)):
         given = df.mapInArrow(C._pass(2, every, every, share(heavy), C.LEAST_BITS, 30, 4), C.PASS)
-        assert given.where("prefix = 'the'").select("shard").distinct().count() == parts
+        assert given.where("exists(stripes, s -> s.prefix = 'the')").select("group").distinct().count() == parts
         merged = {r.next: r.n for r in C.merged_stripes(given).where("prefix = 'the'").collect()}
         assert merged == {f"w{i}": 3 for i in range(500)}
 
