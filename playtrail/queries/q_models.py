@@ -4,16 +4,19 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from playtrail.functions.scalar import hash_fraction, round6, round_half_even
+from playtrail.operators import ensemble as E
 from playtrail.operators import features as FT
 from playtrail.operators import knn as K
 from playtrail.operators import models as M
 from playtrail.operators import relational as R
 from playtrail.operators import scoring as SC
 from playtrail.operators import sequences as S
+from playtrail.operators import style3 as ST3
 from playtrail.queries import query
 from playtrail.queries.q_sequences import HIST, _seq_sql, _style2_sql
 from playtrail.schema import ASSESSMENT_TITLES, COUNT_FEATURES, KEY, SESSION, TIME_FEATURES
-from playtrail.session import materialize
+from playtrail.session import materialize, scratch_path
+from playtrail.sources.fixtures import TEST_PLAYER_SQL
 
 FRAC = "(('0x' || substr(md5(concat('{seed}:', cast({key} as varchar))), 1, 8))::bigint / 4294967296.0)"
 STARTS = ("st as (select l.*, s.start from assessment_labels l join (select installation_id, game_session, "
@@ -377,3 +380,80 @@ def f14_s4(t):
     ktrain = materialize(M.kernel_features(train, "features", marks, "rbf", gamma))
     ktest = M.kernel_features(test, "features", marks, "rbf", gamma)
     return M.fit_predict(M.kernel_svm(), ktrain, ktest, [KEY, "group"]).select(KEY, "group", "label", "prediction")
+
+
+# ---------------------------------------------------------------- fitted on train players, applied to test players
+
+# First score per title of the train players, and which titles the test players played.
+TRAIN_PROFILE = (STARTS + ", fr as (select *, row_number() over (partition by installation_id, title order by start, game_session) r "
+                 f"from st where not ({TEST_PLAYER_SQL})), prof as (select installation_id, "
+                 + ", ".join(f"max(case when title = '{tt}' and r = 1 then accuracy_group end) \"{tt}\"" for tt in ASSESSMENT_TITLES)
+                 + " from fr group by installation_id), played as (select distinct installation_id, title from clicks "
+                 f"where type = 'Assessment' and {TEST_PLAYER_SQL})")
+
+
+@query("z4_style3_test_profiles", "select installation_id, " + ", ".join(
+    f"case when count(*) filter (where title = '{tt}') = 0 then (select round_even(avg(\"{tt}\"), 0) from prof) else -1.0 end \"{tt}\""
+    for tt in ASSESSMENT_TITLES) + " from played group by installation_id", ctes=TRAIN_PROFILE)
+def z4_test_profiles(t):
+    """Profiles of the test players from predicted scores, with the train players'
+    fills; a predicted score (a whole number from 0 to 3) is shown as -1."""
+    path = scratch_path(t.spark, "style3-state")
+    ST3.fit_style3(t.player_clicks(test=False), t.labels, path)
+    prof = ST3.test_profiles(ST3.score_style3(t.player_clicks(test=True), path), path)
+    score = lambda c: F.when(F.col(f"`{c} filled`") | ~F.col(f"`{c}`").isin(0.0, 1.0, 2.0, 3.0), F.col(f"`{c}`")).otherwise(-1.0)
+    return prof.select(KEY, *[score(c).alias(c) for c in ASSESSMENT_TITLES])
+
+
+@query("z4_style3_submission", f"select distinct installation_id, true valid from clicks where type = 'Assessment' and {TEST_PLAYER_SQL}")
+def z4_submission(t):
+    """The whole style-3 way from train players to one group per test player."""
+    path = scratch_path(t.spark, "style3-state")
+    ST3.fit_style3(t.player_clicks(test=False), t.labels, path)
+    out = ST3.submission(t.player_clicks(test=True), path)
+    return out.select(KEY, F.coalesce(F.col("accuracy_group").between(0, 3), F.lit(False)).alias("valid"))
+
+
+def _ensemble(t):
+    table, width = E.feature_table(t.player_clicks(test=False), t.player_clicks(test=True), t.labels, t.specs)
+    return materialize(E.score_all(table, width), "style1-scored")
+
+
+ENSEMBLE = """s1 as (select c.installation_id, c.game_session, c.world, c.event_code, l.accuracy_group, c.event_count, c.src_id,
+  c.game_time from clicks c join assessment_labels l using (installation_id, game_session) join specs s using (event_id)),
+s1g as (select * exclude (game_time), coalesce(abs(game_time - lead(game_time) over (partition by installation_id,
+  game_session order by event_count, src_id)), 0) game_time from s1),
+train_rows as (select distinct installation_id, game_session from s1g where game_time < 600000 and event_code not in (4100, 4110)
+  and not (%(test)s) and not (accuracy_group = 3 and %(thin)s < 0.65) and %(split)s < 0.15),
+t1 as (select c.installation_id, c.game_session, c.event_count, c.src_id, c.game_time from clicks c join specs s using (event_id)
+  where %(test)s),
+t1g as (select * exclude (game_time), coalesce(abs(game_time - lead(game_time) over (partition by installation_id,
+  game_session order by event_count, src_id)), 0) game_time from t1),
+test_rows as (select distinct installation_id, game_session from t1g where game_time < 600000)""" % {
+    "test": TEST_PLAYER_SQL, "thin": FRAC.format(seed=0, key="game_session"), "split": FRAC.format(seed=1, key="game_session")}
+
+
+@query("f15_style1_ensemble", "select installation_id, game_session, 'holdout' as part, 1 one, true voted from train_rows union all "
+       "select installation_id, game_session, 'test', 1, true from test_rows", ctes=ENSEMBLE)
+def f15_ensemble(t):
+    """Hold-out and test sessions with the vote of two logistics, kNN and forest:
+    ``voted`` where the vote is a label that no other label of the four outnumbers
+    and no smaller one equals."""
+    scored = _ensemble(t)
+    votes = F.array(*[F.col(m) for m in E.VOTERS])
+    times = lambda v: F.size(F.filter(votes, lambda x: x == v))
+    won = F.lit(True)
+    for label in range(4):
+        won = won & F.when(F.col("vote") <= label, times(F.col("vote")) >= times(F.lit(label))).otherwise(
+            times(F.col("vote")) > times(F.lit(label)))
+    counts = scored.groupBy(KEY, SESSION, "part").agg(F.count(F.lit(1)).cast("int").alias("one"), F.min(
+        won & F.col("vote").between(0, 3)).alias("voted"))
+    return counts
+
+
+@query("f23_test_players_by_model", "select installation_id, model, true valid from (select distinct installation_id from test_rows) p, "
+       "(select unnest(['" + "', '".join(E.ALL_MODELS) + "']) model) m", ctes=ENSEMBLE)
+def f23_by_model(t):
+    """Each test player's last session scored by every style-1 model."""
+    last = E.last_by_model(_ensemble(t))
+    return last.select(KEY, "model", F.coalesce(F.col("accuracy_group").between(0, 3), F.lit(False)).alias("valid"))

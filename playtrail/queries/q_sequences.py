@@ -7,9 +7,11 @@ from playtrail.functions.scalar import argmax, events_add, normalize_text, round
 from playtrail.operators import features as FT
 from playtrail.operators import relational as R
 from playtrail.operators import sequences as S
+from playtrail.operators import style3 as ST3
 from playtrail.queries import query
 from playtrail.sources.fixtures import TEST_PLAYER_SQL
 from playtrail.schema import ASSESSMENT_TITLES, KEY, SESSION, TOKEN_FILTERS
+from playtrail.session import scratch_path
 
 LP = "lp as (select * from clicks where installation_id in (select installation_id from assessment_labels))"
 J8 = ("j8 as (select c.*, l.title label_title, l.num_correct, l.num_incorrect, l.accuracy, l.accuracy_group "
@@ -289,18 +291,14 @@ seqs as (select l.installation_id, l.k2, l.n_codes,
 
 
 @query("z3_style3_test_sequences", "select installation_id, k2 game_session, n_codes, sequence from seqs",
-       ctes="ev as (select c.* from clicks c join assessment_labels l using (installation_id, game_session)), "
+       ctes="ev as (select c.* from clicks c left join assessment_labels l using (installation_id, game_session) "
+            f"where case when {TEST_PLAYER_SQL} then c.type = 'Assessment' else l.accuracy_group is not null end), "
             + _seq_sql_split("ev", f"not ({TEST_PLAYER_SQL})", TEST_PLAYER_SQL))
 def z3_test(t):
-    """Z3 on held-out players: the vocabulary is fitted on the train players'
-    assessment sequences and applied unchanged to the test players' ones."""
-    train_clicks, test_clicks = t.player_clicks(test=False), t.player_clicks(test=True)
-    _, vocab = S.style3_sequences(train_clicks, t.labels)
-    ev = R.events_with_labels(test_clicks, t.labels)
-    tokens = S.code_tokens(ev, [KEY, SESSION])
-    lengths = S.sequence_lengths(tokens, [KEY, SESSION])
-    padded = S.pad_sequences(S.encode(tokens, vocab), [KEY, SESSION])
-    table = lengths.join(padded, [KEY, SESSION], "left").withColumn(
-        "sequence", F.coalesce(F.col("sequence"), F.array_repeat(F.lit(0), 400)))
+    """Z3 on held-out players, whose labels are not read: the vocabulary of the train
+    players' assessment sequences is saved and applied to the test players' ones."""
+    path = scratch_path(t.spark, "style3-state")
+    ST3.fit_vocabulary(t.player_clicks(test=False), t.labels, path)
+    table = ST3.test_sequences(t.player_clicks(test=True), path)
     return table.select(KEY, SESSION, "n_codes",
                         F.array_join(F.transform("sequence", lambda x: x.cast("string")), " ").alias("sequence"))
