@@ -133,15 +133,14 @@ def kernel_features(df: DataFrame, col: str, landmarks: np.ndarray, kernel: str
     L = np.asarray(landmarks, dtype=float)
     src = df.withColumn("_kx", vector_to_array(F.col(col)) if df.schema[col].dataType.typeName() != "array"
                         else F.col(col).cast("array<double>"))
-    schema = T.StructType([f for f in src.schema.fields] + [T.StructField("_k", T.ArrayType(T.DoubleType()))])
+    # The wide input ends here; only the other columns go on beside the kernel values.
+    narrow = [f for f in src.schema.fields if f.name not in ("_kx", col, out)]
+    src = src.select(*[f.name for f in narrow], "_kx")
+    schema = T.StructType([*narrow, T.StructField("_k", T.ArrayType(T.DoubleType()))])
 
     def fn(batches):
         for pdf in batches:
-            if len(pdf) == 0:
-                pdf["_k"] = pd.Series([], dtype=object)
-                yield pdf
-                continue
-            X = np.stack(pdf["_kx"].to_numpy()).astype(float)
+            X = np.stack(pdf.pop("_kx").to_numpy()).astype(float) if len(pdf) else np.zeros((0, L.shape[1]))
             if kernel == "rbf":
                 d2 = (X ** 2).sum(1)[:, None] - 2 * X @ L.T + (L ** 2).sum(1)[None, :]
                 K = np.exp(-gamma * np.maximum(d2, 0))
@@ -151,11 +150,10 @@ def kernel_features(df: DataFrame, col: str, landmarks: np.ndarray, kernel: str
                 K = np.tanh(gamma * X @ L.T + coef0)
             else:
                 raise ValueError(kernel)
-            pdf["_k"] = list(K)
-            yield pdf
+            yield pdf[[f.name for f in narrow]].assign(_k=list(K))
 
     res = src.mapInPandas(fn, schema)
-    return res.withColumn(out, array_to_vector("_k")).drop("_k", "_kx")
+    return res.withColumn(out, array_to_vector("_k")).drop("_k")
 
 
 def kernel_svm():

@@ -101,6 +101,20 @@ def sequence_table(tokens: DataFrame, labels: DataFrame, keys: Sequence[str], mi
     return label_onehot(table), vocab
 
 
+def unlabelled_sequences(events: DataFrame, vocab: DataFrame, keys: Sequence[str], min_codes: int | None = None,
+                         maxlen: int = MAX_SEQUENCE_LENGTH) -> DataFrame:
+    """A11, P13, X10 and X11 for events without labels, in the ids of a vocabulary
+    fitted elsewhere: keys, ``n_codes`` and the padded ``sequence``. A key without a
+    known code is all padding."""
+    tokens = materialize(code_tokens(events, keys), "unlabelled-tokens")     # counted and encoded
+    lengths = sequence_lengths(tokens, keys)
+    if min_codes is not None:
+        lengths = lengths.where(F.col("n_codes") > min_codes)
+    padded = pad_sequences(encode(tokens, vocab), keys, maxlen)
+    return lengths.join(padded, list(keys), "left").withColumn(
+        "sequence", F.coalesce("sequence", F.array_repeat(F.lit(0), maxlen)))
+
+
 def labelled_tokens(clicks: DataFrame, labels: DataFrame) -> DataFrame:
     """J4 + A11: tokens of labelled sessions. The time bucket is set before the
     label join, which spreads the events by it (:func:`labelled_events`)."""

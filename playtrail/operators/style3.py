@@ -21,7 +21,7 @@ from playtrail.operators import sequences as S
 from playtrail.operators.labelling import assessment_starts
 from playtrail.operators.relational import first_per_key, only_type, session_starts
 from playtrail.operators.scoring import cluster_to_group
-from playtrail.schema import ASSESSMENT_TITLES, KEY, MAX_SEQUENCE_LENGTH, SESSION
+from playtrail.schema import ASSESSMENT_TITLES, KEY, SESSION
 from playtrail.session import materialize
 
 VOCABULARY, FILLS, CENTRES, MODEL = "vocabulary", "fills", "centres", "model"
@@ -67,14 +67,8 @@ def test_sequences(clicks: DataFrame, path: str) -> DataFrame:
     saved vocabulary's ids, with the session's title and start. No label is read."""
     vocab = _load(clicks.sparkSession, path, VOCABULARY)
     played = only_type(clicks)                                                   # P10
-    tokens = materialize(S.code_tokens(played, [KEY, SESSION]), "style3-test-tokens")
-    padded = S.pad_sequences(S.encode(tokens, vocab), [KEY, SESSION])
-    about = played.groupBy(KEY, SESSION).agg(F.count(F.lit(1)).alias("n_codes")).join(
-        first_per_key(played, [KEY, SESSION], ["ts", "event_count", "src_id"], ["title"]), [KEY, SESSION]).join(
-        session_starts(played), [KEY, SESSION])
-    # A session without a known code is all padding.
-    return about.join(padded, [KEY, SESSION], "left").withColumn(
-        "sequence", F.coalesce("sequence", F.array_repeat(F.lit(0), MAX_SEQUENCE_LENGTH)))
+    about = first_per_key(played, [KEY, SESSION], ["ts", "event_count", "src_id"], ["title"]).join(session_starts(played), [KEY, SESSION])
+    return S.unlabelled_sequences(played, vocab, [KEY, SESSION]).join(about, [KEY, SESSION])
 
 
 def test_profiles(scored: DataFrame, path: str, titles: Sequence[str] = ASSESSMENT_TITLES) -> DataFrame:

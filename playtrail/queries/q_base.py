@@ -25,6 +25,7 @@ from pyspark.sql import types as T  # noqa: E402
 from playtrail import sources as SRC  # noqa: E402
 from playtrail.operators import labelling as L  # noqa: E402
 from playtrail.operators import relational as R  # noqa: E402
+from playtrail.schema import EVENT_ACTIONS, EVENT_TYPES  # noqa: E402
 from playtrail.session import materialize, scratch_path  # noqa: E402
 from playtrail.sources.fixtures import TEST_PLAYER_SQL  # noqa: E402
 
@@ -88,6 +89,20 @@ def s4(t):
     return R.with_specs(clicks, specs).select("src_id", "event_type", "event_action")
 
 
+def _names(col, names):
+    return "case " + col + " " + " ".join(f"when {k} then '{v}'" for k, v in names.items()) + " end"
+
+
+@query("s4_read_named_specs", f"select c.src_id, {_names('s.event_type', EVENT_TYPES)} event_type, "
+       f"{_names('s.event_action', EVENT_ACTIONS)} event_action from clicks c join specs s using (event_id)")
+def s4_named(t):
+    name = lambda c, names: F.create_map(*[F.lit(x) for kv in names.items() for x in kv])[F.col(c)].alias(c)
+    path = scratch_path(t.spark, "named-specs-csv")
+    SRC.write_csv(t.specs.select(F.col("event_id").cast("string"), name("event_type", EVENT_TYPES), name("event_action", EVENT_ACTIONS)), path)
+    clicks = t.clicks.withColumn("event_id", F.col("event_id").cast("string"))
+    return R.with_specs(clicks, SRC.read_specs(t.spark, path, named=True)).select("src_id", "event_type", "event_action")
+
+
 HIST = """lp as (select * from clicks where installation_id in (select installation_id from assessment_labels)),
 j8 as (select c.*, l.title label_title, l.num_correct, l.num_incorrect, l.accuracy, l.accuracy_group
   from lp c left join assessment_labels l using (installation_id, game_session)),

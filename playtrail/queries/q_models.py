@@ -457,3 +457,88 @@ def f23_by_model(t):
     """Each test player's last session scored by every style-1 model."""
     last = E.last_by_model(_ensemble(t))
     return last.select(KEY, "model", F.coalesce(F.col("accuracy_group").between(0, 3), F.lit(False)).alias("valid"))
+
+
+# ---------------------------------------------------------------- the other models of styles 2 to 5
+
+STYLE4_KEYS = f"{HIST}, hg as (select * from h where grp is not null), {_seq_sql('hg', 'grp', 10)}, " \
+    f"s4 as (select installation_id, k2, concat_ws('-', installation_id, k2) gkey from seqs), " \
+    f"held as (select * from s4 where {FRAC.format(seed=1, key='gkey')} < 0.15)"
+KERNELS = ("rbf", "poly", "sigmoid")
+
+
+def _valid(df, *keys):
+    """Keys of scored rows, each with whether its prediction is one of the four groups."""
+    return df.select(*keys, F.col("prediction").isin(0.0, 1.0, 2.0, 3.0).alias("valid"))
+
+
+@query("f11_style4_multinomial", "select installation_id, k2 \"group\", true valid from held", ctes=STYLE4_KEYS)
+def f11_s4(t):
+    train, test = _style4_ml(t)
+    return _valid(M.fit_predict(M.logistic_multinomial(), train, test, [KEY, "group"]), KEY, "group")
+
+
+@query("f14_style4_kernels", "select installation_id, k2 \"group\", kernel, true valid from held, (select unnest(["
+       + ", ".join(f"'{k}'" for k in KERNELS) + "]) kernel) q", ctes=STYLE4_KEYS)
+def f14_kernels(t):
+    """Style 4, kernel SVMs with rbf, poly (degree 10) and sigmoid kernels, gamma 1 / width."""
+    train, test = _style4_ml(t)
+    marks, gamma = M.pick_landmarks(train, "gkey", "features", 64), M.auto_gamma(train, "features")
+    out = None
+    for kernel in KERNELS:
+        ktrain = materialize(M.kernel_features(train, "features", marks, kernel, gamma), "style4-kernel")
+        preds = M.fit_predict(M.kernel_svm(), ktrain, M.kernel_features(test, "features", marks, kernel, gamma), [KEY, "group"])
+        preds = preds.withColumn("kernel", F.lit(kernel))
+        out = preds if out is None else out.unionByName(preds)
+    return _valid(out, KEY, "group", "kernel")
+
+
+@query("f7_style2_kfold_svm", "select installation_id, fold, true valid from (select installation_id, cast(ntile(5) over "
+       "(order by installation_id) as int) fold from mat) q", ctes=_style2_sql(300))
+def f7_svm2(t):
+    """Style 2, rbf kernel SVM over five contiguous folds; the landmarks of a fold are
+    rows of its own train part."""
+    data = _style2_ml(t)
+    gamma = M.auto_gamma(data, "features")
+    out = None
+    for i in range(1, 6):
+        train, test = data.where(F.col("fold") != i), data.where(F.col("fold") == i)
+        marks = M.pick_landmarks(train, KEY, "features", 64)
+        ktrain = materialize(M.kernel_features(train, "features", marks, "rbf", gamma), "style2-kernel")
+        preds = M.fit_predict(M.kernel_svm(), ktrain, M.kernel_features(test, "features", marks, "rbf", gamma), [KEY]).withColumn("fold", F.lit(i))
+        out = preds if out is None else out.unionByName(preds)
+    return _valid(out, KEY, "fold")
+
+
+def _style3_ml(t):
+    table, _ = S.style3_sequences(t.clicks, t.labels)
+    return FT.split(M.with_label(M.sequence_tokens(table)), SESSION)
+
+
+def _style4_tokens(t):
+    table, _ = S.style4_sequences(t.history())
+    data = M.with_label(M.sequence_tokens(table).withColumn("accuracy_group", F.round("accuracy_group")))
+    return FT.split(data.withColumn("gkey", F.concat_ws("-", KEY, "group")), "gkey")
+
+
+@query("f17_sequence_losses", "select 3 style, (select count(*) from assessment_labels where "
+       + FRAC.format(seed=1, key="game_session") + " < 0.15) n, true valid union all select 4, (select count(*) from held), true",
+       ctes=STYLE4_KEYS)
+def f17_losses(t):
+    """The sequence model on styles 3 and 4: hold-out accuracy and cross-entropy are
+    shares and losses (``valid``); their values are printed by the bench."""
+    out = None
+    for style, data in ((3, _style3_ml(t)), (4, _style4_tokens(t))):
+        one = sequence_scores(data).withColumn("style", F.lit(style))
+        out = one if out is None else out.unionByName(one)
+    return out.select("style", "n", (F.col("accuracy").between(0, 1) & (F.col("cross_entropy") > 0) & ~F.isnan("cross_entropy")
+                                     & (F.col("cross_entropy") < 1e6)).alias("valid"))
+
+
+def sequence_scores(data):
+    """One row: n, accuracy and cross-entropy of the sequence model on the test split."""
+    data = materialize(data.select("tokens", "label", "split"), "sequence-split")
+    scored = M.sequence_classifier().fit(data.where(F.col("split") == "train")).transform(data.where(F.col("split") == "test"))
+    p = F.element_at(vector_to_array("probability"), F.col("label").cast("int") + 1)
+    return scored.agg(F.count(F.lit(1)).alias("n"), F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("accuracy"),
+                      F.avg(-F.log(F.greatest(p, F.lit(1e-15)))).alias("cross_entropy"))

@@ -9,9 +9,9 @@ from playtrail.operators import relational as R
 from playtrail.operators import sequences as S
 from playtrail.operators import style3 as ST3
 from playtrail.queries import query
-from playtrail.sources.fixtures import TEST_PLAYER_SQL
-from playtrail.schema import ASSESSMENT_TITLES, KEY, SESSION, TOKEN_FILTERS
-from playtrail.session import scratch_path
+from playtrail.sources.fixtures import TEST_PLAYER_SQL, is_test_player
+from playtrail.schema import ASSESSMENT_TITLES, KEY, MIN_SEQUENCE_CODES, SESSION, TOKEN_FILTERS
+from playtrail.session import materialize, scratch_path
 
 LP = "lp as (select * from clicks where installation_id in (select installation_id from assessment_labels))"
 J8 = ("j8 as (select c.*, l.title label_title, l.num_correct, l.num_incorrect, l.accuracy, l.accuracy_group "
@@ -302,3 +302,34 @@ def z3_test(t):
     table = ST3.test_sequences(t.player_clicks(test=True), path)
     return table.select(KEY, SESSION, "n_codes",
                         F.array_join(F.transform("sequence", lambda x: x.cast("string")), " ").alias("sequence"))
+
+
+@query("z7_style5_test_sequences", "select installation_id, k2 game_session, n_codes, sequence from seqs",
+       ctes=HIST + ", both_ as (select installation_id, game_session, ts, event_count, src_id, event_code from h "
+            f"where not ({TEST_PLAYER_SQL}) union all select installation_id, game_session, ts, event_count, src_id, event_code "
+            f"from clicks where {TEST_PLAYER_SQL}), "
+            "ev as (select * from both_ qualify count(*) over (partition by installation_id, game_session) > 10), "
+            + _seq_sql_split("ev", f"not ({TEST_PLAYER_SQL})", TEST_PLAYER_SQL))
+def z7_test(t):
+    """Z7 on held-out players, whose labels are not read: every session of more than
+    ten codes, in the ids of the train players' vocabulary."""
+    _, vocab = S.style5_sequences(t.history().where(~is_test_player(KEY)))
+    table = S.unlabelled_sequences(t.player_clicks(test=True), materialize(vocab, "vocabulary"), [KEY, SESSION], MIN_SEQUENCE_CODES)
+    return table.select(KEY, SESSION, "n_codes",
+                        F.array_join(F.transform("sequence", lambda x: x.cast("string")), " ").alias("sequence"))
+
+
+@query("a6_last_label", "select installation_id, game_session, arg_max(accuracy_group, (ts, event_count, src_id)) accuracy_group "
+       "from h group by installation_id, game_session", ctes=HIST)
+def a6_last(t):
+    """A6 with the label of a session's last event in place of the mean."""
+    return FT.mean_label(S._history_rows(_history(t)), [KEY, SESSION], mixed="last")
+
+
+@query("z5_history_with_assessments", "select j.src_id, coalesce(j.accuracy_group, n.accuracy_group) accuracy_group, "
+       "coalesce(o.grp, case when j.accuracy_group is null then n.grp end) \"group\" from j8 j asof left join grp n "
+       "on j.installation_id = n.installation_id and j.ts < n.start left join grp o on j.accuracy_group is not null "
+       "and o.installation_id = j.installation_id and o.game_session = j.game_session", ctes=HIST)
+def z5_with(t):
+    """Z5 where an assessment's own events belong to its group."""
+    return t.history(include_assessment=True).select("src_id", "accuracy_group", "group")
