@@ -43,6 +43,7 @@ DEGREE = 24      # neighbours of a node
 NAMED_BY = 16    # nodes that name a node, kept besides
 ORDERS = 4       # random orders of the first graph at least; one more for each doubling beyond 16 blocks
 BLOCK = 4096     # vectors of a block
+SLICE = 512      # vectors of a block that are scored at once
 SIGNS = 5        # coarse cells of an order at least: 2 ** SIGNS; beyond, about one for each block
 RENEWED = 50     # a round of NN-descent that renews fewer than one in so many entries is the last
 BEAM = 128       # candidates of a query
@@ -96,13 +97,16 @@ def _first(batches: Iterator[pa.RecordBatch], block: int) -> Iterator[pa.RecordB
 
     def solve(table: pa.Table) -> pa.RecordBatch:
         ids, x = table.column("id").to_numpy(), _matrix(table.column("vec").combine_chunks())
-        s = x @ x.T
-        np.fill_diagonal(s, -np.inf)
-        k = min(DEGREE, len(ids) - 1)
-        rows = np.arange(len(ids))[:, None]
-        best = np.argpartition(-s, k - 1, axis=1)[:, :k] if 0 < k < len(ids) - 1 else np.argsort(-s, axis=1)[:, :k]
-        offsets = pa.array(np.arange(len(ids) + 1, dtype=np.int32) * k)
-        pairs = pa.StructArray.from_arrays([pa.array(s[rows, best].ravel().astype(np.float32)), pa.array(ids[best].ravel())], ["s", "nb"])
+        n, k = len(ids), min(DEGREE, len(ids) - 1)
+        best, score = np.empty((n, k), np.int64), np.empty((n, k), np.float32)
+        for at in range(0, n, SLICE):      # scores of a slice against the run: 16 MB for a run of 8,191
+            s = x[at:at + SLICE] @ x.T
+            own = np.arange(len(s))[:, None]
+            s[own[:, 0], at + own[:, 0]] = -np.inf
+            near = np.argpartition(s, n - k, axis=1)[:, n - k:] if k else np.empty((len(s), 0), np.int64)
+            best[at:at + SLICE], score[at:at + SLICE] = near, s[own, near]
+        offsets = pa.array(np.arange(n + 1, dtype=np.int32) * k)
+        pairs = pa.StructArray.from_arrays([pa.array(score.ravel()), pa.array(ids[best].ravel())], ["s", "nb"])
         return pa.RecordBatch.from_arrays(
             [table.column("t").combine_chunks(), table.column("id").combine_chunks(),
              pa.array(np.full(len(ids), ids.min())), pa.ListArray.from_arrays(offsets, pairs)], ["t", "id", "block", "best"])
