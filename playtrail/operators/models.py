@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 
 from playtrail.functions.scalar import hash_fraction
 from playtrail.operators.knn import knn_vote  # noqa: F401  (F12)
+from playtrail.session import materialize
 
 LABEL = "label"
 FEATURES = "features"
@@ -161,6 +162,30 @@ def kernel_svm():
     return OneVsRest(classifier=LinearSVC(maxIter=50), labelCol=LABEL, featuresCol=FEATURES, parallelism=4)
 
 
+class KernelSVM:
+    """F14 as an estimator: landmarks are rows of the train part it is fitted on, and
+    the rows to score get the same kernel features. ``gamma`` is a number, ``auto`` or
+    ``scale``."""
+
+    def __init__(self, key: str, kernel: str = "rbf", gamma: float | str = "auto", landmarks: int = 64):
+        self.key, self.kernel, self.gamma, self.landmarks = key, kernel, gamma, landmarks
+
+    def fit(self, train: DataFrame) -> KernelSVMModel:
+        rules = {"auto": auto_gamma, "scale": scale_gamma}
+        gamma = rules[self.gamma](train, FEATURES) if isinstance(self.gamma, str) else self.gamma
+        marks = pick_landmarks(train, self.key, FEATURES, self.landmarks)
+        made = materialize(kernel_features(train, FEATURES, marks, self.kernel, gamma), "kernel-features")
+        return KernelSVMModel(marks, self.kernel, gamma, kernel_svm().fit(made))
+
+
+class KernelSVMModel:
+    def __init__(self, marks: np.ndarray, kernel: str, gamma: float, model):
+        self.marks, self.kernel, self.gamma, self.model = marks, kernel, gamma, model
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.model.transform(kernel_features(df, FEATURES, self.marks, self.kernel, self.gamma))
+
+
 # ---------------------------------------------------------------- clustering
 
 def cluster_profiles(profiles: DataFrame, cols: Sequence[str], k: int = 4, seed: int = 1,

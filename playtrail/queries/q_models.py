@@ -218,12 +218,7 @@ def f16(t):
 
 @query("f14_kernel_svm")
 def f14(t):
-    train, test, _ = _style1_ml(t)
-    marks = M.pick_landmarks(train, SESSION, "features", 64)
-    gamma = M.scale_gamma(train, "features")
-    ktrain = materialize(M.kernel_features(train, "features", marks, "rbf", gamma))
-    ktest = M.kernel_features(test, "features", marks, "rbf", gamma)
-    return M.fit_predict(M.kernel_svm(), ktrain, ktest, [SESSION]).select(SESSION, "label", "prediction")
+    return _fit_score(M.KernelSVM(SESSION, "rbf", "scale"), t)
 
 
 def _style5_ml(t):
@@ -375,11 +370,7 @@ def f12_s4_by_k(t):
 @query("f14_style4_svm")
 def f14_s4(t):
     train, test = _style4_ml(t)
-    marks = M.pick_landmarks(train, "gkey", "features", 64)
-    gamma = M.auto_gamma(train, "features")
-    ktrain = materialize(M.kernel_features(train, "features", marks, "rbf", gamma))
-    ktest = M.kernel_features(test, "features", marks, "rbf", gamma)
-    return M.fit_predict(M.kernel_svm(), ktrain, ktest, [KEY, "group"]).select(KEY, "group", "label", "prediction")
+    return M.fit_predict(M.KernelSVM("gkey"), train, test, [KEY, "group"]).select(KEY, "group", "label", "prediction")
 
 
 # ---------------------------------------------------------------- fitted on train players, applied to test players
@@ -483,12 +474,9 @@ def f11_s4(t):
 def f14_kernels(t):
     """Style 4, kernel SVMs with rbf, poly (degree 10) and sigmoid kernels, gamma 1 / width."""
     train, test = _style4_ml(t)
-    marks, gamma = M.pick_landmarks(train, "gkey", "features", 64), M.auto_gamma(train, "features")
     out = None
     for kernel in KERNELS:
-        ktrain = materialize(M.kernel_features(train, "features", marks, kernel, gamma), "style4-kernel")
-        preds = M.fit_predict(M.kernel_svm(), ktrain, M.kernel_features(test, "features", marks, kernel, gamma), [KEY, "group"])
-        preds = preds.withColumn("kernel", F.lit(kernel))
+        preds = M.fit_predict(M.KernelSVM("gkey", kernel), train, test, [KEY, "group"]).withColumn("kernel", F.lit(kernel))
         out = preds if out is None else out.unionByName(preds)
     return _valid(out, KEY, "group", "kernel")
 
@@ -498,16 +486,8 @@ def f14_kernels(t):
 def f7_svm2(t):
     """Style 2, rbf kernel SVM over five contiguous folds; the landmarks of a fold are
     rows of its own train part."""
-    data = _style2_ml(t)
-    gamma = M.auto_gamma(data, "features")
-    out = None
-    for i in range(1, 6):
-        train, test = data.where(F.col("fold") != i), data.where(F.col("fold") == i)
-        marks = M.pick_landmarks(train, KEY, "features", 64)
-        ktrain = materialize(M.kernel_features(train, "features", marks, "rbf", gamma), "style2-kernel")
-        preds = M.fit_predict(M.kernel_svm(), ktrain, M.kernel_features(test, "features", marks, "rbf", gamma), [KEY]).withColumn("fold", F.lit(i))
-        out = preds if out is None else out.unionByName(preds)
-    return _valid(out, KEY, "fold")
+    preds = M.kfold_evaluate(_style2_ml(t), lambda: M.KernelSVM(KEY), keep=[KEY])
+    return _valid(preds, KEY, "fold")
 
 
 def _style3_ml(t):
