@@ -27,6 +27,17 @@ def word_array(text: Column) -> Column:
     return F.array_remove(F.split(text, rf"[{WS_CLASS}]+"), "")
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Column names like ``names`` that ``df`` does not have (case ignored)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def values_table(spark: SparkSession, columns: str, rows: list[str]) -> DataFrame:
     """A small fixed table as a local relation; ``rows`` are SQL row literals."""
     return spark.sql(f"select * from values {', '.join(rows)} as t({columns})")

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playtrail.llm.common import components, whole_text
+from playtrail.llm.common import components, fresh, whole_text
 from playtrail.session import bounded_broadcast, materialize
 
 PART_TOKENS = 32_768  # mean number of tokens in a part
@@ -309,13 +309,12 @@ def one_per_group(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFra
     first = (ranked.where("doc_id <=> component_id").groupBy("component_id", "doc_id")
              .agg(F.min("tid").alias("tid")))
     gone = ranked.join(first, ["component_id", "doc_id", "tid"], "left_anti").where("component_id is not null")
-    gone = materialize(gone.select(F.col("doc_id").alias("gone_id"), F.col("tid").alias("gone_tid")), "dropped")
-    keyed = docs.withColumn("tid__", F.xxhash64(whole_text("text")))
-    kept = keyed.join(bounded_broadcast(gone, NEED_ROWS),
-                      (F.col("doc_id").eqNullSafe(F.col("gone_id"))) & (F.col("tid__") == F.col("gone_tid")), "left_anti")
+    key, at, held = fresh(docs, "text_key", "dropped_id", "dropped_key")
+    gone = materialize(gone.select(F.col("doc_id").alias(at), F.col("tid").alias(held)), "dropped")
+    keyed = docs.withColumn(key, F.xxhash64(whole_text("text")))
+    same = F.col("doc_id").eqNullSafe(F.col(at)) & (F.col(key) == F.col(held))
+    kept = keyed.join(bounded_broadcast(gone, NEED_ROWS), same, "left_anti")
     if ranked.where("copies > 1").limit(1).count():
-        again = ranked.where("copies > 1").select(F.col("doc_id").alias("again_id"), F.col("tid").alias("again_tid"))
-        same = (F.col("doc_id").eqNullSafe(F.col("again_id"))) & (F.col("tid__") == F.col("again_tid"))
-        kept = kept.join(again, same, "left_anti").union(
-            kept.join(again, same, "left_semi").dropDuplicates(["doc_id", "tid__"]))
+        again = ranked.where("copies > 1").select(F.col("doc_id").alias(at), F.col("tid").alias(held))
+        kept = kept.join(again, same, "left_anti").union(kept.join(again, same, "left_semi").dropDuplicates(["doc_id", key]))
     return kept.select(*cols)

@@ -25,6 +25,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from playtrail.llm.common import fresh, whole_text
 from playtrail.plans.ordered import global_row_number
 from playtrail.session import materialize
 
@@ -106,11 +107,12 @@ def mix(docs: DataFrame, weights: dict | None = None, id_col: str = "doc_id", so
 def in_mixture_order(docs: DataFrame, weights: dict | None = None) -> DataFrame:
     """All rows and columns of ``docs``, sorted by slot and place over the output
     files: reading them in order reads the mixture."""
-    cols = docs.columns
-    keyed = docs.withColumn("tid__", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
-    order = mix(keyed, weights, carry=("tid__",))
-    order = materialize(order.groupBy(F.col("doc_id").alias("id__"), F.col("source").alias("source__"), F.col("tid__").alias("t__"))
-                        .agg(F.min(F.struct("slot", "place")).alias("at__")), "mixture-order")
-    same = (F.col("doc_id").eqNullSafe(F.col("id__")) & F.col("source").cast("string").eqNullSafe(F.col("source__"))
-            & (F.col("tid__") == F.col("t__")))
-    return keyed.join(order, same).orderBy("at__").select(*cols)
+    key, at = fresh(docs, "text_key", "mixture_at")
+    keyed = docs.withColumn(key, F.md5(whole_text("text").cast("binary")))
+    order = mix(keyed.select("doc_id", "source", key), weights, carry=(key,))
+    ids = fresh(keyed, "mixture_id", "mixture_source", "mixture_key")
+    order = materialize(order.groupBy(*[F.col(c).alias(n) for c, n in zip(("doc_id", "source", key), ids)])
+                        .agg(F.min(F.struct("slot", "place")).alias(at)), "mixture-order")
+    same = (F.col("doc_id").eqNullSafe(F.col(ids[0])) & F.col("source").cast("string").eqNullSafe(F.col(ids[1]))
+            & (F.col(key) == F.col(ids[2])))
+    return keyed.join(order, same).orderBy(at).select(*docs.columns)

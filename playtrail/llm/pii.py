@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playtrail.llm.common import whole_text
+from playtrail.llm.common import fresh, whole_text
 from playtrail.session import bounded_broadcast, materialize
 
 KINDS = ("email", "ip", "card", "phone")
@@ -275,18 +275,20 @@ def rewrite(text: str, extra: list[str]) -> str:
     return "".join(out) + text[at:]
 
 
-def _rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        new = [None if t is None else rewrite(t, x or []) for t, x in zip(b.column("text").to_pylist(), b.column("extra__").to_pylist())]
-        yield b.set_column(b.schema.get_field_index("text"), "text", pa.array(new, pa.string())).drop_columns(["extra__"])
+def _rewrite(extra: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            new = [None if t is None else rewrite(t, x or []) for t, x in zip(b.column("text").to_pylist(), b.column(extra).to_pylist())]
+            yield b.set_column(b.schema.get_field_index("text"), "text", pa.array(new, pa.string())).drop_columns([extra])
+    return run
 
 
 def sanitise(docs: DataFrame, alpha: float = ALPHA) -> DataFrame:
     """All rows and columns of ``docs`` with rewritten texts (``n_chars`` follows)."""
+    key, held, spans = fresh(docs, "text_key", "held_key", "extra_spans")
     found = personal_data(docs, alpha=alpha).where("size(extra) > 0")
-    extra = materialize(found.groupBy("tid").agg(F.first("extra").alias("extra__")), "pii-extra")  # equal texts, equal spans
-    extra = bounded_broadcast(extra.withColumnRenamed("tid", "tid__"), EXTRA_ROWS)
-    df = docs.withColumn("tid_", F.xxhash64(whole_text("text")))
-    df = df.join(extra, F.col("tid_") == F.col("tid__"), "left").select(*docs.columns, "extra__")
-    out = df.mapInArrow(_rewrite, docs.schema)
+    extra = materialize(found.groupBy(F.col("tid").alias(held)).agg(F.first("extra").alias(spans)), "pii-extra")  # equal texts, equal spans
+    df = docs.withColumn(key, F.xxhash64(whole_text("text")))
+    df = df.join(bounded_broadcast(extra, EXTRA_ROWS), F.col(key) == F.col(held), "left").select(*docs.columns, spans)
+    out = df.mapInArrow(_rewrite(spans), docs.schema)
     return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out

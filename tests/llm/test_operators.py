@@ -353,7 +353,7 @@ def test_pipeline_keeps_clean_documents(spark):
     assert kept.columns == docs.columns
     clean = docs.join(labels.where("quality = 1"), "doc_id").where(F.size(F.split("text", r"\s+")) >= 50)
     assert clean.join(kept, "doc_id", "left_anti").count() <= 0.02 * clean.count()
-    assert corpus_pipeline.run(spark, SF_SMALL).columns == ["doc_id", "codes", "decoded"]
+    assert corpus_pipeline.run(spark, SF_SMALL).columns == ["doc_id", "place", "codes", "decoded"]
     assert [len(corpus_pipeline.STAGES)] == [5]
 
 
@@ -396,4 +396,42 @@ def test_pipeline_rows_follow_the_mixture(spark):
     texts = {r.doc_id: r.text for r in docs.collect()}
     assert all(r.decoded == texts[r.doc_id] for r in rows)
     whole = corpus_pipeline.run(spark, sf)
-    assert [r.doc_id for r in whole.select("doc_id").collect()] == want
+    assert [tuple(r) for r in whole.select("place", "doc_id").collect()] == list(enumerate(want))
+
+
+CLASHES = ["gone", "gone_id", "gone_tid", "at__", "tid__", "id__", "extra__", "tid_", "text_key", "TEXT_KEY_", "rejected_key",
+           "dropped_id", "mixture_at", "kept", "tid", "t", "comp", "row__", "file__", "n", "place"]
+
+
+@pytest.mark.parametrize("number", range(5))
+def test_stages_on_odd_rows_and_clashing_columns(spark, number):
+    """Nulls, empty and long texts, ties, repeated rows, extra columns and an empty table."""
+    import corpus_pipeline
+    from playtrail.session import materialize
+    name, stage = corpus_pipeline.STAGES[number]
+    sound = " ".join(f"the wolf{i} and a bird{i} in the tree{i} of house{i}" for i in range(12))
+    rows = [(i, t, None, s, None) for i, t, s in [
+        (1, None, "a"), (2, "", None), (3, " \n", "a"), (4, sound, None), (4, sound, None), (None, sound + " in the end", "b"),
+        (5, sound + " mail ann@corp.example", "b"), (6, LONG, "a"), (7, LONG, "a"), (8, "one two", "b"), (8, "one two three", "b")]]
+    clashes = [c for c in CLASHES if number < 4 or c not in ("n", "t", "tid")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    df = df.withColumns({c: F.lit(c) for c in clashes})
+    df = materialize(df, "odd-docs")
+    out = stage(spark, df, SF_SMALL)
+    got = out.collect()
+    if number < 4:
+        assert out.columns == df.columns
+        assert all(r[c] == c for r in got for c in clashes)
+    ids = sorted(str(r.doc_id) for r in got)
+    everyone = sorted(str(r[0]) for r in rows)
+    if name == "quality_rules":
+        assert set(ids) <= {"4", "5", "None"} and ids.count("4") == 2
+    elif name == "near_duplicates":
+        assert ids == ["1", "2", "3", "4", "6", "8"]
+    else:
+        assert ids == everyone
+    if name == "personal_data":
+        assert [r.text for r in got if r.doc_id == 1] == [None] and "ann@corp.example" not in "".join(r.text or "" for r in got)
+    if name == "sentencepiece":
+        assert sorted(r.place for r in got) == list(range(len(rows)))
+    assert stage(spark, materialize(df.limit(0), "no-docs"), SF_SMALL).count() == 0
