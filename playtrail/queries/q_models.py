@@ -511,7 +511,7 @@ def f17_losses(t):
     for style, data in ((3, _style3_ml(t)), (4, _style4_tokens(t))):
         one = sequence_scores(data).withColumn("style", F.lit(style))
         out = one if out is None else out.unionByName(one)
-    return out.select("style", "n", (F.col("accuracy").between(0, 1) & (F.col("cross_entropy") > 0) & ~F.isnan("cross_entropy")
+    return out.select("style", "n", (F.col("accuracy").between(0, 1) & (F.col("cross_entropy") >= 0) & ~F.isnan("cross_entropy")
                                      & (F.col("cross_entropy") < 1e6)).alias("valid"))
 
 
