@@ -4,23 +4,26 @@ Two documents link when the Jaccard similarity of their shingle sets is at
 least ``percent`` / 100. The result is one row per document with the smallest
 key it can reach by links. The steps:
 
-1. *Signatures.* Sets of similar size can only differ in ``H`` tokens, so of
-   ``H + 1`` hash segments of the token space at least one holds equal tokens
-   in both. A document's signatures are the hashes of its segments, for the
-   size level it is in and for the one below: no link is missed, and documents
-   that share only a passage hardly ever share a whole segment.
-2. *Groups.* Every document is compared with the smallest document of each
-   signature it shares (a star, never all pairs); links of these exact
-   comparisons partition similar documents into groups.
-3. *Matrix.* What is left are signatures that hold several groups. The documents
-   on them are dealt into parts of similar documents (by family: the smallest
-   head they share a signature with) of bounded size. Two parts with a common
-   signature are a cell. In a cell, the union of a part's tokens bounds the
-   overlap of each query of the other part with all its members; only queries
-   that reach ``percent`` of their own size open the part, and their overlaps
-   are one matrix product. A cell returns a spanning forest of the links it
-   adds, so pairs never become rows.
-4. Components are formed again.
+1. *Partners.* Of two linked sets, the smallest tokens they share stand among the
+   first of either (a prefix of each sorted set). A text goes on only if enough
+   tokens of its prefix are in the prefix of another text: a count per text, no pairs.
+2. *Signatures.* Sets of similar size can only differ in ``H`` tokens, so of
+   ``H + 1 + s`` hash segments of the token space at least ``s + 1`` hold equal
+   tokens in both. A document's signatures are the hashes of its segments, for the
+   size level it is in and for the one below. With at most ``s`` empty segments one
+   of the equal ones has tokens, so only sets with more of them sign empty ones.
+3. *Parts.* Documents that share signatures are dealt into parts of similar
+   documents (by family: the smallest head they share a signature with) of bounded
+   size. A part is stored with the union of its tokens.
+4. *Heads against parts.* The head of each signature is a query to the parts that
+   hold its members (a star, never all pairs). The union bounds the overlap of the
+   query with any member; only parts it can reach are opened and give exact links,
+   which form groups.
+5. *Parts against parts.* What is left are signatures that hold several groups. Two
+   parts with a common one are a cell: unions bound the overlap of each query of one
+   part with the other, and the overlaps of the queries left are one matrix product.
+   A cell returns a spanning forest of the links it adds, so pairs never become rows.
+6. Components are formed again.
 
 Tokens, and texts as a whole, are addressed by 64-bit hashes. Copies of a text
 share an address and are one member everywhere.
@@ -46,6 +49,7 @@ from playtrail.session import bounded_broadcast, materialize
 
 PART_TOKENS = 32_768  # mean number of tokens in a part
 CELLS_PER_BATCH = 32  # cells sent to Python at once
+ENTRIES = 2_000_000  # prefix tokens that one step of the count of partners holds, about
 NEED_ROWS = 500_000  # ids that may be broadcast to pick texts; a shuffle join beyond
 
 
@@ -109,6 +113,10 @@ class Levels:
         most = self.start(k + 1) - 1 + self.start(k + 2) - 1
         return (100 - self.percent) * most // (100 + self.percent)
 
+    def spare(self, k: int) -> int:
+        """Segments beyond ``differ(k) + 1``: so many more are equal in linked sets."""
+        return (self.differ(k) + 5) // 6
+
 
 def signatures(tokens: np.ndarray, levels: Levels) -> np.ndarray:
     """The segment hashes of a non-empty sorted token set, for both its pair levels."""
@@ -116,30 +124,143 @@ def signatures(tokens: np.ndarray, levels: Levels) -> np.ndarray:
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mix(tokens ^ np.uint64(0x5851F42D4C957F2D)), dtype=np.uint64)])
     out = []
     for k in range(max(0, own - 1), own + 1):
-        parts = levels.differ(k) + 1
+        parts = levels.differ(k) + 1 + levels.spare(k)
         segment = ((tokens >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
         edge = np.searchsorted(segment, np.arange(parts + 1, dtype=np.uint64))
         place = np.arange(parts, dtype=np.uint64) + np.uint64(k << 32)
-        out.append(_mix(total[edge[1:]] - total[edge[:-1]] + _mix(place + np.uint64(1))))
+        hashes = _mix(total[edge[1:]] - total[edge[:-1]] + _mix(place + np.uint64(1)))
+        held = edge[1:] > edge[:-1]
+        out.append(hashes[held] if (~held).sum() <= levels.spare(k) else hashes)
     return np.concatenate(out)
 
 
+def _needed(n: int, percent: int) -> int:
+    """Tokens that a set of ``n`` shares with any set it links to, at least."""
+    return -(-n * percent // 100)
+
+
+def _surplus(n: int, percent: int) -> int:
+    """Shared tokens that the prefix of a set of ``n`` is long enough to hold."""
+    return min(1 + n // 8, _needed(n, percent))
+
+
+def prefix(n: int, percent: int) -> int:
+    """Length of the prefix of a sorted set of ``n`` tokens. Outside it are fewer than
+    the shared tokens by the surplus, so the first ``_surplus`` shared ones are in it."""
+    return n - _needed(n, percent) + _surplus(n, percent) if n else 0
+
+
+def least_shared(n: int, percent: int) -> int:
+    """Tokens that the prefix of a set of ``n`` shares with that of any set it links to:
+    the surplus of the smallest set it can link to."""
+    return _surplus(_needed(n, percent), percent)
+
+
 def _signed(values: list[np.ndarray]) -> pa.ListArray:
     offsets = np.concatenate([[0], np.cumsum([len(v) for v in values])]).astype(np.int32)
     flat = np.concatenate(values) if values else np.empty(0, np.uint64)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int64)))
 
 
-def _digest(words: int, percent: int):
+def _digest(words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, weights = _WordIds(), _weights(words)
+        for b in batches:
+            sizes = [len(token_set(t, words, ids, weights)) for t in b.column("t").cast(pa.binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("tid"), pa.array(sizes, pa.int64())], ["doc_id", "tid", "n"])
+    return run
+
+
+def _lists(values: np.ndarray, of: np.ndarray, buckets: int) -> pa.ListArray:
+    """``values`` as one list per bucket; ``of`` is the sorted bucket of each value."""
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(of, np.arange(buckets + 1)).astype(np.int32)), pa.array(values))
+
+
+def _prefixes(words: int, percent: int, buckets: int):
+    """Prefix tokens of a batch's different texts, dealt to buckets. A token of several
+    texts of the batch is a hit of each of them here already and is sent once, as known."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, weights, levels = _WordIds(), _weights(words), Levels(percent)
+        ids, weights = _WordIds(), _weights(words)
+        for b in batches:
+            tids, first = np.unique(b.column("tid").to_numpy(), return_index=True)
+            texts = b.column("t").take(pa.array(first)).cast(pa.binary()).to_pylist()
+            sets = [token_set(t, words, ids, weights) for t in texts]
+            sets = [x[:prefix(len(x), percent)] for x in sets]
+            doc = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+            mixed = _mix(np.concatenate([*sets, np.empty(0, np.uint64)]) ^ np.uint64(0x9E3779B97F4A7C15))
+            token, which, count = np.unique(mixed, return_inverse=True, return_counts=True)
+            several = count[which] > 1
+            hits = np.bincount(doc[several], minlength=len(sets))
+
+            def bucket(x):
+                return (((x >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
+
+            def low(x):
+                return (x & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
+            alone, known = mixed[~several], token[count > 1]
+            order = np.lexsort((doc[~several], bucket(alone)))
+            alone, at = alone[order], doc[~several][order]
+            run_, length = np.unique(bucket(alone) * len(sets) + at, return_counts=True)
+            holder = run_ // max(len(sets), 1)
+            rows = pa.RecordBatch.from_arrays([
+                pa.array(np.arange(buckets, dtype=np.int32)), _lists(tids[run_ % max(len(sets), 1)], holder, buckets),
+                _lists(length.astype(np.int32), holder, buckets), _lists(low(alone), bucket(alone), buckets),
+                _lists(low(known), bucket(known), buckets)], ["bucket", "tids", "counts", "toks", "known"])
+            some = (rows.column("toks").value_lengths().to_numpy() > 0) | (rows.column("known").value_lengths().to_numpy() > 0)
+            yield rows.filter(pa.array(some))
+            own, none = np.flatnonzero(hits), pa.array([[]], pa.list_(pa.int32()))
+            if len(own):   # hits found here; any bucket passes them on
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([int(tids[0]) % buckets], pa.int32()), pa.array([tids[own]], pa.list_(pa.int64())),
+                    pa.array([hits[own]], pa.list_(pa.int32())), none, none], ["bucket", "tids", "counts", "toks", "known"])
+    return run
+
+
+def _hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``(tid, hits)``: prefix tokens of a text that another text has too. Rows come sorted by bucket."""
+    def found(tid, hits):
+        return pa.RecordBatch.from_arrays([pa.array(tid, pa.int64()), pa.array(hits, pa.int64())], ["tid", "hits"])
+
+    def settle(held):
+        tid = np.concatenate([np.repeat(t, c) for t, c, _, _ in held])
+        tok = np.concatenate([x for _, _, x, _ in held])
+        known = np.concatenate([k for _, _, _, k in held])
+        order = np.lexsort((tid, tok))
+        tid, tok = tid[order], tok[order]
+        new = np.ones(len(tok), bool)   # copies in other batches send the same pair
+        new[1:] = (tid[1:] != tid[:-1]) | (tok[1:] != tok[:-1])
+        tid, tok = tid[new], tok[new]
+        token, which, count = np.unique(tok, return_inverse=True, return_counts=True)
+        return found(*np.unique(tid[((count > 1) | np.isin(token, known))[which]], return_counts=True))
+
+    at, held = None, []
+    for b in batches:
+        flat = [(b.column(c).flatten().to_numpy(), np.concatenate([[0], np.cumsum(b.column(c).value_lengths().to_numpy())]))
+                for c in ("tids", "counts", "toks", "known")]
+        for i, bucket in enumerate(b.column("bucket").to_pylist()):
+            row = [values[ends[i]:ends[i + 1]] for values, ends in flat]
+            if not len(row[2]) and not len(row[3]):
+                yield found(row[0], row[1])
+                continue
+            if bucket != at and held:
+                yield settle(held)
+                held = []
+            at = bucket
+            held.append(row)
+    if held:
+        yield settle(held)
+
+
+def _signs(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        levels = Levels(percent)
         for whole in batches:
             for at in range(0, whole.num_rows, 1000):  # bounds what one output batch holds
                 b = whole.slice(at, 1000)
-                sets = [token_set(t, words, ids, weights) for t in b.column("t").cast(pa.binary()).to_pylist()]
-                yield pa.RecordBatch.from_arrays([
-                    b.column("doc_id"), b.column("tid"), pa.array([len(s) for s in sets], pa.int64()),
-                    _signed([signatures(s, levels) if len(s) else s for s in sets])], ["doc_id", "tid", "n", "sigs"])
+                toks, size = b.column("toks").flatten().to_numpy().view(np.uint64), b.column("toks").value_lengths().to_numpy()
+                ends = np.cumsum(size)
+                yield pa.RecordBatch.from_arrays([b.column("tid"), _signed(
+                    [signatures(toks[e - k:e], levels) for e, k in zip(ends, size)])], ["tid", "sigs"])
     return run
 
 
@@ -155,10 +276,10 @@ def _tokens(words: int):
 
 
 class Part:
-    """Members of a part: ids, groups and token sets (``tokens`` end to end)."""
+    """Members of a part: ids, groups, token sets (``tokens`` end to end) and their union."""
 
-    def __init__(self, held: pa.StructArray):
-        toks = held.field("toks")
+    def __init__(self, held: pa.StructArray, union: pa.Array):
+        toks, self.union = held.field("toks"), union.to_numpy()
         self.tid, self.grp = held.field("tid").to_pylist(), held.field("grp").to_pylist()
         self.size, self.tokens = toks.value_lengths().to_numpy(), toks.flatten().to_numpy()
 
@@ -166,17 +287,18 @@ class Part:
 def cell_links(left: Part, right: Part, percent: int, same: bool) -> list[tuple[int, int]]:
     """Links between the members of two parts that join different groups, as a
     spanning forest over the groups."""
+    reached = np.concatenate([[0], np.cumsum(np.isin(left.tokens, right.union))])
+    ends = np.cumsum(left.size)
+    queries = np.flatnonzero(100 * (reached[ends] - reached[ends - left.size]) >= percent * left.size)
+    if not len(queries):
+        return []     # no query reaches the part: it stays closed
     vocabulary, at = np.unique(np.concatenate([left.tokens, right.tokens]), return_inverse=True)
     sizes = np.concatenate([left.size, right.size])
     rows = np.repeat(np.arange(len(sizes)), sizes)
     has = np.zeros((len(sizes), len(vocabulary)), np.float32)
     has[rows, at] = 1
     size = has.sum(axis=1)
-    queries, members = np.arange(len(left.tid)), np.arange(len(left.tid), len(sizes))
-    reach = has[queries] @ has[members].max(axis=0)   # bound by the part's token union
-    queries = queries[100 * reach >= percent * size[queries]]
-    if not len(queries):
-        return []
+    members = np.arange(len(left.tid), len(sizes))
     overlap = has[queries] @ has[members].T
     whole = size[queries][:, None] + size[members][None, :] - overlap
     q, m = np.nonzero(100 * overlap >= percent * whole)
@@ -188,7 +310,7 @@ def cell_links(left: Part, right: Part, percent: int, same: bool) -> list[tuple[
         return x
     out = []
     for i, j in zip(queries[q], m):
-        if same and i >= j:
+        if same and i >= j or left.tid[i] == right.tid[j]:
             continue
         x, y = find(left.grp[i]), find(right.grp[j])
         if x != y:
@@ -202,21 +324,13 @@ def _cells(percent: int):
         for batch in batches:
             links = []
             for i in range(batch.num_rows):
-                x, y = (Part(batch.column(side)[i].values) for side in ("left", "right"))
+                x, y = (Part(batch.column(side)[i].values, batch.column(union)[i].values)
+                        for side, union in (("left", "lu"), ("right", "ru")))
                 links += cell_links(x, y, percent, batch.column("same")[i].as_py())
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], ["a", "b"])
     return run
 
 
-def _linked(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` that link, by exact comparison of their token sets."""
-    left = tokens.select(F.col("tid").alias("a"), F.col("toks").alias("ta"))
-    right = tokens.select(F.col("tid").alias("b"), F.col("toks").alias("tb"))
-    both = F.size(F.array_intersect("ta", "tb"))
-    return (pairs.join(left, "a").join(right, "b")
-            .where(100 * both >= percent * (F.size("ta") + F.size("tb") - both)).select("a", "b"))
-
-
 def _sized(pairs: DataFrame, info: DataFrame, percent: int) -> DataFrame:
     """Pairs of sizes that allow a link."""
     def side(x):
@@ -225,6 +339,48 @@ def _sized(pairs: DataFrame, info: DataFrame, percent: int) -> DataFrame:
     return out.where((100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))).select("a", "b")
 
 
+def _opened(cells: DataFrame, left: DataFrame, right: DataFrame, percent: int, name: str) -> DataFrame:
+    """Links that the cells ``(x, y)`` add; ``left`` and ``right`` are ``(part, held, union)``."""
+    spark, conf = cells.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(conf)
+    spark.conf.set(conf, str(CELLS_PER_BATCH))
+    try:
+        return materialize(
+            cells.join(left.select(F.col("part").alias("x"), F.col("held").alias("left"), F.col("union").alias("lu")), "x")
+            .join(right.select(F.col("part").alias("y"), F.col("held").alias("right"), F.col("union").alias("ru")), "y")
+            .select("left", "lu", "right", "ru", (F.col("x") == F.col("y")).alias("same"))
+            .mapInArrow(_cells(percent), "a long, b long"), name)
+    finally:
+        spark.conf.set(conf, before)
+
+
+def _stored(parts: DataFrame, tokens: DataFrame, name: str) -> DataFrame:
+    """The parts' members with their tokens, and the union of these: ``(part, held, union)``."""
+    return materialize(parts.join(tokens, "tid").groupBy("part")
+                       .agg(F.collect_list(F.struct("tid", "grp", "toks")).alias("held"))
+                       .withColumn("union", F.array_distinct(F.flatten("held.toks"))), name)
+
+
+def _parts(members: DataFrame, info: DataFrame) -> DataFrame:
+    """``(tid, part)``: families cut into parts of bounded size."""
+    family = members.groupBy("tid").agg(F.min("head").alias("fam")).join(info, "tid")
+    per = family.groupBy("fam").agg(F.ceil(F.sum("n") / PART_TOKENS).alias("cuts"))
+    return materialize(family.join(per, "fam").select(
+        "tid", F.xxhash64("fam", F.pmod(F.xxhash64("tid"), F.col("cuts"))).alias("part")), "parts")
+
+
+def _head_links(members: DataFrame, parts: DataFrame, info: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
+    """Links of the head of each signature with the members of the parts on it."""
+    stars = members.where("tid <> head").select(F.col("head").alias("a"), F.col("tid").alias("b")).distinct()
+    cells = materialize(_sized(stars, info, percent).join(parts.withColumnRenamed("tid", "b"), "b")
+                        .select(F.col("a").alias("x"), F.col("part").alias("y")).distinct(), "head-cells")
+    own = F.col("tid").alias("grp")
+    stored = _stored(parts.select("tid", own, "part"), tokens, "part-tokens")
+    heads = tokens.join(cells.select(F.col("x").alias("tid")).distinct(), "tid", "left_semi").select(
+        F.col("tid").alias("part"), F.array(F.struct("tid", own, "toks")).alias("held"), F.col("toks").alias("union"))
+    return _opened(cells, heads, stored, percent, "head-links")
+
+
 def _matrix_links(members: DataFrame, groups: DataFrame, info: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
     """Links between different groups, found cell by cell."""
     grouped = materialize(
@@ -232,27 +388,31 @@ def _matrix_links(members: DataFrame, groups: DataFrame, info: DataFrame, tokens
         .select("sig", "tid", "head", F.coalesce("comp", "tid").alias("grp")), "grouped-members")
     mixed = grouped.groupBy("sig").agg(F.min("grp").alias("x"), F.max("grp").alias("y")).where("x < y").select("sig")
     left = materialize(grouped.join(mixed, "sig", "left_semi"), "mixed-members")
-    family = left.groupBy("tid", "grp").agg(F.min("head").alias("fam")).join(info, "tid")
-    per = family.groupBy("fam").agg(F.ceil(F.sum("n") / PART_TOKENS).alias("cuts"))
-    parts = materialize(family.join(per, "fam").select(
-        "tid", "grp", F.xxhash64("fam", F.pmod(F.xxhash64("tid"), F.col("cuts"))).alias("part")), "parts")
-    seen = left.select("sig", "tid").join(parts.select("tid", "part"), "tid").select("sig", "part").distinct()
+    parts = _parts(left, info)
+    seen = left.select("sig", "tid").join(parts, "tid").select("sig", "part").distinct()
     cells = materialize(
         seen.withColumnRenamed("part", "x").join(seen.withColumnRenamed("part", "y"), "sig")
         .where("x <= y").select("x", "y").distinct(), "cells")
-    payload = materialize(parts.join(tokens, "tid").groupBy("part")
-                          .agg(F.collect_list(F.struct("tid", "grp", "toks")).alias("held")), "part-tokens")
-    spark, conf = members.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(conf)
-    spark.conf.set(conf, str(CELLS_PER_BATCH))
-    try:
-        return materialize(
-            cells.join(payload.select(F.col("part").alias("x"), F.col("held").alias("left")), "x")
-            .join(payload.select(F.col("part").alias("y"), F.col("held").alias("right")), "y")
-            .select("left", "right", (F.col("x") == F.col("y")).alias("same"))
-            .mapInArrow(_cells(percent), "a long, b long"), "matrix-links")
-    finally:
-        spark.conf.set(conf, before)
+    stored = _stored(parts.join(left.select("tid", "grp").distinct(), "tid"), tokens, "mixed-part-tokens")
+    return _opened(cells, stored, stored, percent, "matrix-links")
+
+
+def _with_partners(texts: DataFrame, digest: DataFrame, info: DataFrame, words: int, percent: int) -> DataFrame:
+    """``tid`` of the texts that share enough prefix tokens with other texts."""
+    spark = texts.sparkSession
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    total = digest.agg(F.sum("n")).first()[0] or 0
+    buckets = max(tasks, prefix(total, percent) // ENTRIES)
+    hits = (texts.select("tid", "t").mapInArrow(
+        _prefixes(words, percent, buckets),
+        "bucket int, tids array<long>, counts array<int>, toks array<int>, known array<int>")
+        .repartition(tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(_hits, "tid long, hits long"))
+
+    def needed(n):
+        return F.floor((n * percent + 99) / 100)
+    n = needed(F.col("n"))
+    enough = F.least(1 + F.floor(n / 8), needed(n))     # least_shared()
+    return hits.groupBy("tid").agg(F.sum("hits").alias("hits")).join(info, "tid").where(F.col("hits") >= enough).select("tid")
 
 
 def addressed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -266,30 +426,26 @@ def jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str
     """``(doc_id, tid, n_shingles, component_id)``, one row per row of ``docs``."""
     texts = addressed(docs, id_col, text_col)
     key = texts.schema["doc_id"].dataType.simpleString()
-    digest = materialize(texts.mapInArrow(_digest(words, percent),
-                                          f"doc_id {key}, tid long, n long, sigs array<long>"), "shingle-digest")
-    info = digest.where("n > 0").select("tid", "n").dropDuplicates(["tid"])
+    digest = materialize(texts.mapInArrow(_digest(words), f"doc_id {key}, tid long, n long"), "shingle-digest")
+    sizes = digest.where("n > 0").select("tid", "n").dropDuplicates(["tid"])
+    need = materialize(_with_partners(texts, digest, sizes, words, percent), "text-ids")
+    tokens = materialize(
+        texts.join(bounded_broadcast(need, NEED_ROWS), "tid", "left_semi").select("tid", "t")
+        .mapInArrow(_tokens(words), "tid long, toks array<long>")
+        .groupBy("tid").agg(F.first("toks").alias("toks")), "token-sets")
+    info = tokens.select("tid", F.size("toks").cast("long").alias("n"))
 
     # Members of signatures that different texts share.
-    rows = digest.select(F.explode("sigs").alias("sig"), "tid")
+    rows = materialize(tokens.mapInArrow(_signs(percent), "tid long, sigs array<long>"), "signatures")
+    rows = rows.select(F.explode("sigs").alias("sig"), "tid")
     shared = (rows.groupBy("sig").agg(F.min("tid").alias("head"), F.max("tid").alias("last"))
               .where("head < last").select("sig", "head"))
     members = materialize(rows.join(shared, "sig").select("sig", "tid", "head").distinct(), "signature-members")
 
-    # Groups: links to the head of a signature.
-    stars = members.where("tid <> head").select(F.col("head").alias("a"), F.col("tid").alias("b")).distinct()
-    stars = materialize(_sized(stars, info, percent), "star-pairs")
-    need = members.select("tid").distinct()
-    tokens = materialize(
-        texts.join(bounded_broadcast(materialize(need, "text-ids"), NEED_ROWS), "tid", "left_semi").select("tid", "t")
-        .mapInArrow(_tokens(words), "tid long, toks array<long>")
-        .groupBy("tid").agg(F.first("toks").alias("toks")), "token-sets")
-    links = materialize(_linked(stars, tokens, percent), "star-links")
+    links = _head_links(members, _parts(members, info), info, tokens, percent)
     groups = components(links, "groups")
-
     more = _matrix_links(members, groups, info, tokens, percent)
-    links = materialize(links.union(more), "links")
-    comp = components(links, "components")
+    comp = components(materialize(links.union(more), "links"), "components")
 
     # One row per document; the component's smallest key.
     rows = (digest.select("doc_id", "tid", "n").join(comp.withColumnRenamed("id", "tid"), "tid", "left")
