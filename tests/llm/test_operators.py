@@ -8,6 +8,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SF_SMALL
 from pyspark.sql import functions as F
@@ -206,6 +207,51 @@ def test_signatures_meet_for_linked_sets():
             assert set(jaccard_join.signatures(a, levels).tolist()) & set(jaccard_join.signatures(b, levels).tolist())
 
 
+def test_prefixes_of_linked_sets_share_enough():
+    rng = np.random.default_rng(6)
+    for percent in (80, 90):
+        for n in range(1, 300):
+            a = np.arange(n)
+            drop = n * (100 - percent) // 100
+            for b in (a[drop:], a[:n - drop], np.delete(a, rng.choice(n, drop, replace=False))):   # linked to a
+                x, y = a[:jaccard_join.prefix(n, percent)], b[:jaccard_join.prefix(len(b), percent)]
+                assert len(np.intersect1d(x, y)) >= max(jaccard_join.least_shared(len(z), percent) for z in (a, b))
+
+
+def test_partners_and_links_come_from_prefixes_and_parts(spark, monkeypatch):
+    rng = random.Random(3)
+    base = [f"w{rng.randrange(10 ** 6)}" for _ in range(120)]
+    passage = base[:30]
+    rows = [(i, " ".join([*base[:119 - i], *(f"e{i}x{j}" for j in range(i + 1))])) for i in range(4)]        # near copies
+    rows += [(10 + i, " ".join([*passage, *(f"u{i}x{j}" for j in range(120))])) for i in range(6)]       # a shared passage only
+    rows += [(20, rows[0][1]), (21, " ".join(f"q{j}" for j in range(80)))]                               # a copy, a lone text
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = jaccard_join.addressed(d, "doc_id", "text")
+    digest = texts.mapInArrow(jaccard_join._digest(5), "doc_id long, tid long, n long")
+    sizes = digest.select("tid", "n").dropDuplicates(["tid"])
+    ids = {r.tid for r in jaccard_join._with_partners(texts, digest, sizes, 5, 80).collect()}
+    assert {r.doc_id for r in texts.collect() if r.tid in ids} == {0, 1, 2, 3, 20}
+    seen, opened = {}, jaccard_join._opened
+
+    def spy(cells, left, right, percent, name):
+        out = opened(cells, left, right, percent, name)
+        seen[name] = out.count()
+        return out
+    monkeypatch.setattr(jaccard_join, "_opened", spy)
+    got = jaccard_join.jaccard_join(d, 5, 80).collect()
+    assert sum(seen.values()) >= 3    # all links between different texts are found through parts
+    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got) == brute_components(rows, 5, 80)
+
+
+def test_part_that_no_query_reaches_stays_closed():
+    def part(*members):
+        held = pa.array([{"tid": t, "grp": t, "toks": toks} for t, toks in members])
+        return jaccard_join.Part(held, pa.array(sorted({x for _, toks in members for x in toks})))
+    near = part((2, list(range(19))), (3, list(range(50, 70))))
+    assert jaccard_join.cell_links(part((1, list(range(20)))), near, 80, False) == [(1, 2)]
+    assert jaccard_join.cell_links(part((4, list(range(100, 120)))), near, 80, False) == []
+
+
 def test_warc_round_trip_and_merge(spark):
     rows = [(3, "http://b.example.com/x?y#z", "same"), (1, "https://a.example.com:80/", "same"), (2, None, None), (5, "", ""),
             (4, "http://b.example.com/x?y", "line\r\n\r\nWARC/1.1\r\nContent-Length: 9\r\n\r\n é日"), (None, "http://c.org", "lost")]
