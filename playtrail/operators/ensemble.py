@@ -51,6 +51,8 @@ def feature_table(train_clicks: DataFrame, test_clicks: DataFrame, labels: DataF
 
 def _named(estimator, name: str):
     """``estimator`` with output columns of its own."""
+    if isinstance(estimator, M.Forest):
+        return estimator.named(f"predictionCol_{name}")
     for param in ("predictionCol", "probabilityCol", "rawPredictionCol"):
         if estimator.hasParam(param) and not isinstance(estimator, OneVsRest) or param == "predictionCol":
             estimator = estimator.copy({estimator.getParam(param): f"{param}_{name}"})
@@ -67,7 +69,7 @@ def majority(votes: Sequence[Column]) -> Column:
 def score_all(table: DataFrame, width: int, k: int = KNN_K, trees: int = TREES) -> DataFrame:
     """Rows outside the train part with a prediction column per model of ``ALL_MODELS``."""
     train, rows = table.where(F.col(PART) == "train"), table.where(F.col(PART) != "train")
-    estimators = {"ovr": M.logistic_ovr(), "multinomial": M.logistic_multinomial(), "forest": M.random_forest(trees), "mlp": M.mlp(width)}
+    estimators = {"ovr": M.logistic_ovr(), "multinomial": M.logistic_multinomial(), "forest": M.narrow_forest(trees), "mlp": M.mlp(width)}
     scored = rows
     for name, estimator in estimators.items():
         held = scored.columns
