@@ -57,3 +57,40 @@ def test_null_features_and_one_label(spark):
     df = spark.createDataFrame([(1, [1.0, 2.0], 3.0), (2, [5.0, 2.0], 3.0), (3, None, 3.0)], "id long, features array<double>, label double")
     assert predictions(FO.Forest(5).fit(df), df) == {1: 3.0, 2: 3.0, 3: None}
     assert predictions(FO.Forest(5, node_rows=1).fit(df), df) == {1: 3.0, 2: 3.0, 3: None}
+
+
+def test_cells_and_sorted_rows_find_the_same_cuts():
+    rng = np.random.default_rng(8)
+    node, sizes = rng.integers(0, 5, 80), np.array([3, 9, 2, 6, 9])
+    node[:5] = np.arange(5)
+    code, label, w = (rng.integers(0, sizes[node])).astype(np.uint8), rng.integers(0, 3, 80), rng.integers(1, 4, 80).astype(float)
+    hot = np.zeros((80, 3))
+    hot[np.arange(80), label] = w
+    whole = np.stack([hot[node == n].sum(0) for n in range(5)])
+    _, byte, score = FO.best_cuts(node, code, hot, whole)
+    byte2, score2 = FO.cell_cuts(node, code, label, w, sizes, whole)
+    assert np.allclose(score, score2) and (byte == byte2)[score > 0].all()
+
+
+def test_wide_rows_of_mostly_constant_columns(spark, monkeypatch):
+    """Padded rows: columns of one value are never tried, and nodes are bounded by bytes."""
+    rng = np.random.default_rng(9)
+    x = np.full((400, 900), -1.0)
+    x[:, 300:306] = rng.integers(0, 4, (400, 6))
+    y = (x[:, 300] + 2 * x[:, 303]) % 4
+    df = frame(spark, x, y)
+    assert len(FO.Forest(2).fit(df).cuts) == 6
+    whole = predictions(FO.Forest(8).fit(df.repartition(3)), df)
+    assert sum(whole[i] == y[i] for i in range(400)) > 0.95 * 400
+    monkeypatch.setattr(FO, "NODE_BYTES", 100 * 8)
+    model = FO.Forest(8).fit(df.repartition(3))
+    assert all(len(t.column) > 1 for t in model.tops)
+    parts = predictions(model, df.repartition(5))
+    assert sum(parts[i] == y[i] for i in range(400)) > 0.95 * 400
+
+
+def test_style2_folds_grow_no_forest_in_the_driver(spark, monkeypatch):
+    import __spark_entry__ as entry
+    from tests.conftest import SF_SMALL
+    monkeypatch.setattr(M, "RandomForestClassifier", None)   # Spark's forest keeps every tree in the driver
+    assert entry.queries()["f7_style2_kfold_forest"](spark, SF_SMALL).count() > 0
