@@ -66,14 +66,31 @@ def majority(votes: Sequence[Column]) -> Column:
     return -F.array_max(counted)["neg"]
 
 
+def fitted(estimators: dict, train: DataFrame) -> dict:
+    """The models of independent estimators, fitted as concurrent Spark jobs: the many
+    short jobs of one leave no task slot idle that another can use."""
+    from multiprocessing.pool import ThreadPool
+
+    from pyspark.util import inheritable_thread_target
+
+    def one(name: str):
+        return _named(estimators[name], name).fit(train)
+
+    pool = ThreadPool(processes=max(1, len(estimators)))
+    try:
+        return dict(zip(estimators, pool.map(inheritable_thread_target(train.sparkSession)(one), list(estimators))))
+    finally:
+        pool.close()
+
+
 def score_all(table: DataFrame, width: int, k: int = KNN_K, trees: int = TREES) -> DataFrame:
     """Rows outside the train part with a prediction column per model of ``ALL_MODELS``."""
     train, rows = table.where(F.col(PART) == "train"), table.where(F.col(PART) != "train")
     estimators = {"ovr": M.logistic_ovr(), "multinomial": M.logistic_multinomial(), "forest": M.narrow_forest(trees), "mlp": M.mlp(width)}
     scored = rows
-    for name, estimator in estimators.items():
+    for name, model in fitted(estimators, train).items():
         held = scored.columns
-        scored = _named(estimator, name).fit(train).transform(scored)
+        scored = model.transform(scored)
         scored = scored.select(*held, F.col(f"predictionCol_{name}").cast("int").alias(name))
     near = K.knn_vote(train, rows, ROW, M.FEATURES, k, M.LABEL, out="knn").withColumn("knn", F.col("knn").cast("int"))
     scored = scored.drop(M.FEATURES).join(near, ROW)

@@ -138,3 +138,22 @@ def test_code_chunks_keep_every_code(spark):
         rows = S.code_chunks(t, ["k"], 400).orderBy("chunk_no").collect()
         assert [c for r in rows for c in r["codes"]] == [str(1000 + i) for i in range(n)]
         assert [r["chunk_no"] for r in rows] == list(range(-(-n // 400)))
+
+
+def test_ensemble_fits_its_models_side_by_side(spark):
+    """Each fit waits until all four have begun: one after another they would never end."""
+    from threading import Barrier
+
+    from playtrail.operators import ensemble as E
+    begun = Barrier(4, timeout=20)
+
+    class Waits:
+        hasParam = lambda self, name: False
+        getParam = lambda self, name: name
+        copy = lambda self, more: self
+
+        def fit(self, train):
+            begun.wait()
+            return train.count()
+
+    assert E.fitted({n: Waits() for n in "abcd"}, spark.range(3)) == dict.fromkeys("abcd", 3)
