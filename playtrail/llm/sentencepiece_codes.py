@@ -2,7 +2,7 @@
 
 A text is cut into words wherever no piece holds the two neighbouring characters
 side by side: no piece can cross there, so the words have the codes they have in
-the text. Each distinct word of the corpus is encoded once: its substrings (up to
+the text. Each frequent word of the corpus is encoded once: its substrings (up to
 the longest piece) are exploded and equi-joined to the piece table, the edges are
 grouped by word, and a Spark higher-order ``aggregate`` folds the lattice.
 Characters without a piece become byte pieces.
@@ -13,10 +13,11 @@ best sum of its scores, so for ``bpe`` the fold applies, step by step, the best
 scored edge that spans two neighbouring pieces, leftmost first: these are the
 codes the model's own library gives.
 
-Texts are coded through the word table: its most frequent words (at most
-``COMMON``, of up to ``SHORT`` characters, whatever the corpus) as a broadcast,
-all other words by an equi-join of the word table with the (document, word)
-pairs that need them.
+Words are counted over the whole corpus. The most frequent (at most ``COMMON``, of
+up to ``SHORT`` characters) make the word table, which is broadcast. A word beyond
+it stands in few texts, so its lattice (the same join and folds over arrays,
+``Lattice``) is made in the task that codes the text: neither texts nor the
+corpus's rare words are shuffled, whatever their number.
 
 Defined results: a null or empty text has no codes; repeated rows get equal
 codes; an empty table gives no rows; a null key is kept; other columns are not
@@ -42,7 +43,8 @@ MARK = "▁"
 COMMON = 300_000     # words of the broadcast table at most
 SHORT = 64           # characters of its words at most
 BYTE0 = 3            # code of byte piece <0x00>
-BYTES = 4_000_000    # of texts coded together
+BYTES = 2_000_000    # of texts coded together
+HELD = 150_000       # words that a task counts before it sends them, about
 WIDEN = 4            # tasks of the lattice, times the shuffle partitions
 
 
@@ -119,12 +121,13 @@ def _counts(cut: np.ndarray):
         for b in _slices(batches, "t", BYTES):
             found = _words(b.column("t"), cut)[0].value_counts()
             held.append(pa.table({"word": pc.replace_substring(found.field("values"), " ", MARK), "n": found.field("counts")}))
-            if len(held) > 8:
+            if sum(h.num_rows for h in held) > 2 * HELD:
                 held[:] = [summed()]
-                if held[0].num_rows > 600_000:
+                if held[0].num_rows > HELD:
                     yield from held.pop().to_batches()
         if held:
             yield from summed().to_batches()
+        pa.default_memory_pool().release_unused()    # the worker goes on with other tasks
     return run
 
 
@@ -218,72 +221,170 @@ def _gather(pool: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray
     return pool[np.repeat(shift, size) + np.arange(size.sum(), dtype=np.int32)]
 
 
-def common_words(words: DataFrame, most: int = COMMON) -> tuple[Table, bool]:
-    """The most frequent words, at most ``most``, and whether these are all. The
-    least count of a common word follows from a histogram of the counts."""
+def common_words(counts: DataFrame, most: int = COMMON) -> DataFrame:
+    """The most frequent short words of ``(word, n)``, at most ``most``. The least
+    count of a common word follows from a histogram of the counts."""
     step = F.floor(F.log2("n") * 16)
-    short = F.length("word") <= SHORT
-    bars = words.groupBy(step.alias("step"), short.alias("short")).count().orderBy(F.desc("step")).collect()  # some hundred rows
+    short = counts.where(F.length("word") <= SHORT)
     least, total = None, 0
-    for bar in (b for b in bars if b["short"]):
+    for bar in short.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect():  # some hundred rows
         if total + bar["count"] > most:
             break
         least, total = bar["step"], total + bar["count"]
-    rows = words.where(short & (step >= F.lit(least))) if least is not None else words.limit(0)
-    got = rows.select("word", "codes").toArrow().combine_chunks()   # at most ``most`` short words
+    return short.where(step >= F.lit(least)) if least is not None else short.limit(0)
+
+
+def as_table(words: DataFrame) -> Table:
+    """The word table ``(word, codes)`` in flat arrays: at most ``COMMON`` short words."""
+    got = words.select("word", "codes").toArrow().combine_chunks()
     codes = got.column("codes")
     codes = codes.chunk(0) if codes.num_chunks else pa.array([], pa.list_(pa.int32()))
     texts = got.column("word").cast(pa.string())
     texts = texts.chunk(0) if texts.num_chunks else pa.array([], pa.string())
-    return Table(pc.replace_substring(texts, MARK, " "), codes), total == sum(b["count"] for b in bars)
-
-
-def _rare(table, cut: np.ndarray):
-    """Words of each document that the common table lacks."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in _slices(batches, "t", BYTES):
-            words, count = _words(b.column("t"), cut)
-            coded = words.dictionary_encode()
-            lack = table.value.where(coded.dictionary) < 0
-            which = coded.indices.to_numpy()
-            miss = lack[which]
-            pairs = np.unique(np.repeat(np.arange(b.num_rows), count)[miss] * len(lack) + which[miss])
-            yield pa.RecordBatch.from_arrays(
-                [b.column("addr").take(pa.array(pairs // len(lack) if len(pairs) else pairs)),
-                 pc.replace_substring(coded.dictionary.take(pa.array(pairs % len(lack) if len(pairs) else pairs)), " ", MARK)],
-                ["addr", "word"])
-    return run
-
-
-def _encode(table, cut: np.ndarray, complete: bool):
-    """Codes of each document; with ``complete`` only of documents without rare
-    words, else of documents with their ``rare`` words."""
+    return Table(pc.replace_substring(texts, MARK, " "), codes)
+
+
+class Lattice:
+    """The lattice of the words of a slice, over arrays. The piece table is a sorted
+    array of prefixes: substrings are joined to it one character after another, and
+    those that begin no piece go."""
+
+    def __init__(self, pieces: Pieces, model: str):
+        known: dict[tuple[int, int], int] = {}
+        ends = []
+        for text, code, score in pieces.rows:
+            node = 0
+            for ch in text.replace(MARK, " "):
+                node = known.setdefault((node, ord(ch)), len(known) + 1)
+            ends.append((node, code, score))
+        self.model, self.longest = model, pieces.longest
+        key = np.array([(node << 21) | ch for node, ch in known] or [-1], np.int64)
+        order = np.argsort(key)
+        self.key, self.child = key[order], np.array([*known.values()] or [0], np.int64)[order]
+        self.code, self.score = np.full(len(known) + 1, -1, np.int32), np.zeros(len(known) + 1)
+        for node, code, score in ends:
+            self.code[node], self.score[node] = code, score
+
+    def _edges(self, chars: np.ndarray, room: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Start, length and node of every substring that is a piece."""
+        at, node = np.arange(len(chars)), np.zeros(len(chars), np.int64)
+        out = [(at[:0], at[:0], at[:0])]
+        for n in range(1, self.longest + 1):
+            fits = room[at] >= n
+            at, node = at[fits], node[fits]
+            key = (node << 21) | chars[at + n - 1]
+            i = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
+            hit = self.key[i] == key
+            at, node = at[hit], self.child[i[hit]]
+            piece = self.code[node] >= 0
+            out.append((at[piece], np.full(piece.sum(), n), node[piece]))
+            if not len(at):
+                break
+        return tuple(np.concatenate(c) for c in zip(*out))
+
+    @staticmethod
+    def _bpe(word: np.ndarray, s: np.ndarray, e: np.ndarray, score: np.ndarray, places: int) -> np.ndarray:
+        """As ``fold_bpe``, for all words in step: each applies its best edge that spans
+        two neighbouring pieces, leftmost first. Returned is where pieces start or end."""
+        cut, after = np.ones(places, dtype=bool), np.arange(1, places + 1)
+        wide = np.flatnonzero(e - s > 1)           # one character spans no two pieces
+        wide = wide[np.lexsort((e[wide], s[wide], -score[wide], word[wide]))]
+        word, s, e = word[wide], s[wide], e[wide]
+        while len(s):
+            joins = np.flatnonzero(after[after[s]] == e)
+            of = word[joins]
+            best = joins[np.flatnonzero(np.append(True, of[1:] != of[:-1]))] if len(of) else joins
+            cut[after[s[best]]] = False
+            after[s[best]] = e[best]
+            busy = np.zeros(word[-1] + 1, dtype=bool)
+            busy[word[best]] = True
+            left = busy[word] & cut[s] & cut[e]
+            word, s, e = word[left], s[left], e[left]
+        return cut
+
+    @staticmethod
+    def _viterbi(first: np.ndarray, size: np.ndarray, word: np.ndarray, s: np.ndarray, e: np.ndarray,
+                 score: np.ndarray, places: int) -> np.ndarray:
+        """As ``fold_viterbi``, for all words in step."""
+        best, back = np.zeros(places), np.full(places, -1)
+        order = np.argsort(e - first[word], kind="stable")
+        s, e, score, rank = s[order], e[order], score[order], (e - first[word])[order]
+        for n in range(1, size.max(initial=0) + 1):
+            end = first[size >= n] + n
+            lo, hi = np.searchsorted(rank, [n, n + 1])
+            at = np.concatenate([end, e[lo:hi]])
+            value = np.concatenate([best[end - 1] + UNKNOWN, best[s[lo:hi]] + score[lo:hi]])
+            via = np.concatenate([end - 1, s[lo:hi]])
+            up = np.lexsort((via, value, at))
+            last = up[np.append(at[up][1:] != at[up][:-1], True)]
+            best[at[last]], back[at[last]] = value[last], via[last]
+        cut = np.zeros(places, dtype=bool)
+        at = first + size
+        while len(at):
+            cut[at] = True
+            at = back[at]
+            at = at[at >= 0]
+        return cut
+
+    def table(self, words: pa.Array) -> Table:
+        """Codes of distinct non-empty words."""
+        size = pc.utf8_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
+        chars = np.frombuffer("".join(words.to_pylist()).encode("utf-32-le"), np.uint32).astype(np.int64)
+        of = np.repeat(np.arange(len(size)), size)
+        ends = np.cumsum(size)
+        at, n, node = self._edges(chars, np.repeat(ends, size) - np.arange(len(chars)))
+        # A word of n characters has n + 1 places, so no place is of two words.
+        word, s = of[at], at + of[at]
+        e, places = s + n, len(chars) + len(size)
+        first = ends - size + np.arange(len(size))
+        if self.model == "bpe":
+            cut = self._bpe(word, s, e, self.score[node], places)
+        else:
+            cut = self._viterbi(first, size, word, s, e, self.score[node], places)
+        ends_here = np.zeros(places, dtype=bool)
+        ends_here[first + size] = True
+        at_cut = np.flatnonzero(cut)
+        inner = np.flatnonzero(~ends_here[at_cut])
+        start, stop = at_cut[inner], at_cut[inner + 1] if len(inner) else at_cut[:0]
+        # The piece of each span; a character without a piece is its bytes.
+        key = s * (self.longest + 1) + n
+        order = np.argsort(key)
+        want = start * (self.longest + 1) + stop - start
+        i = np.minimum(np.searchsorted(key[order], want), max(len(key) - 1, 0))
+        hit = key[order][i] == want if len(key) else np.zeros(len(want), dtype=bool)
+        place_of = np.searchsorted(first, start, "right") - 1       # the word of a span
+        lone, which = np.unique(chars[(start - place_of)[~hit]], return_inverse=True)
+        raw = [chr(c).encode("utf-8") for c in lone.tolist()]
+        wide = np.array([len(r) for r in raw], np.int64)
+        pool = np.concatenate([self.code[node], np.frombuffer(b"".join(raw), np.uint8).astype(np.int32) + BYTE0]).astype(np.int32)
+        run, long = np.zeros(len(start), np.int64), np.ones(len(start), np.int64)
+        run[hit] = order[i[hit]] if len(key) else 0
+        run[~hit], long[~hit] = (len(node) + np.cumsum(wide) - wide)[which], wide[which]
+        codes = _gather(pool, run, long) if len(run) else np.empty(0, np.int32)
+        per = np.bincount(place_of, weights=long, minlength=len(size)).astype(np.int64)
+        offsets = np.concatenate([[0], np.cumsum(per)]).astype(np.int32)
+        return Table(words, pa.ListArray.from_arrays(pa.array(offsets), pa.array(codes)))
+
+
+def _encode(shared, cut: np.ndarray):
+    """Codes of each document, through the common words and the lattice of the others."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = table.value
+        known, lattice = shared.value
         for b in _slices(batches, "t", BYTES):
             words, count = _words(b.column("t"), cut)
             coded = words.dictionary_encode()
-            at = known.where(coded.dictionary)
-            pool, start, size = known.codes, known.start, known.size
-            if not complete:
-                own = Table(pc.replace_substring(b.column("rare").flatten(), MARK, " "), b.column("rare_codes").flatten())
-                other = own.where(coded.dictionary)
-                at = np.where((at < 0) & (other >= 0), other + len(start), at)
-                pool, start, size = (np.concatenate(x) for x in ((pool, own.codes), (start, own.start + len(pool)), (size, own.size)))
+            at = known.where(coded.dictionary).copy()
+            rare = at < 0
+            own = lattice.table(coded.dictionary.filter(pa.array(rare)))
+            at[rare] = len(known.start) + np.arange(len(own.start))
+            pool, start, size = (np.concatenate(x) for x in (
+                (known.codes, own.codes), (known.start, own.start + len(known.codes)), (known.size, own.size)))
             which = at[coded.indices.to_numpy()]
-            doc = np.repeat(np.arange(b.num_rows), count)
-            lack = np.bincount(doc[which < 0], minlength=b.num_rows) > 0
-            if not complete and lack.any():
-                raise ValueError("a word without codes")
-            which = which[~lack[doc]]
-            keep = np.flatnonzero(~lack)
-            ends = np.concatenate([[0], np.cumsum(count[keep])])
-            sizes = size[which] if len(which) else np.empty(0, np.int64)
+            sizes = size[which]
             codes = _gather(pool, start[which], sizes) if len(which) else np.empty(0, np.int32)
-            offsets = np.concatenate([[0], np.cumsum(sizes)])[ends].astype(np.int32)
-            rows = pa.array(keep)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id").take(rows), b.column("t").take(rows),
-                                              pa.ListArray.from_arrays(pa.array(offsets), pa.array(codes))], ["doc_id", "text", "codes"])
+            offsets = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(count)])].astype(np.int32)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("t"), pa.ListArray.from_arrays(
+                pa.array(offsets), pa.array(codes))], ["doc_id", "text", "codes"])
     return run
 
 
@@ -295,25 +396,12 @@ def encode(docs: DataFrame, pieces: Pieces | None = None, model: str = "bpe", id
     texts = docs.select(F.col(id_col).alias("doc_id"), whole_text(text_col).alias("t"))
     # The lattice is some twenty times its words, so they are dealt to more tasks than their bytes ask for.
     tasks = WIDEN * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    counted = (texts.select("t").mapInArrow(_counts(pieces.cut), "word string, n long")
-               .repartition(tasks, "word").groupBy("word").agg(F.sum("n").alias("n")))
-    table = materialize(word_table(counted, pieces, model), "word-codes")
-    most, all_of_them = common_words(table, common)
-    shared = spark.sparkContext.broadcast(most)
+    counts = materialize(texts.select("t").mapInArrow(_counts(pieces.cut), "word string, n long")
+                         .groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
+    table = word_table(common_words(counts, common).repartition(tasks, "word"), pieces, model)
+    shared = spark.sparkContext.broadcast((as_table(table), Lattice(pieces, model)))
     key = texts.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {key}, text string, codes array<int>"
-    whole = texts.select("doc_id", "t").mapInArrow(_encode(shared, pieces.cut, True), schema)
-    if all_of_them:
-        return whole
-    keyed = texts.withColumn("addr", F.xxhash64("t"))
-    lack = (keyed.select("addr", "t").mapInArrow(_rare(shared, pieces.cut), "addr long, word string")
-            .repartition(tasks, "word").dropDuplicates(["addr", "word"]))
-    found = (lack.join(table.select("word", "codes"), "word").groupBy("addr")
-             .agg(F.collect_list(F.struct("word", "codes")).alias("x"))
-             .select("addr", F.col("x.word").alias("rare"), F.col("x.codes").alias("rare_codes")))
-    rest = keyed.join(found, "addr").select("doc_id", "t", "rare", "rare_codes").mapInArrow(
-        _encode(shared, pieces.cut, False), schema)
-    return whole.union(rest)
+    return texts.select("doc_id", "t").mapInArrow(_encode(shared, pieces.cut), f"doc_id {key}, text string, codes array<int>")
 
 
 def _decode(data: np.ndarray, start: np.ndarray, size: np.ndarray):
