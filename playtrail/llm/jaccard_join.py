@@ -44,8 +44,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playtrail.llm.common import components, fresh, whole_text
-from playtrail.session import bounded_broadcast, materialize
+from playtrail.llm.common import components, discard, fresh, whole_text
+from playtrail.session import bounded_broadcast, materialize, materialize_at
 
 PART_TOKENS = 32_768  # mean number of tokens in a part
 CELLS_PER_BATCH = 32  # cells sent to Python at once
@@ -354,9 +354,9 @@ def _opened(cells: DataFrame, left: DataFrame, right: DataFrame, percent: int, n
         spark.conf.set(conf, before)
 
 
-def _stored(parts: DataFrame, tokens: DataFrame, name: str) -> DataFrame:
-    """The parts' members with their tokens, and the union of these: ``(part, held, union)``."""
-    return materialize(parts.join(tokens, "tid").groupBy("part")
+def _stored(parts: DataFrame, tokens: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """The parts' members with their tokens, and the union of these, ``(part, held, union)``, and their path."""
+    return materialize_at(parts.join(tokens, "tid").groupBy("part")
                        .agg(F.collect_list(F.struct("tid", "grp", "toks")).alias("held"))
                        .withColumn("union", F.array_distinct(F.flatten("held.toks"))), name)
 
@@ -375,10 +375,12 @@ def _head_links(members: DataFrame, parts: DataFrame, info: DataFrame, tokens: D
     cells = materialize(_sized(stars, info, percent).join(parts.withColumnRenamed("tid", "b"), "b")
                         .select(F.col("a").alias("x"), F.col("part").alias("y")).distinct(), "head-cells")
     own = F.col("tid").alias("grp")
-    stored = _stored(parts.select("tid", own, "part"), tokens, "part-tokens")
+    stored, path = _stored(parts.select("tid", own, "part"), tokens, "part-tokens")
     heads = tokens.join(cells.select(F.col("x").alias("tid")).distinct(), "tid", "left_semi").select(
         F.col("tid").alias("part"), F.array(F.struct("tid", own, "toks")).alias("held"), F.col("toks").alias("union"))
-    return _opened(cells, heads, stored, percent, "head-links")
+    links = _opened(cells, heads, stored, percent, "head-links")
+    discard(cells.sparkSession, path)
+    return links
 
 
 def _matrix_links(members: DataFrame, groups: DataFrame, info: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
@@ -393,8 +395,10 @@ def _matrix_links(members: DataFrame, groups: DataFrame, info: DataFrame, tokens
     cells = materialize(
         seen.withColumnRenamed("part", "x").join(seen.withColumnRenamed("part", "y"), "sig")
         .where("x <= y").select("x", "y").distinct(), "cells")
-    stored = _stored(parts.join(left.select("tid", "grp").distinct(), "tid"), tokens, "mixed-part-tokens")
-    return _opened(cells, stored, stored, percent, "matrix-links")
+    stored, path = _stored(parts.join(left.select("tid", "grp").distinct(), "tid"), tokens, "mixed-part-tokens")
+    links = _opened(cells, stored, stored, percent, "matrix-links")
+    discard(cells.sparkSession, path)
+    return links
 
 
 def _with_partners(texts: DataFrame, digest: DataFrame, info: DataFrame, words: int, percent: int) -> DataFrame:
@@ -429,22 +433,25 @@ def jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str
     digest = materialize(texts.mapInArrow(_digest(words), f"doc_id {key}, tid long, n long"), "shingle-digest")
     sizes = digest.where("n > 0").select("tid", "n").dropDuplicates(["tid"])
     need = materialize(_with_partners(texts, digest, sizes, words, percent), "text-ids")
-    tokens = materialize(
+    tokens, tokens_at = materialize_at(
         texts.join(bounded_broadcast(need, NEED_ROWS), "tid", "left_semi").select("tid", "t")
         .mapInArrow(_tokens(words), "tid long, toks array<long>")
         .groupBy("tid").agg(F.first("toks").alias("toks")), "token-sets")
     info = tokens.select("tid", F.size("toks").cast("long").alias("n"))
 
     # Members of signatures that different texts share.
-    rows = materialize(tokens.mapInArrow(_signs(percent), "tid long, sigs array<long>"), "signatures")
+    rows, rows_at = materialize_at(tokens.mapInArrow(_signs(percent), "tid long, sigs array<long>"), "signatures")
     rows = rows.select(F.explode("sigs").alias("sig"), "tid")
     shared = (rows.groupBy("sig").agg(F.min("tid").alias("head"), F.max("tid").alias("last"))
               .where("head < last").select("sig", "head"))
-    members = materialize(rows.join(shared, "sig").select("sig", "tid", "head").distinct(), "signature-members")
+    members, members_at = materialize_at(rows.join(shared, "sig").select("sig", "tid", "head").distinct(), "signature-members")
+    discard(docs.sparkSession, rows_at)
 
     links = _head_links(members, _parts(members, info), info, tokens, percent)
     groups = components(links, "groups")
     more = _matrix_links(members, groups, info, tokens, percent)
+    for path in (tokens_at, members_at):     # the links are written
+        discard(docs.sparkSession, path)
     comp = components(materialize(links.union(more), "links"), "components")
 
     # One row per document; the component's smallest key.
