@@ -14,17 +14,21 @@ key it can reach by links. The steps:
    of the equal ones has tokens, so only sets with more of them sign empty ones.
 3. *Parts.* Documents that share signatures are dealt into parts of similar
    documents (by family: the smallest head they share a signature with) of bounded
-   size. A part is stored with the union of its tokens.
+   size. A part is stored with its members' tokens, from then on their only copy.
 4. *Heads against parts.* The head of each signature is a query to the parts that
-   hold its members (a star, never all pairs). The union bounds the overlap of the
-   query with any member; only parts it can reach are opened and give exact links,
-   which form groups.
+   hold its members (a head and a part, never a head and a member, are a row). The
+   union of a part's tokens bounds the overlap of the query with any member; only
+   parts it can reach are opened and give exact links, which form groups.
 5. *Parts against parts.* What is left are signatures that hold several groups. Two
    parts with a common one are a cell: unions bound the overlap of each query of one
    part with the other, and the overlaps of the queries left are one matrix product.
-   A cell returns a spanning forest of the links it adds, so pairs never become rows.
+   A task returns a spanning forest of the links its cells add, so pairs never become rows.
 6. Components are formed again.
 
+Signatures meet in slices of about ``SLICE_SIGNATURES``, and cells are opened tile by tile: the
+parts are dealt to so many tiles that the tokens of one, and those that the cells of a pair
+of tiles send, are about ``TILE_TOKENS``. Only one slice or pair of tiles is shuffled at a time.
+
 Tokens, and texts as a whole, are addressed by 64-bit hashes. Copies of a text
 share an address and are one member everywhere.
 
@@ -37,6 +41,7 @@ columns are not carried.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,9 +50,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playtrail.llm.common import components, discard, fresh, whole_text
-from playtrail.session import bounded_broadcast, materialize, materialize_at
+from playtrail.session import bounded_broadcast, materialize, materialize_at, scratch_path
 
 PART_TOKENS = 32_768  # mean number of tokens in a part
+TILE_TOKENS = 1 << 26  # tokens of the parts of a tile, or sent by the cells of two tiles, about
+SLICE_SIGNATURES = 1 << 25  # signatures of texts that meet at a time, about
+SUMMED = 4_000_000  # counts of hits that a task holds before it adds them up
+JOINED = 1_000_000  # groups whose links a task remembers
 CELLS_PER_BATCH = 32  # cells sent to Python at once
 ENTRIES = 2_000_000  # prefix tokens that one step of the count of partners holds, about
 NEED_ROWS = 500_000  # ids that may be broadcast to pick texts; a shuffle join beyond
@@ -216,10 +225,15 @@ def _prefixes(words: int, percent: int, buckets: int):
     return run
 
 
-def _hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``(tid, hits)``: prefix tokens of a text that another text has too. Rows come sorted by bucket."""
+def _hits(deals: int):
+    """``(deal, tids, hits)``: how many prefix tokens of a text another text has too, as lists of
+    the texts of a bucket that are dealt to the same task. Rows come sorted by bucket."""
     def found(tid, hits):
-        return pa.RecordBatch.from_arrays([pa.array(tid, pa.int64()), pa.array(hits, pa.int64())], ["tid", "hits"])
+        deal = (_mix(tid.view(np.uint64)) % np.uint64(deals)).astype(np.int64)
+        order = np.argsort(deal, kind="stable")
+        rows = pa.RecordBatch.from_arrays([pa.array(np.arange(deals, dtype=np.int32)), _lists(tid[order], deal[order], deals),
+                                           _lists(hits[order].astype(np.int32), deal[order], deals)], ["deal", "tids", "hits"])
+        return rows.filter(pa.array(rows.column("tids").value_lengths().to_numpy() > 0))
 
     def settle(held):
         tid = np.concatenate([np.repeat(t, c) for t, c, _, _ in held])
@@ -233,22 +247,48 @@ def _hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token, which, count = np.unique(tok, return_inverse=True, return_counts=True)
         return found(*np.unique(tid[((count > 1) | np.isin(token, known))[which]], return_counts=True))
 
-    at, held = None, []
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held, passed, n = None, [], [], 0
+        for b in batches:
+            flat = [(b.column(c).flatten().to_numpy(), np.concatenate([[0], np.cumsum(b.column(c).value_lengths().to_numpy())]))
+                    for c in ("tids", "counts", "toks", "known")]
+            for i, bucket in enumerate(b.column("bucket").to_pylist()):
+                row = [values[ends[i]:ends[i + 1]] for values, ends in flat]
+                if not len(row[2]) and not len(row[3]):
+                    passed.append((row[0], row[1]))
+                    n += len(row[0])
+                    if n > SUMMED:
+                        yield found(*(np.concatenate(x) for x in zip(*passed)))
+                        passed, n = [], 0
+                    continue
+                if bucket != at and held:
+                    yield settle(held)
+                    held = []
+                at = bucket
+                held.append(row)
+        if held:
+            yield settle(held)
+        if passed:
+            yield found(*(np.concatenate(x) for x in zip(*passed)))
+    return run
+
+
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``(tid, hits)`` of the lists dealt to a task, one row per text."""
+    tids, hits, held, n = np.empty(0, np.int64), np.empty(0, np.int64), [], 0
+
+    def added():
+        tid, which = np.unique(np.concatenate([tids, *(t for t, _ in held)]), return_inverse=True)
+        sums = np.zeros(len(tid), np.int64)
+        np.add.at(sums, which, np.concatenate([hits, *(h for _, h in held)]))
+        return tid, sums
     for b in batches:
-        flat = [(b.column(c).flatten().to_numpy(), np.concatenate([[0], np.cumsum(b.column(c).value_lengths().to_numpy())]))
-                for c in ("tids", "counts", "toks", "known")]
-        for i, bucket in enumerate(b.column("bucket").to_pylist()):
-            row = [values[ends[i]:ends[i + 1]] for values, ends in flat]
-            if not len(row[2]) and not len(row[3]):
-                yield found(row[0], row[1])
-                continue
-            if bucket != at and held:
-                yield settle(held)
-                held = []
-            at = bucket
-            held.append(row)
-    if held:
-        yield settle(held)
+        held.append(tuple(b.column(c).flatten().to_numpy() for c in ("tids", "hits")))
+        n += len(held[-1][0])
+        if n > SUMMED:
+            (tids, hits), held, n = added(), [], 0
+    tids, hits = added()
+    yield pa.RecordBatch.from_arrays([pa.array(tids), pa.array(hits)], ["tid", "hits"])
 
 
 def _signs(percent: int):
@@ -278,15 +318,16 @@ def _tokens(words: int):
 class Part:
     """Members of a part: ids, groups, token sets (``tokens`` end to end) and their union."""
 
-    def __init__(self, held: pa.StructArray, union: pa.Array):
-        toks, self.union = held.field("toks"), union.to_numpy()
+    def __init__(self, held: pa.StructArray, union: pa.Array | None = None):
+        toks = held.field("toks")
         self.tid, self.grp = held.field("tid").to_pylist(), held.field("grp").to_pylist()
         self.size, self.tokens = toks.value_lengths().to_numpy(), toks.flatten().to_numpy()
+        self.union = np.unique(self.tokens) if union is None else union.to_numpy()
 
 
-def cell_links(left: Part, right: Part, percent: int, same: bool) -> list[tuple[int, int]]:
+def cell_links(left: Part, right: Part, percent: int, same: bool, root: dict[int, int] | None = None) -> list[tuple[int, int]]:
     """Links between the members of two parts that join different groups, as a
-    spanning forest over the groups."""
+    spanning forest over the groups; ``root`` has the links of earlier cells."""
     reached = np.concatenate([[0], np.cumsum(np.isin(left.tokens, right.union))])
     ends = np.cumsum(left.size)
     queries = np.flatnonzero(100 * (reached[ends] - reached[ends - left.size]) >= percent * left.size)
@@ -302,12 +343,15 @@ def cell_links(left: Part, right: Part, percent: int, same: bool) -> list[tuple[
     overlap = has[queries] @ has[members].T
     whole = size[queries][:, None] + size[members][None, :] - overlap
     q, m = np.nonzero(100 * overlap >= percent * whole)
-    root: dict[int, int] = {}
+    root = {} if root is None else root
 
     def find(x: int) -> int:
-        while root.get(x, x) != x:
-            x = root[x]
-        return x
+        at = x
+        while root.get(at, at) != at:
+            at = root[at]
+        while x != at:       # shorter next time
+            root[x], x = at, root[x]
+        return at
     out = []
     for i, j in zip(queries[q], m):
         if same and i >= j or left.tid[i] == right.tid[j]:
@@ -321,83 +365,114 @@ def cell_links(left: Part, right: Part, percent: int, same: bool) -> list[tuple[
 
 def _cells(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        root: dict[int, int] = {}
         for batch in batches:
             links = []
+            if len(root) > JOINED:
+                root = {}
             for i in range(batch.num_rows):
-                x, y = (Part(batch.column(side)[i].values, batch.column(union)[i].values)
-                        for side, union in (("left", "lu"), ("right", "ru")))
-                links += cell_links(x, y, percent, batch.column("same")[i].as_py())
+                x, y = (Part(batch.column(side)[i].values) for side in ("left", "right"))
+                links += cell_links(x, y, percent, batch.column("same")[i].as_py(), root)
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], ["a", "b"])
     return run
 
 
-def _sized(pairs: DataFrame, info: DataFrame, percent: int) -> DataFrame:
-    """Pairs of sizes that allow a link."""
-    def side(x):
-        return info.select(F.col("tid").alias(x), F.col("n").alias("n" + x))
-    out = pairs.join(side("a"), "a").join(side("b"), "b")
-    return out.where((100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))).select("a", "b")
-
-
 def _opened(cells: DataFrame, left: DataFrame, right: DataFrame, percent: int, name: str) -> DataFrame:
-    """Links that the cells ``(x, y)`` add; ``left`` and ``right`` are ``(part, held, union)``."""
+    """Links that the cells ``(x, y)`` add; ``left`` and ``right`` are ``(part, held)``."""
     spark, conf = cells.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(conf)
     spark.conf.set(conf, str(CELLS_PER_BATCH))
     try:
         return materialize(
-            cells.join(left.select(F.col("part").alias("x"), F.col("held").alias("left"), F.col("union").alias("lu")), "x")
-            .join(right.select(F.col("part").alias("y"), F.col("held").alias("right"), F.col("union").alias("ru")), "y")
-            .select("left", "lu", "right", "ru", (F.col("x") == F.col("y")).alias("same"))
+            cells.join(left.select(F.col("part").alias("x"), F.col("held").alias("left")), "x")
+            .join(right.select(F.col("part").alias("y"), F.col("held").alias("right")), "y")
+            .select("left", "right", (F.col("x") == F.col("y")).alias("same"))
             .mapInArrow(_cells(percent), "a long, b long"), name)
     finally:
         spark.conf.set(conf, before)
 
 
-def _stored(parts: DataFrame, tokens: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """The parts' members with their tokens, and the union of these, ``(part, held, union)``, and their path."""
-    return materialize_at(parts.join(tokens, "tid").groupBy("part")
-                       .agg(F.collect_list(F.struct("tid", "grp", "toks")).alias("held"))
-                       .withColumn("union", F.array_distinct(F.flatten("held.toks"))), name)
+def _tile(part: str, tiles: int):
+    return F.pmod(F.col(part), F.lit(tiles)).cast("int")
+
+
+def _stored(parts: DataFrame, tokens: DataFrame, cells: DataFrame, heads: bool, name: str) -> tuple[str, int]:
+    """The parts' members with their tokens, ``(part, held)`` by ``tile``: path and number of tiles."""
+    all_ = parts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("texts"), F.count_distinct("part").alias("parts")).first()
+    total = all_["n"] or 0
+    sent = cells.count() * total // max(1, all_["texts"] if heads else all_["parts"])     # a cell sends a text or a part
+    tiles = max(1, -(-total // TILE_TOKENS), math.isqrt(sent // TILE_TOKENS))
+    path = scratch_path(parts.sparkSession, name)
+    (tokens.join(bounded_broadcast(parts.drop("n"), NEED_ROWS), "tid").groupBy("part")
+     .agg(F.collect_list(F.struct("tid", "grp", "toks")).alias("held")).withColumn("tile", _tile("part", tiles))
+     .write.partitionBy("tile").parquet(path))
+    return path, tiles
+
+
+def _parts_at(spark, path: str) -> DataFrame:
+    return spark.read.schema("part long, held array<struct<tid: long, grp: long, toks: array<long>>>, tile int").parquet(path)
+
+
+def _members(stored: DataFrame) -> DataFrame:
+    """``(tid, toks)`` of stored parts."""
+    return stored.select(F.explode("held").alias("h")).select("h.tid", "h.toks")
+
+
+def _by_tile(cells: DataFrame, path: str, tiles: int, heads: bool, percent: int, name: str) -> DataFrame:
+    """Links that the cells ``(x, at, y)`` add, one pair of tiles at a time; ``at`` is the part that
+    holds ``x``, a member (``heads``) or the part itself."""
+    spark, links = cells.sparkSession, None
+    stored = _parts_at(spark, path)
+    for i in range(tiles):
+        for j in range(tiles):
+            some = cells.where((_tile("at", tiles) == i) & (_tile("y", tiles) == j)).select("x", "y")
+            left, right = stored.where(F.col("tile") == i), stored.where(F.col("tile") == j)
+            if heads:
+                ids = bounded_broadcast(some.select(F.col("x").alias("tid")).distinct(), NEED_ROWS)
+                left = _members(left).join(ids, "tid", "left_semi").select(
+                    F.col("tid").alias("part"), F.array(F.struct("tid", F.col("tid").alias("grp"), "toks")).alias("held"))
+            found = _opened(some, left, right, percent, name)
+            links = found if links is None else links.union(found)
+    return links
 
 
 def _parts(members: DataFrame, info: DataFrame) -> DataFrame:
-    """``(tid, part)``: families cut into parts of bounded size."""
+    """``(tid, n, part)``: families cut into parts of bounded size."""
     family = members.groupBy("tid").agg(F.min("head").alias("fam")).join(info, "tid")
     per = family.groupBy("fam").agg(F.ceil(F.sum("n") / PART_TOKENS).alias("cuts"))
     return materialize(family.join(per, "fam").select(
-        "tid", F.xxhash64("fam", F.pmod(F.xxhash64("tid"), F.col("cuts"))).alias("part")), "parts")
-
-
-def _head_links(members: DataFrame, parts: DataFrame, info: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
-    """Links of the head of each signature with the members of the parts on it."""
-    stars = members.where("tid <> head").select(F.col("head").alias("a"), F.col("tid").alias("b")).distinct()
-    cells = materialize(_sized(stars, info, percent).join(parts.withColumnRenamed("tid", "b"), "b")
-                        .select(F.col("a").alias("x"), F.col("part").alias("y")).distinct(), "head-cells")
-    own = F.col("tid").alias("grp")
-    stored, path = _stored(parts.select("tid", own, "part"), tokens, "part-tokens")
-    heads = tokens.join(cells.select(F.col("x").alias("tid")).distinct(), "tid", "left_semi").select(
-        F.col("tid").alias("part"), F.array(F.struct("tid", own, "toks")).alias("held"), F.col("toks").alias("union"))
-    links = _opened(cells, heads, stored, percent, "head-links")
-    discard(cells.sparkSession, path)
-    return links
+        "tid", "n", F.xxhash64("fam", F.pmod(F.xxhash64("tid"), F.col("cuts"))).alias("part")), "parts")
+
+
+def _head_cells(members: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
+    """``(x, at, y)``: the head of each signature, its part and the parts on the signature that
+    hold sizes which allow a link."""
+    near = members.where("tid <> head").join(parts.select("tid", F.col("part").alias("y")), "tid").select(
+        F.col("head").alias("x"), "y").distinct()
+    sizes = parts.groupBy(F.col("part").alias("y")).agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    near = near.join(parts.select(F.col("tid").alias("x"), "n", F.col("part").alias("at")), "x").join(sizes, "y")
+    return materialize(near.where((100 * F.col("n") >= percent * F.col("least")) & (100 * F.col("most") >= percent * F.col("n")))
+                       .select("x", "at", "y"), "head-cells")
 
 
 def _matrix_links(members: DataFrame, groups: DataFrame, info: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
     """Links between different groups, found cell by cell."""
-    grouped = materialize(
+    spark = members.sparkSession
+    grouped, grouped_at = materialize_at(
         members.join(groups.select(F.col("id").alias("tid"), "comp"), "tid", "left")
         .select("sig", "tid", "head", F.coalesce("comp", "tid").alias("grp")), "grouped-members")
     mixed = grouped.groupBy("sig").agg(F.min("grp").alias("x"), F.max("grp").alias("y")).where("x < y").select("sig")
-    left = materialize(grouped.join(mixed, "sig", "left_semi"), "mixed-members")
+    left, left_at = materialize_at(grouped.join(mixed, "sig", "left_semi"), "mixed-members")
+    discard(spark, grouped_at)
     parts = _parts(left, info)
     seen = left.select("sig", "tid").join(parts, "tid").select("sig", "part").distinct()
     cells = materialize(
         seen.withColumnRenamed("part", "x").join(seen.withColumnRenamed("part", "y"), "sig")
-        .where("x <= y").select("x", "y").distinct(), "cells")
-    stored, path = _stored(parts.join(left.select("tid", "grp").distinct(), "tid"), tokens, "mixed-part-tokens")
-    links = _opened(cells, stored, stored, percent, "matrix-links")
-    discard(cells.sparkSession, path)
+        .where("x <= y").select("x", F.col("x").alias("at"), "y").distinct(), "cells")
+    path, tiles = _stored(parts.join(left.select("tid", "grp").distinct(), "tid"), tokens, cells, False, "mixed-part-tokens")
+    discard(spark, left_at)
+    links = _by_tile(cells, path, tiles, False, percent, "matrix-links")
+    discard(spark, path)
     return links
 
 
@@ -410,13 +485,14 @@ def _with_partners(texts: DataFrame, digest: DataFrame, info: DataFrame, words:
     hits = (texts.select("tid", "t").mapInArrow(
         _prefixes(words, percent, buckets),
         "bucket int, tids array<long>, counts array<int>, toks array<int>, known array<int>")
-        .repartition(tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(_hits, "tid long, hits long"))
+        .repartition(tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(_hits(tasks), "deal int, tids array<long>, hits array<int>")
+        .repartition(tasks, "deal").mapInArrow(_summed, "tid long, hits long"))
 
     def needed(n):
         return F.floor((n * percent + 99) / 100)
     n = needed(F.col("n"))
     enough = F.least(1 + F.floor(n / 8), needed(n))     # least_shared()
-    return hits.groupBy("tid").agg(F.sum("hits").alias("hits")).join(info, "tid").where(F.col("hits") >= enough).select("tid")
+    return hits.join(info, "tid").where(F.col("hits") >= enough).select("tid")
 
 
 def addressed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -437,21 +513,30 @@ def jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str
         texts.join(bounded_broadcast(need, NEED_ROWS), "tid", "left_semi").select("tid", "t")
         .mapInArrow(_tokens(words), "tid long, toks array<long>")
         .groupBy("tid").agg(F.first("toks").alias("toks")), "token-sets")
-    info = tokens.select("tid", F.size("toks").cast("long").alias("n"))
+    info = materialize(tokens.select("tid", F.size("toks").cast("long").alias("n")), "token-sizes")
 
     # Members of signatures that different texts share.
+    spark = docs.sparkSession
     rows, rows_at = materialize_at(tokens.mapInArrow(_signs(percent), "tid long, sigs array<long>"), "signatures")
-    rows = rows.select(F.explode("sigs").alias("sig"), "tid")
-    shared = (rows.groupBy("sig").agg(F.min("tid").alias("head"), F.max("tid").alias("last"))
-              .where("head < last").select("sig", "head"))
-    members, members_at = materialize_at(rows.join(shared, "sig").select("sig", "tid", "head").distinct(), "signature-members")
-    discard(docs.sparkSession, rows_at)
-
-    links = _head_links(members, _parts(members, info), info, tokens, percent)
+    slices = max(1, -(-(rows.agg(F.sum(F.size("sigs"))).first()[0] or 0) // SLICE_SIGNATURES))
+    rows, members_at = rows.select(F.explode("sigs").alias("sig"), "tid"), scratch_path(spark, "signature-members")
+    for i in range(slices):
+        some = rows.where(F.pmod("sig", F.lit(slices)) == i)
+        shared = (some.groupBy("sig").agg(F.min("tid").alias("head"), F.max("tid").alias("last"))
+                  .where("head < last").select("sig", "head"))
+        some.join(shared, "sig").select("sig", "tid", "head").distinct().write.mode("append").parquet(members_at)
+    members = spark.read.schema("sig long, tid long, head long").parquet(members_at)
+    discard(spark, rows_at)
+
+    parts = _parts(members, info)
+    cells = _head_cells(members, parts, percent)
+    path, tiles = _stored(parts.withColumn("grp", F.col("tid")), tokens, cells, True, "part-tokens")
+    discard(spark, tokens_at)      # the parts have those that are left
+    links = _by_tile(cells, path, tiles, True, percent, "head-links")
     groups = components(links, "groups")
-    more = _matrix_links(members, groups, info, tokens, percent)
-    for path in (tokens_at, members_at):     # the links are written
-        discard(docs.sparkSession, path)
+    more = _matrix_links(members, groups, info, _members(_parts_at(spark, path)), percent)
+    for path in (path, members_at):     # the links are written
+        discard(spark, path)
     comp = components(materialize(links.union(more), "links"), "components")
 
     # One row per document; the component's smallest key.
