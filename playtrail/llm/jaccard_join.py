@@ -56,6 +56,8 @@ PART_TOKENS = 32_768  # mean number of tokens in a part
 TILE_TOKENS = 1 << 26  # tokens of the parts of a tile, or sent by the cells of two tiles, about
 SLICE_SIGNATURES = 1 << 25  # signatures of texts that meet at a time, about
 SUMMED = 4_000_000  # counts of hits that a task holds before it adds them up
+QUERY_TOKENS = 16_384  # tokens of the queries that are compared at once, about
+MATRIX = 4_000_000  # values of a matrix of members by tokens
 JOINED = 1_000_000  # groups whose links a task remembers
 CELLS_PER_BATCH = 32  # cells sent to Python at once
 ENTRIES = 2_000_000  # prefix tokens that one step of the count of partners holds, about
@@ -325,6 +327,30 @@ class Part:
         self.union = np.unique(self.tokens) if union is None else union.to_numpy()
 
 
+def _matches(left: Part, right: Part, queries: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Members of ``right`` that the queries of ``left`` link to: places of both. The matrices have
+    the tokens of the queries only, and so many members at once that they stay small."""
+    ends = np.cumsum(left.size)
+    tokens = [left.tokens[ends[q] - left.size[q]:ends[q]] for q in queries]
+    vocabulary = np.unique(np.concatenate(tokens))
+    has = np.zeros((len(queries), len(vocabulary)), np.float32)
+    for row, own in zip(has, tokens):
+        row[np.searchsorted(vocabulary, own)] = 1
+    at = np.minimum(np.searchsorted(vocabulary, right.tokens), len(vocabulary) - 1)
+    hit = np.flatnonzero(vocabulary[at] == right.tokens)
+    member, at = np.repeat(np.arange(len(right.size)), right.size)[hit], at[hit]
+    step, out = max(1, MATRIX // len(vocabulary)), []
+    for first in range(0, len(right.size), step):
+        here = slice(*np.searchsorted(member, [first, first + step]))
+        size = right.size[first:first + step]
+        held = np.zeros((len(size), len(vocabulary)), np.float32)
+        held[member[here] - first, at[here]] = 1
+        overlap = has @ held.T
+        q, m = np.nonzero(100 * overlap >= percent * (left.size[queries][:, None] + size[None, :] - overlap))
+        out += zip(queries[q].tolist(), (m + first).tolist())
+    return out
+
+
 def cell_links(left: Part, right: Part, percent: int, same: bool, root: dict[int, int] | None = None) -> list[tuple[int, int]]:
     """Links between the members of two parts that join different groups, as a
     spanning forest over the groups; ``root`` has the links of earlier cells."""
@@ -333,16 +359,8 @@ def cell_links(left: Part, right: Part, percent: int, same: bool, root: dict[int
     queries = np.flatnonzero(100 * (reached[ends] - reached[ends - left.size]) >= percent * left.size)
     if not len(queries):
         return []     # no query reaches the part: it stays closed
-    vocabulary, at = np.unique(np.concatenate([left.tokens, right.tokens]), return_inverse=True)
-    sizes = np.concatenate([left.size, right.size])
-    rows = np.repeat(np.arange(len(sizes)), sizes)
-    has = np.zeros((len(sizes), len(vocabulary)), np.float32)
-    has[rows, at] = 1
-    size = has.sum(axis=1)
-    members = np.arange(len(left.tid), len(sizes))
-    overlap = has[queries] @ has[members].T
-    whole = size[queries][:, None] + size[members][None, :] - overlap
-    q, m = np.nonzero(100 * overlap >= percent * whole)
+    found = (_matches(left, right, some, percent) for some in np.split(
+        queries, np.flatnonzero(np.diff(np.cumsum(left.size[queries]) // QUERY_TOKENS)) + 1))
     root = {} if root is None else root
 
     def find(x: int) -> int:
@@ -353,7 +371,7 @@ def cell_links(left: Part, right: Part, percent: int, same: bool, root: dict[int
             root[x], x = at, root[x]
         return at
     out = []
-    for i, j in zip(queries[q], m):
+    for i, j in (pair for pairs in found for pair in pairs):
         if same and i >= j or left.tid[i] == right.tid[j]:
             continue
         x, y = find(left.grp[i]), find(right.grp[j])

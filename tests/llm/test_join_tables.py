@@ -82,3 +82,24 @@ def test_links_of_a_task_are_a_forest_over_all_its_cells():
         links += jaccard_join.cell_links(part(head), part(*range(1, 30)), 80, False, root)
     assert len(links) == 28
     assert len({x for pair in links for x in pair}) == 29
+
+
+def test_matrices_hold_the_tokens_of_the_queries_only(monkeypatch):
+    """A part of many different tokens: links as by sets, in matrices of a bounded size."""
+    rng = np.random.default_rng(2)
+    sets = [np.sort(rng.choice(10 ** 6, 30 + i % 4, replace=False)) for i in range(60)]
+    sets += [np.sort(np.r_[s[2:], 10 ** 6 + i]) for i, s in enumerate(sets)]
+    ids = list(range(len(sets)))
+
+    def part(some):
+        return jaccard_join.Part(pa.array([{"tid": i, "grp": i, "toks": sets[i].tolist()} for i in some]))
+    made, zeros = [], np.zeros
+    monkeypatch.setattr(jaccard_join, "QUERY_TOKENS", 100)
+    monkeypatch.setattr(jaccard_join, "MATRIX", 2000)
+    monkeypatch.setattr(jaccard_join.np, "zeros", lambda shape, *a: made.append(np.prod(shape)) or zeros(shape, *a))
+    got = jaccard_join.cell_links(part(ids[:60]), part(ids[60:]), 80, False)
+    monkeypatch.undo()
+    want = [(i, j) for i in ids[:60] for j in ids[60:]
+            if 100 * len(np.intersect1d(sets[i], sets[j])) >= 80 * len(np.union1d(sets[i], sets[j]))]
+    assert sorted(got) == want and len(want) == 60
+    assert max(made) <= 2000, max(made)
